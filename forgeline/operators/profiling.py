@@ -175,26 +175,27 @@ def density_curve(df: DataFrame, col: str, points: int = 100, bins: int = 2048)
                                * F.lit(norm)).alias("density")))
 
 
-def audit(df: DataFrame, rules: Mapping[str, Column], ordered: bool = True) -> DataFrame:
+def audit(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Removal audit of a rule cascade in one aggregation.
 
-    ``rules`` maps stage name -> drop predicate (NULL = keep).  With
-    ``ordered`` a row is charged to the first stage that removes it, which is
-    what applying the rules one after another does.  Output: stage, order,
-    rows_before, removed, rows_after, removed_share."""
+    ``rules`` maps stage name -> drop predicate (NULL = keep).  A row is
+    charged to the first stage that removes it, which is what applying the
+    rules one after another does.  Output: stage, stage_order, rows_before,
+    removed, rows_after, removed_share.  The only windows run over the
+    per-stage table (stages + 1 rows)."""
     names = list(rules)
-    flags = [truthy(rules[n]) for n in names]
     first = None
     for i in reversed(range(len(names))):
-        first = F.when(flags[i], F.lit(i)) if first is None else F.when(flags[i], F.lit(i)).otherwise(first)
-    stage_col = first if ordered else None
-    counts = df.agg(F.count("*").alias("_total"),
-                    *[F.sum((stage_col == i).cast("long")).alias(f"_r{i}") for i in range(len(names))]).first()
-    rows = []
-    before = counts["_total"]
-    for i, n in enumerate(names):
-        removed = counts[f"_r{i}"] or 0
-        rows.append((n, i, before, removed, before - removed, (removed / before) if before else None))
-        before -= removed
-    return df.sparkSession.createDataFrame(
-        rows, "stage string, stage_order int, rows_before long, removed long, rows_after long, removed_share double")
+        hit = truthy(rules[names[i]])
+        first = F.when(hit, F.lit(i)) if first is None else F.when(hit, F.lit(i)).otherwise(first)
+    counts = df.select(first.alias("stage_order")).groupBy("stage_order").agg(F.count("*").alias("removed"))
+    stages = df.sparkSession.createDataFrame(list(enumerate(names)), "stage_order int, stage string")
+    per = stages.join(counts, "stage_order", "full").fillna(0, subset=["removed"])
+    everything = Window.partitionBy()
+    before = Window.orderBy(F.col("stage_order").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    per = (per.withColumn("_total", F.sum("removed").over(everything))
+           .withColumn("rows_before", F.col("_total") - F.coalesce(F.sum("removed").over(before), F.lit(0))))
+    return (per.where(F.col("stage").isNotNull())
+            .select("stage", "stage_order", "rows_before", "removed",
+                    (F.col("rows_before") - F.col("removed")).alias("rows_after"),
+                    F.when(F.col("rows_before") > 0, F.col("removed") / F.col("rows_before")).alias("removed_share")))
