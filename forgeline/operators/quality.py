@@ -44,13 +44,12 @@ def quality_report(df: DataFrame, stage: str, key_cols: Sequence[str],
     NULL while the label column is absent (E8b)."""
     measures = list(limits)
     n = F.count("*")
-    per_key = df.groupBy(*key_cols).agg(F.count("*").alias("_c"))
-    dup = per_key.agg(F.sum(F.col("_c") - 1).alias("_excess"))
     invalid = None
     for c, (lo, hi) in limits.items():
         t = ~F.col(c).between(lo, hi) & F.col(c).isNotNull()
         invalid = t if invalid is None else invalid | t
-    aggs = [n.alias("n_rows"),
+    # excess duplicates = rows - distinct keys; the struct keeps NULL keys
+    aggs = [n.alias("n_rows"), (n - F.count_distinct(F.struct(*key_cols))).alias("_excess"),
             F.greatest(*[F.avg(F.col(c).isNull().cast("double")) for c in measures]).alias("missing_ratio")
             if len(measures) > 1 else F.avg(F.col(measures[0]).isNull().cast("double")).alias("missing_ratio"),
             F.avg(F.coalesce(invalid, F.lit(False)).cast("double")).alias("validity_ratio")]
@@ -62,7 +61,7 @@ def quality_report(df: DataFrame, stage: str, key_cols: Sequence[str],
         aggs.append(F.lit(None).cast("double").alias("consistency_ratio"))
     body = df.agg(*aggs)
     acc = schema_check(df, time_col, measures)
-    return (body.crossJoin(dup)  # both sides are single rows
+    return (body
             .select(F.lit(stage).alias("stage"), "n_rows",
                     F.when(F.col("n_rows") > 0, F.coalesce(F.col("_excess"), F.lit(0)) / F.col("n_rows"))
                     .alias("duplicate_ratio"),
@@ -86,71 +85,149 @@ def _qi(n: int, e: int) -> float:
     return (n - e) / n * 100.0 if n > 0 else 0.0
 
 
-def mdqi(df: DataFrame, sensors: Sequence[str], label: str, order_by: Sequence[str],
-         label_domain: Sequence = (-1, 1), col_threshold: float = 0.5,
-         row_threshold: float = 0.5, k: float = 3.0) -> tuple[DataFrame, DataFrame]:
+class WideCascade:
+    """E1-E7 as a lazily evaluated cascade over a wide sensor table.
+
+    Stages (each measured on the previous one's output): ``deduped`` ->
+    ``rows_kept`` (sparse columns, then sparse rows, dropped) -> ``filled``
+    (median) -> ``repaired`` (+-Inf -> median) -> ``nonconstant`` ->
+    ``clipped`` (exact 3*IQR fences) -> ``final`` (label domain).  Only
+    per-column metadata is collected; every stage is a DataFrame."""
+
+    def __init__(self, df: DataFrame, sensors: Sequence[str], label: str, order_by: Sequence,
+                 label_domain: Sequence = (-1, 1), col_threshold: float = 0.5,
+                 row_threshold: float = 0.5, k: float = 3.0):
+        self.raw, self.sensors, self.label, self.order_by = df, list(sensors), label, list(order_by)
+        self.domain, self.col_thr, self.row_thr, self.k = list(label_domain), col_threshold, row_threshold, k
+        self._memo: dict = {}
+
+    def _m(self, key, fn):
+        if key not in self._memo:
+            self._memo[key] = fn()
+        return self._memo[key]
+
+    # -- uniqueness
+    def n_original(self) -> int:
+        return self._m("n", lambda: self.raw.count())
+
+    def e_uni(self) -> int:
+        def calc():
+            h = self.raw.withColumn("_h", F.xxhash64(*self.sensors))
+            return int(h.groupBy("_h", *self.sensors).agg(F.count("*").alias("_c"))
+                       .agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e"))
+                       .first()["e"])
+        return self._m("e_uni", calc)
+
+    def deduped(self) -> DataFrame:
+        return self._m("dedup", lambda: dedupe_wide(self.raw, self.sensors, self.order_by)
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+
+    # -- completeness
+    def dropped_columns(self) -> list[str]:
+        return self._m("dropcols", lambda: sparse_columns(self.deduped(), self.sensors, self.col_thr))
+
+    def live(self) -> list[str]:
+        return [c for c in self.sensors if c not in self.dropped_columns()]
+
+    def rows_kept(self) -> DataFrame:
+        return self._m("rows", lambda: drop_sparse_rows(self.deduped().drop(*self.dropped_columns()),
+                                                        self.live(), self.row_thr))
+
+    def row_stats(self) -> tuple[int, int]:
+        def calc():
+            live = self.live()
+            rate = null_count_expr(live).cast("double") / F.lit(float(len(live)))
+            st = self.deduped().agg(
+                F.sum((rate > self.row_thr).cast("long")).alias("rows"),
+                F.sum(F.when(~(rate > self.row_thr), null_count_expr(live)).otherwise(F.lit(0))).alias("cells")).first()
+            return int(st["rows"] or 0), int(st["cells"] or 0)
+        return self._m("rowstats", calc)
+
+    def medians(self) -> dict:
+        return self._m("med", lambda: {c: v.get(0.5) for c, v in quantile_wide(self.rows_kept(), self.live(), [0.5]).items()})
+
+    def filled(self) -> DataFrame:
+        return self._m("filled", lambda: fill_values(self.rows_kept(), self.medians()))
+
+    # -- validity
+    def e_inf(self) -> int:
+        def calc():
+            r = self.filled().agg(*[F.sum((F.abs(F.col(c)) == float("inf")).cast("long")).alias(c)
+                                    for c in self.live()]).first()
+            return int(sum(r[c] or 0 for c in self.live()))
+        return self._m("einf", calc)
+
+    def repaired(self) -> DataFrame:
+        def calc():
+            if self.e_inf() == 0:
+                return self.filled()
+            nulls = replace_infinite(self.filled(), self.live())
+            med = quantile_wide(nulls, self.live(), [0.5])
+            return fill_values(nulls, {c: med[c].get(0.5) for c in self.live()})
+        return self._m("repaired", calc)
+
+    def constant(self) -> list[str]:
+        return self._m("const", lambda: constant_columns(self.repaired(), self.live()))
+
+    def valid_cols(self) -> list[str]:
+        return [c for c in self.live() if c not in self.constant()]
+
+    def nonconstant(self) -> DataFrame:
+        return self._m("noncon", lambda: self.repaired().drop(*self.constant())
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+
+    # -- consistency
+    def bounds(self) -> dict:
+        def calc():
+            q = quantile_wide(self.nonconstant(), self.valid_cols(), [0.25, 0.75])
+            out = {}
+            for c in self.valid_cols():
+                q1, q3 = q[c].get(0.25), q[c].get(0.75)
+                if q1 is not None:
+                    out[c] = (q1 - self.k * (q3 - q1), q3 + self.k * (q3 - q1))
+            return out
+        return self._m("bounds", calc)
+
+    def outliers(self) -> tuple[int, int]:
+        def calc():
+            b = self.bounds()
+            r = self.nonconstant().agg(F.count("*").alias("n"), *[
+                F.sum(F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)).cast("long")).alias(c)
+                for c, (lo, hi) in b.items()]).first()
+            return int(sum(r[c] or 0 for c in b)), int(r["n"]) * len(self.valid_cols())
+        return self._m("outl", calc)
+
+    def clipped(self) -> DataFrame:
+        return self._m("clipped", lambda: clip_columns(self.nonconstant(), self.bounds()))
+
+    # -- accuracy
+    def e_acc(self) -> int:
+        return self._m("eacc", lambda: self.clipped().where(~truthy(F.col(self.label).isin(self.domain))).count())
+
+    def final(self) -> DataFrame:
+        return keep_label_domain(self.clipped(), self.label, self.domain)
+
+    def score(self) -> DataFrame:
+        n0, nc = self.n_original(), len(self.sensors)
+        e_rows, e_cells = self.row_stats()
+        q_uni = _qi(n0, self.e_uni())
+        q_com = _qi(n0 * nc, len(self.dropped_columns()) * n0 + e_rows * len(self.live()) + e_cells)
+        q_val = _qi(n0 * nc, self.e_inf() + len(self.constant()) * n0)
+        e_con, n_con = self.outliers()
+        q_con = _qi(n_con, e_con)
+        q_acc = _qi(n0, self.e_acc())
+        score = (q_uni + q_com + q_val + q_con + q_acc) / 5.0
+        row = (n0, nc, self.e_uni(), q_uni, len(self.dropped_columns()), e_rows, e_cells, q_com,
+               self.e_inf(), len(self.constant()), q_val, e_con, n_con, q_con, self.e_acc(), q_acc,
+               score, None, self.final().count(), len(self.valid_cols()))
+        spark = self.raw.sparkSession
+        return spark.createDataFrame([row], MDQI_SCHEMA).withColumn("grade", grade(F.col("mdqi")))
+
+
+def mdqi(df: DataFrame, sensors: Sequence[str], label: str, order_by: Sequence, **kw) -> tuple[DataFrame, DataFrame]:
     """Returns (one-row score table, cleaned table)."""
-    spark = df.sparkSession
-    sensors = list(sensors)
-    n_cols = len(sensors)
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    # uniqueness: all members of a repeated sensor vector
-    first = base.agg(F.count("*").alias("n")).first()
-    n_orig = first["n"]
-    hashed = base.withColumn("_h", F.xxhash64(*sensors))
-    e_uni = (hashed.groupBy("_h", *sensors).agg(F.count("*").alias("_c"))
-             .agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e")).first()["e"])
-    cur = dedupe_wide(base, sensors, order_by).persist(StorageLevel.MEMORY_AND_DISK)
-    # completeness: sparse columns, then sparse rows, then median fill
-    drop_cols = sparse_columns(cur, sensors, col_threshold)
-    cur = cur.drop(*drop_cols)
-    live = [c for c in sensors if c not in drop_cols]
-    flagged = cur.withColumn("_sparse", null_count_expr(live).cast("double") / F.lit(float(len(live))) > row_threshold)
-    st = flagged.agg(F.sum(F.col("_sparse").cast("long")).alias("rows"),
-                     F.sum(F.when(~F.col("_sparse"), null_count_expr(live)).otherwise(F.lit(0))).alias("cells")).first()
-    e_rows, e_cells = int(st["rows"] or 0), int(st["cells"] or 0)
-    cur = drop_sparse_rows(cur, live, row_threshold)
-    med = quantile_wide(cur, live, [0.5])
-    cur = fill_values(cur, {c: med[c].get(0.5) for c in live})
-    q_com = _qi(n_orig * n_cols, len(drop_cols) * n_orig + e_rows * len(live) + e_cells)
-    # validity: Inf cells repaired with the median, constant columns dropped
-    inf_counts = cur.agg(*[F.sum((F.abs(F.col(c)) == float("inf")).cast("long")).alias(c) for c in live]).first()
-    e_inf = int(sum(inf_counts[c] or 0 for c in live))
-    if e_inf > 0:
-        cur = replace_infinite(cur, live)
-        med2 = quantile_wide(cur, live, [0.5])
-        cur = fill_values(cur, {c: med2[c].get(0.5) for c in live})
-    consts = constant_columns(cur, live)
-    cur = cur.drop(*consts)
-    live = [c for c in live if c not in consts]
-    q_val = _qi(n_orig * n_cols, e_inf + len(consts) * n_orig)
-    cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-    # consistency: exact quartile fences on the imputed table, count, clip
-    q = quantile_wide(cur, live, [0.25, 0.75])
-    bounds = {}
-    for c in live:
-        q1, q3 = q[c].get(0.25), q[c].get(0.75)
-        if q1 is None:
-            continue
-        bounds[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    cnt = cur.agg(F.count("*").alias("n"), *[
-        F.sum(F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)).cast("long")).alias(c)
-        for c, (lo, hi) in bounds.items()]).first()
-    e_con = int(sum(cnt[c] or 0 for c in bounds))
-    n_con = int(cnt["n"]) * len(live)
-    cur = clip_columns(cur, bounds)
-    q_con = _qi(n_con, e_con)
-    # accuracy: label domain
-    e_acc = cur.where(~truthy(F.col(label).isin(list(label_domain)))).count()
-    cur = keep_label_domain(cur, label, label_domain)
-    q_acc = _qi(n_orig, e_acc)
-    q_uni = _qi(n_orig, e_uni)
-    score = (q_uni + q_com + q_val + q_con + q_acc) / 5.0
-    rows_final = cur.count()
-    row = (n_orig, n_cols, int(e_uni), q_uni, len(drop_cols), e_rows, e_cells, q_com, e_inf, len(consts),
-           q_val, e_con, n_con, q_con, int(e_acc), q_acc, score, None, rows_final, len(live))
-    out = spark.createDataFrame([row], MDQI_SCHEMA).withColumn("grade", grade(F.col("mdqi")))
-    return out, cur
+    c = WideCascade(df, sensors, label, order_by, **kw)
+    return c.score(), c.final()
 
 
 def qi_column(n: str, e: str) -> Column:

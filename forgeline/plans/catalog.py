@@ -1,4 +1,7 @@
-"""Registered driver queries: each has a Spark plan built from the library
+"""Sensor-feed and rule-cascade queries; importing this module also loads
+every other plan module, so ``QUERIES`` / ``ORACLE`` hold the full catalog.
+
+Registered driver queries: each has a Spark plan built from the library
 operators and (where SQL can say it) an equivalent DuckDB query.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> str``.
@@ -17,21 +20,7 @@ from ..operators import duplicates as du
 from ..operators import quality as qu
 from . import views as v
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-    return deco
-
-
-def r6(c):
-    return F.round(c, 6)
+from .registry import ORACLE, QUERIES, r6, register  # noqa: F401
 
 
 # ------------------------------------------------------------ sensor pipeline
@@ -174,3 +163,7 @@ def q_duplicate_count(spark, sf_dir):
     raw = v.cycles_raw(spark, sf_dir)
     return (du.duplicate_count(raw, CYCLE_KEY, "members").select(F.lit("members").alias("mode"), "*")
             .unionByName(du.duplicate_count(raw, CYCLE_KEY, "excess").select(F.lit("excess").alias("mode"), "*")))
+
+
+# load the other plan modules (they register on import)
+from . import wide, profiles, evaluation, features, telemetry, streams  # noqa: E402,F401
