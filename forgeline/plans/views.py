@@ -150,15 +150,17 @@ def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     s_qty, s_price, s_disc, s_tax with NULL / +-Inf faults, s_sparse (NULL
     in most rows), s_const (one value), s_mix (sparse rows fault many
     sensors at once), label in {-1, 1} from the line status with invalid
-    values (0 and NULL), and an exact sensor copy under another id."""
+    values (0 and NULL), and an exact sensor copy under another id.
+    (row_id, part, supp) is unique: row_id alone repeats in the data."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_linestatus")
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     rid = ok * 8 + ln
     sparse_row = ok % 67 == 3
     nul = F.lit(None).cast("double")
     base = li.select(
-        rid.alias("row_id"),
+        rid.alias("row_id"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
         F.when(sparse_row | (ok % 23 == 4), nul).otherwise(F.col("l_quantity")).alias("s_qty"),
         F.when(sparse_row, nul).when(ok % 71 == 9, F.lit(INF))
          .otherwise(F.col("l_extendedprice")).alias("s_price"),
@@ -177,7 +179,7 @@ def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WIDE_RAW_SQL = """
 wide_base AS (
-  SELECT l_orderkey * 8 + l_linenumber AS row_id,
+  SELECT l_orderkey * 8 + l_linenumber AS row_id, l_partkey AS part, l_suppkey AS supp,
          CASE WHEN l_orderkey % 67 = 3 OR l_orderkey % 23 = 4 THEN NULL ELSE l_quantity END AS s_qty,
          CASE WHEN l_orderkey % 67 = 3 THEN NULL WHEN l_orderkey % 71 = 9 THEN CAST('Infinity' AS DOUBLE)
               ELSE l_extendedprice END AS s_price,
@@ -194,7 +196,7 @@ wide_base AS (
 wide_raw AS (
   SELECT * FROM wide_base
   UNION ALL
-  SELECT -row_id AS row_id, s_qty, s_price, s_disc, s_tax, s_sparse, s_const, s_mix, label
+  SELECT -row_id AS row_id, part, supp, s_qty, s_price, s_disc, s_tax, s_sparse, s_const, s_mix, label
   FROM wide_base WHERE row_id % 101 = 7)"""
 
 

@@ -21,7 +21,7 @@ S = v.WIDE_SENSORS
 
 
 def cascade(spark, sf_dir) -> WideCascade:
-    order = [F.abs(F.col("row_id")), -F.col("row_id")]
+    order = [F.abs(F.col("row_id")), -F.col("row_id"), F.col("part"), F.col("supp")]
     return WideCascade(v.wide_raw(spark, sf_dir), S, "label", order)
 
 
@@ -35,7 +35,7 @@ def _stages_sql() -> str:
     ctes = [
         v.WIDE_RAW_SQL,
         f"w_d AS (SELECT * FROM wide_raw QUALIFY row_number() OVER (PARTITION BY {part} "
-        "ORDER BY abs(row_id), -row_id) = 1)",
+        "ORDER BY abs(row_id), -row_id, part, supp) = 1)",
         "w_rates AS (SELECT COUNT(*) AS n_d, " + ", ".join(
             f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS r_{c}" for c in S)
         + " FROM w_d)",
