@@ -1 +1,103 @@
-"""Plan module (filled below)."""
+"""Telemetry history queries over ``events`` (I1-I6) and the vector
+anomaly score over ``embeddings`` (the G8/G9/G11 analogue)."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import history as hi
+from ..operators import images as im
+from . import views as v
+from .registry import r6, register
+
+
+def _readings(spark, sf_dir):
+    """Temperature-like reading per machine: value / 10 (2-3 decimals)."""
+    ev = v.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.col("user_id").alias("machine_id"), "ts", "value",
+                     F.round(F.col("value") / F.lit(10.0), 0).alias("level"))
+
+
+@register("q_value_changes", """
+WITH r AS (SELECT event_id, user_id AS machine_id, ts, value, round(value / CAST(10.0 AS DOUBLE), 0) AS level
+           FROM events),
+l AS (SELECT *, lag(level) OVER (PARTITION BY machine_id ORDER BY ts, event_id) AS prev_value,
+             row_number() OVER (PARTITION BY machine_id ORDER BY ts, event_id) AS rn FROM r)
+SELECT event_id, machine_id, ts, level, prev_value FROM l
+WHERE rn = 1 OR level IS DISTINCT FROM prev_value""")
+def q_value_changes(spark, sf_dir):
+    """I1 (batch): deliver a reading only when its level changed."""
+    r = _readings(spark, sf_dir).select("event_id", "machine_id", "ts", "level")
+    return hi.value_changes(r, "machine_id", ["ts", "event_id"], "level")
+
+
+ALARM_TEMPLATE = "ALARM machine %d: temperature %.2f above 330.00"
+
+
+@register("q_alarms", """
+SELECT event_id, user_id AS machine_id, ts, value,
+       printf('ALARM machine %d: temperature %.2f above 330.00', user_id, value) AS message
+FROM events WHERE value > 330.0""")
+def q_alarms(spark, sf_dir):
+    """Threshold alarm with a formatted message."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("machine_id"), "ts", "value")
+    return hi.alarms(ev, "value", 330.0, "machine_id", ALARM_TEMPLATE)
+
+
+HIST_START, HIST_END = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+
+
+@register("q_history", f"""
+SELECT event_id, user_id AS machine_id, ts, value FROM events
+WHERE ts BETWEEN TIMESTAMP '{HIST_START}' AND TIMESTAMP '{HIST_END}'
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) <= 5""")
+def q_history(spark, sf_dir):
+    """Raw values of each machine in a time range, oldest five."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("machine_id"), "ts", "value")
+    start = F.lit(HIST_START).cast("timestamp_ntz")
+    end = F.lit(HIST_END).cast("timestamp_ntz")
+    return hi.read_history(ev, "machine_id", "ts", start, end, 5, tiebreak="event_id")
+
+
+@register("q_retain", """
+WITH t AS (SELECT event_id, user_id AS machine_id, ts, value,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk,
+                  MAX(ts) OVER (PARTITION BY user_id) AS newest FROM events)
+SELECT event_id, machine_id, ts, value FROM t WHERE rk <= 10 AND ts >= newest - INTERVAL 3 DAY""")
+def q_retain(spark, sf_dir):
+    """I4: per machine keep the newest 10 values that are within 3 days of
+    its newest value (retention compaction)."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("machine_id"), "ts", "value")
+    return hi.retain(ev, "machine_id", "ts", 10, "3 days", tiebreak="event_id")
+
+
+@register("q_local_time", """
+SELECT event_id, ts + INTERVAL 9 HOUR AS ts_local, strftime(ts + INTERVAL 9 HOUR, '%H:%M:%S') AS clock FROM events""")
+def q_local_time(spark, sf_dir):
+    """UTC -> Asia/Seoul wall time and its HH:MM:SS text."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", "ts")
+    return hi.to_local(ev, "ts", "Asia/Seoul").select("event_id", "ts_local", "clock")
+
+
+@register("q_latest", """
+SELECT user_id AS machine_id, value, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_latest(spark, sf_dir):
+    """The newest reading of every machine."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("machine_id"), "ts", "value")
+    return hi.latest_values(ev, "machine_id", "ts", "value", tiebreak="event_id")
+
+
+@register("q_vector_anomaly", """
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+c AS (SELECT pos, AVG(CAST(x AS DOUBLE)) AS mu FROM e WHERE label = 0 GROUP BY pos),
+err AS (SELECT e.vec_id, any_value(e.label) AS label, AVG(pow(CAST(e.x AS DOUBLE) - c.mu, 2)) AS error
+        FROM e JOIN c ON e.pos = c.pos GROUP BY e.vec_id),
+thr AS (SELECT MAX(error) AS t FROM err WHERE label = 0)
+SELECT vec_id, label, ROUND(error, 9) AS error, CASE WHEN error >= t THEN 1 ELSE 0 END AS verdict FROM err, thr""")
+def q_vector_anomaly(spark, sf_dir):
+    """G8/G9/G11/G12 on vectors: the normal (label 0) centroid is the
+    reconstruction, the mean squared difference the error, and the verdict
+    is error >= the largest error seen on normal vectors."""
+    emb = v.table(spark, sf_dir, "embeddings")
+    return im.vector_anomaly(emb, "vec_id", "embedding", "label", normal_label=0).select(
+        "vec_id", "label", F.round("error", 9).alias("error"), "verdict")
