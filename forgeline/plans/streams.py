@@ -1 +1,66 @@
-"""Plan module (filled below)."""
+"""Streaming queries: the ``events`` file is consumed as a stream with
+``availableNow`` and the sink table is read back, so every result can be
+checked against the batch SQL of the same operators (A4, A9, I1, I7, I8)."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..streaming import pipelines as st
+from . import catalog as cat
+from . import views as v
+from .registry import r6, register
+
+
+def _feed(spark, sf_dir):
+    return v.sensor_feed(st.sensor_stream(spark, sf_dir, "events"))
+
+
+@register("q_landing", v.with_sql(v.SENSOR_RAW_SQL) + """
+SELECT seq, machine_id, ts, temperature, pressure, CAST(ts AS DATE) AS date FROM sensor_raw""")
+def q_landing(spark, sf_dir):
+    """A9 + A4: the raw feed landed as date-partitioned parquet."""
+    path = st.land_raw(_feed(spark, sf_dir))
+    return spark.read.parquet(path).select("seq", "machine_id", "ts", "temperature", "pressure", "date")
+
+
+@register("q_clean_stream", v.with_sql(v.SENSOR_CLEAN_SQL) + """
+SELECT seq, machine_id, ts, temperature, pressure, status_label FROM sensor_clean""")
+def q_clean_stream(spark, sf_dir):
+    """Stateful keep-first + cleanse + label on the live feed; equals
+    the batch ``q_sensor_clean``."""
+    clean = st.clean_stream(_feed(spark, sf_dir), cat.SENSOR_LIMITS, cat.sensor_rule())
+    path = st.run_to_table(clean, "clean")
+    return spark.read.parquet(path).select("seq", "machine_id", "ts", "temperature", "pressure", "status_label")
+
+
+@register("q_quality_stream", v.with_sql(v.SENSOR_RAW_SQL) + """
+SELECT date_trunc('day', ts) AS window_start, COUNT(*) AS n_rows,
+       ROUND(greatest(AVG(CASE WHEN temperature IS NULL THEN 1.0 ELSE 0.0 END),
+                      AVG(CASE WHEN pressure IS NULL THEN 1.0 ELSE 0.0 END)), 6) AS missing_ratio,
+       ROUND(AVG(CASE WHEN (temperature IS NOT NULL AND NOT (temperature BETWEEN 0 AND 100))
+                        OR (pressure IS NOT NULL AND NOT (pressure BETWEEN 0 AND 5)) THEN 1.0 ELSE 0.0 END), 6)
+         AS validity_ratio
+FROM sensor_norm GROUP BY 1""")
+def q_quality_stream(spark, sf_dir):
+    """I8: daily windowed quality indicators of the live feed (update mode,
+    newest version of each window kept)."""
+    from ..operators.cleansing import na_normalise
+    q = st.quality_stream(na_normalise(_feed(spark, sf_dir)), "ts", cat.SENSOR_LIMITS, "1 day")
+    path = st.run_batches(q, "quality", st.write_latest_per_key(["window_start"]))
+    out = st.read_latest(spark, path, ["window_start"])
+    return out.select("window_start", "n_rows", r6("missing_ratio").alias("missing_ratio"),
+                      r6("validity_ratio").alias("validity_ratio"))
+
+
+@register("q_change_stream", """
+WITH r AS (SELECT event_id, user_id AS machine_id, ts, round(value / CAST(10.0 AS DOUBLE), 0) AS level FROM events),
+l AS (SELECT *, lag(level) OVER (PARTITION BY machine_id ORDER BY ts, event_id) AS prev_value,
+             row_number() OVER (PARTITION BY machine_id ORDER BY ts, event_id) AS rn FROM r)
+SELECT event_id, machine_id, ts, level, prev_value FROM l WHERE rn = 1 OR level IS DISTINCT FROM prev_value""")
+def q_change_stream(spark, sf_dir):
+    """I1 (stream): report-by-exception with the last value per machine as state."""
+    ev = st.sensor_stream(spark, sf_dir, "events")
+    r = ev.select("event_id", F.col("user_id").alias("machine_id"), "ts",
+                  F.round(F.col("value") / F.lit(10.0), 0).alias("level"))
+    path = st.run_to_table(st.change_stream(r, "machine_id", ["ts", "event_id"], "level"), "changes")
+    return spark.read.parquet(path).select("event_id", "machine_id", "ts", "level", "prev_value")

@@ -26,7 +26,13 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     temperature (id % 40 = 7), pressure 999.9 (id % 30 = 10), and a second
     reading of the same (machine, ts) one step later in ``seq`` with
     temperature + 1 (id % 50 = 15)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return sensor_feed(table(spark, sf_dir, "events"))
+
+
+def sensor_feed(events: DataFrame) -> DataFrame:
+    """The sensor mapping of ``sensor_raw`` over any events frame (batch or
+    streaming): a self-union, so it also runs on a ``readStream`` source."""
+    ev = events.select("event_id", "ts", "user_id", "value")
     eid = F.col("event_id")
     base = ev.select(
         "event_id", "ts", F.col("user_id").alias("machine_id"),
