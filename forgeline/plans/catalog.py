@@ -166,4 +166,4 @@ def q_duplicate_count(spark, sf_dir):
 
 
 # load the other plan modules (they register on import)
-from . import wide, profiles, evaluation, features, telemetry, streams  # noqa: E402,F401
+from . import wide, profiles, evaluation, features, telemetry, streams, models  # noqa: E402,F401
