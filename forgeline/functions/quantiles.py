@@ -7,8 +7,9 @@ each pass scans the data once, histograms the values of every still-open
 target into ``buckets`` equal-width cells (a partial/final hash aggregation,
 so a hot group is pre-aggregated map-side), and narrows every target to the
 one cell that contains its rank.  A target is resolved when its cell holds a
-single distinct value.  Only per-target metadata (bounded by groups x probs)
-ever reaches the driver.
+single distinct value, or -- once its cell holds at most ``rank_limit``
+rows -- by ranking just that cell.  Only per-target metadata (bounded by
+groups x probs) ever reaches the driver.
 
 The interpolation matches pandas ``quantile`` / DuckDB ``quantile_cont``:
 position ``p * (n - 1)`` between the two neighbouring order statistics.
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_TARGETS = 200_000  # targets are broadcast: groups x probs x 2 must stay metadata-sized
+RANK_LIMIT = 50_000  # a band this small is ranked exactly inside one window partition
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], buckets: int = 1024,
-                    max_passes: int = 12) -> DataFrame:
+                    probs: Sequence[float], buckets: int = 4096,
+                    max_passes: int = 12, rank_limit: int = RANK_LIMIT) -> DataFrame:
     """Return ``group_cols + [prob, quantile, n]`` for each group and prob.
 
     ``df`` is long-form (one value per row); NULL values are ignored.
@@ -63,15 +65,21 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         # the gid table is bounded by n_groups, checked above
         keyed = data.join(F.broadcast(gid_df), group_cols).select("_gid", "_v")
         resolved = {}
+        band_rows = {t: groups[t[0]]["_n"] for t in targets}  # rows inside each target's band
         for _ in range(max_passes):
-            open_t = [(g, k, lo, hi, below) for (g, k), (lo, hi, below) in targets.items()
-                      if (g, k) not in resolved]
-            for g, k, lo, hi, below in open_t:
+            open_t = []
+            for (g, k), (lo, hi, below) in targets.items():
+                if (g, k) in resolved:
+                    continue
                 if lo == hi:
                     resolved[(g, k)] = lo
-            open_t = [t for t in open_t if (t[0], t[1]) not in resolved]
+                else:
+                    open_t.append((g, k, lo, hi, below))
             if not open_t:
                 break
+            if all(band_rows[(g, k)] <= rank_limit for g, k, *_ in open_t):
+                _finish_by_rank(spark, keyed, targets, [(g, k) for g, k, *_ in open_t], resolved)
+                break
             tdf = spark.createDataFrame(
                 [(i, g, k, float(lo), float(hi), int(below)) for i, (g, k, lo, hi, below) in enumerate(open_t)],
                 "_tid long, _gid long, _k long, _lo double, _hi double, _below long")
@@ -86,11 +94,12 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       .withColumn("_before", F.col("_cum") - F.col("_c"))
                       .where((F.col("_below") + F.col("_before") <= F.col("_k"))
                              & (F.col("_k") < F.col("_below") + F.col("_cum")))
-                      .select("_tid", "_cmin", "_cmax", (F.col("_below") + F.col("_before")).alias("_nb"))
+                      .select("_tid", "_cmin", "_cmax", "_c", (F.col("_below") + F.col("_before")).alias("_nb"))
                       .collect())
             for r in picked:
                 g, k = open_t[r["_tid"]][0], open_t[r["_tid"]][1]
                 targets[(g, k)] = [r["_cmin"], r["_cmax"], r["_nb"]]
+                band_rows[(g, k)] = r["_c"]
         else:
             open_t = [(g, k) for (g, k), (lo, hi, _b) in targets.items()
                       if (g, k) not in resolved and lo != hi]
@@ -130,17 +139,24 @@ def _cell(v, lo, hi, buckets: int):
 
 
 def _finish_by_rank(spark, keyed, targets, open_t, resolved):
-    """Fallback after ``max_passes``: rank inside the (already narrow) cells."""
-    tdf = spark.createDataFrame(
-        [(g, k, float(targets[(g, k)][0]), float(targets[(g, k)][1]), int(targets[(g, k)][2])) for g, k in open_t],
-        "_gid long, _k long, _lo double, _hi double, _below long")
-    w = Window.partitionBy("_gid", "_k").orderBy("_v")
-    rows = (keyed.join(F.broadcast(tdf), "_gid")
-            .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-            .withColumn("_r", F.row_number().over(w) - 1 + F.col("_below"))
-            .where(F.col("_r") == F.col("_k"))
-            .select("_gid", "_k", "_v").collect())
-    for r in rows:
+    """Rank the values inside each open band (at most ``rank_limit`` rows
+    per band, so one window partition stays bounded); targets that share a
+    band are ranked once."""
+    bands: dict = {}
+    for g, k in open_t:
+        lo, hi, below = targets[(g, k)]
+        bands.setdefault((g, float(lo), float(hi), int(below)), []).append(k)
+    band_rows = [(i, g, lo, hi, below) for i, (g, lo, hi, below) in enumerate(bands)]
+    want = [(i, k) for i, key in enumerate(bands) for k in bands[key]]
+    bdf = spark.createDataFrame(band_rows, "_bid long, _gid long, _lo double, _hi double, _below long")
+    kdf = spark.createDataFrame(want, "_bid long, _k long")
+    w = Window.partitionBy("_bid").orderBy("_v")
+    ranked = (keyed.join(F.broadcast(bdf), "_gid")
+              .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+              .withColumn("_k", F.row_number().over(w) - 1 + F.col("_below"))
+              .join(F.broadcast(kdf), ["_bid", "_k"])
+              .select("_gid", "_k", "_v").collect())
+    for r in ranked:
         resolved[(r["_gid"], r["_k"])] = r["_v"]
 
 

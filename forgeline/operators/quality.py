@@ -107,16 +107,21 @@ class WideCascade:
         return self._memo[key]
 
     # -- uniqueness
+    def _uniqueness(self) -> tuple[int, int]:
+        """(rows, rows whose sensor vector repeats) in one aggregation."""
+        def calc():
+            h = self.raw.withColumn("_h", F.xxhash64(*self.sensors))
+            r = (h.groupBy("_h", *self.sensors).agg(F.count("*").alias("_c"))
+                 .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
+                      F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e")).first())
+            return int(r["n"]), int(r["e"])
+        return self._m("uni", calc)
+
     def n_original(self) -> int:
-        return self._m("n", lambda: self.raw.count())
+        return self._uniqueness()[0]
 
     def e_uni(self) -> int:
-        def calc():
-            h = self.raw.withColumn("_h", F.xxhash64(*self.sensors))
-            return int(h.groupBy("_h", *self.sensors).agg(F.count("*").alias("_c"))
-                       .agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e"))
-                       .first()["e"])
-        return self._m("e_uni", calc)
+        return self._uniqueness()[1]
 
     def deduped(self) -> DataFrame:
         return self._m("dedup", lambda: dedupe_wide(self.raw, self.sensors, self.order_by)
@@ -201,8 +206,16 @@ class WideCascade:
         return self._m("clipped", lambda: clip_columns(self.nonconstant(), self.bounds()))
 
     # -- accuracy
+    def _labels(self) -> tuple[int, int]:
+        """(invalid labels, valid rows) of the clipped table in one aggregation."""
+        def calc():
+            ok = truthy(F.col(self.label).isin(self.domain))
+            r = self.clipped().agg(F.sum((~ok).cast("long")).alias("bad"), F.sum(ok.cast("long")).alias("good")).first()
+            return int(r["bad"] or 0), int(r["good"] or 0)
+        return self._m("labels", calc)
+
     def e_acc(self) -> int:
-        return self._m("eacc", lambda: self.clipped().where(~truthy(F.col(self.label).isin(self.domain))).count())
+        return self._labels()[0]
 
     def final(self) -> DataFrame:
         return keep_label_domain(self.clipped(), self.label, self.domain)
@@ -219,7 +232,7 @@ class WideCascade:
         score = (q_uni + q_com + q_val + q_con + q_acc) / 5.0
         row = (n0, nc, self.e_uni(), q_uni, len(self.dropped_columns()), e_rows, e_cells, q_com,
                self.e_inf(), len(self.constant()), q_val, e_con, n_con, q_con, self.e_acc(), q_acc,
-               score, None, self.final().count(), len(self.valid_cols()))
+               score, None, self._labels()[1], len(self.valid_cols()))
         spark = self.raw.sparkSession
         return spark.createDataFrame([row], MDQI_SCHEMA).withColumn("grade", grade(F.col("mdqi")))
 

@@ -26,11 +26,11 @@ def q_landing(spark, sf_dir):
 @register("q_clean_stream", v.with_sql(v.SENSOR_CLEAN_SQL) + """
 SELECT seq, machine_id, ts, temperature, pressure, status_label FROM sensor_clean""")
 def q_clean_stream(spark, sf_dir):
-    """Stateful keep-first + cleanse + label on the live feed; equals
-    the batch ``q_sensor_clean``."""
-    clean = st.clean_stream(_feed(spark, sf_dir), cat.SENSOR_LIMITS, cat.sensor_rule())
-    path = st.run_to_table(clean, "clean")
-    return spark.read.parquet(path).select("seq", "machine_id", "ts", "temperature", "pressure", "status_label")
+    """Streaming keep-first (watermarked min_by state) + cleanse + label;
+    equals the batch ``q_sensor_clean``."""
+    path = st.clean_stream(_feed(spark, sf_dir), cat.SENSOR_LIMITS, cat.sensor_rule())
+    clean = st.clean_table(spark, path, cat.SENSOR_LIMITS, cat.sensor_rule())
+    return clean.select("seq", "machine_id", "ts", "temperature", "pressure", "status_label")
 
 
 @register("q_quality_stream", v.with_sql(v.SENSOR_RAW_SQL) + """

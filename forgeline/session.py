@@ -25,7 +25,9 @@ def get_session(master: str | None = None, partitions: int | None = None,
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.shuffle.partitions", str(partitions or cpus * 2))
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               .config("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

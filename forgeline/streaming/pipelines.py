@@ -3,10 +3,9 @@
 * ``sensor_stream`` reads arriving parquet files with a declared schema (a
   Kafka topic in production uses the same downstream code).
 * ``land_raw`` appends the raw feed to a date-partitioned landing table.
-* ``clean_stream`` keeps the first reading of each (machine, ts) with
-  ``applyInPandasWithState`` -- state is one row per key and is dropped by an
-  event-time timeout once the watermark passes -- then applies the same
-  row rules as the batch cleanse.
+* ``clean_stream`` keeps the first reading of each (machine, ts) with a
+  streaming ``min_by`` aggregation (JVM, state evicted by the watermark);
+  the row rules of the batch cleanse run on the current first rows.
 * ``change_stream`` delivers a reading only when its value changed; the
   state is the last value per machine.
 * ``quality_stream`` computes windowed quality indicators with a watermark.
@@ -74,40 +73,33 @@ def land_raw(stream: DataFrame, ts: str = "ts", name: str = "landing") -> str:
     return run_to_table(stream.withColumn("date", F.to_date(F.col(ts))), name, ["date"])
 
 
-def _keep_first_fn(order_col: str, delay_ms: int):
-    def fn(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if state.exists or pdf.empty:
-            return
-        first = pdf.loc[[pdf[order_col].idxmin()]]
-        state.update((int(first[order_col].iloc[0]),))
-        event_ms = int(pd.Timestamp(first["_event_ts"].iloc[0]).value // 1_000_000)
-        state.setTimeoutTimestamp(max(event_ms + delay_ms, state.getCurrentWatermarkMs() + 1))
-        yield first
-    return fn
-
-
 def keep_first_stream(stream: DataFrame, keys: list[str], order_col: str, ts: str,
-                      delay: str = "1 hour", delay_ms: int = 3_600_000) -> DataFrame:
-    """I7 (dedupe part): the first row (smallest ``order_col``) of each key,
-    state bounded by the watermark."""
+                      delay: str = "1 hour") -> DataFrame:
+    """I7 (dedupe part) as a JVM streaming aggregation: per key the row with
+    the smallest ``order_col`` seen so far (``min_by``, combined map-side).
+    The event time is part of the key, so the watermark evicts the state.
+    Run it in update mode; each micro-batch emits the keys whose first row
+    changed, and ``read_latest`` gives the current first row of every key."""
     w = stream.withColumn("_event_ts", F.col(ts).cast("timestamp")).withWatermark("_event_ts", delay)
-    schema = w.schema
-    state = T.StructType([T.StructField("first", T.LongType())])
-    return (w.groupBy(*keys)
-            .applyInPandasWithState(_keep_first_fn(order_col, delay_ms), schema, state, "append",
-                                    GroupStateTimeout.EventTimeTimeout)
-            .drop("_event_ts"))
-
-
-def clean_stream(stream: DataFrame, limits: dict, rule, label: str = "status_label") -> DataFrame:
-    """NaN -> NULL, keep first per (machine, ts), drop missing, range,
-    round half-even, label -- the batch cascade on a live feed."""
-    norm = cl.na_normalise(stream)
-    first = keep_first_stream(norm, ["machine_id", "ts"], "seq", "ts")
+    payload = [c for c in stream.columns if c not in keys]
+    return (w.groupBy(*keys, "_event_ts")
+            .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), F.col(order_col)).alias("_row"))
+            .select(*keys, "_row.*"))
+
+
+def clean_stream(stream: DataFrame, limits: dict, rule, label: str = "status_label",
+                 keys: tuple = ("machine_id", "ts"), order_col: str = "seq") -> str:
+    """NaN -> NULL and keep-first per (machine, ts) run as a stream whose
+    versions land in a table; returns the table path.  ``clean_table``
+    applies the row rules (drop missing, range, round half-even, label) to
+    the current first row of every key."""
+    first = keep_first_stream(cl.na_normalise(stream), list(keys), order_col, "ts")
+    return run_batches(first, "first_rows", write_latest_per_key(list(keys)))
+
+
+def clean_table(spark: SparkSession, path: str, limits: dict, rule, label: str = "status_label",
+                keys: tuple = ("machine_id", "ts")) -> DataFrame:
+    first = read_latest(spark, path, list(keys))
     kept = cl.keep_in_range(cl.drop_missing(first), limits)
     rounded = cl.round_columns(kept, list(limits), 2)
     return cl.label_by_rule(rounded, rule, label)
