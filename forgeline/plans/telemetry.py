@@ -27,7 +27,8 @@ WHERE rn = 1 OR level IS DISTINCT FROM prev_value""")
 def q_value_changes(spark, sf_dir):
     """I1 (batch): deliver a reading only when its level changed."""
     r = _readings(spark, sf_dir).select("event_id", "machine_id", "ts", "level")
-    return hi.value_changes(r, "machine_id", ["ts", "event_id"], "level")
+    return hi.value_changes(r, "machine_id", ["ts", "event_id"], "level").select(
+        "event_id", "machine_id", "ts", "level", "prev_value")
 
 
 ALARM_TEMPLATE = "ALARM machine %d: temperature %.2f above 330.00"
