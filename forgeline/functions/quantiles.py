@@ -26,27 +26,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_TARGETS = 200_000  # targets are broadcast: groups x probs x 2 must stay metadata-sized
-RANK_LIMIT = 50_000  # a band this small is ranked exactly inside one window partition
+RANK_LIMIT = 1_000_000  # a band this small is ranked exactly inside one window partition
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], buckets: int = 4096,
-                    max_passes: int = 12, rank_limit: int = RANK_LIMIT) -> DataFrame:
+                    max_passes: int = 12, rank_limit: int = RANK_LIMIT,
+                    max_rows: int | None = None) -> DataFrame:
     """Return ``group_cols + [prob, quantile, n]`` for each group and prob.
 
     ``df`` is long-form (one value per row); NULL values are ignored.
+    ``max_rows`` is a known upper bound of the rows in any group (e.g. the
+    table's row count); when it is within ``rank_limit`` a single ranking
+    job answers every target.
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
     data = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    if max_rows is not None and max_rows <= rank_limit:
+        return _rank_all(df, data, group_cols, probs)
+    stats = (data.groupBy(*group_cols)
+             .agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+    groups = stats.limit(MAX_TARGETS // (2 * len(probs)) + 1).collect()
+    if len(groups) * len(probs) * 2 > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} quantile targets: groups must be metadata-sized")
+    # small groups are ranked in one pass straight from the source; big ones
+    # are scanned several times, so the values are cached for the passes
+    many_passes = any(g["_n"] > rank_limit for g in groups)
+    if many_passes:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = (data.groupBy(*group_cols)
-                 .agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-        n_groups = stats.count()
-        if n_groups * len(probs) * 2 > MAX_TARGETS:
-            raise ValueError(f"{n_groups} groups x {len(probs)} probs exceed the target bound {MAX_TARGETS}")
-        groups = stats.collect()
         gid_rows = []
         targets = {}  # (gid, rank) -> [lo, hi, below]
         wanted = []  # (gid, prob, n, rank_lo, rank_hi, frac)
@@ -118,7 +127,40 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
             T.StructField("n", T.LongType())])
         return spark.createDataFrame(out_rows, out_schema)
     finally:
-        data.unpersist()
+        if many_passes:
+            data.unpersist()
+
+
+def _rank_all(df: DataFrame, data: DataFrame, group_cols: list, probs: Sequence[float]) -> DataFrame:
+    """One job for groups known to be small: rank inside each group and keep
+    only the rows at the wanted order statistics."""
+    spark = df.sparkSession
+    w = Window.partitionBy(*group_cols).orderBy("_v")
+    ranked = data.select(*group_cols, "_v", (F.row_number().over(w) - 1).alias("_rk"),
+                         F.count("*").over(Window.partitionBy(*group_cols)).alias("_n"))
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+
+    def at(p):
+        lo = F.floor(p * (F.col("_n") - 1))
+        return (F.col("_rk") == lo) | (F.col("_rk") == F.least(lo + 1, F.col("_n") - 1))
+    hits = ranked.where(F.exists(arr, at)).collect()
+    found: dict = {}
+    for r in hits:
+        g = tuple(r[c] for c in group_cols)
+        found.setdefault(g, ({}, r["_n"]))[0][r["_rk"]] = r["_v"]
+    rows = []
+    for g, (vals, n) in found.items():
+        for p in probs:
+            pos = float(p) * (n - 1)
+            k_lo = int(math.floor(pos))
+            k_hi = min(k_lo + 1, n - 1)
+            a, b = vals[k_lo], vals[k_hi]
+            frac = pos - k_lo
+            rows.append(g + (float(p), float(a + frac * (b - a) if frac else a), int(n)))
+    schema = T.StructType([df.schema[c] for c in group_cols] + [
+        T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType()),
+        T.StructField("n", T.LongType())])
+    return spark.createDataFrame(rows, schema)
 
 
 def _cell(v, lo, hi, buckets: int):

@@ -108,15 +108,29 @@ class WideCascade:
 
     # -- uniqueness
     def _uniqueness(self) -> tuple[int, int]:
-        """(rows, rows whose sensor vector repeats) in one aggregation."""
+        """(rows, rows whose sensor vector repeats), read off the dedupe
+        aggregation (which counts each group while picking its first row)."""
         def calc():
-            h = self.raw.withColumn("_h", F.xxhash64(*self.sensors))
-            r = (h.groupBy("_h", *self.sensors).agg(F.count("*").alias("_c"))
-                 .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
-                      F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e")).first())
+            r = (self._grouped().agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
+                                     F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e"))
+                 .first())
             return int(r["n"]), int(r["e"])
         return self._m("uni", calc)
 
+    def _grouped(self) -> DataFrame:
+        """One aggregation per distinct sensor vector: its first row (min_by
+        over the order) and its size; persisted, every later stage reads it."""
+        def calc():
+            cols = self.raw.columns
+            order = [F.col(o) if isinstance(o, str) else o for o in self.order_by]
+            okey = order[0] if len(order) == 1 else F.struct(*order)
+            h = self.raw.withColumn("_h", F.xxhash64(*self.sensors))
+            g = (h.groupBy("_h", *self.sensors)
+                 .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), okey).alias("_row"), F.count("*").alias("_c"))
+                 .select("_row.*", "_c"))
+            return g.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._m("grouped", calc)
+
     def n_original(self) -> int:
         return self._uniqueness()[0]
 
@@ -124,8 +138,7 @@ class WideCascade:
         return self._uniqueness()[1]
 
     def deduped(self) -> DataFrame:
-        return self._m("dedup", lambda: dedupe_wide(self.raw, self.sensors, self.order_by)
-                       .persist(StorageLevel.MEMORY_AND_DISK))
+        return self._grouped().drop("_c")
 
     # -- completeness
     def dropped_columns(self) -> list[str]:
@@ -149,7 +162,8 @@ class WideCascade:
         return self._m("rowstats", calc)
 
     def medians(self) -> dict:
-        return self._m("med", lambda: {c: v.get(0.5) for c, v in quantile_wide(self.rows_kept(), self.live(), [0.5]).items()})
+        return self._m("med", lambda: {c: v.get(0.5) for c, v in quantile_wide(
+            self.rows_kept(), self.live(), [0.5], max_rows=self.n_original()).items()})
 
     def filled(self) -> DataFrame:
         return self._m("filled", lambda: fill_values(self.rows_kept(), self.medians()))
@@ -167,7 +181,7 @@ class WideCascade:
             if self.e_inf() == 0:
                 return self.filled()
             nulls = replace_infinite(self.filled(), self.live())
-            med = quantile_wide(nulls, self.live(), [0.5])
+            med = quantile_wide(nulls, self.live(), [0.5], max_rows=self.n_original())
             return fill_values(nulls, {c: med[c].get(0.5) for c in self.live()})
         return self._m("repaired", calc)
 
@@ -184,7 +198,7 @@ class WideCascade:
     # -- consistency
     def bounds(self) -> dict:
         def calc():
-            q = quantile_wide(self.nonconstant(), self.valid_cols(), [0.25, 0.75])
+            q = quantile_wide(self.nonconstant(), self.valid_cols(), [0.25, 0.75], max_rows=self.n_original())
             out = {}
             for c in self.valid_cols():
                 q1, q3 = q[c].get(0.25), q[c].get(0.75)
