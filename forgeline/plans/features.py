@@ -232,3 +232,41 @@ def q_forecast_error(spark, sf_dir):
     w = sq.forecast_error(windows(spark, sf_dir), ["value", "k"])
     w = sq.decide(w, "error", 5000.0, strict=True)
     return w.select("user_id", "start_ordinal", r6("error").alias("error"), "pred")
+
+
+# ------------------------------------------------------------------ SMOTE
+def _minority_lines(spark, sf_dir):
+    """Lines without discount (about 5 %) against the rest; three features on
+    comparable scales."""
+    li = v.table(spark, sf_dir, "lineitem")
+    return li.select(line_key().alias("line_id"), F.col("l_quantity").alias("qty"),
+                     (F.col("l_extendedprice") / F.lit(1000.0)).alias("price_k"),
+                     (F.col("l_tax") * F.lit(100.0)).alias("tax_pct"),
+                     (F.col("l_discount") == 0.0).cast("int").alias("y"))
+
+
+@register("q_knn", f"""
+WITH m AS (SELECT {LINE_KEY_SQL} AS line_id, l_quantity AS qty, l_extendedprice / CAST(1000.0 AS DOUBLE) AS price_k,
+                  l_tax * CAST(100.0 AS DOUBLE) AS tax_pct FROM lineitem WHERE l_discount = 0.0),
+p AS (SELECT a.line_id, b.line_id AS nn_key,
+             (a.qty - b.qty) * (a.qty - b.qty) + (a.price_k - b.price_k) * (a.price_k - b.price_k)
+             + (a.tax_pct - b.tax_pct) * (a.tax_pct - b.tax_pct) AS dist2
+      FROM m a JOIN m b ON a.line_id <> b.line_id)
+SELECT line_id, nn_key, CAST(row_number() OVER (PARTITION BY line_id ORDER BY dist2, nn_key) AS INTEGER) AS nn_rank,
+       ROUND(dist2, 6) AS dist2
+FROM p QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY dist2, nn_key) <= 5""")
+def q_knn(spark, sf_dir):
+    """F10 neighbour search: exact 5 nearest minority neighbours (projection
+    band join, no all-pairs); the oracle is DuckDB brute force."""
+    from ..operators.smote import knn_exact
+    m = _minority_lines(spark, sf_dir).where(F.col("y") == 1).drop("y")
+    nn = knn_exact(m, "line_id", ["qty", "price_k", "tax_pct"], k=5, seed=42)
+    return nn.select("line_id", "nn_key", F.col("nn_rank").cast("int").alias("nn_rank"), r6("dist2").alias("dist2"))
+
+
+@register("q_smote")
+def q_smote(spark, sf_dir):
+    """SMOTE of the no-discount minority up to the majority count
+    (hash-drawn neighbour and gap: rows-only check)."""
+    from ..operators.smote import smote
+    return smote(_minority_lines(spark, sf_dir), "line_id", ["qty", "price_k", "tax_pct"], "y", k=5, seed=42)
