@@ -64,3 +64,16 @@ def q_change_stream(spark, sf_dir):
                   F.round(F.col("value") / F.lit(10.0), 0).alias("level"))
     path = st.run_to_table(st.change_stream(r, "machine_id", ["ts", "event_id"], "level"), "changes")
     return spark.read.parquet(path).select("event_id", "machine_id", "ts", "level", "prev_value")
+
+
+@register("q_latest_stream", """
+SELECT user_id AS machine_id, value, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_latest_stream(spark, sf_dir):
+    """I6 (stream): periodic monitoring read -- the newest value per machine,
+    maintained in update mode and resolved to the newest version per key."""
+    ev = st.sensor_stream(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("machine_id"), "ts", "value")
+    q = st.latest_stream(ev, "machine_id", "ts", "value", tiebreak="event_id")
+    path = st.run_batches(q, "latest", st.write_latest_per_key(["machine_id"]))
+    return st.read_latest(spark, path, ["machine_id"]).select("machine_id", "value", "ts")

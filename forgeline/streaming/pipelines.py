@@ -9,6 +9,7 @@
 * ``change_stream`` delivers a reading only when its value changed; the
   state is the last value per machine.
 * ``quality_stream`` computes windowed quality indicators with a watermark.
+* ``latest_stream`` keeps the newest reading per machine (update mode).
 Every sink writes to a folder under the shared checkpoint directory with its
 own checkpoint location, so a restarted query resumes exactly once.
 """
@@ -164,6 +165,13 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
             .select(*keys, "_v.*"))
 
 
+def latest_stream(stream: DataFrame, key: str, ts: str, value: str, tiebreak: str | None = None) -> DataFrame:
+    """I6 (stream): newest reading per key as an update-mode aggregation
+    (state: one row per key, machine-count sized)."""
+    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    return stream.groupBy(key).agg(F.max_by(value, order).alias(value), F.max(ts).alias(ts))
+
+
 def score_stream(stream: DataFrame, model) -> DataFrame:
     """Apply a fitted ``PipelineModel`` to a live feed (micro-batches,
     no per-record driver code)."""

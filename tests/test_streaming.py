@@ -47,3 +47,16 @@ def test_quality_stream_windows(spark):
     assert sum(r["n_rows"] for r in rows) == v.sensor_raw(spark, SF).count()
     assert all(0.0 <= r["missing_ratio"] <= 1.0 for r in rows)
     assert F is not None
+
+
+def test_score_stream_matches_batch(spark):
+    """A fitted pipeline applied to a live feed scores like the batch."""
+    from forgeline.operators import models as mo
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    train = ev.select("value", "user_id", (F.col("event_type") == "error").cast("int").alias("y"))
+    model = mo.fit_classifier(train, ["value", "user_id"], "y", kind="logistic", max_iter=10)
+    live = st.sensor_stream(spark, SF, "events").select("event_id", "value", "user_id")
+    path = st.run_to_table(mo.score(model, live, "p").select("event_id", "p"), "scores")
+    got = {r["event_id"]: r["p"] for r in spark.read.parquet(path).collect()}
+    exp = {r["event_id"]: r["p"] for r in mo.score(model, ev.select("event_id", "value", "user_id"), "p").collect()}
+    assert got.keys() == exp.keys() and all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
