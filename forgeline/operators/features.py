@@ -145,8 +145,27 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     flagged = hash_quota(df, label, key, seed, plan.select(label, "q"), "_extra")
     withplan = flagged.join(F.broadcast(plan.select(label, "_full")), label)
     n_copies = F.col("_full") + F.col("_extra").cast("long")
-    return (withplan.withColumn("copy", F.explode(F.sequence(F.lit(0), (n_copies - 1).cast("int"))))
-            .drop("_full", "_extra"))
+    return explode_copies(withplan, n_copies, "copy").drop("_full", "_extra")
+
+
+COPY_SLICE = 100_000  # copies generated per task slice
+
+
+def explode_copies(df: DataFrame, copies: Column, name: str = "copy", slice_size: int = COPY_SLICE) -> DataFrame:
+    """One output row per copy index 0..copies-1, without putting a huge
+    replication of one row into one task: rows are first split into slices
+    of at most ``slice_size`` copies, the slices are redistributed, and each
+    slice generates its own index range."""
+    n_slices = F.ceil(copies / F.lit(slice_size)).cast("int")
+    sliced = (df.withColumn("_copies", copies.cast("long")).where(F.col("_copies") > 0)
+              .withColumn("_slice", F.explode(F.sequence(F.lit(0), n_slices - 1))))
+    big = sliced.where(F.col("_copies") > slice_size)
+    spread = big.repartition(F.col("_slice"), *[F.col(c) for c in df.columns[:1]])
+    small = sliced.where(F.col("_copies") <= slice_size)
+    both = small.unionByName(spread)
+    lo = F.col("_slice") * F.lit(slice_size)
+    hi = F.least(lo + F.lit(slice_size), F.col("_copies")) - 1
+    return both.withColumn(name, F.explode(F.sequence(lo, hi))).drop("_copies", "_slice")
 
 
 def hash_shuffle(df: DataFrame, key: str, seed: int = 42, name: str = "shuffle_index") -> DataFrame:

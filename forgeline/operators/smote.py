@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordinals import with_ordinal
-from .features import hash_quota
+from .features import explode_copies, hash_quota
 from .history import top_k_per_key
 
 
@@ -111,8 +111,7 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
         quota = df.sparkSession.createDataFrame([(cls, need % n)], f"{label} {dict(df.dtypes)[label]}, q long")
         flagged = hash_quota(minority, label, key, seed, quota, "_extra")
         copies = F.lit(need // n) + F.col("_extra").cast("long")
-        drawn = (flagged.where(copies > 0)
-                 .select(key, label, F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))).alias("_copy"))
+        drawn = (explode_copies(flagged.select(key, label, copies.alias("_n")), F.col("_n"), "_copy").drop("_n")
                  .withColumn("nn_rank", (F.pmod(F.xxhash64(key, "_copy", F.lit(seed)), F.lit(kk)) + 1).cast("int"))
                  .withColumn("gap", _unit_hash(key, "_copy", F.lit(seed + 1))))
         pick = drawn.join(nn.select(key, "nn_key", "nn_rank"), [key, "nn_rank"])

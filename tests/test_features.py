@@ -78,3 +78,10 @@ def test_derive_power(spark):
     df = spark.createDataFrame([(10.0, 60.0, 300.0, 299.0)], "torque double, rpm double, hot double, cold double")
     r = fe.derive(df, fe.power_and_delta("torque", "rpm", "hot", "cold")).first()
     assert abs(r["power"] - 10 * 60 * 2 * np.pi / 60) < 1e-9 and r["temp_diff"] == 1.0
+
+
+def test_explode_copies_slices_large_replication(spark):
+    df = spark.createDataFrame([(1, 7), (2, 0), (3, 25)], "id int, n long")
+    out = fe.explode_copies(df, F.col("n"), "copy", slice_size=4)
+    got = sorted((r["id"], r["copy"]) for r in out.collect())
+    assert got == [(1, i) for i in range(7)] + [(3, i) for i in range(25)]
