@@ -174,15 +174,25 @@ def density_curve(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     return spread.groupBy("i", "x").agg((F.sum(kern) * F.lit(norm)).alias("density"))
 
 
-def audit(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def audit(df: DataFrame, rules: Mapping[str, Column], upstream: DataFrame | None = None,
+          upstream_stage: str = "duplicates") -> DataFrame:
     """Removal audit of a rule cascade in one aggregation.
 
     ``rules`` maps stage name -> drop predicate (NULL = keep).  A row is
     charged to the first stage that removes it, which is what applying the
     rules one after another does.  Output: stage, stage_order, rows_before,
     removed, rows_after, removed_share.  The only windows run over the
-    per-stage table (stages + 1 rows)."""
+    per-stage table (stages + 1 rows).
+
+    ``upstream`` is the table before a row-reducing step that produced
+    ``df`` (e.g. keep-first deduplication); that step is audited as stage 0
+    from the row-count difference, so no row has to be joined back."""
     names = list(rules)
+    if upstream is not None:
+        signed = upstream.select(F.lit(1).alias("_d")).unionByName(df.select(F.lit(-1).alias("_d")))
+        head = signed.agg(F.sum("_d").cast("long").alias("removed")).select(
+            F.lit(upstream_stage).alias("stage"), F.lit(0).alias("stage_order"), "removed")
+        return _audit_chain(head, audit(df, rules))
     first = None
     for i in reversed(range(len(names))):
         hit = truthy(rules[names[i]])
@@ -198,3 +208,21 @@ def audit(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
             .select("stage", "stage_order", "rows_before", "removed",
                     (F.col("rows_before") - F.col("removed")).alias("rows_after"),
                     F.when(F.col("rows_before") > 0, F.col("removed") / F.col("rows_before")).alias("removed_share")))
+
+
+def _audit_chain(head: DataFrame, inner: DataFrame) -> DataFrame:
+    """Prepend a stage known only by its removed count to an audit table; its
+    rows_before is the inner audit's first rows_before plus those removals.
+    The windows run over the stage table only."""
+    every = Window.partitionBy()
+    stacked = (head.select("stage", F.col("stage_order").cast("int").alias("stage_order"),
+                           F.col("removed").cast("long").alias("removed"), F.lit(None).cast("long").alias("rows_before"))
+               .unionByName(inner.select("stage", (F.col("stage_order") + 1).cast("int").alias("stage_order"),
+                                         "removed", "rows_before")))
+    base = F.max(F.when(F.col("stage_order") == 1, F.col("rows_before"))).over(every)
+    lead = F.max(F.when(F.col("stage_order") == 0, F.col("removed"))).over(every)
+    out = stacked.withColumn("rows_before", F.when(F.col("stage_order") == 0, base + lead)
+                             .otherwise(F.col("rows_before")))
+    return out.select("stage", "stage_order", "rows_before", "removed",
+                      (F.col("rows_before") - F.col("removed")).alias("rows_after"),
+                      F.when(F.col("rows_before") > 0, F.col("removed") / F.col("rows_before")).alias("removed_share"))

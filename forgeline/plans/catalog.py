@@ -140,15 +140,13 @@ SELECT stage, CAST(stage_order AS INTEGER) AS stage_order, rows_before, removed,
        CASE WHEN rows_before > 0 THEN CAST(removed AS DOUBLE) / rows_before END AS removed_share
 FROM cum""")
 def q_rule_audit(spark, sf_dir):
-    """Every rule of the cascade audited in one aggregation; the
-    duplicate stage flags every row but the first of its key."""
+    """Every rule of the cascade audited in one aggregation over the
+    keep-first rows; the duplicate stage is the row-count difference across
+    the (map-side combined) deduplication, so nothing is joined back."""
     from ..operators.profiling import audit
     raw = v.cycles_raw(spark, sf_dir)
-    order_key = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(cycle_order())])
-    firsts = raw.groupBy(*CYCLE_KEY).agg(F.min(order_key).alias("_first"))
-    tagged = raw.withColumn("_o", order_key).join(firsts, CYCLE_KEY)
-    rules = {"duplicates": F.col("_o") != F.col("_first"), **cycle_rules()}
-    return audit(tagged, rules)
+    dedup = du.dedupe(raw, CYCLE_KEY, cycle_order())
+    return audit(dedup, cycle_rules(), upstream=raw, upstream_stage="duplicates")
 
 
 @register("q_duplicate_count", v.with_sql(v.CYCLES_RAW_SQL) + """
