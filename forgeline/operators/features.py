@@ -145,7 +145,8 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     flagged = hash_quota(df, label, key, seed, plan.select(label, "q"), "_extra")
     withplan = flagged.join(F.broadcast(plan.select(label, "_full")), label)
     n_copies = F.col("_full") + F.col("_extra").cast("long")
-    return explode_copies(withplan, n_copies, "copy").drop("_full", "_extra")
+    out = explode_copies(withplan, n_copies, "copy").drop("_full", "_extra")
+    return out.withColumn("copy", F.col("copy").cast("int"))
 
 
 COPY_SLICE = 100_000  # copies generated per task slice

@@ -108,9 +108,10 @@ def clean_table(spark: SparkSession, path: str, limits: dict, rule, label: str =
 
 def _change_fn(order: list[str], value: str):
     def fn(key, batches, state):
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="mergesort")
-        if pdf.empty:
+        parts = [b for b in batches if not b.empty]
+        if not parts:
             return
+        pdf = pd.concat(parts, ignore_index=True).sort_values(order, kind="mergesort")
         vals = pdf[value].tolist()
         prev = [state.get[0] if state.exists else None] + vals[:-1]
         first_ever = [not state.exists] + [False] * (len(vals) - 1)
