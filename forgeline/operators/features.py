@@ -59,19 +59,29 @@ def hash_key(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(k.cast("string"), F.lit(str(seed))))
 
 
-def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota: DataFrame,
-               flag: str = "_in_quota") -> DataFrame:
-    """Flag the first ``quota.q`` rows of each class in md5(key||seed) order.
-
-    ``quota`` has columns (cls, q) -- one row per class (bounded)."""
+def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
+               flag: str = "_in_quota", keep_counts: bool = False) -> DataFrame:
+    """Flag the first ``q`` rows of each class in md5(key||seed) order.
+
+    ``quota`` is either a DataFrame (cls, q) with one row per class, or a
+    function ``(n_class, n_largest_class) -> Column`` evaluated on the
+    per-bucket count table, so no separate counting scan is needed; then
+    ``keep_counts`` also returns ``_ncls`` and ``_nmax`` per row."""
     h = df.withColumn("_h", hash_key(key, seed)).withColumn("_b", F.substring("_h", 1, 4))
     per_bucket = h.groupBy(cls, "_b").agg(F.count("*").alias("_bn"))  # <= classes x 65536 rows
     wb = Window.partitionBy(cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cum = (per_bucket.withColumn("_before", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
-           .join(F.broadcast(quota), cls)
+    cum = per_bucket.withColumn("_before", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
+    if callable(quota):
+        n_cls = F.sum("_bn").over(Window.partitionBy(cls))
+        cum = (cum.withColumn("_ncls", n_cls).withColumn("_nmax", F.max("_ncls").over(Window.partitionBy()))
+               .withColumn("q", quota(F.col("_ncls"), F.col("_nmax"))))
+    else:
+        cum = cum.join(F.broadcast(quota), cls)
+    counts = ["_ncls", "_nmax"] if keep_counts and callable(quota) else []
+    cum = (cum
            .withColumn("_mode", F.when(F.col("_before") + F.col("_bn") <= F.col("q"), F.lit(2))
                        .when(F.col("_before") < F.col("q"), F.lit(1)).otherwise(F.lit(0))))
-    tagged = h.join(F.broadcast(cum.select(cls, "_b", "_mode", "_before", "q")), [cls, "_b"])
+    tagged = h.join(F.broadcast(cum.select(cls, "_b", "_mode", "_before", "q", *counts)), [cls, "_b"])
     whole = tagged.where(F.col("_mode") != 1).withColumn(flag, F.col("_mode") == 2)
     edge = tagged.where(F.col("_mode") == 1)
     we = Window.partitionBy(cls, "_b").orderBy("_h")  # one boundary bucket per class
@@ -83,8 +93,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_percent: int = 20
                      seed: int = 42) -> DataFrame:
     """per class, ceil(n_c * pct / 100) rows go to 'test' in hash order,
     the rest to 'train'.  Adds column ``split``."""
-    quota = (df.groupBy(label).agg(F.count("*").alias("_n"))
-             .select(label, ((F.col("_n") * test_percent + 99) / 100).cast("long").alias("q")))
+    def quota(n, _largest):
+        return ((n * test_percent + 99) / 100).cast("long")
     flagged = hash_quota(df, label, key, seed, quota, "_test")
     return flagged.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop("_test")
 
@@ -137,15 +147,11 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     """minority classes are replicated up to the majority count exactly:
     floor(n_maj / n_c) full copies plus the first (n_maj mod n_c) rows in
     hash order.  Adds ``copy`` (0 = original)."""
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    # window over the class-count table (one row per class), not over rows
-    plan = (counts.withColumn("_m", F.max("_n").over(Window.partitionBy()))
-            .select(label, (F.col("_m") / F.col("_n")).cast("long").alias("_full"),
-                    (F.col("_m") % F.col("_n")).alias("q")))
-    flagged = hash_quota(df, label, key, seed, plan.select(label, "q"), "_extra")
-    withplan = flagged.join(F.broadcast(plan.select(label, "_full")), label)
-    n_copies = F.col("_full") + F.col("_extra").cast("long")
-    out = explode_copies(withplan, n_copies, "copy").drop("_full", "_extra")
+    # class sizes come from the per-bucket table inside hash_quota (windows
+    # over <= classes x 65536 rows), not from another scan of the rows
+    flagged = hash_quota(df, label, key, seed, lambda n, nmax: nmax % n, "_extra", keep_counts=True)
+    n_copies = (F.col("_nmax") / F.col("_ncls")).cast("long") + F.col("_extra").cast("long")
+    out = explode_copies(flagged, n_copies, "copy").drop("_ncls", "_nmax", "_extra")
     return out.withColumn("copy", F.col("copy").cast("int"))
 
 
