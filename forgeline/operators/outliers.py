@@ -16,9 +16,10 @@ from ..functions.quantiles import exact_quantiles, unpivot
 from .cleansing import clip_columns
 
 
-def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataFrame:
-    """Per column q1, q3, iqr, lower = q1 - k*iqr, upper = q3 + k*iqr."""
-    q = exact_quantiles(unpivot(df, cols), ["sensor"], "value", [0.25, 0.75])
+def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, max_rows: int | None = None) -> DataFrame:
+    """Per column q1, q3, iqr, lower = q1 - k*iqr, upper = q3 + k*iqr.
+    ``max_rows`` (a known bound on the row count) enables the one-job path."""
+    q = exact_quantiles(unpivot(df, cols), ["sensor"], "value", [0.25, 0.75], max_rows=max_rows)
     piv = (q.groupBy("sensor")
            .agg(F.max(F.when(F.col("prob") == 0.25, F.col("quantile"))).alias("q1"),
                 F.max(F.when(F.col("prob") == 0.75, F.col("quantile"))).alias("q3")))

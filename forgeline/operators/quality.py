@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from ..functions.exprs import grade, null_count_expr, qi, truthy
 from ..functions.quantiles import quantile_wide
 from .cleansing import clip_columns, drop_sparse_rows, fill_values, keep_label_domain, replace_infinite
-from .duplicates import dedupe_wide
 from .profiling import constant_columns, sparse_columns
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordinals import with_ordinal
-from .features import hash_quota
 
 
 def sequence_windows(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
@@ -74,20 +73,16 @@ def decide(df: DataFrame, score: str, threshold: float, strict: bool = False, na
 def split_windows(df: DataFrame, label: str, firsts: Mapping[int, int], key: str,
                   order: Sequence[str], first: str = "valid", rest: str = "test") -> DataFrame:
     """per class, the first ``firsts[class]`` windows in ``order`` form
-    the first split.  Ranking uses the bucketed quota (no window over a class).
-    F16 (normal-only subset) is then ``where(split == first and label == 0)``."""
+    the first split.  The rank inside a class is a distributed ordinal
+    (range-partitioned), not a window over the whole class.  F16 (the
+    normal-only subset) is then ``where(split == first and label == 0)``."""
     spark = df.sparkSession
     quota = spark.createDataFrame([(k, int(v)) for k, v in firsts.items()], f"{label} int, q long")
-    # rank by the order columns: an order-preserving key string
-    okey = F.concat_ws("|", *[F.lpad(F.col(o).cast("string"), 20, "0") for o in order])
-    return (_ordered_quota(df, label, okey, quota)
-            .withColumn("split", F.when(F.col("_first"), F.lit(first)).otherwise(F.lit(rest))).drop("_first"))
+    ranked = with_ordinal(df, [label], list(order), "_rank")
+    return (ranked.join(F.broadcast(quota), label, "left")  # one row per class
+            .withColumn("split", F.when(F.col("_rank") < F.coalesce(F.col("q"), F.lit(0)), F.lit(first))
+                        .otherwise(F.lit(rest)))
+            .drop("_rank", "q"))
 
 
-def _ordered_quota(df: DataFrame, cls: str, okey, quota: DataFrame) -> DataFrame:
-    o = with_ordinal(df.withColumn("_ok", okey), [cls], ["_ok"], "_rank").drop("_ok")
-    return (o.join(F.broadcast(quota), cls, "left")
-            .withColumn("_first", F.col("_rank") < F.coalesce(F.col("q"), F.lit(0))).drop("_rank", "q"))
-
-
-__all__ = ["sequence_windows", "forecast_error", "decide", "split_windows", "last_step", "hash_quota"]
+__all__ = ["sequence_windows", "forecast_error", "decide", "split_windows", "last_step"]

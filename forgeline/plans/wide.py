@@ -147,7 +147,7 @@ def q_constant_columns(spark, sf_dir):
 def q_iqr_fences(spark, sf_dir):
     """Exact quartiles and 3*IQR fences of the valid sensors."""
     c = cascade(spark, sf_dir)
-    f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), 3.0)
+    f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), 3.0, max_rows=c.n_original())
     return f.select("column", *[r6(x).alias(x) for x in ("q1", "q3", "iqr", "lower", "upper")])
 
 
