@@ -35,15 +35,31 @@ def duplicate_count(df: DataFrame, keys: Sequence[str], mode: str = "members") -
             .withColumn("ratio", F.when(F.col("n_rows") > 0, F.col("duplicates") / F.col("n_rows"))))
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
+FIXED_WIDTH = {"int", "bigint", "smallint", "tinyint", "double", "float", "boolean", "date",
+               "timestamp", "timestamp_ntz"}
+
+
+def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None,
+           unique_order: bool = False) -> DataFrame:
     """D3: keep the first row of each key in ``order_by`` order.
 
-    Without ``order_by`` the key must be the full row (any copy is the same)."""
+    Without ``order_by`` the key must be the full row (any copy is the same).
+    With ``unique_order`` (one order column, unique within a key) and
+    fixed-width columns, each column is taken by its own ``min_by`` -- the
+    same row, but a hash aggregation with primitive buffers instead of a
+    sort aggregation over a struct."""
     if not order_by:
         if set(keys) != set(df.columns):
             raise ValueError("keep-first needs an explicit order unless the key is the whole row")
         return df.dropDuplicates()
     cols = df.columns
+    types = dict(df.dtypes)
+    if (unique_order and len(order_by) == 1 and isinstance(order_by[0], str)
+            and all(types[c] in FIXED_WIDTH for c in cols)):
+        o = order_by[0]
+        rest = [c for c in cols if c not in keys]
+        picked = df.groupBy(*keys).agg(*[F.min_by(c, o).alias(c) for c in rest])
+        return picked.select(*cols)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order_by]
     order_key = order_cols[0] if len(order_cols) == 1 else F.struct(*order_cols)
     payload = F.struct(*[F.col(c) for c in cols])

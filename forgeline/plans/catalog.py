@@ -34,7 +34,7 @@ def sensor_rule():
 def sensor_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 -> D3 -> B6 -> B5 -> B13 -> B14 (the stage order of the source)."""
     raw = cl.na_normalise(v.sensor_raw(spark, sf_dir))
-    dedup = du.dedupe(raw, ["machine_id", "ts"], order_by=["seq"])
+    dedup = du.dedupe(raw, ["machine_id", "ts"], order_by=["seq"], unique_order=True)
     kept = cl.keep_in_range(cl.drop_missing(dedup), SENSOR_LIMITS)
     rounded = cl.round_columns(kept, ["temperature", "pressure"], 2)
     return cl.label_by_rule(rounded, sensor_rule(), "status_label")

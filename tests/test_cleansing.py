@@ -82,3 +82,17 @@ def test_align_features_fills_absent(spark):
     out = cl.align_features(df, ["a", "b", "c"]).first()
     assert list(out.asDict().items()) == [("a", 2.0), ("b", 1.0), ("c", 0)]
     assert not math.isnan(out["a"])
+
+
+def test_keep_first_paths_agree_with_nulls(spark):
+    from forgeline.operators import duplicates as du
+    df = spark.createDataFrame([(1, 0, None, 5.0), (1, 1, 2.0, None), (2, 3, 7.0, 1.0), (2, 2, None, None),
+                                (3, 9, 1.0, 1.0)], "k int, seq long, a double, b double")
+    exp = [(1, 0, None, 5.0), (2, 2, None, None), (3, 9, 1.0, 1.0)]
+    for unique in (False, True):
+        got = sorted(tuple(r) for r in du.dedupe(df, ["k"], ["seq"], unique_order=unique).collect())
+        assert got == exp
+    c = {r["mode"]: (r["n_rows"], r["duplicates"]) for r in
+         du.duplicate_count(df, ["k"], "members").selectExpr("'m' AS mode", "*")
+         .unionByName(du.duplicate_count(df, ["k"], "excess").selectExpr("'e' AS mode", "*")).collect()}
+    assert c == {"m": (5, 4), "e": (5, 2)}

@@ -21,7 +21,7 @@ def test_every_oracle_has_a_query(registry):
 
 
 def test_oracle_agreement(spark, registry):
-    from oracle_check import duck, rows_of
+    from oracle_check import duck, rows_of, type_diffs
     qs, sql = registry
     con = duck(SF)
     bad = []
@@ -33,6 +33,8 @@ def test_oracle_agreement(spark, registry):
         d_rows = cur.fetchall()
         if sorted(df.columns) != sorted(d_cols) or rows_of(df.columns, s_rows) != rows_of(d_cols, d_rows):
             bad.append(name)
+        elif type_diffs(df.dtypes, cur.description):
+            bad.append(f"{name}: {type_diffs(df.dtypes, cur.description)}")
     assert bad == []
 
 
@@ -62,4 +64,4 @@ def test_hot_key_paths_avoid_single_partition(spark, registry):
 def test_keep_first_is_an_aggregation_not_a_window(spark, registry):
     qs, _ = registry
     plan = _plan(qs["q_sensor_clean"](spark, SF))
-    assert "min_by" in plan and "Window" not in plan
+    assert "min_by" in plan and "Window" not in plan and "HashAggregate" in plan
