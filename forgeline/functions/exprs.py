@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
                   "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
                   "NaN", "None", "n/a", "nan", "null"]
-GRADE_LADDER = [(99.0, "S"), (95.0, "A"), (80.0, "B")]
+GRADE_LADDER = [(99.0, "S"), (95.0, "A"), (80.0, "B")]  # same ladder as plans.fixed.GRADES
 GRADE_FLOOR = "C"
 
 

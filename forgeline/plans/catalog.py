@@ -18,17 +18,18 @@ from pyspark.sql import functions as F
 from ..operators import cleansing as cl
 from ..operators import duplicates as du
 from ..operators import quality as qu
+from . import fixed as fx
 from . import views as v
 
 from .registry import ORACLE, QUERIES, r6, register  # noqa: F401
 
 
 # ------------------------------------------------------------ sensor pipeline
-SENSOR_LIMITS = {"temperature": (0.0, 100.0), "pressure": (0.0, 5.0)}
+SENSOR_LIMITS = fx.SENSOR_LIMITS
 
 
 def sensor_rule():
-    return (F.col("temperature") >= 28.0) | (F.col("pressure") >= 1.4)
+    return (F.col("temperature") >= fx.STATUS_MIN_TEMPERATURE) | (F.col("pressure") >= fx.STATUS_MIN_PRESSURE)
 
 
 def sensor_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def sensor_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = cl.na_normalise(v.sensor_raw(spark, sf_dir))
     dedup = du.dedupe(raw, ["machine_id", "ts"], order_by=["seq"], unique_order=True)
     kept = cl.keep_in_range(cl.drop_missing(dedup), SENSOR_LIMITS)
-    rounded = cl.round_columns(kept, ["temperature", "pressure"], 2)
+    rounded = cl.round_columns(kept, ["temperature", "pressure"], fx.ROUND_DIGITS)
     return cl.label_by_rule(rounded, sensor_rule(), "status_label")
 
 
@@ -90,9 +91,10 @@ def cycle_rules() -> dict:
     return {
         "missing": cl.missing_any(CRITICAL),
         "non_positive": cl.non_positive(["cycle_time", "injection_time"]),
-        "label_contradiction": cl.label_reason_contradiction("pass_or_fail", "Y", "reason"),
+        "label_contradiction": cl.label_reason_contradiction("pass_or_fail", fx.PASS_TOKEN, "reason",
+                                                             fx.NO_REASON_TOKEN),
         "time_contradiction": cl.order_contradiction("injection_time", "cycle_time"),
-        "out_of_limits": cl.out_of_limits({"barrel_temperature": (50.0, 400.0)}),
+        "out_of_limits": cl.out_of_limits({"barrel_temperature": fx.BARREL_LIMITS}),
     }
 
 
@@ -110,9 +112,10 @@ def q_rule_cleanse(spark, sf_dir):
     df = du.dedupe(v.cycles_raw(spark, sf_dir), CYCLE_KEY, cycle_order())
     df = cl.drop_missing(df, CRITICAL)
     df = cl.drop_non_positive(df, ["cycle_time", "injection_time"])
-    df = cl.drop_contradiction(df, cl.label_reason_contradiction("pass_or_fail", "Y", "reason"))
+    df = cl.drop_contradiction(df, cl.label_reason_contradiction("pass_or_fail", fx.PASS_TOKEN, "reason",
+                                                                 fx.NO_REASON_TOKEN))
     df = cl.drop_contradiction(df, cl.order_contradiction("injection_time", "cycle_time"))
-    return cl.drop_out_of_limits(df, {"barrel_temperature": (50.0, 400.0)})
+    return cl.drop_out_of_limits(df, {"barrel_temperature": fx.BARREL_LIMITS})
 
 
 @register("q_rule_audit", v.with_sql(v.CYCLES_RAW_SQL) + f"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation as ev
 from ..operators.sequences import decide
+from . import fixed as fx
 from . import views as v
 from .registry import r6, register
 
@@ -47,14 +48,15 @@ c AS (SELECT y, pred, COUNT(*) AS count FROM pr GROUP BY y, pred)
 SELECT g.y, g.pred, coalesce(c.count, 0) AS count FROM grid g LEFT JOIN c ON g.y = c.y AND g.pred = c.pred""")
 def q_confusion(spark, sf_dir):
     """H1 at threshold 0.5 (G3: score >= threshold)."""
-    return ev.confusion(decide(scored(spark, sf_dir), "score", 0.5), "y", "pred")
+    return ev.confusion(decide(scored(spark, sf_dir), "score", fx.DECISION_THRESHOLD), "y", "pred")
 
 
 @register("q_metrics", SQL + ", p AS (SELECT y, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS p FROM scored),"
           " counts AS (" + METRICS_SQL.format(src="p") + ")" + _rates())
 def q_metrics(spark, sf_dir):
     """H2: accuracy, precision, recall, F1 (zero division -> 0)."""
-    return _round_metrics(ev.classification_metrics(decide(scored(spark, sf_dir), "score", 0.5), "y", "pred"))
+    return _round_metrics(ev.classification_metrics(decide(scored(spark, sf_dir), "score", fx.DECISION_THRESHOLD),
+                                                    "y", "pred"))
 
 
 @register("q_roc_auc", SQL + """
@@ -105,7 +107,7 @@ SELECT ROUND(MIN(score) FILTER (WHERE f1 = (SELECT MAX(f1) FROM f)), 6) AS thres
        ROUND(MAX(f1), 6) AS f1 FROM f""")
 def q_best_f1(spark, sf_dir):
     """H6: the F1-maximising threshold (lowest on ties)."""
-    b = ev.best_f1_threshold(scored(spark, sf_dir), "y", "score")
+    b = ev.best_f1_threshold(scored(spark, sf_dir), "y", "score", eps=fx.F1_EPSILON)
     return b.select(r6("threshold").alias("threshold"), r6("f1").alias("f1"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cleansing as cl
 from ..operators import features as fe
 from ..operators import sequences as sq
+from . import fixed as fx
 from . import views as v
 from .registry import r6, register
 
@@ -65,7 +66,7 @@ LINE_KEY_SQL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 def _split(spark, sf_dir):
     li = v.table(spark, sf_dir, "lineitem").select(
         line_key().alias("line_id"), "l_linestatus", "l_quantity", "l_extendedprice", "l_discount")
-    return fe.stratified_split(li, "l_linestatus", "line_id", test_percent=20, seed=42)
+    return fe.stratified_split(li, "l_linestatus", "line_id", test_percent=fx.TEST_PERCENT, seed=fx.SEED)
 
 
 SPLIT_SQL = f"""
@@ -176,7 +177,8 @@ def _series(spark, sf_dir):
 
 def windows(spark, sf_dir):
     return sq.sequence_windows(_series(spark, sf_dir), "user_id", ["ts", "event_id"], ["value", "k"],
-                               label="fault", length=20, gap=20, horizon=20)
+                               label="fault", length=fx.WINDOW_LENGTH, gap=fx.WINDOW_GAP,
+                               horizon=fx.WINDOW_HORIZON)
 
 
 WIN_SQL = """
@@ -260,7 +262,7 @@ def q_knn(spark, sf_dir):
     band join, no all-pairs); the oracle is DuckDB brute force."""
     from ..operators.smote import knn_exact
     m = _minority_lines(spark, sf_dir).where(F.col("y") == 1).drop("y")
-    nn = knn_exact(m, "line_id", ["qty", "price_k", "tax_pct"], k=5, seed=42)
+    nn = knn_exact(m, "line_id", ["qty", "price_k", "tax_pct"], k=fx.SMOTE_K, seed=fx.SEED)
     return nn.select("line_id", "nn_key", F.col("nn_rank").cast("int").alias("nn_rank"), r6("dist2").alias("dist2"))
 
 
@@ -269,4 +271,5 @@ def q_smote(spark, sf_dir):
     """SMOTE of the no-discount minority up to the majority count
     (hash-drawn neighbour and gap: rows-only check)."""
     from ..operators.smote import smote
-    return smote(_minority_lines(spark, sf_dir), "line_id", ["qty", "price_k", "tax_pct"], "y", k=5, seed=42)
+    return smote(_minority_lines(spark, sf_dir), "line_id", ["qty", "price_k", "tax_pct"], "y",
+                 k=fx.SMOTE_K, seed=fx.SEED)

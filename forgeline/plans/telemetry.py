@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history as hi
 from ..operators import images as im
+from . import fixed as fx
 from . import views as v
 from .registry import r6, register
 
@@ -56,7 +57,7 @@ def q_history(spark, sf_dir):
     ev = v.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("machine_id"), "ts", "value")
     start = F.lit(HIST_START).cast("timestamp_ntz")
     end = F.lit(HIST_END).cast("timestamp_ntz")
-    return hi.read_history(ev, "machine_id", "ts", start, end, 5, tiebreak="event_id")
+    return hi.read_history(ev, "machine_id", "ts", start, end, fx.HISTORY_VALUES, tiebreak="event_id")
 
 
 @register("q_retain", """
@@ -76,7 +77,7 @@ SELECT event_id, ts + INTERVAL 9 HOUR AS ts_local, strftime(ts + INTERVAL 9 HOUR
 def q_local_time(spark, sf_dir):
     """UTC -> Asia/Seoul wall time and its HH:MM:SS text."""
     ev = v.table(spark, sf_dir, "events").select("event_id", "ts")
-    return hi.to_local(ev, "ts", "Asia/Seoul").select("event_id", "ts_local", "clock")
+    return hi.to_local(ev, "ts", fx.LOCAL_TIME_ZONE).select("event_id", "ts_local", "clock")
 
 
 @register("q_latest", """

@@ -14,6 +14,7 @@ from ..functions.quantiles import unpivot
 from ..operators import outliers as ou
 from ..operators import profiling as pr
 from ..operators.quality import WideCascade
+from . import fixed as fx
 from . import views as v
 from .registry import r6, register
 
@@ -22,7 +23,8 @@ S = v.WIDE_SENSORS
 
 def cascade(spark, sf_dir) -> WideCascade:
     order = [F.abs(F.col("row_id")), -F.col("row_id"), F.col("part"), F.col("supp")]
-    return WideCascade(v.wide_raw(spark, sf_dir), S, "label", order)
+    return WideCascade(v.wide_raw(spark, sf_dir), S, "label", order, label_domain=fx.LABEL_DOMAIN,
+                       col_threshold=fx.SPARSE_SHARE, row_threshold=fx.SPARSE_SHARE, k=fx.IQR_K)
 
 
 def _plus(parts) -> str:
@@ -147,7 +149,7 @@ def q_constant_columns(spark, sf_dir):
 def q_iqr_fences(spark, sf_dir):
     """Exact quartiles and 3*IQR fences of the valid sensors."""
     c = cascade(spark, sf_dir)
-    f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), 3.0, max_rows=c.n_original())
+    f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), fx.IQR_K, max_rows=c.n_original())
     return f.select("column", *[r6(x).alias(x) for x in ("q1", "q3", "iqr", "lower", "upper")])
 
 

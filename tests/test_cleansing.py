@@ -96,3 +96,10 @@ def test_keep_first_paths_agree_with_nulls(spark):
          du.duplicate_count(df, ["k"], "members").selectExpr("'m' AS mode", "*")
          .unionByName(du.duplicate_count(df, ["k"], "excess").selectExpr("'e' AS mode", "*")).collect()}
     assert c == {"m": (5, 4), "e": (5, 2)}
+
+
+def test_with_constant_and_feature_columns(spark):
+    df = spark.createDataFrame([(1, 2.0, 0, 1)], "id int, x double, y int, leak int")
+    out = cl.with_constant(df, "fin_jgmt", 1)
+    assert out.first()["fin_jgmt"] == 1
+    assert cl.feature_columns(out, target="y", leakage=["leak"], ids=["id"]) == ["x", "fin_jgmt"]
