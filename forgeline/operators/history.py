@@ -66,8 +66,9 @@ def retain(df: DataFrame, key: str, ts: str, n: int, age: str, tiebreak: str | N
 
 
 def to_local(df: DataFrame, ts: str, tz: str, name: str = "ts_local", clock: str = "clock") -> DataFrame:
-    """UTC wall time -> local wall time in ``tz`` and its HH:mm:ss text."""
-    local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz).cast("timestamp_ntz")
+    """UTC wall time -> local wall time in ``tz`` and its HH:mm:ss text
+    (``convert_timezone`` on timestamp_ntz: no session-zone dependence)."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts))
     return df.withColumn(name, local).withColumn(clock, F.date_format(F.col(name), "HH:mm:ss"))
 
 

@@ -69,6 +69,21 @@ def run_batches(df: DataFrame, name: str, fn: Callable[[DataFrame, int, str], No
     return out
 
 
+def event_time(spark: SparkSession, ts: str):
+    """The instant whose UTC wall time is the ``timestamp_ntz`` value, for
+    watermarks and windows.  Independent of the session time zone (a plain
+    cast would read the wall time in the session zone, and DST overlaps could
+    map two readings to one instant)."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts)).cast("timestamp")
+
+
+def utc_wall(spark: SparkSession, instant):
+    """Inverse of ``event_time``: the UTC wall time of an instant, as ntz."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
 def land_raw(stream: DataFrame, ts: str = "ts", name: str = "landing") -> str:
     """A4: persist the raw feed before any cleansing, partitioned by date."""
     return run_to_table(stream.withColumn("date", F.to_date(F.col(ts))), name, ["date"])
@@ -81,7 +96,7 @@ def keep_first_stream(stream: DataFrame, keys: list[str], order_col: str, ts: st
     The event time is part of the key, so the watermark evicts the state.
     Run it in update mode; each micro-batch emits the keys whose first row
     changed, and ``read_latest`` gives the current first row of every key."""
-    w = stream.withColumn("_event_ts", F.col(ts).cast("timestamp")).withWatermark("_event_ts", delay)
+    w = stream.withColumn("_event_ts", event_time(stream.sparkSession, ts)).withWatermark("_event_ts", delay)
     payload = [c for c in stream.columns if c not in keys]
     return (w.groupBy(*keys, "_event_ts")
             .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), F.col(order_col)).alias("_row"))
@@ -137,7 +152,8 @@ def quality_stream(stream: DataFrame, ts: str, limits: dict, window: str = "1 da
     """I8: per event-time window: rows, largest missing share, share of
     present values outside their closed range (late rows beyond the
     watermark are dropped)."""
-    w = stream.withColumn("_event_ts", F.col(ts).cast("timestamp")).withWatermark("_event_ts", delay)
+    spark = stream.sparkSession
+    w = stream.withColumn("_event_ts", event_time(spark, ts)).withWatermark("_event_ts", delay)
     invalid = None
     for c, (lo, hi) in limits.items():
         t = ~F.col(c).between(lo, hi) & F.col(c).isNotNull()
@@ -147,7 +163,7 @@ def quality_stream(stream: DataFrame, ts: str, limits: dict, window: str = "1 da
             .agg(F.count("*").alias("n_rows"),
                  (F.greatest(*miss) if len(miss) > 1 else miss[0]).alias("missing_ratio"),
                  F.avg(F.coalesce(invalid, F.lit(False)).cast("double")).alias("validity_ratio"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_rows",
+            .select(utc_wall(spark, F.col("w.start")).alias("window_start"), "n_rows",
                     "missing_ratio", "validity_ratio"))
 
 

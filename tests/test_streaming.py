@@ -60,3 +60,19 @@ def test_score_stream_matches_batch(spark):
     got = {r["event_id"]: r["p"] for r in spark.read.parquet(path).collect()}
     exp = {r["event_id"]: r["p"] for r in mo.score(model, ev.select("event_id", "value", "user_id"), "p").collect()}
     assert got.keys() == exp.keys() and all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
+
+
+def test_event_time_is_session_zone_independent(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 11, 3, 1, 30),)], "ts timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Seoul"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(st.utc_wall(spark, st.event_time(spark, "ts")).alias("back"),
+                          F.unix_micros(st.event_time(spark, "ts")).alias("us")).first()
+            got.append((r["back"], r["us"]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert len(set(got)) == 1 and got[0][0] == dt.datetime(2024, 11, 3, 1, 30)
