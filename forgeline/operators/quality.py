@@ -151,14 +151,24 @@ class WideCascade:
                                                         self.live(), self.row_thr))
 
     def row_stats(self) -> tuple[int, int]:
+        """(sparse rows dropped, NULL cells left) -- with the +-Inf cell count
+        of the kept rows from the same aggregation (filling NULLs does not
+        touch infinities)."""
         def calc():
             live = self.live()
             rate = null_count_expr(live).cast("double") / F.lit(float(len(live)))
+            kept = ~(rate > self.row_thr)
+            infs = None
+            for c in live:
+                t = F.coalesce((F.abs(F.col(c)) == float("inf")).cast("long"), F.lit(0))
+                infs = t if infs is None else infs + t
             st = self.deduped().agg(
-                F.sum((rate > self.row_thr).cast("long")).alias("rows"),
-                F.sum(F.when(~(rate > self.row_thr), null_count_expr(live)).otherwise(F.lit(0))).alias("cells")).first()
-            return int(st["rows"] or 0), int(st["cells"] or 0)
-        return self._m("rowstats", calc)
+                F.sum((~kept).cast("long")).alias("rows"),
+                F.sum(F.when(kept, null_count_expr(live)).otherwise(F.lit(0))).alias("cells"),
+                F.sum(F.when(kept, infs).otherwise(F.lit(0))).alias("infs")).first()
+            return int(st["rows"] or 0), int(st["cells"] or 0), int(st["infs"] or 0)
+        r = self._m("rowstats", calc)
+        return r[0], r[1]
 
     def medians(self) -> dict:
         return self._m("med", lambda: {c: v.get(0.5) for c, v in quantile_wide(
@@ -169,11 +179,8 @@ class WideCascade:
 
     # -- validity
     def e_inf(self) -> int:
-        def calc():
-            r = self.filled().agg(*[F.sum((F.abs(F.col(c)) == float("inf")).cast("long")).alias(c)
-                                    for c in self.live()]).first()
-            return int(sum(r[c] or 0 for c in self.live()))
-        return self._m("einf", calc)
+        self.row_stats()
+        return self._memo["rowstats"][2]
 
     def repaired(self) -> DataFrame:
         def calc():
@@ -206,26 +213,32 @@ class WideCascade:
             return out
         return self._m("bounds", calc)
 
-    def outliers(self) -> tuple[int, int]:
+    def _tail_counts(self) -> dict:
+        """Outlier cells against the fences and the label check, in one
+        aggregation over the non-constant table (clipping leaves labels alone)."""
         def calc():
             b = self.bounds()
-            r = self.nonconstant().agg(F.count("*").alias("n"), *[
-                F.sum(F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)).cast("long")).alias(c)
-                for c, (lo, hi) in b.items()]).first()
-            return int(sum(r[c] or 0 for c in b)), int(r["n"]) * len(self.valid_cols())
-        return self._m("outl", calc)
+            ok = truthy(F.col(self.label).isin(self.domain))
+            r = self.nonconstant().agg(
+                F.count("*").alias("_n"), F.sum((~ok).cast("long")).alias("_bad"), F.sum(ok.cast("long")).alias("_good"),
+                *[F.sum(F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)).cast("long")).alias(c)
+                  for c, (lo, hi) in b.items()]).first()
+            return {"e_con": int(sum(r[c] or 0 for c in b)), "n": int(r["_n"]),
+                    "bad": int(r["_bad"] or 0), "good": int(r["_good"] or 0)}
+        return self._m("tail", calc)
+
+    def outliers(self) -> tuple[int, int]:
+        t = self._tail_counts()
+        return t["e_con"], t["n"] * len(self.valid_cols())
 
     def clipped(self) -> DataFrame:
         return self._m("clipped", lambda: clip_columns(self.nonconstant(), self.bounds()))
 
     # -- accuracy
     def _labels(self) -> tuple[int, int]:
-        """(invalid labels, valid rows) of the clipped table in one aggregation."""
-        def calc():
-            ok = truthy(F.col(self.label).isin(self.domain))
-            r = self.clipped().agg(F.sum((~ok).cast("long")).alias("bad"), F.sum(ok.cast("long")).alias("good")).first()
-            return int(r["bad"] or 0), int(r["good"] or 0)
-        return self._m("labels", calc)
+        """(invalid labels, valid rows)."""
+        t = self._tail_counts()
+        return t["bad"], t["good"]
 
     def e_acc(self) -> int:
         return self._labels()[0]
