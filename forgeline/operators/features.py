@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.metadata import class_counts
 from ..functions.ordinals import with_ordinal
 
 MAX_CATEGORIES = 10_000  # one-hot categories are collected: metadata only
@@ -134,7 +135,7 @@ def balanced_sample(df: DataFrame, label: str, seed: int = 42) -> DataFrame:
     """F8: sampling with replacement, weight 1/n_class, n draws in total:
     each class expects n / k draws.  Spark's Poisson sampler does the draws
     inside each partition (no shuffle)."""
-    counts = {r[label]: r["count"] for r in class_weights(df, label).collect()}
+    counts = class_counts(df, label)
     total, k = sum(counts.values()), len(counts)
     parts = [df.where(F.col(label) == c).sample(True, (total / k) / n, seed) for c, n in counts.items()]
     out = parts[0]

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.metadata import DIM_LIMIT, collect_bounded
+
 # path layout of an image tree: <root>/<category>/<split>/<defect>/<file>
 TREE_PATTERN = r".*/([^/]+)/(train|test)/([^/]+)/[^/]+$"
 
@@ -133,8 +135,9 @@ def vector_anomaly(df: DataFrame, key: str, vec: str, label: str, normal_label=0
     per-dimension mean, collected as dims-sized metadata), error = mean squared
     difference to it, verdict = error >= the largest normal error."""
     normal = df.where(F.col(label) == normal_label)
-    cent = (normal.select(F.posexplode(vec).alias("pos", "x"))
-            .groupBy("pos").agg(F.avg(F.col("x").cast("double")).alias("mu")).orderBy("pos").collect())
+    cent = collect_bounded(normal.select(F.posexplode(vec).alias("pos", "x"))
+                           .groupBy("pos").agg(F.avg(F.col("x").cast("double")).alias("mu")).orderBy("pos"),
+                           DIM_LIMIT, "vector dimensions")
     dims = len(cent)
     if dims == 0:
         raise ValueError("no normal vectors")

@@ -31,7 +31,7 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 3.0, max_rows: int
 
 def fences_dict(fences: DataFrame) -> dict[str, tuple[float, float]]:
     """Collect the fence table (one row per column: bounded metadata)."""
-    return {r["column"]: (r["lower"], r["upper"]) for r in fences.collect()}
+    return {r["column"]: (r["lower"], r["upper"]) for r in fences.collect()}  # one row per column
 
 
 def outlier_cells(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:

@@ -26,7 +26,7 @@ def missing_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def sparse_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.5) -> list[str]:
     """Columns whose NULL share is strictly above ``threshold`` (metadata)."""
-    rates = missing_rates(df, cols).where(F.col("missing_rate") > threshold).select("column").collect()
+    rates = missing_rates(df, cols).where(F.col("missing_rate") > threshold).select("column").collect()  # <= len(cols)
     keep = {r["column"] for r in rates}
     return [c for c in cols if c in keep]
 

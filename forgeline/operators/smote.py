@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.metadata import class_counts
 from ..functions.ordinals import with_ordinal
 from .features import explode_copies, hash_quota
 from .history import top_k_per_key
@@ -96,7 +97,7 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
     """the input rows plus synthetic minority rows up to the majority
     count.  Adds ``synthetic`` (bool), ``src_key``, ``nn_key`` and ``gap``."""
     features = list(features)
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
+    counts = class_counts(df, label)
     n_max = max(counts.values())
     parts = [df.select(F.col(key), *features, F.col(label), F.lit(False).alias("synthetic"),
                        F.lit(None).cast(dict(df.dtypes)[key]).alias("src_key"),

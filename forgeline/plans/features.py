@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cleansing as cl
 from ..operators import features as fe
 from ..operators import sequences as sq
+from ..functions.metadata import class_counts
 from . import fixed as fx
 from . import views as v
 from .registry import r6, register
@@ -216,7 +217,7 @@ def q_window_split(spark, sf_dir):
     """F15 + F16: per class the first quarter of windows (series order) is
     the validation split; its normal windows form the normal-only subset."""
     w = windows(spark, sf_dir).select("user_id", "start_ordinal", "label")
-    counts = {r["label"]: r["count"] for r in w.groupBy("label").count().collect()}
+    counts = class_counts(w, "label")
     sp = sq.split_windows(w, "label", {k: n // 4 for k, n in counts.items()}, "user_id",
                           ["user_id", "start_ordinal"])
     return sp.withColumn("valid_normal", (F.col("split") == "valid") & (F.col("label") == 0))
