@@ -246,6 +246,13 @@ class WideCascade:
     def final(self) -> DataFrame:
         return keep_label_domain(self.clipped(), self.label, self.domain)
 
+    def release(self) -> None:
+        """Unpersist the cached stages (call once the results that read them
+        have been computed; later reads recompute from the source)."""
+        for key in ("grouped", "noncon"):
+            if key in self._memo:
+                self._memo[key].unpersist()
+
     def score(self) -> DataFrame:
         n0, nc = self.n_original(), len(self.sensors)
         e_rows, e_cells = self.row_stats()

@@ -150,6 +150,7 @@ def q_iqr_fences(spark, sf_dir):
     """Exact quartiles and 3*IQR fences of the valid sensors."""
     c = cascade(spark, sf_dir)
     f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), fx.IQR_K, max_rows=c.n_original())
+    c.release()  # the fence table is a local frame of collected quantiles
     return f.select("column", *[r6(x).alias(x) for x in ("q1", "q3", "iqr", "lower", "upper")])
 
 
@@ -229,6 +230,8 @@ SELECT n_original, CAST(n_sensors AS BIGINT) AS n_sensors, e_uni, ROUND(q_uni, 6
 FROM q""")
 def q_mdqi(spark, sf_dir):
     """The five indicators, MDQI and grade of the wide table."""
-    s = cascade(spark, sf_dir).score()
+    c = cascade(spark, sf_dir)
+    s = c.score()  # built from collected metadata only
+    c.release()
     dbl = ["q_uni", "q_com", "q_val", "q_con", "q_acc", "mdqi"]
     return s.select(*[r6(c).alias(c) if c in dbl else F.col(c) for c in s.columns])
