@@ -10,7 +10,6 @@ Floating aggregates are rounded to 6 decimals on both sides; timestamps stay
 """
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
