@@ -182,14 +182,22 @@ class WideCascade:
         self.row_stats()
         return self._memo["rowstats"][2]
 
-    def repaired(self) -> DataFrame:
+    def repair_medians(self) -> dict:
+        """Column medians after +-Inf became NULL (the repair values)."""
         def calc():
-            if self.e_inf() == 0:
-                return self.filled()
             nulls = replace_infinite(self.filled(), self.live())
             med = quantile_wide(nulls, self.live(), [0.5], max_rows=self.n_original())
-            return fill_values(nulls, {c: med[c].get(0.5) for c in self.live()})
-        return self._m("repaired", calc)
+            return {c: med[c].get(0.5) for c in self.live()}
+        return self._m("med2", calc)
+
+    def repair(self, df: DataFrame) -> DataFrame:
+        """The Inf repair applied to ``df`` (which carries the live columns)."""
+        if self.e_inf() == 0:
+            return df
+        return fill_values(replace_infinite(df, self.live()), self.repair_medians())
+
+    def repaired(self) -> DataFrame:
+        return self._m("repaired", lambda: self.repair(self.filled()))
 
     def constant(self) -> list[str]:
         return self._m("const", lambda: constant_columns(self.repaired(), self.live()))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.quantiles import unpivot
 from ..operators import outliers as ou
 from ..operators import profiling as pr
+from ..operators.cleansing import clip_columns
 from ..operators.quality import WideCascade
 from . import fixed as fx
 from . import views as v
@@ -27,6 +28,17 @@ def cascade(spark, sf_dir) -> WideCascade:
                        col_threshold=fx.SPARSE_SHARE, row_threshold=fx.SPARSE_SHARE, k=fx.IQR_K)
 
 
+def before_after(df, cols, repair):
+    """Long (row_id, sensor, before, after) of a column-wise repair in one
+    pass: the original values ride along in the same row, so no join of a
+    "before" table with an "after" table is needed."""
+    tagged = df.select("row_id", *cols, *[F.col(c).alias(f"_b_{c}") for c in cols])
+    fixed = repair(tagged)
+    pairs = [F.struct(F.col(f"_b_{c}").alias("before"), F.col(c).alias("after")).alias(c) for c in cols]
+    return (fixed.select("row_id", *pairs).unpivot(["row_id"], list(cols), "sensor", "v")
+            .select("row_id", "sensor", "v.before", "v.after"))
+
+
 def _plus(parts) -> str:
     return " + ".join(parts)
 
@@ -121,17 +133,13 @@ def q_impute_median(spark, sf_dir):
     return unpivot(c.filled(), c.live(), ["row_id"])
 
 
-@register("q_inf_repair", STAGES_SQL + "\n, inf_cells AS (" + "\nUNION ALL\n".join(
-    f"SELECT row_id, '{c}' AS sensor FROM w_f WHERE k_{c} AND isinf({c})" for c in S) + """)
-SELECT i.row_id, i.sensor, l.value FROM inf_cells i JOIN (""" + "\nUNION ALL\n".join(
-    f"SELECT row_id, '{c}' AS sensor, {c} AS value FROM w_v" for c in S) + """) l
-ON i.row_id = l.row_id AND i.sensor = l.sensor""")
+@register("q_inf_repair", STAGES_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT row_id, '{c}' AS sensor, m2_{c} AS value FROM w_f, w_med2 WHERE k_{c} AND isinf({c})" for c in S))
 def q_inf_repair(spark, sf_dir):
     """The cells that held +-Inf and their repaired (median) value."""
     c = cascade(spark, sf_dir)
-    before = unpivot(c.filled(), c.live(), ["row_id"]).where(F.abs(F.col("value")) == float("inf"))
-    after = unpivot(c.repaired(), c.live(), ["row_id"])
-    return before.select("row_id", "sensor").join(after, ["row_id", "sensor"])
+    cells = before_after(c.filled(), c.live(), c.repair)
+    return cells.where(F.abs(F.col("before")) == float("inf")).select("row_id", "sensor", F.col("after").alias("value"))
 
 
 @register("q_constant_columns", STAGES_SQL + "\n" + "\nUNION ALL\n".join(
@@ -164,23 +172,14 @@ def q_outlier_cells(spark, sf_dir):
     return ou.outlier_cells(c.nonconstant(), c.bounds())
 
 
-@register("q_outlier_clip", STAGES_SQL + "\n, outl AS (" + "\nUNION ALL\n".join(
-    f"SELECT row_id, '{c}' AS sensor FROM w_v, w_b, w_keep WHERE g_{c} AND ({c} < lo_{c} OR {c} > hi_{c})"
-    for c in S) + ")\nSELECT o.row_id, o.sensor, ROUND(l.value, 6) AS value FROM outl o JOIN (" + "\nUNION ALL\n".join(
-    f"SELECT row_id, '{c}' AS sensor, {c} AS value FROM w_c" for c in S)
-    + ") l ON o.row_id = l.row_id AND o.sensor = l.sensor")
+@register("q_outlier_clip", STAGES_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT row_id, '{c}' AS sensor, ROUND(CASE WHEN {c} < lo_{c} THEN lo_{c} ELSE hi_{c} END, 6) AS value "
+    f"FROM w_v, w_b, w_keep WHERE g_{c} AND ({c} < lo_{c} OR {c} > hi_{c})" for c in S))
 def q_outlier_clip(spark, sf_dir):
     """The clipped cells and their new value (the fence)."""
     c = cascade(spark, sf_dir)
-    b = c.bounds()
-    flagged = unpivot(c.nonconstant(), c.valid_cols(), ["row_id"])
-    hit = None
-    for col, (lo, hi) in b.items():
-        t = (F.col("sensor") == col) & ((F.col("value") < lo) | (F.col("value") > hi))
-        hit = t if hit is None else hit | t
-    cells = flagged.where(hit).select("row_id", "sensor")
-    after = unpivot(c.clipped(), c.valid_cols(), ["row_id"])
-    return cells.join(after, ["row_id", "sensor"]).select("row_id", "sensor", r6("value").alias("value"))
+    cells = before_after(c.nonconstant(), c.valid_cols(), lambda d: clip_columns(d, c.bounds()))
+    return cells.where(F.col("before") != F.col("after")).select("row_id", "sensor", r6("after").alias("value"))
 
 
 @register("q_label_domain", STAGES_SQL + """
