@@ -28,15 +28,27 @@ from ..operators import cleansing as cl
 from ..session import ensure_checkpoint_dir
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    """Ask the Hadoop file system (local, HDFS or an object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).isDirectory()
+
+
 def sensor_stream(spark: SparkSession, source_dir: str, name: str, schema: T.StructType | None = None,
                   files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the parquet files ``name.parquet`` arriving in ``source_dir``."""
+    """Stream the table ``name.parquet`` of ``source_dir``: a folder of
+    part files arriving over time, or a single file in the folder."""
+    path = f"{source_dir.rstrip('/')}/{name}.parquet"
     if schema is None:
-        schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        schema = spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.parquet(source_dir)
+    if _is_dir(spark, path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(source_dir)
 
 
 def stream_dir(spark: SparkSession, name: str) -> str:

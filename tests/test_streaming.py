@@ -76,3 +76,9 @@ def test_event_time_is_session_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert len(set(got)) == 1 and got[0][0] == dt.datetime(2024, 11, 3, 1, 30)
+
+
+def test_stream_source_reads_a_folder_of_part_files(spark, tmp_dir):
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    path = st.run_to_table(st.sensor_stream(spark, tmp_dir, "events").select("event_id"), "parts")
+    assert spark.read.parquet(path).count() == spark.read.parquet(f"{SF}/events.parquet").count()
