@@ -73,8 +73,10 @@ def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
     wb = Window.partitionBy(cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cum = per_bucket.withColumn("_before", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
     if callable(quota):
-        n_cls = F.sum("_bn").over(Window.partitionBy(cls))
-        cum = (cum.withColumn("_ncls", n_cls).withColumn("_nmax", F.max("_ncls").over(Window.partitionBy()))
+        # class sizes: one row per class; the window over classes is that small
+        totals = (per_bucket.groupBy(cls).agg(F.sum("_bn").alias("_ncls"))
+                  .withColumn("_nmax", F.max("_ncls").over(Window.partitionBy())))
+        cum = (cum.join(F.broadcast(totals), cls)
                .withColumn("q", quota(F.col("_ncls"), F.col("_nmax"))))
     else:
         cum = cum.join(F.broadcast(quota), cls)

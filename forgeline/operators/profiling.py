@@ -144,7 +144,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None,
          .withColumn("lo", F.lit(lo) + F.col("bin") * F.lit(width))
          .withColumn("hi", F.lit(lo) + (F.col("bin") + 1) * F.lit(width)))
     if density:
-        tot = Window.partitionBy(*keys) if keys else Window.partitionBy()
+        tot = Window.partitionBy(*keys) if keys else Window.partitionBy()  # over <= bins rows per group
         h = h.withColumn("density", F.col("count") / (F.sum("count").over(tot) * F.lit(width)))
     return h
 
