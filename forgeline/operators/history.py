@@ -48,9 +48,15 @@ def alarms(df: DataFrame, value: str, limit: float, key: str, template: str) ->
             .withColumn("message", F.format_string(template, F.col(key), F.col(value))))
 
 
-def read_history(df: DataFrame, key: str, ts: str, start, end, n: int, tiebreak: str | None = None) -> DataFrame:
-    """A node's raw values in [start, end], the oldest ``n`` per key."""
+def read_history(df: DataFrame, key: str, ts: str, start, end, n: int, tiebreak: str | None = None,
+                 date_col: str | None = None) -> DataFrame:
+    """A node's raw values in [start, end], the oldest ``n`` per key.
+
+    On a history table partitioned by date, pass ``date_col``: the implied
+    date range is added so only the matching partitions are read."""
     rng = df.where(F.col(ts).between(F.lit(start), F.lit(end)))
+    if date_col:
+        rng = rng.where(F.col(date_col).between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
     order = [F.col(ts).asc()] + ([F.col(tiebreak).asc()] if tiebreak else [])
     return top_k_per_key(rng, [key], order, n)
 
@@ -65,6 +71,14 @@ def retain(df: DataFrame, key: str, ts: str, n: int, age: str, tiebreak: str | N
             .where(F.col(ts) >= F.col("_newest") - F.expr(f"INTERVAL {age}")).drop("_newest"))
 
 
+def compact_history(df: DataFrame, key: str, ts: str, n: int, age: str, path: str,
+                    tiebreak: str | None = None) -> None:
+    """I4 as a job: apply the retention and rewrite the history table
+    partitioned by date (the output path must differ from the input's)."""
+    kept = retain(df, key, ts, n, age, tiebreak).withColumn("date", F.to_date(F.col(ts)))
+    kept.write.mode("overwrite").partitionBy("date").parquet(path)
+
+
 def to_local(df: DataFrame, ts: str, tz: str, name: str = "ts_local", clock: str = "clock") -> DataFrame:
     """UTC wall time -> local wall time in ``tz`` and its HH:mm:ss text
     (``convert_timezone`` on timestamp_ntz: no session-zone dependence)."""

@@ -82,3 +82,26 @@ def test_stream_source_reads_a_folder_of_part_files(spark, tmp_dir):
     spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
     path = st.run_to_table(st.sensor_stream(spark, tmp_dir, "events").select("event_id"), "parts")
     assert spark.read.parquet(path).count() == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def test_history_on_landing_table_prunes_partitions(spark):
+    import datetime as dt
+    from forgeline.operators.history import read_history
+    path = st.land_raw(v.sensor_feed(st.sensor_stream(spark, SF, "events")))
+    landed = spark.read.parquet(path)
+    start, end = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 7, 12)
+    h = read_history(landed, "machine_id", "ts", start, end, 5, tiebreak="seq", date_col="date")
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    exp = (landed.where(F.col("ts").between(start, end)).groupBy("machine_id").count().collect())
+    got = {r["machine_id"]: r["count"] for r in h.groupBy("machine_id").count().collect()}
+    assert got == {r["machine_id"]: min(5, r["count"]) for r in exp}
+
+
+def test_history_compaction(spark, tmp_dir):
+    from forgeline.operators.history import compact_history, retain
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id", "ts", "value")
+    compact_history(ev, "user_id", "ts", 3, "2 days", f"{tmp_dir}/hist", tiebreak="event_id")
+    back = spark.read.parquet(f"{tmp_dir}/hist")
+    assert back.count() == retain(ev, "user_id", "ts", 3, "2 days", tiebreak="event_id").count()
+    assert back.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 3
