@@ -187,3 +187,27 @@ def q_log_loss(spark, sf_dir):
     z = lab.join(doc, "doc_id").select("y", ((F.col("n_chars") - F.lit(1000.0)) / F.lit(500.0)).alias("z"))
     ll = ev.log_loss(z, "y", "z")
     return ll.select(r6("log_loss").alias("log_loss"), r6("mse").alias("mse"))
+
+
+@register("q_holdout_threshold", SQL + """
+, rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(CAST(doc_id AS VARCHAR) || '42')) AS r,
+                COUNT(*) OVER (PARTITION BY y) AS n FROM scored),
+sp AS (SELECT *, CASE WHEN r <= (n * 50 + 99) // 100 THEN 'test' ELSE 'valid' END AS part FROM rk),
+st AS (SELECT score, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, SUM(CASE WHEN y <> 1 THEN 1 ELSE 0 END) AS neg
+       FROM sp WHERE part = 'valid' GROUP BY score),
+tot AS (SELECT SUM(pos) AS P FROM st),
+cum AS (SELECT score, SUM(pos) OVER (ORDER BY score DESC) AS tp, SUM(neg) OVER (ORDER BY score DESC) AS fp FROM st),
+f AS (SELECT score, 2.0 * p * r / (p + r + 1e-8) AS f1 FROM (
+        SELECT score, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS p,
+               CASE WHEN P = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / P END AS r FROM cum, tot)),
+best AS (SELECT MIN(score) FILTER (WHERE f1 = (SELECT MAX(f1) FROM f)) AS thr FROM f),
+p AS (SELECT y, CASE WHEN score >= (SELECT thr FROM best) THEN 1 ELSE 0 END AS p FROM sp WHERE part = 'test'),
+counts AS (""" + METRICS_SQL.format(src="p") + ")" + _rates("ROUND((SELECT thr FROM best), 6) AS threshold, "))
+def q_holdout_threshold(spark, sf_dir):
+    """H6 without threshold leakage: stratified 50/50 hash split, best-F1
+    threshold fitted on the validation half, metrics (H2) on the test half."""
+    from ..operators import features as fe
+    sp = fe.stratified_split(scored(spark, sf_dir), "y", "doc_id", test_percent=50, seed=fx.SEED)
+    thr = ev.best_f1_threshold(sp.where(F.col("split") == "train"), "y", "score", eps=fx.F1_EPSILON).first()["threshold"]
+    m = ev.classification_metrics(decide(sp.where(F.col("split") == "test"), "score", thr), "y", "pred")
+    return _round_metrics(m).select(F.round(F.lit(thr), 6).alias("threshold"), "*")
