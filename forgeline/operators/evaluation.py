@@ -147,8 +147,11 @@ def sweep_thresholds(df: DataFrame, y: str, score: str, lo: float, hi: float, n:
                    _ratio(F.col("tp"), F.col("P")).alias("recall")))
     res = res.withColumn("gap", F.abs(F.col("precision") - F.col("recall")))
     best = Window.partitionBy()  # over the n grid rows only
+    # a first minimum where precision = recall = 0 is kept (parity) but flagged
     return (res.withColumn("_best", F.min_by("i", F.struct("gap", "i")).over(best))
-            .withColumn("chosen", F.col("i") == F.col("_best")).drop("_best"))
+            .withColumn("chosen", F.col("i") == F.col("_best"))
+            .withColumn("degenerate", F.col("chosen") & (F.col("recall") == 0.0) & (F.col("precision") == 0.0))
+            .drop("_best"))
 
 
 def errors_by_class(df: DataFrame, y: str, error: str, bins: int = 50) -> DataFrame:

@@ -124,11 +124,13 @@ m AS (SELECT i, threshold, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE
              CASE WHEN P = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / P END AS recall FROM c),
 mg AS (SELECT *, abs(precision - recall) AS gap FROM m)
 SELECT i, ROUND(threshold, 6) AS threshold, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall,
-       ROUND(gap, 6) AS gap, i = (SELECT i FROM mg ORDER BY gap, i LIMIT 1) AS chosen FROM mg""")
+       ROUND(gap, 6) AS gap, i = (SELECT i FROM mg ORDER BY gap, i LIMIT 1) AS chosen,
+       i = (SELECT i FROM mg ORDER BY gap, i LIMIT 1) AND recall = 0 AND precision = 0 AS degenerate FROM mg""")
 def q_sweep(spark, sf_dir):
     """H7: 100-point threshold grid on [0, 1], strict >, first minimum of |P - R|."""
     s = ev.sweep_thresholds(scored(spark, sf_dir), "y", "score", 0.0, 1.0, 100)
-    return s.select("i", *[r6(c).alias(c) for c in ("threshold", "precision", "recall", "gap")], "chosen")
+    return s.select("i", *[r6(c).alias(c) for c in ("threshold", "precision", "recall", "gap")], "chosen",
+                    "degenerate")
 
 
 @register("q_errors_by_class", SQL + """

@@ -70,3 +70,15 @@ def test_log_loss(spark):
     df = spark.createDataFrame([(1, 0.0), (0, 0.0)], "y int, z double")
     r = ev.log_loss(df, "y", "z").first()
     assert abs(r["log_loss"] - math.log(2)) < 1e-12 and abs(r["mse"] - 0.25) < 1e-12
+
+
+def test_sweep_flags_degenerate_choice(spark):
+    df = spark.createDataFrame([(1, 0.2), (0, 0.1), (1, 0.3)], "y int, s double")
+    s = ev.sweep_thresholds(df, "y", "s", 0.0, 1.0, 5).collect()
+    chosen = [r for r in s if r["chosen"]][0]
+    # no score exceeds 0.5: from t = 0.5 on P = R = 0, so |P - R| = 0 is the
+    # first minimum -- kept for parity, flagged as degenerate
+    assert chosen["threshold"] == 0.5 and chosen["degenerate"]
+    df2 = spark.createDataFrame([(0, 0.9), (1, 0.1)], "y int, s double")
+    c2 = [r for r in ev.sweep_thresholds(df2, "y", "s", 0.0, 1.0, 5).collect() if r["chosen"]][0]
+    assert c2["degenerate"] == (c2["recall"] == 0.0 and c2["precision"] == 0.0)
