@@ -71,7 +71,8 @@ def decide(df: DataFrame, score: str, threshold: float, strict: bool = False, na
 
 
 def split_windows(df: DataFrame, label: str, firsts: Mapping[int, int], key: str,
-                  order: Sequence[str], first: str = "valid", rest: str = "test") -> DataFrame:
+                  order: Sequence[str], first: str = "valid", rest: str = "test",
+                  purge: int = 0, start: str = "start_ordinal") -> DataFrame:
     """per class, the first ``firsts[class]`` windows in ``order`` form
     the first split.  The rank inside a class is a distributed ordinal
     (range-partitioned), not a window over the whole class.  F16 (the
@@ -79,10 +80,27 @@ def split_windows(df: DataFrame, label: str, firsts: Mapping[int, int], key: str
     spark = df.sparkSession
     quota = spark.createDataFrame([(k, int(v)) for k, v in firsts.items()], f"{label} int, q long")
     ranked = with_ordinal(df, [label], list(order), "_rank")
-    return (ranked.join(F.broadcast(quota), label, "left")  # one row per class
-            .withColumn("split", F.when(F.col("_rank") < F.coalesce(F.col("q"), F.lit(0)), F.lit(first))
-                        .otherwise(F.lit(rest)))
-            .drop("_rank", "q"))
+    out = (ranked.join(F.broadcast(quota), label, "left")  # one row per class
+           .withColumn("split", F.when(F.col("_rank") < F.coalesce(F.col("q"), F.lit(0)), F.lit(first))
+                       .otherwise(F.lit(rest)))
+           .drop("_rank", "q"))
+    return purge_overlaps(out, key, start, purge, first) if purge > 0 else out
+
+
+def purge_overlaps(df: DataFrame, key: str, start: str, span: int, first: str = "valid",
+                   split: str = "split") -> DataFrame:
+    """Drop non-``first`` windows whose start lies within ``span`` rows of a
+    ``first`` window of the same series (they share raw rows).  Overlaps are
+    found by an equi-join on (series, start bucket of width span) against the
+    neighbouring buckets, so a long series is never paired with itself whole."""
+    b = F.floor(F.col(start) / F.lit(span))
+    valid = df.where(F.col(split) == first).select(F.col(key).alias("_k"), F.col(start).alias("_vs"), b.alias("_b"))
+    probe = (df.where(F.col(split) != first).select(key, start)
+             .withColumn("_b", F.explode(F.array(b - 1, b, b + 1))))
+    hit = (probe.join(valid, (probe[key] == valid["_k"]) & (probe["_b"] == valid["_b"]))
+           .where(F.abs(F.col(start) - F.col("_vs")) < span)
+           .select(key, start).distinct())
+    return df.join(hit, [key, start], "left_anti")
 
 
 __all__ = ["sequence_windows", "forecast_error", "decide", "split_windows", "last_step"]

@@ -95,3 +95,14 @@ def test_no_single_partition_exchange_in_hot_paths(spark):
     _, df = skewed(spark)
     plan = with_ordinal(df, ["k"], ["v", "id"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_purge_overlapping_windows_matches_brute_force(spark):
+    from forgeline.operators.sequences import purge_overlaps
+    rows = [(k, s, "valid" if (k == 1 and s < 30) or k == 0 else "test") for k in (0, 1, 2) for s in range(100)]
+    df = spark.createDataFrame(rows, "k int, start_ordinal long, split string")
+    got = sorted((r["k"], r["start_ordinal"]) for r in purge_overlaps(df, "k", "start_ordinal", 60).collect())
+    valid = {(k, s) for k, s, sp in rows if sp == "valid"}
+    exp = sorted((k, s) for k, s, sp in rows
+                 if sp == "valid" or not any(vk == k and abs(vs - s) < 60 for vk, vs in valid))
+    assert got == exp
