@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import join_on_keys
 
 BROADCAST_ROWS = 2_000_000  # offsets tables at most this long are broadcast
 
@@ -38,8 +39,9 @@ def _materialise(df: DataFrame) -> DataFrame:
 
 
 def _join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Attach the offsets (NULL-safe on the keys); broadcast only below a checked size."""
     n = small.count()
-    return big.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on)
+    return join_on_keys(big, small, on, broadcast_right=n <= BROADCAST_ROWS)
 
 
 def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],

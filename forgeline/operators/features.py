@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_on_keys
 from ..functions.metadata import class_counts
 from ..functions.ordinals import with_ordinal
 
@@ -76,15 +77,17 @@ def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
         # class sizes: one row per class; the window over classes is that small
         totals = (per_bucket.groupBy(cls).agg(F.sum("_bn").alias("_ncls"))
                   .withColumn("_nmax", F.max("_ncls").over(Window.partitionBy())))
-        cum = (cum.join(F.broadcast(totals), cls)
+        cum = (join_on_keys(cum, totals, [cls], broadcast_right=True)
                .withColumn("q", quota(F.col("_ncls"), F.col("_nmax"))))
     else:
-        cum = cum.join(F.broadcast(quota), cls)
+        cum = join_on_keys(cum, quota, [cls], broadcast_right=True)
     counts = ["_ncls", "_nmax"] if keep_counts and callable(quota) else []
     cum = (cum
            .withColumn("_mode", F.when(F.col("_before") + F.col("_bn") <= F.col("q"), F.lit(2))
                        .when(F.col("_before") < F.col("q"), F.lit(1)).otherwise(F.lit(0))))
-    tagged = h.join(F.broadcast(cum.select(cls, "_b", "_mode", "_before", "q", *counts)), [cls, "_b"])
+    # cum has <= classes x 65536 rows: broadcast; NULL-safe so a NULL class keeps its rows
+    tagged = join_on_keys(h, cum.select(cls, "_b", "_mode", "_before", "q", *counts), [cls, "_b"],
+                          broadcast_right=True)
     whole = tagged.where(F.col("_mode") != 1).withColumn(flag, F.col("_mode") == 2)
     edge = tagged.where(F.col("_mode") == 1)
     we = Window.partitionBy(cls, "_b").orderBy("_h")  # one boundary bucket per class
@@ -130,7 +133,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_row_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Per-row weight from the class table (one row per class: broadcast)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(w), label)
+    return join_on_keys(df, w, [label], broadcast_right=True)
 
 
 def balanced_sample(df: DataFrame, label: str, seed: int = 42) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_on_keys
 from ..functions.ordinals import with_ordinal
 
 
@@ -37,7 +38,7 @@ def value_changes(df: DataFrame, key: str, order: Sequence[str], value: str) ->
     ``prev_value``."""
     od = with_ordinal(df, [key], order, "_ord")
     prev = od.select(F.col(key).alias("_pk"), (F.col("_ord") + 1).alias("_pord"), F.col(value).alias("prev_value"))
-    joined = od.join(prev, (F.col(key) == F.col("_pk")) & (F.col("_ord") == F.col("_pord")), "left")
+    joined = od.join(prev, F.col(key).eqNullSafe(F.col("_pk")) & (F.col("_ord") == F.col("_pord")), "left")
     changed = (F.col("_pord").isNull()) | ~(F.col(value).eqNullSafe(F.col("prev_value")))
     return joined.where(changed).drop("_pk", "_pord", "_ord")
 
@@ -67,7 +68,7 @@ def retain(df: DataFrame, key: str, ts: str, n: int, age: str, tiebreak: str | N
     newest = df.groupBy(key).agg(F.max(ts).alias("_newest"))  # one row per key
     order = [F.col(ts).desc()] + ([F.col(tiebreak).desc()] if tiebreak else [])
     top = top_k_per_key(df, [key], order, n)
-    return (top.join(newest, key)
+    return (join_on_keys(top, newest, [key])
             .where(F.col(ts) >= F.col("_newest") - F.expr(f"INTERVAL {age}")).drop("_newest"))
 
 

@@ -106,3 +106,15 @@ def test_purge_overlapping_windows_matches_brute_force(spark):
     exp = sorted((k, s) for k, s, sp in rows
                  if sp == "valid" or not any(vk == k and abs(vs - s) < 60 for vk, vs in valid))
     assert got == exp
+
+
+def test_null_keys_keep_their_rows(spark):
+    from forgeline.operators import features as fe
+    df = spark.createDataFrame([(1, None, 1.0), (2, None, 2.0), (3, None, 2.0), (4, 7, 1.0), (5, 7, 1.0)],
+                               "id int, k int, v double")
+    assert with_ordinal(df, ["k"], ["id"]).count() == 5
+    got = sorted((r["id"], r["prev_value"]) for r in value_changes(df, "k", ["id"], "v").collect())
+    assert got == [(1, None), (2, 1.0), (4, None)]
+    assert fe.with_row_weight(df, "k").count() == 5
+    sp = fe.stratified_split(df, "k", "id", test_percent=50)
+    assert sp.count() == 5 and sp.where("k IS NULL AND split = 'test'").count() == 2
