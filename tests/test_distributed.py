@@ -118,3 +118,17 @@ def test_null_keys_keep_their_rows(spark):
     assert fe.with_row_weight(df, "k").count() == 5
     sp = fe.stratified_split(df, "k", "id", test_percent=50)
     assert sp.count() == 5 and sp.where("k IS NULL AND split = 'test'").count() == 2
+
+
+def test_offsets_broadcast_only_below_the_bound(spark, monkeypatch):
+    """The broadcast hint is given only when the counted offsets table is
+    within the bound (above it Spark's own size-based choice applies)."""
+    import forgeline.functions.ordinals as o
+    _, df = skewed(spark, n=500)
+
+    def hinted(frame):
+        return "broadcast" in frame._jdf.queryExecution().logical().toString().lower()
+    assert hinted(o.with_ordinal(df, ["k"], ["id"]))
+    monkeypatch.setattr(o, "BROADCAST_ROWS", 1)
+    big = o.with_ordinal(df, ["k"], ["id"])
+    assert not hinted(big) and big.count() == 500
