@@ -5,7 +5,8 @@
 * ``land_raw`` appends the raw feed to a date-partitioned landing table.
 * ``clean_stream`` keeps the first reading of each (machine, ts) with a
   streaming ``min_by`` aggregation (JVM, state evicted by the watermark);
-  the row rules of the batch cleanse run on the current first rows.
+  the row rules of the batch cleanse run on the first row of every key
+  (minimum over the appended versions, so a late row cannot displace it).
 * ``change_stream`` delivers a reading only when its value changed; the
   state is the last value per machine.
 * ``quality_stream`` computes windowed quality indicators with a watermark.
@@ -107,7 +108,7 @@ def keep_first_stream(stream: DataFrame, keys: list[str], order_col: str, ts: st
     the smallest ``order_col`` seen so far (``min_by``, combined map-side).
     The event time is part of the key, so the watermark evicts the state.
     Run it in update mode; each micro-batch emits the keys whose first row
-    changed, and ``read_latest`` gives the current first row of every key."""
+    changed, and ``read_first`` gives the first row of every key."""
     w = stream.withColumn("_event_ts", event_time(stream.sparkSession, ts)).withWatermark("_event_ts", delay)
     payload = [c for c in stream.columns if c not in keys]
     return (w.groupBy(*keys, "_event_ts")
@@ -126,8 +127,8 @@ def clean_stream(stream: DataFrame, limits: dict, rule, label: str = "status_lab
 
 
 def clean_table(spark: SparkSession, path: str, limits: dict, rule, label: str = "status_label",
-                keys: tuple = ("machine_id", "ts")) -> DataFrame:
-    first = read_latest(spark, path, list(keys))
+                keys: tuple = ("machine_id", "ts"), order_col: str = "seq") -> DataFrame:
+    first = read_first(spark, path, list(keys), order_col)
     kept = cl.keep_in_range(cl.drop_missing(first), limits)
     rounded = cl.round_columns(kept, list(limits), 2)
     return cl.label_by_rule(rounded, rule, label)
@@ -162,8 +163,11 @@ def change_stream(stream: DataFrame, key: str, order: list[str], value: str) ->
 def quality_stream(stream: DataFrame, ts: str, limits: dict, window: str = "1 day",
                    delay: str = "1 hour") -> DataFrame:
     """I8: per event-time window: rows, largest missing share, share of
-    present values outside their closed range (late rows beyond the
-    watermark are dropped)."""
+    present values outside their closed range.  The watermark bounds the
+    state: windows that end before it are evicted.  Rows within ``delay`` are
+    always counted; Spark does not promise to drop rows beyond it (in update
+    mode they may re-open an evicted window), so readers needing a hard cut
+    filter on the window end."""
     spark = stream.sparkSession
     w = stream.withColumn("_event_ts", event_time(spark, ts)).withWatermark("_event_ts", delay)
     invalid = None
@@ -201,6 +205,16 @@ def latest_stream(stream: DataFrame, key: str, ts: str, value: str, tiebreak: st
     return stream.groupBy(key).agg(F.max_by(value, order).alias(value), F.max(ts).alias(ts))
 
 
+def read_first(spark: SparkSession, path: str, keys: list[str], order_col: str) -> DataFrame:
+    """Keep-first versions -> the first row per key: the smallest
+    ``order_col`` over all versions, which stays right even when a late row
+    re-opened a key whose state the watermark had already evicted."""
+    df = spark.read.parquet(path)
+    cols = [c for c in df.columns if c not in keys and c != "_batch"]
+    return (df.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_v"))
+            .select(*keys, "_v.*"))
+
+
 def score_stream(stream: DataFrame, model) -> DataFrame:
     """Apply a fitted ``PipelineModel`` to a live feed (micro-batches,
     no per-record driver code)."""
