@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.exprs import grade, null_count_expr, qi, truthy
 from ..functions.quantiles import quantile_wide
 from .cleansing import clip_columns, drop_sparse_rows, fill_values, keep_label_domain, replace_infinite
-from .profiling import constant_columns, sparse_columns
+from .profiling import sparse_columns
 
 
 def schema_check(df: DataFrame, time_col: str, numeric_cols: Sequence[str]) -> str:
@@ -162,11 +162,19 @@ class WideCascade:
             for c in live:
                 t = F.coalesce((F.abs(F.col(c)) == float("inf")).cast("long"), F.lit(0))
                 infs = t if infs is None else infs + t
+            per_col = []
+            for c in live:  # finite values of kept rows: min, max, count; NULLs; infinities
+                fin = F.when(kept & ~(F.abs(F.col(c)) == float("inf")), F.col(c))
+                per_col += [F.min(fin).alias(f"mn_{c}"), F.max(fin).alias(f"mx_{c}"), F.count(fin).alias(f"n_{c}"),
+                            F.sum(F.when(kept & F.col(c).isNull(), 1).otherwise(0)).alias(f"z_{c}"),
+                            F.sum(F.when(kept & (F.abs(F.col(c)) == float("inf")), 1).otherwise(0)).alias(f"i_{c}")]
             st = self.deduped().agg(
                 F.sum((~kept).cast("long")).alias("rows"),
                 F.sum(F.when(kept, null_count_expr(live)).otherwise(F.lit(0))).alias("cells"),
-                F.sum(F.when(kept, infs).otherwise(F.lit(0))).alias("infs")).first()
-            return int(st["rows"] or 0), int(st["cells"] or 0), int(st["infs"] or 0)
+                F.sum(F.when(kept, infs).otherwise(F.lit(0))).alias("infs"), *per_col).first()
+            cols = {c: (st[f"mn_{c}"], st[f"mx_{c}"], int(st[f"n_{c}"]), int(st[f"z_{c}"]), int(st[f"i_{c}"]))
+                    for c in live}
+            return int(st["rows"] or 0), int(st["cells"] or 0), int(st["infs"] or 0), cols
         r = self._m("rowstats", calc)
         return r[0], r[1]
 
@@ -200,7 +208,30 @@ class WideCascade:
         return self._m("repaired", lambda: self.repair(self.filled()))
 
     def constant(self) -> list[str]:
-        return self._m("const", lambda: constant_columns(self.repaired(), self.live()))
+        """Columns with min = max over >= 2 values after the repairs, read off
+        the row-stats aggregation: the repaired values are the finite values
+        plus the NULL-fill median (if NULLs were filled) plus the Inf-repair
+        median (if infinities were repaired) -- no extra pass over the rows."""
+        def calc():
+            self.row_stats()
+            stats = self._memo["rowstats"][3]
+            med1 = self.medians()
+            med2 = self.repair_medians() if self.e_inf() > 0 else {}
+            out = []
+            for c in self.live():
+                mn, mx, n, nulls, infs = stats[c]
+                vals = [v for v in (mn, mx) if v is not None]
+                count = n
+                if nulls and med1.get(c) is not None:
+                    vals.append(med1[c])
+                    count += nulls
+                if infs and med2.get(c) is not None:
+                    vals.append(med2[c])
+                    count += infs
+                if count >= 2 and vals and min(vals) == max(vals):
+                    out.append(c)
+            return out
+        return self._m("const", calc)
 
     def valid_cols(self) -> list[str]:
         return [c for c in self.live() if c not in self.constant()]
