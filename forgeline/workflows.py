@@ -115,3 +115,59 @@ def welding_windows(normal: DataFrame, outlier: DataFrame) -> DataFrame:
     both = a.unionByName(b)
     return sq.sequence_windows(both, "series", ["seq"], WELD_COLS, label="FIN_JGMT",
                                length=fx.WINDOW_LENGTH, gap=fx.WINDOW_GAP, horizon=fx.WINDOW_HORIZON)
+
+
+def ai4i_train_evaluate(train: DataFrame, test: DataFrame, kind: str = "mlp", balance: str = "weights",
+                        hidden=(32, 16), max_iter: int = 100) -> tuple[object, DataFrame, float]:
+    """Train the failure classifier and evaluate it on the test rows.
+
+    ``balance``: 'weights' (inverse class frequency as row weights, the
+    weighted-sampler role; honoured by logistic/gbt), 'oversample' (exact
+    random oversampling of the minority) or 'none'.  Returns (model, one-row
+    metrics at 0.5 and at the best-F1 threshold, best threshold)."""
+    from .operators import evaluation as ev
+    from .operators import models as mo
+    target = "Machine failure"
+    feats = [c for c in train.columns if c != target]
+    fit_on = train
+    weight = None
+    if balance == "weights":
+        fit_on, weight = fe.with_row_weight(train, target, "_w"), "_w"
+    elif balance == "oversample":
+        keyed = train.withColumn("_rid", F.monotonically_increasing_id())
+        fit_on = fe.oversample(keyed, target, "_rid", seed=fx.SEED).drop("_rid", "copy")
+    model = mo.fit_classifier(fit_on, feats, target, kind=kind, weight_col=weight if kind != "mlp" else None,
+                              hidden=hidden, max_iter=max_iter, seed=fx.SEED)
+    scored = mo.score(model, test, "probability")
+    thr = ev.best_f1_threshold(scored, target, "probability", eps=fx.F1_EPSILON).first()["threshold"]
+    names = ("accuracy", "precision", "recall", "f1")
+    base = ev.classification_metrics(sq.decide(scored, "probability", fx.DECISION_THRESHOLD), target, "pred").first()
+    best = ev.classification_metrics(sq.decide(scored, "probability", thr), target, "pred").first()
+    auc = ev.roc_auc(scored, target, "probability").first()["auc"]
+    values = {**{f"{c}_at_0_5": base[c] for c in names}, **{f"{c}_at_best": best[c] for c in names},
+              "roc_auc": auc, "threshold": thr}
+    metrics = io.metrics_row(train.sparkSession, **values)  # one row, ready for write_metrics (A7)
+    return model, metrics, thr
+
+
+def ai4i_score(model, params: dict, records: DataFrame, threshold: float = fx.DECISION_THRESHOLD,
+               improved: bool = False) -> DataFrame:
+    """Score new records (batch or stream) exactly as training prepared them:
+    saved categories for the one-hot (unseen -> zeros), derived features,
+    the trained feature order, the saved scaler; adds probability, pred and
+    a status text."""
+    from .operators import models as mo
+    work = records
+    if improved:
+        work = fe.derive(work, fe.power_and_delta("Torque [Nm]", "Rotational speed [rpm]",
+                                                  "Process temperature [K]", "Air temperature [K]"))
+    work, _ = fe.one_hot(work, "Type", cats=params["categories"])
+    work = fe.apply_scale(work, {c: tuple(v) for c, v in params["scaler"].items()})
+    feats = model.stages[0].getInputCols()
+    aligned = cl.align_features(work, feats, fill=0)
+    keep = [c for c in work.columns if c not in feats]
+    out = mo.score(model, work.select(*keep, *[aligned[c] for c in feats]) if keep else aligned, "probability")
+    out = sq.decide(out, "probability", threshold)
+    return out.withColumn("status", F.when(F.col("pred") == 1, F.format_string("FAILURE RISK (%.2f%%)",
+                                                                              F.col("probability") * 100))
+                          .otherwise(F.format_string("normal (%.2f%%)", F.col("probability") * 100)))

@@ -94,3 +94,32 @@ def test_welding_windows_edge_sizes(spark):
     assert c == {"normal": (1, 0), "outlier": (140, 1)}
     none = wf.welding_windows(normal.where("seq < 60"), outlier.where("seq < 60"))
     assert none.count() == 0
+
+
+def _ai4i_frame(spark, n=600, seed=1):
+    rng = np.random.default_rng(seed)
+    torque = rng.normal(40, 10, n)
+    wear = rng.integers(0, 250, n).astype(float)
+    fail = ((torque > 55) & (wear > 150)).astype(int)
+    pdf = pd.DataFrame({"UDI": np.arange(n), "Product ID": [f"P{i}" for i in range(n)],
+                        "Type": rng.choice(["L", "M", "H"], n),
+                        "Air temperature [K]": rng.normal(300, 2, n), "Process temperature [K]": rng.normal(310, 1, n),
+                        "Rotational speed [rpm]": rng.normal(1500, 100, n), "Torque [Nm]": torque,
+                        "Tool wear [min]": wear, "Machine failure": fail})
+    for c in ["TWF", "HDF", "PWF", "OSF", "RNF"]:
+        pdf[c] = 0
+    return spark.createDataFrame(pdf)
+
+
+def test_ai4i_train_evaluate_and_score_records(spark):
+    df = _ai4i_frame(spark)
+    train, test, params = wf.ai4i_prepare(df, improved=True)
+    model, metrics, thr = wf.ai4i_train_evaluate(train, test, kind="logistic", balance="weights", max_iter=50)
+    m = metrics.first()
+    assert m["roc_auc"] >= 0.8 and m["f1_at_best"] >= m["f1_at_0_5"] - 1e-12 and 0.0 <= thr <= 1.0
+    rec = spark.createDataFrame([(9, "H", 302.5, 311.2, 1350.0, 70.0, 215.0), (10, "X", 300.0, 310.0, 1500.0, 30.0, 10.0)],
+                                "UDI long, Type string, `Air temperature [K]` double, `Process temperature [K]` double, "
+                                "`Rotational speed [rpm]` double, `Torque [Nm]` double, `Tool wear [min]` double")
+    out = {r["UDI"]: r for r in wf.ai4i_score(model, params, rec, thr, improved=True).collect()}
+    assert out[9]["probability"] > out[10]["probability"]
+    assert out[9]["status"].startswith("FAILURE RISK") and out[10]["status"].startswith("normal")
