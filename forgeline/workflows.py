@@ -171,3 +171,24 @@ def ai4i_score(model, params: dict, records: DataFrame, threshold: float = fx.DE
     return out.withColumn("status", F.when(F.col("pred") == 1, F.format_string("FAILURE RISK (%.2f%%)",
                                                                               F.col("probability") * 100))
                           .otherwise(F.format_string("normal (%.2f%%)", F.col("probability") * 100)))
+
+
+def welding_evaluate(windows: DataFrame, firsts: dict, lo: float = 0.0, hi: float = 20.0, n: int = 100,
+                     purge: int = 0) -> tuple[float, DataFrame, DataFrame]:
+    """Window anomaly evaluation: per class the first ``firsts[class]``
+    windows are the validation split (optionally purging overlaps); a
+    forecaster per feature is fitted on the normal validation windows; the
+    last-step error is swept over linspace(lo, hi, n) with strict '>' on the
+    validation split and the first minimum of |P - R| is chosen; returns
+    (threshold, sweep table, test metrics)."""
+    from .operators import evaluation as ev
+    from .operators import models as mo
+    sp = sq.split_windows(windows, "label", firsts, "series", ["series", "start_ordinal"], purge=purge)
+    valid = sp.where(F.col("split") == "valid")
+    models = mo.fit_forecaster(valid.where(F.col("label") == 0), WELD_COLS, max_iter=50)
+    err = sq.forecast_error(mo.forecast(sp, models, WELD_COLS), WELD_COLS,
+                            {c: F.col(f"pred_{c}") for c in WELD_COLS})
+    sweep = ev.sweep_thresholds(err.where(F.col("split") == "valid"), "label", "error", lo, hi, n)
+    thr = sweep.where(F.col("chosen")).first()["threshold"]
+    test = sq.decide(err.where(F.col("split") == "test"), "error", thr, strict=True)
+    return thr, sweep, ev.classification_metrics(test, "label", "pred")

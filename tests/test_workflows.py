@@ -123,3 +123,15 @@ def test_ai4i_train_evaluate_and_score_records(spark):
     out = {r["UDI"]: r for r in wf.ai4i_score(model, params, rec, thr, improved=True).collect()}
     assert out[9]["probability"] > out[10]["probability"]
     assert out[9]["status"].startswith("FAILURE RISK") and out[10]["status"].startswith("normal")
+
+
+def test_welding_evaluate_separates_anomalies(spark):
+    t = np.arange(400)
+    normal = pd.DataFrame({"seq": t, **{c: np.sin(t / 10 + k) for k, c in enumerate(wf.WELD_COLS)}})
+    rng = np.random.default_rng(3)
+    noisy = pd.DataFrame({"seq": t, **{c: np.sin(t / 10 + k) + rng.normal(0, 3, 400) for k, c in enumerate(wf.WELD_COLS)}})
+    w = wf.welding_windows(spark.createDataFrame(normal), spark.createDataFrame(noisy))
+    thr, sweep, m = wf.welding_evaluate(w, {0: 170, 1: 170}, 0.0, 20.0, 100, purge=60)
+    assert sweep.count() == 100 and sweep.where("chosen").count() == 1
+    r = m.first()
+    assert r["accuracy"] >= 0.9 and r["f1"] >= 0.9 and 0.0 <= thr <= 20.0
