@@ -192,3 +192,26 @@ def welding_evaluate(windows: DataFrame, firsts: dict, lo: float = 0.0, hi: floa
     thr = sweep.where(F.col("chosen")).first()["threshold"]
     test = sq.decide(err.where(F.col("split") == "test"), "error", thr, strict=True)
     return thr, sweep, ev.classification_metrics(test, "label", "pred")
+
+
+def image_evaluate(spark: SparkSession, root: str, category: str, size: int = 256,
+                   kernel: int = fx.GAUSSIAN_TAPS) -> tuple[DataFrame, DataFrame]:
+    """Image anomaly evaluation for one category of an image tree: mean
+    normal image from train/good, smoothed error maps, max-score per image,
+    best-F1 threshold (lowest on ties), verdict ``score >= threshold``;
+    returns (scored test images with heat maps, one-row metrics incl. AUROC)."""
+    from .operators import evaluation as ev
+    from .operators import images as im
+    tree = im.read_image_tree(spark, root).where(F.col("category") == category)
+    grid = im.image_grid(tree, size)
+    normal = im.fit_normal_image(grid.where((F.col("split") == "train") & (F.col("label") == 0)))
+    test = im.normalise_map(im.image_score(im.error_maps(grid.where(F.col("split") == "test"), normal, size,
+                                                        kernel=kernel)))
+    thr = ev.best_f1_threshold(test, "label", "score", eps=fx.F1_EPSILON).first()["threshold"]
+    verdict = sq.decide(test, "score", thr).withColumn("verdict", F.when(F.col("pred") == 1, F.lit("NG"))
+                                                       .otherwise(F.lit("OK")))
+    m = ev.classification_metrics(verdict, "label", "pred").first()
+    auc = ev.roc_auc(test, "label", "score").first()["auc"]
+    metrics = io.metrics_row(spark, accuracy=m["accuracy"], precision=m["precision"], recall=m["recall"],
+                             f1=m["f1"], auroc=auc if auc is not None else float("nan"), threshold=thr)
+    return verdict.drop("pixels"), metrics

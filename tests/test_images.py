@@ -52,3 +52,13 @@ def test_gaussian_kernel_sigma_from_size():
     k = im.gaussian_kernel(15)
     assert abs(k.sum() - 1) < 1e-12 and k.argmax() == 7
     assert abs(0.3 * ((15 - 1) * 0.5 - 1) + 0.8 - 2.6) < 1e-12
+
+
+def test_image_evaluate_workflow(spark, tmp_dir):
+    from forgeline import workflows as wf
+    make_tree(tmp_dir)
+    scored, metrics = wf.image_evaluate(spark, tmp_dir, "bottle", size=4, kernel=3)
+    m = metrics.first()
+    assert m["auroc"] == 1.0 and m["f1"] == 1.0
+    v = {r["defect"]: r["verdict"] for r in scored.collect()}
+    assert v == {"crack": "NG", "good": "OK"}
