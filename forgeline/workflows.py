@@ -23,6 +23,20 @@ from .sources import io
 
 
 # ------------------------------------------------------------ moulding log
+MOULDING_TYPES = {"TimeStamp": "string", "EQUIP_CD": "string", "PART_NAME": "string",
+                  "Injection_Time": "double", "Cycle_Time": "double", "Barrel_Temperature_1": "double",
+                  "PassOrFail": "string", "Reason": "string"}
+
+
+def read_moulding(spark: SparkSession, path: str) -> DataFrame:
+    """The moulding log: every column read as text (no inference pass over
+    the data), the used ones cast, missing tokens normalised, file order kept."""
+    raw = spark.read.option("header", True).csv(path)
+    typed = raw.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in MOULDING_TYPES.items() if c in raw.columns})
+    from .operators.cleansing import na_normalise
+    return io.with_seq(na_normalise(typed))
+
+
 def injection_cleanse(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Moulding cycles (TimeStamp, EQUIP_CD, PART_NAME, Injection_Time,
     Cycle_Time, Barrel_Temperature_1, PassOrFail, Reason, seq): the five
@@ -67,6 +81,16 @@ def sensor_verify(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ------------------------------------------------------- wide sensor table
+def secom_schema(n_sensors: int = 590) -> str:
+    """Time, sensors named 0..n-1 (doubles), Pass/Fail -- built from the rule."""
+    sensors = ", ".join(f"`{i}` double" for i in range(n_sensors))
+    return f"Time string, {sensors}, `Pass/Fail` int"
+
+
+def read_secom(spark: SparkSession, path: str, n_sensors: int = 590) -> DataFrame:
+    return io.with_seq(io.read_table(spark, path, secom_schema(n_sensors)))
+
+
 def secom_mdqi(df: DataFrame, time_col: str = "Time", label: str = "Pass/Fail") -> tuple[DataFrame, DataFrame]:
     """Wide sensor table (time, sensors..., label in {-1, 1}, seq): the MDQI
     cascade; returns (score row, cleaned table)."""

@@ -135,3 +135,20 @@ def test_welding_evaluate_separates_anomalies(spark):
     assert sweep.count() == 100 and sweep.where("chosen").count() == 1
     r = m.first()
     assert r["accuracy"] >= 0.9 and r["f1"] >= 0.9 and 0.0 <= thr <= 20.0
+
+
+def test_readers_for_source_files(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "secom.csv")
+    with open(p, "w") as f:
+        f.write("Time,0,1,2,Pass/Fail\n")
+        f.write("2008-07-19 11:55:00,1.5,NaN,3,-1\n2008-07-19 12:32:00,2.5,,4,1\n")
+    df = wf.read_secom(spark, p, n_sensors=3)
+    assert df.columns == ["Time", "0", "1", "2", "Pass/Fail", "seq"]
+    assert [tuple(r)[:5] for r in df.orderBy("seq").collect()] == [
+        ("2008-07-19 11:55:00", 1.5, None, 3.0, -1), ("2008-07-19 12:32:00", 2.5, None, 4.0, 1)]
+    q = os.path.join(tmp_dir, "mould.csv")
+    with open(q, "w") as f:
+        f.write("TimeStamp,EQUIP_CD,PART_NAME,Injection_Time,Cycle_Time,Barrel_Temperature_1,PassOrFail,Reason,Other\n")
+        f.write("t0,E1,RH,5,60,230,Y,None,x\n")
+    m = wf.read_moulding(spark, q).first()
+    assert m["Injection_Time"] == 5.0 and m["Reason"] is None and m["Other"] == "x"
