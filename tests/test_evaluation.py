@@ -82,3 +82,16 @@ def test_sweep_flags_degenerate_choice(spark):
     df2 = spark.createDataFrame([(0, 0.9), (1, 0.1)], "y int, s double")
     c2 = [r for r in ev.sweep_thresholds(df2, "y", "s", 0.0, 1.0, 5).collect() if r["chosen"]][0]
     assert c2["degenerate"] == (c2["recall"] == 0.0 and c2["precision"] == 0.0)
+
+
+def test_auc_agrees_with_spark_ml_exact_evaluator(spark):
+    import numpy as np
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    rng = np.random.default_rng(11)
+    y = (rng.random(2000) < 0.2).astype(int)
+    s = np.round(rng.random(2000) * 0.6 + y * 0.2, 2)  # many ties
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, s double")
+    ours = ev.roc_auc(df, "y", "s").first()["auc"]
+    ml = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", metricName="areaUnderROC",
+                                       numBins=0).evaluate(df.withColumn("y", df["y"].cast("double")))
+    assert abs(ours - ml) < 1e-12
