@@ -103,3 +103,11 @@ def test_with_constant_and_feature_columns(spark):
     out = cl.with_constant(df, "fin_jgmt", 1)
     assert out.first()["fin_jgmt"] == 1
     assert cl.feature_columns(out, target="y", leakage=["leak"], ids=["id"]) == ["x", "fin_jgmt"]
+
+
+def test_dedupe_wide_keeps_first_per_sensor_vector(spark):
+    from forgeline.operators import duplicates as du
+    df = spark.createDataFrame([(0, 1.0, None, "a"), (1, 1.0, None, "b"), (2, 1.0, 2.0, "c"), (3, None, None, "d"),
+                                (4, None, None, "e")], "seq long, s1 double, s2 double, tag string")
+    got = sorted((r["seq"], r["tag"]) for r in du.dedupe_wide(df, ["s1", "s2"], ["seq"]).collect())
+    assert got == [(0, "a"), (2, "c"), (3, "d")]
