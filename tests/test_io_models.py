@@ -40,3 +40,11 @@ def test_classifier_bundle_roundtrip(spark, tmp_dir):
         s = mo.score(loaded, df, "p")
         acc = s.select(F.avg(((F.col("p") >= params["threshold"]).cast("int") == F.col("y")).cast("double"))).first()[0]
         assert acc >= 0.9, kind
+
+
+def test_command_line_runs_a_query_into_a_sink(spark, tmp_dir):
+    from forgeline.__main__ import main
+    out = os.path.join(tmp_dir, "clean")
+    assert main(["q_sensor_clean", "--sf", "/root/testdata/sf0.001", "--out", out, "--format", "csv"]) == 0
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 892 and "status_label" in back.columns
