@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, exact_dedup, secret_scan
+from forgeline.llm import chat_format, exact_dedup, packing, secret_scan
 from forgeline.llm.common import read
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -58,3 +58,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
                        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
