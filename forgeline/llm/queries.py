@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, exact_dedup, packing, secret_scan
-from forgeline.llm.common import read
+from forgeline.llm import chat_format, exact_dedup, kneser_ney, packing, secret_scan
+from forgeline.llm.common import crc_mod, read, text_of
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
 
@@ -63,3 +63,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return kneser_ney.train_and_score(docs.select("doc_id", (crc_mod(docs["doc_id"], 10) == 0).alias("held_out"), text_of(docs).alias("text")))
