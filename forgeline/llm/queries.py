@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, exact_dedup, kneser_ney, packing, secret_scan
+from forgeline.llm import chat_format, exact_dedup, html_extract, kneser_ney, packing, secret_scan
 from forgeline.llm.common import crc_mod, read, text_of
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -69,3 +69,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return kneser_ney.train_and_score(docs.select("doc_id", (crc_mod(docs["doc_id"], 10) == 0).alias("held_out"), text_of(docs).alias("text")))
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
