@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, exact_dedup, html_extract, kneser_ney, packing, secret_scan
+from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, kneser_ney, packing, secret_scan
 from forgeline.llm.common import crc_mod, read, text_of
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -75,3 +75,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract(read(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -66,26 +66,34 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
+def hash_spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of every span of a byte array, the same wherever the span stands."""
+    up, down = _power_tables(len(values))
+    sums = np.empty(len(values) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum((values.astype(np.uint64) + U(1)) * up[:len(values)], out=sums[1:])
+    h = (sums[end] - sums[start]) * down[start]
+    return mix(h ^ ((end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93)))
+
+
+def runs(offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the maximal runs of one non-zero kind of byte."""
+    edge = np.zeros(len(kind) + 1, dtype=bool)
+    edge[offsets] = True
+    edge[1:-1] |= kind[1:] != kind[:-1]
+    at = np.flatnonzero(edge)
+    start, end = at[:-1], at[1:]
+    some = kind[start] > 0
+    start, end = start[some], end[some]
+    return start, end, np.searchsorted(offsets, start, "right") - 1
+
+
 def tokens(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every token of one block."""
-    rows = len(offsets) - 1
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = ~_SPACE[data]
-    edge = np.zeros(len(data) + 1, dtype=bool)
-    edge[offsets] = True
-    before = np.concatenate(([False], word[:-1]))
-    after = np.concatenate((word[1:], [False]))
-    start = np.flatnonzero(word & (~before | edge[:-1]))
-    end = np.flatnonzero(word & (~after | edge[1:])) + 1
-    up, down = _power_tables(len(data))
-    sums = np.empty(len(data) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum((_LOWER[data].astype(np.uint64) + U(1)) * up[:len(data)], out=sums[1:])
-    h = (sums[end] - sums[start]) * down[start]
-    h = mix(h ^ ((end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93)))
-    row = np.searchsorted(offsets, start, "right") - 1
-    return h, np.minimum(row, rows - 1)
+    start, end, row = runs(offsets, (~_SPACE[data]).view(np.uint8))
+    return hash_spans(_LOWER[data], start, end), row
 
 
 def ngrams(h: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
