@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, kneser_ney, packing, secret_scan
+from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, importance, kneser_ney, packing, secret_scan
 from forgeline.llm.common import crc_mod, read, text_of
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -80,3 +80,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_benchmark_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = importance.select(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return told.select("doc_id", "weight", "gumbel_key", "kept")
