@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, importance, kneser_ney, packing, secret_scan
+from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, importance, kneser_ney, packing, secret_scan, toxicity
 from forgeline.llm.common import crc_mod, read, text_of
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -86,3 +86,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = importance.select(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return told.select("doc_id", "weight", "gumbel_key", "kept")
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(toxicity.training_sample(docs, read(spark, sf_dir, "labels"), held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), text_of(docs).alias("text"))
+    told = toxicity.score(rows, model, "doc_id", "held_out")
+    return told.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
