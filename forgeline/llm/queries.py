@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, importance, kneser_ney, packing, secret_scan, toxicity
+from forgeline.llm import chat_format, decontaminate, exact_dedup, html_extract, importance, jaccard_join, kneser_ney, packing, secret_scan, toxicity
 from forgeline.llm.common import crc_mod, read, text_of
 from forgeline.llm.registry import ORACLE, QUERIES, query  # noqa: F401
 
@@ -96,3 +96,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", held_out.alias("held_out"), text_of(docs).alias("text"))
     told = toxicity.score(rows, model, "doc_id", "held_out")
     return told.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
