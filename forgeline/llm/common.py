@@ -30,3 +30,23 @@ def crc_mod(col: Column, mod: int) -> Column:
 
 def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def remove_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows whose (id, content) isn't in ``gone`` (doc_id, content), all
+    columns as they were; the content is the xxhash64 of the text."""
+    d, c = fresh(docs, "_gone_id", "_gone_content")
+    other = gone.select(F.col("doc_id").alias(d), F.col("content").alias(c))
+    return docs.join(other, (F.xxhash64(text_of(docs, text)) == other[c]) & docs[id_col].eqNullSafe(other[d]), "left_anti")

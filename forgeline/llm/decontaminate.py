@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import cut, text_of
+from forgeline.llm.common import cut, remove_rows, text_of
 from forgeline.llm.tokens import U, blocks, hash_spans, mix, runs
 
 WINDOW = 8
@@ -221,5 +221,5 @@ def report(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents no item contaminates, all columns as they were."""
-    bad = matches(docs, benchmark, id_col, text).where(F.col("coverage") >= coverage).select(F.col("doc_id").alias("_d"), F.col("content").alias("_c")).distinct()
-    return docs.join(cut(bad), (F.xxhash64(text_of(docs, text)) == F.col("_c")) & docs[id_col].eqNullSafe(F.col("_d")), "left_anti")
+    bad = matches(docs, benchmark, id_col, text).where(F.col("coverage") >= coverage).select("doc_id", "content").distinct()
+    return remove_rows(docs, cut(bad), id_col, text)

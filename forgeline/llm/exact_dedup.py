@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import cut, text_of
+from forgeline.llm.common import cut, fresh, text_of
 
 SPACES = " \t\n\x0b\x0c\r"
 SLOTS = 4
@@ -203,10 +203,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     winners = live_groups(cut(digests(docs, id_col, text)))
     t = text_of(docs, text)
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    keyed = docs.withColumns({"_digest": F.unhex(F.sha2(F.translate(t, SPACES, ""), 256)),
-                              "_chars": F.char_length(t).cast("long"), "_name": name(docs[id_col])})
-    won = winners.select(F.col("digest").alias("_digest"), F.col("keep_chars").alias("_chars"), name(F.col("keep_id")).alias("_name"))
-    key = ["_digest", "_chars", "_name"]
+    key = fresh(docs, "_digest", "_chars", "_name")
+    own = (F.unhex(F.sha2(F.translate(t, SPACES, ""), 256)), F.char_length(t).cast("long"), name(docs[id_col]))
+    keyed = docs.withColumns(dict(zip(key, own, strict=True)))
+    won = winners.select(F.col("digest").alias(key[0]), F.col("keep_chars").alias(key[1]), name(F.col("keep_id")).alias(key[2]))
     # the join and the aggregation share one partitioning and sort order
     return keyed.join(won, key, "left_semi").dropDuplicates(key).drop(*key)
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import cut, text_of
+from forgeline.llm.common import cut, fresh, text_of
 from forgeline.llm.tokens import U, blocks, hash_spans, mix, runs
 
 BUCKETS = 1 << 16
@@ -96,7 +96,8 @@ def feature_counts(texts: DataFrame) -> np.ndarray:
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """doc_id, text and quality of at most ``limit`` labelled documents."""
     some = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_l"), "quality").dropDuplicates(["_l"]).orderBy(F.xxhash64("_l"), "_l").limit(limit)
-    return docs.join(F.broadcast(some), docs["doc_id"] == F.col("_l")).select("doc_id", text_of(docs).alias("text"), "quality")
+    rows = docs.select("doc_id", text_of(docs).alias("text"))
+    return rows.join(F.broadcast(some), rows["doc_id"] == some["_l"]).select("doc_id", "text", "quality")
 
 
 def block_weights(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
@@ -191,11 +192,13 @@ def keep_selected(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) ->
     key follows from the row, so it is worked out again and no text is shuffled."""
     ratio, _, least = _draw(docs, labels, limit)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    (own,) = fresh(docs, "_noise")
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                key = SCALE * block_weights(batch.column("text"), shared.value) + batch.column("_noise").to_numpy()
-                yield batch.filter(pa.array(key >= least)).drop_columns(["_noise"])
+                key = SCALE * block_weights(batch.column(text), shared.value) + batch.column(batch.num_columns - 1).to_numpy()
+                yield batch.filter(pa.array(key >= least)).drop_columns([own])
 
-    return docs.withColumn("_noise", noise(F.col("doc_id"))).mapInArrow(run, docs.schema)
+    return docs.withColumn(own, noise(docs["doc_id"])).mapInArrow(run, docs.schema)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import cut, text_of
+from forgeline.llm.common import cut, fresh, remove_rows, text_of
 from forgeline.llm.components import components
 from forgeline.llm.tokens import U, blocks, mix, ngrams, tokens
 
@@ -101,8 +101,12 @@ def _in_order(grams: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np
 
 # -- pass 1: sets and sketch -------------------------------------------------
 
+MEASURED = ["doc_id", "content", "n", "name", "chunk", "counts"]
+
+
 def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, name) of every (doc_id, text) row, and the count sketch."""
+    """(doc_id, content, n, name) of every (doc_id, content, text) row, and the
+    count sketch."""
     size = SKETCH // SKETCH_CHUNKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,11 +120,11 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 sizes.append(n)
                 some = True
             k = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(names)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=["doc_id", "n", "name", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(names)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=MEASURED)
         if some:
             packed = [pa.compress(total[i * size:(i + 1) * size].tobytes(), "zstd", asbytes=True) for i in range(SKETCH_CHUNKS)]
             k = SKETCH_CHUNKS
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=["doc_id", "n", "name", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=MEASURED)
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(size, np.uint64)
@@ -129,12 +133,12 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         total = np.minimum(total, 2**31 - 1).astype(np.int32)
         return pa.Table.from_pydict({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    both = cut(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long, chunk int, counts binary"))
+    both = cut(docs.select("doc_id", "content", "text").mapInArrow(run, "doc_id long, content long, n long, name long, chunk int, counts binary"))
     sketch = np.zeros(SKETCH, np.int32)
     parts = both.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
     for r in parts.collect():  # SKETCH_CHUNKS rows of fixed size
         sketch[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(r["counts"], np.int32)
-    return both.where("chunk is null").select("doc_id", "n", "name"), sketch
+    return both.where("chunk is null").select("doc_id", "content", "n", "name"), sketch
 
 
 # -- pass 2: candidates ------------------------------------------------------
@@ -423,9 +427,11 @@ def decide_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 # -- the operator -------------------------------------------------------------------
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
+def label(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, content (xxhash64 of the text), n, root (a
+    number per component, NULL for empty sets), component_id."""
+    t = text_of(docs, text)
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(t).alias("content"), t.alias("text"))
     context = docs.sparkSession.sparkContext
     measured, counts = measure(rows)
     sketch = context.broadcast(counts)
@@ -442,13 +448,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     classes = named.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    final = cut(classes.join(least, "root").select("node", "component_id"))
-    joined = named.where("n > 0").join(final, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return joined.union(measured.where("n = 0").select("doc_id", "n", "doc_id"))
+    final = cut(classes.join(least, "root").select("node", "root", "component_id"))
+    joined = named.where("n > 0").join(final, "node").select("doc_id", "content", "n", "root", "component_id")
+    return joined.union(measured.where("n = 0").select("doc_id", "content", "n", F.lit(None).cast("long"), "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return label(docs, id_col, text).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of every component, all columns kept;
-    of rows that repeat an id one stays."""
-    gone = near_duplicates(docs, id_col, text).where("component_id < doc_id or doc_id is null and component_id is not null").select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_d")), "left_anti")
+    """The documents with one row of every component, the one with the smallest id
+    (of equal ids, with the smallest content hash), and all with empty sets; all
+    columns as they were."""
+    rows = cut(label(docs, id_col, text))
+    linked = rows.where("root is not null")
+    mine = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("content"))
+    won = linked.groupBy("root").agg(F.min(mine).alias("won"))
+    lost = linked.join(won, "root").where(~(F.col("won.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("won.content") == F.col("content"))))
+    kept = remove_rows(docs, cut(lost.select("doc_id", "content").distinct()), id_col, text)
+    # a winner may be a row that stands several times; those rows alone are dealt by their key
+    again = cut(linked.groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+                .join(won, "root").where(F.col("won.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("won.content") == F.col("content"))).select("doc_id", "content"))
+    if again.isEmpty():
+        return kept
+    once = remove_rows(kept, again, id_col, text)
+    i, c = fresh(docs, "_again_id", "_again_content")
+    other = again.select(F.col("doc_id").alias(i), F.col("content").alias(c))
+    content = F.xxhash64(text_of(kept, text))
+    repeated = kept.join(other, (content == other[c]) & kept[id_col].eqNullSafe(other[i]), "left_semi")
+    return once.unionByName(repeated.withColumn(c, F.xxhash64(text_of(repeated, text))).dropDuplicates([id_col, c]).drop(c))

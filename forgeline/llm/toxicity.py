@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import cut
+from forgeline.llm.common import cut, text_of
 
 LABELLED = 8_000
 TERMS = 400
@@ -193,7 +193,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, held_out, limit: int = L
     """text and toxic of at most ``limit`` labelled documents not held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
     some = known.groupBy(F.col("doc_id").alias("_l")).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_l"), "_l").limit(limit)
-    return docs.join(F.broadcast(some), docs["doc_id"] == F.col("_l")).select(F.coalesce(docs["text"], F.lit("")).alias("text"), "toxic")
+    rows = docs.select("doc_id", text_of(docs).alias("text"))
+    return rows.join(F.broadcast(some), rows["doc_id"] == some["_l"]).select("text", "toxic")
 
 
 def learn_terms(sample: DataFrame, limit: int = TERMS) -> list[tuple[str, bool, float]]:
