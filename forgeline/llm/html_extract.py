@@ -6,11 +6,12 @@
    its sections and the page around it.
 2. Containers vote under a generalised path: tags with their class names, digits
    replaced by ``#``, positions left out.  A page's vote for a path is the path's
-   score relative to the page's best.  Tasks add their votes up by (host, path),
-   so a host with a third of all pages sends one row per path and task.
-3. Every page is parsed again and extracted from the path with the largest
-   product of host votes and own score; a page whose layout no other page of the
-   host shares falls back to its own best container.
+   score relative to the page's best.  Tasks add votes and pages up by (host,
+   path), so a host with a third of all pages sends one row per path and task.
+3. Every page is parsed again and extracted from the path on which the host's
+   pages agree most: the mean vote of the pages that have it, with DOUBT pages
+   without a vote added, so that a rare path needs more than one page's word.  A
+   path no other page has counts with the page's own vote.
 
 Text inside menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments is left out, by element, role or class name.  A header
@@ -57,7 +58,8 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 CLOSE_P = BLOCKS - {"br", "option", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "body", "html"}
 SHIELD_P = frozenset("div section article main td th li body html table blockquote aside nav header footer form button".split())
-LEAST_VOTE = 0.5  # of the page's best score
+SALTS = 32
+DOUBT = 2.0
 BONUS = {"article": 1.3, "main": 1.15, "body": 0.8, "html": 0.6}
 
 
@@ -178,6 +180,12 @@ class Page:
                 own[up] += 0.9 * own[node]
         return dict(total)
 
+    def shares(self) -> dict[str, float]:
+        """Scores relative to the best one."""
+        scores = self.scores()
+        best = max(scores.values(), default=1.0)
+        return {path: s / best for path, s in scores.items()}
+
     def text(self, path: str | None) -> str:
         """Text below the containers of a path (None: of the whole page)."""
         inside = [path is None] * len(self.tag)
@@ -193,27 +201,26 @@ def host_of(url: Column) -> Column:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes) of all pages (url, html)."""
+    """(host, path, votes, n) of all pages (url, html); n pages have the path."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Counter()
+        total, n = Counter(), Counter()
         for batch in batches:
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                scores = Page(source or "").scores()
-                best = max(scores.values(), default=0)
-                for path, s in scores.items():
-                    if s >= LEAST_VOTE * best:
-                        total[host, path] += s / best
+                for path, share in Page(source or "").shares().items():
+                    total[host, path] += share
+                    n[host, path] += 1
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total]), pa.array([k[1] for k in total]), pa.array(list(total.values()), pa.float64())], names=["host", "path", "votes"])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total]), pa.array([k[1] for k in total]), pa.array(list(total.values()), pa.float64()), pa.array([n[k] for k in total])], names=["host", "path", "votes", "n"])
 
-    told = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, votes double")
-    return told.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    told = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, votes double, n long")
+    return told.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("n").alias("n"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """One row per page: page_id, url, path, text."""
     pages = pages.select(pages[id_col].alias("page_id"), "url", "html")
-    won = votes(pages).groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "votes"))).alias("won"))
+    agreed = F.struct("path", (F.col("votes") / (F.col("n") + DOUBT)).alias("worth"))
+    won = votes(pages).where("n > 1").groupBy("host").agg(F.map_from_entries(F.collect_list(agreed)).alias("won"))
     keyed = pages.withColumn("host", host_of(F.col("url")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,10 +228,13 @@ def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
             paths, texts = [], []
             for source, host_votes in zip(batch.column("html").to_pylist(), batch.column("won").to_pylist(), strict=True):
                 page, known = Page(source or ""), dict(host_votes or ())
-                scores = page.scores()
-                best = max(scores, key=lambda p: (known.get(p, 0.0) * scores[p], scores[p], p), default=None)
+                shares = page.shares()
+                best = max(shares, key=lambda p: (known.get(p, shares[p] / (1 + DOUBT)), shares[p], p), default=None)
                 paths.append(best)
                 texts.append(page.text(best))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "path", "text"])
 
-    return keyed.join(won, "host", "left").select("page_id", "url", "html", "won").mapInArrow(run, "page_id long, url string, path string, text string")
+    # a host may have a third of all pages: both sides are dealt by (host, salt)
+    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    won = won.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return keyed.join(won, ["host", "salt"], "left").select("page_id", "url", "html", "won").mapInArrow(run, "page_id long, url string, path string, text string")
