@@ -151,7 +151,7 @@ class Matcher:
         if len(self.memo) > MEMO_WORDS:
             self.memo = {}
         found = None
-        for w in {word.strip(STRIP), word.translate(LOOKALIKE).strip(STRIP)}:
+        for w in {word.strip(STRIP), word.rstrip(STRIP).lstrip(MARKS).translate(LOOKALIKE)}:
             if w and (got := self._run(w)) and (found is None or got > found):
                 found = got
         self.memo[word] = found
@@ -159,6 +159,7 @@ class Matcher:
 
 
 STRIP = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "“”«»„‟…¿¡"
+MARKS = "".join(c for c in STRIP if c not in "@$")
 FEATURES = 9
 
 
