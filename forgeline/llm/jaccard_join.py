@@ -15,7 +15,9 @@ Steps, each linear in the shingles but for the last, exact one:
    arrays; a shingle in very many sets is split by salts.  In every group the most
    central set of each size band (its shingles are the most frequent ones) leads,
    and each set proposes a link to its leader, leaders to the next band's and to
-   the other salts'.  No pairs of ordinary members are formed.
+   the other salts'.  No other pairs are formed.
+   Groups of two and three propose all their pairs.  A pair is proposed only where
+   the shingle's places in both sets allow it to be the rarest one they share.
 2. Verification.  A leader walks a trie of its proposed members: the sets stand in
    global order, equal beginnings are one path, the overlap along a path is counted
    once, and subtrees are cut when the lengths that remain can't reach the needed
@@ -51,6 +53,8 @@ SKETCH_CHUNKS = 64
 HOT_GROUP = 4_096  # sets of one shingle dealt together
 DOCS_PER_SHARD = 4_000
 LEAST_SHARDS = 64
+SMALL_GROUP = 128  # sets of one shingle compared by place and size before they are kept for the rest
+LEADER_GROUP = 2_000  # members of one leader verified together
 CHUNK = 4_096  # sets of one trie of the exact rest
 FILTER_BITS = 1 << 27  # 16 MB
 
@@ -152,7 +156,7 @@ def _band(n: np.ndarray) -> np.ndarray:
 
 
 def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
-    """kind 0: proposed links (a, b); 1: (key, a) of groups of three and more;
+    """kind 0: proposed links (a, b); 1: (key, a) of groups of four and more;
     2: leaders (key, a, score) of split groups, b their band."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -176,55 +180,85 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
                 prefix = n - -(-NUMERATOR * n // DENOMINATOR) + 1
                 score = np.bincount(of, np.log2(count + 1.0), len(n)) / np.maximum(n, 1)
                 rare = place <= prefix[of]
-                key, of, count = grams[rare], of[rare], count[rare]
+                # the place in the prefix as a byte, rounded towards the rare end
+                key, of, count, place = grams[rare], of[rare], count[rare], place[rare]
+                place = (255 * (place - 1) // np.maximum(prefix[of] - 1, 1)).astype(np.uint8)
                 salts = np.maximum(1, -(-count // HOT_GROUP)).astype(np.uint64)
                 salt = np.where(salts > 1, mix(names[of].view(np.uint64)) % salts + U(1), U(0))  # 0: not split
                 shard = ((mix(key + salt * U(0x9E3779B97F4A7C15)) >> U(32)) * U(shards) >> U(32)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 shard = shard[order]
                 edge = np.flatnonzero(np.diff(shard, prepend=-1))
-                key, salt, of = key[order], salt[order], of[order]
+                key, salt, of, place = key[order], salt[order], of[order], place[order]
                 rows = []
                 for a, b in zip(edge, [*edge[1:], len(shard)]):
                     who, where = np.unique(of[a:b], return_inverse=True)
-                    rows.append((int(shard[a]), key[a:b].tobytes(), salt[a:b].tobytes() if salt[a:b].any() else b"", where.astype("<u4").tobytes(),
+                    rows.append((int(shard[a]), key[a:b].tobytes(), salt[a:b].tobytes() if salt[a:b].any() else b"", place[a:b].tobytes(),
+                                 where.astype("<u2" if len(who) < 65536 else "<u4").tobytes(),
                                  names[who].tobytes(), n[who].astype("<u4").tobytes(), score[who].astype("<f4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=["shard", "key", "salt", "set", "name", "n", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=["shard", "key", "salt", "place", "set", "name", "n", "score"])
 
     def group(table: pa.Table) -> pa.Table:
-        parts, base = [], 0
-        for key, salt, at, name, n, score in zip(*(table.column(c).to_pylist() for c in ("key", "salt", "set", "name", "n", "score")), strict=True):
-            key, at = np.frombuffer(key, "<u8"), np.frombuffer(at, "<u4")
+        parts = []
+        for key, salt, place, at, name, n, score in zip(*(table.column(c).to_pylist() for c in ("key", "salt", "place", "set", "name", "n", "score")), strict=True):
+            key, n = np.frombuffer(key, "<u8"), np.frombuffer(n, "<u4").astype(np.int64)
+            at = np.frombuffer(at, "<u2" if len(at) == 2 * len(key) else "<u4")
             salt = np.frombuffer(salt, "<u8") if salt else np.zeros(len(key), np.uint64)
-            parts.append((key, salt, *(np.frombuffer(x, t)[at] for x, t in ((name, "<i8"), (n, "<u4"), (score, "<f4")))))
-        key, salt, name, n, score = (np.concatenate(x) for x in zip(*parts))
+            n = n[at]
+            prefix = n - -(-NUMERATOR * n // DENOMINATOR) + 1
+            place = 1 + np.frombuffer(place, np.uint8).astype(np.int64) * (prefix - 1) // 255  # at most the true place
+            parts.append((key, salt, np.frombuffer(name, "<i8")[at], n, np.frombuffer(score, "<f4")[at], place))
+        key, salt, name, n, score, place = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((name, salt, key))
-        key, salt, name, n, score = (x[order] for x in (key, salt, name, n, score))
+        key, salt, name, n, score, place = (x[order] for x in (key, salt, name, n, score, place))
         new = np.ones(len(key), bool)  # a set sent by several tasks counts once
         new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (name[1:] != name[:-1])
-        key, salt, name, n, score = (x[new] for x in (key, salt, name, n, score))
+        key, salt, name, n, score, place = (x[new] for x in (key, salt, name, n, score, place))
         start = np.ones(len(key), bool)
         start[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
         gid = np.cumsum(start) - 1
         size = np.bincount(gid)
         keep = (size[gid] > 1) | (salt > 0)
-        key, salt, name, n, score, gid = (x[keep] for x in (key, salt, name, n, score, gid))
-        band = _band(n)
-        order = np.lexsort((name, -score, band, gid))
-        key, salt, name, n, score, gid, band = (x[order] for x in (key, salt, name, n, score, gid, band))
+        key, salt, name, n, score, gid, place = (x[keep] for x in (key, salt, name, n, score, gid, place))
         if not len(key):
             return pa.Table.from_arrays([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float32())], names=["kind", "key", "a", "b", "score"])
+
+        def possible(x, y) -> np.ndarray:
+            """Whether this may be the rarest shingle that two linked sets share."""
+            least = needed(n[x], n[y])
+            return ((DENOMINATOR * np.minimum(n[x], n[y]) >= NUMERATOR * np.maximum(n[x], n[y]))
+                    & (place[x] <= n[x] - least + 1) & (place[y] <= n[y] - least + 1))
+
+        band = _band(n)
+        order = np.lexsort((name, -score, band, gid))
+        key, salt, name, n, score, gid, band, place = (x[order] for x in (key, salt, name, n, score, gid, band, place))
+        few = (size[gid] <= 3) & (salt == 0)
         lead = np.ones(len(key), bool)
         lead[1:] = (gid[1:] != gid[:-1]) | (band[1:] != band[:-1])
         at = np.flatnonzero(lead)
         leader = at[np.cumsum(lead) - 1]
-        pairs = [(name[~lead], name[leader[~lead]])]
-        near = (gid[at][1:] == gid[at][:-1]) & (band[at][1:] == band[at][:-1] + 1)
-        pairs.append((name[at[1:][near]], name[at[:-1][near]]))
-        a, b = (np.concatenate(x) for x in zip(*pairs))
+        pairs = [(np.flatnonzero(~lead & ~few), leader[~lead & ~few])]
+        near = np.flatnonzero((gid[at][1:] == gid[at][:-1]) & (band[at][1:] == band[at][:-1] + 1) & ~few[at[1:]])
+        pairs.append((at[near + 1], at[near]))
+        # groups of two and three: every pair, so nothing of them is left to decide
+        for step in (1, 2):
+            i = np.flatnonzero(few[step:] & (gid[step:] == gid[:-step]))
+            x, y = i + step, i
+            swap = score[x] > score[y]
+            pairs.append((np.where(swap, y, x), np.where(swap, x, y)))
+        x, y = (np.concatenate(v) for v in zip(*pairs))
+        ok = possible(x, y)
+        a, b = name[x[ok]], name[y[ok]]
         _, one = np.unique(mix(a.view(np.uint64)) + b.view(np.uint64), return_index=True)
         a, b = a[one], b[one]
-        many = (size[gid] > 2) | (salt > 0)
+        # larger groups: the sets that may have this as the rarest shingle of some link
+        many = ~few
+        edge = np.flatnonzero(np.diff(gid, prepend=-1))
+        for i, j in zip(edge, [*edge[1:], len(gid)]):
+            if many[i] and salt[i] == 0 and j - i <= SMALL_GROUP:
+                rows = np.arange(i, j)
+                x, y = np.repeat(rows, j - i), np.tile(rows, j - i)
+                many[rows[~((possible(x, y) & (x != y)).reshape(j - i, j - i).any(1))]] = False
         told = at[salt[at] > 0]
         kinds = np.repeat([0, 1, 2], [len(a), int(many.sum()), len(told)]).astype(np.int32)
         zero = lambda k: np.zeros(k, np.int64)
@@ -233,8 +267,8 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
             pa.array(np.concatenate((a, name[many], name[told]))), pa.array(np.concatenate((b, zero(int(many.sum())), band[told]))),
             pa.array(np.concatenate((zero(len(a) + int(many.sum())), score[told])).astype(np.float32))], names=["kind", "key", "a", "b", "score"])
 
-    blobs = docs.select("text").mapInArrow(emit, "shard int, key binary, salt binary, set binary, name binary, n binary, score binary")
-    return blobs.groupBy("shard").applyInArrow(group, FOUND_DDL)
+    blobs = docs.select("text").mapInArrow(emit, "shard int, key binary, salt binary, place binary, set binary, name binary, n binary, score binary")
+    return blobs.repartition(shards, "shard").groupBy("shard").applyInArrow(group, FOUND_DDL)
 
 
 def leader_links(found: DataFrame) -> DataFrame:
@@ -286,8 +320,8 @@ def fetch_sets(docs: DataFrame, names: DataFrame, sketch) -> DataFrame:
                     rows.append((int(name[r]), int(n[r]), grams[end[r] - n[r]:end[r]].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary()))], names=["name", "n", "grams"])
 
-    sets = docs.select("text").mapInArrow(run, "name long, n int, grams binary")
-    return sets.join(names, "name", "left_semi").dropDuplicates(["name"])
+    # what the bit set lets through by chance is in no pair and falls out of the joins
+    return docs.select("text").mapInArrow(run, "name long, n int, grams binary").dropDuplicates(["name"])
 
 
 # -- tries ---------------------------------------------------------------------
@@ -361,27 +395,40 @@ class SetTrie:
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The proposed links (a, b) that hold: each leader b walks the trie of its
-    proposed members; a batch of one leader's members is one trie."""
-    members = pairs.join(sets.select(F.col("name").alias("a"), F.col("grams").alias("member")), "a")
-    both = members.join(sets.select(F.col("name").alias("b"), F.col("grams").alias("leader")), "b")
+    """The proposed links (a, b) that hold.
+
+    A leader b and its members are dealt together, in parts of about LEADER_GROUP
+    members, each with the leader's own set; the members of a part form a trie,
+    which the leader walks."""
+    sizes = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("k"))
+    salted = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("k") / LEADER_GROUP)).alias("salt"))
+    wanted = salted.union(salted.select(F.col("b").alias("a"), "b", "salt").distinct())
+    told = wanted.join(sets.select(F.col("name").alias("a"), "grams"), "a").select("b", "salt", "a", "grams")
+
+    def part(b: int, rows: list[tuple[int, bytes]]) -> list[int]:
+        own = next(g for a, g in rows if a == b)
+        rows = [r for r in rows if r[0] != b]
+        hits = SetTrie([g for _, g in rows]).partners(np.sort(np.frombuffer(own, "<u8")))
+        return [rows[i][0] for i in hits]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
         for batch in batches:
-            lead = batch.column("b").to_numpy()
-            order = np.argsort(lead, kind="stable")
-            edge = np.flatnonzero(np.diff(lead[order], prepend=lead[order[:1]] - 1)) if len(lead) else []
-            a, member, leader = batch.column("a").to_numpy(), batch.column("member"), batch.column("leader")
             left, right = [], []
-            for i, j in zip(edge, [*edge[1:], len(lead)]):
-                rows = order[i:j]
-                trie = SetTrie([member[int(r)].as_py() for r in rows])
-                hits = trie.partners(np.sort(np.frombuffer(leader[int(rows[0])].as_py(), "<u8")))
-                left += a[rows[hits]].tolist()
-                right += [int(lead[rows[0]])] * len(hits)
+            for *k, a, g in zip(*(batch.column(c).to_pylist() for c in ("b", "salt", "a", "grams")), strict=True):
+                if k != key:
+                    if held:
+                        found = part(key[0], held)
+                        left += found
+                        right += [key[0]] * len(found)
+                    key, held = k, []
+                held.append((a, g))
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        if held:
+            found = part(key[0], held)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([key[0]] * len(found), pa.int64())], names=["a", "b"])
 
-    return both.select("a", "b", "member", "leader").mapInArrow(run, "a long, b long")
+    return told.repartition("b", "salt").sortWithinPartitions("b", "salt").mapInArrow(run, "a long, b long")
 
 
 # -- the exact rest ---------------------------------------------------------------
@@ -438,12 +485,14 @@ def label(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     shards = max(LEAST_SHARDS, measured.count() // DOCS_PER_SHARD)
     found = cut(propose(rows, sketch, shards))
     pairs = cut(found.where("kind = 0").select("a", "b").union(leader_links(found)).distinct())
-    asked = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).union(found.where("kind = 1").select("a")).distinct()
-    sets = cut(fetch_sets(rows, asked, sketch))
-    links = cut(verify(pairs, sets))
+    asked = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
+    links = cut(verify(pairs, fetch_sets(rows, asked, sketch)))
     roots = components(links)
-    more = decide_clusters(open_clusters(found, roots), sets)
-    roots = components(links.union(more))
+    members = cut(open_clusters(found, roots))
+    if not members.isEmpty():
+        more = cut(decide_clusters(members, fetch_sets(rows, members.select("name"), sketch)))
+        if not more.isEmpty():
+            roots = components(links.union(more))
     named = measured.withColumnRenamed("name", "node")
     classes = named.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")

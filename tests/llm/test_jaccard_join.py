@@ -85,6 +85,8 @@ order = lambda rows: sorted(rows, key=str)
 def test_components_equal_brute_force(documents, clashing, monkeypatch, seed, hot, chunk):
     monkeypatch.setattr(jaccard_join, "HOT_GROUP", hot)
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard_join, "LEADER_GROUP", chunk)
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 128 if hot > 3 else 4)
     pairs = corpus(seed)
     assert order(got(jaccard_join.near_duplicates(clashing(documents(pairs))))) == order(brute(pairs))
 
