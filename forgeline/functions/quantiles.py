@@ -13,7 +13,7 @@ groups x probs) ever reaches the driver.
 
 The interpolation matches pandas ``quantile`` / DuckDB ``quantile_cont``:
 position ``p * (n - 1)`` between the two neighbouring order statistics.
-Values must be finite (infinities are repaired before any median is taken).
+Values may be infinite: an infinite end has a cell of its own.
 """
 from __future__ import annotations
 
@@ -26,25 +26,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_TARGETS = 200_000  # targets are broadcast: groups x probs x 2 must stay metadata-sized
-RANK_LIMIT = 1_000_000  # a band this small is ranked exactly inside one window partition
+RANK_LIMIT = 10_000  # a band this small is ranked exactly inside one window partition
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], buckets: int = 4096,
-                    max_passes: int = 12, rank_limit: int = RANK_LIMIT,
-                    max_rows: int | None = None) -> DataFrame:
+                    rank_limit: int = RANK_LIMIT) -> DataFrame:
     """Return ``group_cols + [prob, quantile, n]`` for each group and prob.
 
     ``df`` is long-form (one value per row); NULL values are ignored.
-    ``max_rows`` is a known upper bound of the rows in any group (e.g. the
-    table's row count); when it is within ``rank_limit`` a single ranking
-    job answers every target.
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
     data = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if max_rows is not None and max_rows <= rank_limit:
-        return _rank_all(df, data, group_cols, probs)
     stats = (data.groupBy(*group_cols)
              .agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
     groups = stats.limit(MAX_TARGETS // (2 * len(probs)) + 1).collect()
@@ -75,7 +69,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         keyed = data.join(F.broadcast(gid_df), group_cols).select("_gid", "_v")
         resolved = {}
         band_rows = {t: groups[t[0]]["_n"] for t in targets}  # rows inside each target's band
-        for _ in range(max_passes):
+        while True:  # the ends of an open band lie in different cells, so every pass narrows it
             open_t = []
             for (g, k), (lo, hi, below) in targets.items():
                 if (g, k) in resolved:
@@ -109,11 +103,6 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 g, k = open_t[r["_tid"]][0], open_t[r["_tid"]][1]
                 targets[(g, k)] = [r["_cmin"], r["_cmax"], r["_nb"]]
                 band_rows[(g, k)] = r["_c"]
-        else:
-            open_t = [(g, k) for (g, k), (lo, hi, _b) in targets.items()
-                      if (g, k) not in resolved and lo != hi]
-            if open_t:
-                _finish_by_rank(spark, keyed, targets, open_t, resolved)
         for (g, k), (lo, hi, _b) in targets.items():
             if (g, k) not in resolved and lo == hi:
                 resolved[(g, k)] = lo
@@ -131,38 +120,6 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
             data.unpersist()
 
 
-def _rank_all(df: DataFrame, data: DataFrame, group_cols: list, probs: Sequence[float]) -> DataFrame:
-    """One job for groups known to be small: rank inside each group and keep
-    only the rows at the wanted order statistics."""
-    spark = df.sparkSession
-    w = Window.partitionBy(*group_cols).orderBy("_v")
-    ranked = data.select(*group_cols, "_v", (F.row_number().over(w) - 1).alias("_rk"),
-                         F.count("*").over(Window.partitionBy(*group_cols)).alias("_n"))
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-
-    def at(p):
-        lo = F.floor(p * (F.col("_n") - 1))
-        return (F.col("_rk") == lo) | (F.col("_rk") == F.least(lo + 1, F.col("_n") - 1))
-    hits = ranked.where(F.exists(arr, at)).collect()
-    found: dict = {}
-    for r in hits:
-        g = tuple(r[c] for c in group_cols)
-        found.setdefault(g, ({}, r["_n"]))[0][r["_rk"]] = r["_v"]
-    rows = []
-    for g, (vals, n) in found.items():
-        for p in probs:
-            pos = float(p) * (n - 1)
-            k_lo = int(math.floor(pos))
-            k_hi = min(k_lo + 1, n - 1)
-            a, b = vals[k_lo], vals[k_hi]
-            frac = pos - k_lo
-            rows.append(g + (float(p), float(a + frac * (b - a) if frac else a), int(n)))
-    schema = T.StructType([df.schema[c] for c in group_cols] + [
-        T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType()),
-        T.StructField("n", T.LongType())])
-    return spark.createDataFrame(rows, schema)
-
-
 def _cell(v, lo, hi, buckets: int):
     """Monotone (non-decreasing in v) bucket of v inside [lo, hi].
 

@@ -162,5 +162,5 @@ def na_normalise(df: DataFrame, tokens: Sequence[str] | None = None,
         if t in ("double", "float"):
             repl[f.name] = nan_to_null(f.name)
         elif t == "string":
-            repl[f.name] = F.when(~truthy(F.trim(F.col(f.name)).isin(tokens)), F.col(f.name))
+            repl[f.name] = F.when(~truthy(F.col(f.name).isin(tokens)), F.col(f.name))
     return df.withColumns(repl) if repl else df

@@ -53,11 +53,10 @@ def score_table(df: DataFrame, y: str, score: str) -> DataFrame:
                  F.sum((F.col(y) != 1).cast("long")).alias("neg")))
 
 
-def _totals(df: DataFrame, y: str, score: str) -> tuple[int, int]:
-    """(positives, negatives) with a score: a one-row action."""
-    r = df.where(F.col(score).isNotNull()).agg(
-        F.coalesce(F.sum((F.col(y) == 1).cast("long")), F.lit(0)).alias("p"),
-        F.coalesce(F.sum((F.col(y) != 1).cast("long")), F.lit(0)).alias("n")).first()
+def _totals(cum: DataFrame) -> tuple[int, int]:
+    """(positives, negatives) of the cumulative table: a one-row action on the
+    distinct scores, not on the source."""
+    r = cum.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("p"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n")).first()
     return int(r["p"]), int(r["n"])
 
 
@@ -73,8 +72,15 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     scores).  Needs P > 0 and N > 0, else NULL."""
     st = score_table(df, y, score)
     cum = running_totals(st, [F.col("score").asc()], ["neg"])  # negatives with score <= s
-    contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg")) + F.col("pos") * F.col("neg") * F.lit(0.5)
-    tot = cum.agg(F.sum(contrib).alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    return auc_of_table(cum)
+
+
+def auc_of_table(cum: DataFrame) -> DataFrame:
+    """AUC of a (pos, neg, cum_neg) table by ascending score.  Products are taken
+    in double: counts of billions would overflow a LONG."""
+    pos, neg, upto = (F.col(c).cast("double") for c in ("pos", "neg", "cum_neg"))
+    contrib = pos * (upto - neg) + pos * neg * F.lit(0.5)
+    tot = cum.agg(F.sum(contrib).alias("u"), F.sum(pos).alias("p"), F.sum(neg).alias("n"))
     return tot.select(F.when((F.col("p") > 0) & (F.col("n") > 0),
                              F.col("u") / (F.col("p") * F.col("n"))).alias("auc"))
 
@@ -83,7 +89,7 @@ def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """H4: (threshold, fpr, tpr) at every distinct score, descending, plus
     the starting point (threshold +inf, 0, 0)."""
     cum = _cumulative_desc(df, y, score)
-    P, N = _totals(df, y, score)
+    P, N = _totals(cum)
     pts = cum.select(F.col("score").alias("threshold"), _ratio(F.col("fp"), F.lit(N)).alias("fpr"),
                      _ratio(F.col("tp"), F.lit(P)).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
@@ -94,7 +100,7 @@ def pr_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """H5: (threshold, precision, recall) with ``score >= threshold`` at every
     distinct score, plus the final point (NULL, 1, 0)."""
     cum = _cumulative_desc(df, y, score)
-    P, _n = _totals(df, y, score)
+    P, _n = _totals(cum)
     pts = cum.select(F.col("score").alias("threshold"),
                      _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
                      (F.lit(1.0) if P == 0 else F.col("tp") / F.lit(float(P))).alias("recall"))

@@ -3,9 +3,8 @@
 Order-dependent sampling is driven by a hash of (key, seed), never by file
 order or ``rand()``, so every result is reproducible and recomputable after
 an executor loss.  "The first q rows of a class in hash order" is answered
-without a window over the whole class: rows are counted per (class, 16-bit
-hash bucket), the buckets below the quota are taken whole, and only the one
-boundary bucket per class is ranked.
+without a window over the whole class: a small job finds the class's boundary
+hash, and rows are compared with it where they are.
 """
 from __future__ import annotations
 
@@ -66,9 +65,14 @@ def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
     """Flag the first ``q`` rows of each class in md5(key||seed) order.
 
     ``quota`` is either a DataFrame (cls, q) with one row per class, or a
-    function ``(n_class, n_largest_class) -> Column`` evaluated on the
-    per-bucket count table, so no separate counting scan is needed; then
-    ``keep_counts`` also returns ``_ncls`` and ``_nmax`` per row."""
+    function of the class table (cls, _ncls, _nmax) that adds ``q``.  ``key``
+    must be unique within a class; rows that repeat a key go together.
+    ``keep_counts`` also returns ``_ncls`` and ``_nmax`` per row.
+
+    Two small jobs find one boundary hash per class: rows are counted per (class,
+    16-bit bucket), which gives the bucket with the boundary, and only that
+    bucket is ranked.  The rows themselves are then flagged where they are, by a
+    comparison with their class's boundary: no window, sort or union of rows."""
     h = df.withColumn("_h", hash_key(key, seed)).withColumn("_b", F.substring("_h", 1, 4))
     per_bucket = h.groupBy(cls, "_b").agg(F.count("*").alias("_bn"))  # <= classes x 65536 rows
     wb = Window.partitionBy(cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -77,31 +81,40 @@ def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
         # class sizes: one row per class; the window over classes is that small
         totals = (per_bucket.groupBy(cls).agg(F.sum("_bn").alias("_ncls"))
                   .withColumn("_nmax", F.max("_ncls").over(Window.partitionBy())))
-        cum = (join_on_keys(cum, totals, [cls], broadcast_right=True)
-               .withColumn("q", quota(F.col("_ncls"), F.col("_nmax"))))
+        quotas = quota(totals)
     else:
-        cum = join_on_keys(cum, quota, [cls], broadcast_right=True)
+        quotas = quota
     counts = ["_ncls", "_nmax"] if keep_counts and callable(quota) else []
-    cum = (cum
-           .withColumn("_mode", F.when(F.col("_before") + F.col("_bn") <= F.col("q"), F.lit(2))
-                       .when(F.col("_before") < F.col("q"), F.lit(1)).otherwise(F.lit(0))))
-    # cum has <= classes x 65536 rows: broadcast; NULL-safe so a NULL class keeps its rows
-    tagged = join_on_keys(h, cum.select(cls, "_b", "_mode", "_before", "q", *counts), [cls, "_b"],
-                          broadcast_right=True)
-    whole = tagged.where(F.col("_mode") != 1).withColumn(flag, F.col("_mode") == 2)
-    edge = tagged.where(F.col("_mode") == 1)
-    we = Window.partitionBy(cls, "_b").orderBy("_h")  # one boundary bucket per class
-    edge = edge.withColumn(flag, F.col("_before") + F.row_number().over(we) <= F.col("q"))
-    return whole.unionByName(edge).drop("_h", "_b", "_mode", "_before", "q")
+    edge = (join_on_keys(cum, quotas.select(cls, "q"), [cls])
+            .where((F.col("_before") < F.col("q")) & (F.col("q") <= F.col("_before") + F.col("_bn")))
+            .select(cls, "_b", (F.col("q") - F.col("_before")).alias("_need")))
+    inside = join_on_keys(h.select(cls, "_b", "_h"), edge, [cls, "_b"])
+    ranked = inside.withColumn("_r", F.row_number().over(Window.partitionBy(cls, "_b").orderBy("_h")))
+    limits = ranked.where(F.col("_r") == F.col("_need")).select(cls, F.col("_h").alias("_limit"))
+    table = join_on_keys(quotas.select(cls, *counts), limits, [cls], how="left")
+    tagged = join_on_keys(df.withColumn("_h", hash_key(key, seed)), table, [cls], how="left")
+    return tagged.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_limit"), F.lit(False))).drop("_h", "_limit")
+
+
+def largest_remainder(totals: DataFrame, cls: str, percent: int) -> DataFrame:
+    """Quotas of ``percent`` of all rows, rounded up, over the classes: the floor
+    of each class's share, and one more for the largest remainders (ties: the
+    larger class, then the smaller value)."""
+    share = F.col("_ncls") * percent
+    parts = totals.withColumns({"_floor": F.floor(share / 100), "_rest": share % 100})
+    every = Window.partitionBy()  # one row per class
+    total = F.ceil(F.sum("_ncls").over(every) * percent / 100)
+    left = total - F.sum("_floor").over(every)
+    turn = F.row_number().over(Window.orderBy(F.desc("_rest"), F.desc("_ncls"), F.asc_nulls_first(cls)))
+    return parts.withColumn("q", F.col("_floor") + (turn <= left).cast("long")).drop("_floor", "_rest")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_percent: int = 20,
                      seed: int = 42) -> DataFrame:
-    """per class, ceil(n_c * pct / 100) rows go to 'test' in hash order,
-    the rest to 'train'.  Adds column ``split``."""
-    def quota(n, _largest):
-        return ((n * test_percent + 99) / 100).cast("long")
-    flagged = hash_quota(df, label, key, seed, quota, "_test")
+    """``test_percent`` of all rows, rounded up, go to 'test', shared among the
+    classes by largest remainder and taken in hash order; the rest to 'train'.
+    Adds column ``split``."""
+    flagged = hash_quota(df, label, key, seed, lambda t: largest_remainder(t, label, test_percent), "_test")
     return flagged.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop("_test")
 
 
@@ -136,17 +149,30 @@ def with_row_weight(df: DataFrame, label: str, name: str = "weight") -> DataFram
     return join_on_keys(df, w, [label], broadcast_right=True)
 
 
-def balanced_sample(df: DataFrame, label: str, seed: int = 42) -> DataFrame:
-    """F8: sampling with replacement, weight 1/n_class, n draws in total:
-    each class expects n / k draws.  Spark's Poisson sampler does the draws
-    inside each partition (no shuffle)."""
-    counts = class_counts(df, label)
-    total, k = sum(counts.values()), len(counts)
-    parts = [df.where(F.col(label) == c).sample(True, (total / k) / n, seed) for c, n in counts.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def unit_md5(*parts: Column | str) -> Column:
+    """A number in [0, 1) from the first 48 bits of an md5 of the joined parts."""
+    text = F.md5(F.concat_ws("-", *[p if isinstance(p, Column) else F.lit(p) for p in parts]))
+    return F.conv(F.substring(text, 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
+
+
+def balanced_sample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
+    """F8: as many draws with replacement as there are rows, each row with weight
+    1 / n_class: a draw takes a class, all alike, then a row of the class.
+
+    Draws are rows of a range, numbered and hashed, so the sample can be repeated;
+    they are added up per drawn row before they meet the rows, which are numbered
+    within their class (``key`` unique).  Adds ``copy`` (0-based)."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("_ncls"))  # one row per class
+    classes = sizes.withColumn("_class", F.row_number().over(Window.orderBy(F.asc_nulls_first(label))) - 1)
+    total = df.count()
+    k = classes.count()
+    draws = df.sparkSession.range(total).select(
+        F.floor(unit_md5(F.col("id").cast("string"), str(seed), "class") * k).alias("_class"),
+        unit_md5(F.col("id").cast("string"), str(seed), "row").alias("_u"))
+    drawn = (draws.join(classes, "_class").select(label, F.floor(F.col("_u") * F.col("_ncls")).alias("_ord"))
+             .groupBy(label, "_ord").agg(F.count("*").alias("_times")))
+    rows = with_ordinal(df, [label], [key], "_ord")
+    return explode_copies(join_on_keys(rows, drawn, [label, "_ord"]), F.col("_times"), "copy").drop("_ord", "_times")
 
 
 def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
@@ -155,7 +181,8 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     hash order.  Adds ``copy`` (0 = original)."""
     # class sizes come from the per-bucket table inside hash_quota (windows
     # over <= classes x 65536 rows), not from another scan of the rows
-    flagged = hash_quota(df, label, key, seed, lambda n, nmax: nmax % n, "_extra", keep_counts=True)
+    flagged = hash_quota(df, label, key, seed, lambda t: t.withColumn("q", F.col("_nmax") % F.col("_ncls")), "_extra",
+                         keep_counts=True)
     n_copies = (F.col("_nmax") / F.col("_ncls")).cast("long") + F.col("_extra").cast("long")
     out = explode_copies(flagged, n_copies, "copy").drop("_ncls", "_nmax", "_extra")
     return out.withColumn("copy", F.col("copy").cast("int"))

@@ -25,7 +25,10 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
     """G1: assemble ``features`` and fit a binary classifier.
 
     kind: 'mlp' (sigmoid hidden layers, softmax output), 'logistic' (honours
-    ``weight_col``, e.g. inverse class frequency) or 'gbt'."""
+    ``weight_col``, e.g. inverse class frequency) or 'gbt'.  'mlp' takes no row
+    weights: balance its training rows instead."""
+    if kind == "mlp" and weight_col:
+        raise ValueError("the multilayer perceptron takes no row weights: use a sampler")
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     if kind == "mlp":
         est = MultilayerPerceptronClassifier(layers=[len(features), *hidden, 2], maxIter=max_iter, seed=seed,
@@ -34,7 +37,7 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
         est = LogisticRegression(maxIter=max_iter, labelCol=label, featuresCol="features",
                                  **({"weightCol": weight_col} if weight_col else {}))
     elif kind == "gbt":
-        est = GBTClassifier(maxIter=min(max_iter, 50), seed=seed, labelCol=label, featuresCol="features",
+        est = GBTClassifier(maxIter=max_iter, seed=seed, labelCol=label, featuresCol="features",
                             **({"weightCol": weight_col} if weight_col else {}))
     else:
         raise ValueError(kind)

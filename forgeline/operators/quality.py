@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import grade, null_count_expr, qi, truthy
-from ..functions.quantiles import quantile_wide
+from ..functions.quantiles import quantile_wide, unpivot
 from .cleansing import clip_columns, drop_sparse_rows, fill_values, keep_label_domain, replace_infinite
 from .profiling import sparse_columns
 
@@ -106,27 +106,30 @@ class WideCascade:
         return self._memo[key]
 
     # -- uniqueness
-    def _uniqueness(self) -> tuple[int, int]:
-        """(rows, rows whose sensor vector repeats), read off the dedupe
-        aggregation (which counts each group while picking its first row)."""
+    def _uniqueness(self) -> tuple[int, int, int]:
+        """(rows, rows whose sensor vector repeats, distinct vectors), read off
+        the dedupe aggregation (which counts each group while picking its first
+        row)."""
         def calc():
             r = (self._grouped().agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
-                                     F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e"))
-                 .first())
-            return int(r["n"]), int(r["e"])
+                                     F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("e"),
+                                     F.count(F.lit(1)).alias("d")).first())
+            return int(r["n"]), int(r["e"]), int(r["d"])
         return self._m("uni", calc)
 
     def _grouped(self) -> DataFrame:
-        """One aggregation per distinct sensor vector: its first row (min_by
-        over the order) and its size; persisted, every later stage reads it."""
+        """One aggregation per distinct sensor vector: the other columns of its
+        first row (min_by over the order) and its size; persisted, every later
+        stage reads it.  The sensors are the grouping keys, so they cross the
+        shuffle once."""
         def calc():
-            cols = self.raw.columns
             order = [F.col(o) if isinstance(o, str) else o for o in self.order_by]
             okey = order[0] if len(order) == 1 else F.struct(*order)
+            others = [c for c in self.raw.columns if c not in self.sensors]
+            first = [F.min_by(F.struct(*[F.col(c) for c in others]), okey).alias("_row")] if others else []
             h = self.raw.withColumn("_h", F.xxhash64(*self.sensors))
-            g = (h.groupBy("_h", *self.sensors)
-                 .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), okey).alias("_row"), F.count("*").alias("_c"))
-                 .select("_row.*", "_c"))
+            g = (h.groupBy("_h", *self.sensors).agg(*first, F.count("*").alias("_c"))
+                 .select(*[F.col(f"_row.`{c}`").alias(c) if c in others else F.col(f"`{c}`") for c in self.raw.columns], "_c"))
             return g.persist(StorageLevel.MEMORY_AND_DISK)
         return self._m("grouped", calc)
 
@@ -151,36 +154,29 @@ class WideCascade:
                                                         self.live(), self.row_thr))
 
     def row_stats(self) -> tuple[int, int]:
-        """(sparse rows dropped, NULL cells left) -- with the +-Inf cell count
-        of the kept rows from the same aggregation (filling NULLs does not
-        touch infinities)."""
+        """(sparse rows dropped, NULL cells left).
+
+        One long-form pass over the kept rows gives every live column its finite
+        range and its numbers of finite, NULL and infinite cells (filling NULLs
+        doesn't touch infinities); the plan is linear in the columns and the
+        result has one row per column."""
         def calc():
-            live = self.live()
-            rate = null_count_expr(live).cast("double") / F.lit(float(len(live)))
-            kept = ~(rate > self.row_thr)
-            infs = None
-            for c in live:
-                t = F.coalesce((F.abs(F.col(c)) == float("inf")).cast("long"), F.lit(0))
-                infs = t if infs is None else infs + t
-            per_col = []
-            for c in live:  # finite values of kept rows: min, max, count; NULLs; infinities
-                fin = F.when(kept & ~(F.abs(F.col(c)) == float("inf")), F.col(c))
-                per_col += [F.min(fin).alias(f"mn_{c}"), F.max(fin).alias(f"mx_{c}"), F.count(fin).alias(f"n_{c}"),
-                            F.sum(F.when(kept & F.col(c).isNull(), 1).otherwise(0)).alias(f"z_{c}"),
-                            F.sum(F.when(kept & (F.abs(F.col(c)) == float("inf")), 1).otherwise(0)).alias(f"i_{c}")]
-            st = self.deduped().agg(
-                F.sum((~kept).cast("long")).alias("rows"),
-                F.sum(F.when(kept, null_count_expr(live)).otherwise(F.lit(0))).alias("cells"),
-                F.sum(F.when(kept, infs).otherwise(F.lit(0))).alias("infs"), *per_col).first()
-            cols = {c: (st[f"mn_{c}"], st[f"mx_{c}"], int(st[f"n_{c}"]), int(st[f"z_{c}"]), int(st[f"i_{c}"]))
-                    for c in live}
-            return int(st["rows"] or 0), int(st["cells"] or 0), int(st["infs"] or 0), cols
+            v, inf = F.col("value"), F.abs("value") == float("inf")
+            finite = F.when(~inf, v)
+            st = (unpivot(self.rows_kept(), self.live()).groupBy("sensor")
+                  .agg(F.min(finite).alias("mn"), F.max(finite).alias("mx"), F.count(finite).alias("n"),
+                       F.sum(v.isNull().cast("long")).alias("z"), F.sum(truthy(inf).cast("long")).alias("i")).collect())
+            cols = {c: (None, None, 0, 0, 0) for c in self.live()}
+            cols |= {r["sensor"]: (r["mn"], r["mx"], r["n"], r["z"], r["i"]) for r in st}
+            kept = max((n + z + i for _, _, n, z, i in cols.values()), default=0)  # the same for every column
+            dropped = self._uniqueness()[2] - kept if cols else 0
+            return dropped, sum(x[3] for x in cols.values()), sum(x[4] for x in cols.values()), cols
         r = self._m("rowstats", calc)
         return r[0], r[1]
 
     def medians(self) -> dict:
         return self._m("med", lambda: {c: v.get(0.5) for c, v in quantile_wide(
-            self.rows_kept(), self.live(), [0.5], max_rows=self.n_original()).items()})
+            self.rows_kept(), self.live(), [0.5]).items()})
 
     def filled(self) -> DataFrame:
         return self._m("filled", lambda: fill_values(self.rows_kept(), self.medians()))
@@ -194,7 +190,7 @@ class WideCascade:
         """Column medians after +-Inf became NULL (the repair values)."""
         def calc():
             nulls = replace_infinite(self.filled(), self.live())
-            med = quantile_wide(nulls, self.live(), [0.5], max_rows=self.n_original())
+            med = quantile_wide(nulls, self.live(), [0.5])
             return {c: med[c].get(0.5) for c in self.live()}
         return self._m("med2", calc)
 
@@ -243,7 +239,7 @@ class WideCascade:
     # -- consistency
     def bounds(self) -> dict:
         def calc():
-            q = quantile_wide(self.nonconstant(), self.valid_cols(), [0.25, 0.75], max_rows=self.n_original())
+            q = quantile_wide(self.nonconstant(), self.valid_cols(), [0.25, 0.75])
             out = {}
             for c in self.valid_cols():
                 q1, q3 = q[c].get(0.25), q[c].get(0.75)

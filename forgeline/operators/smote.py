@@ -109,7 +109,7 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
         kk = min(k, n - 1)
         minority = df.where(F.col(label) == cls).select(key, *features, label)
         nn = knn_exact(minority, key, features, kk, seed)
-        quota = df.sparkSession.createDataFrame([(cls, need % n)], f"{label} {dict(df.dtypes)[label]}, q long")
+        quota = df.sparkSession.createDataFrame([(cls, need % n)], f"`{label}` {dict(df.dtypes)[label]}, q long")
         flagged = hash_quota(minority, label, key, seed, quota, "_extra")
         copies = F.lit(need // n) + F.col("_extra").cast("long")
         drawn = (explode_copies(flagged.select(key, label, copies.alias("_n")), F.col("_n"), "_copy").drop("_n")

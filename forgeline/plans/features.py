@@ -74,7 +74,12 @@ SPLIT_SQL = f"""
 WITH base AS (SELECT {LINE_KEY_SQL} AS line_id, l_linestatus, l_quantity, l_extendedprice, l_discount FROM lineitem),
 rk AS (SELECT *, row_number() OVER (PARTITION BY l_linestatus ORDER BY md5(CAST(line_id AS VARCHAR) || '42')) AS r,
               COUNT(*) OVER (PARTITION BY l_linestatus) AS n FROM base),
-sp AS (SELECT *, CASE WHEN r <= (n * 20 + 99) // 100 THEN 'test' ELSE 'train' END AS split FROM rk)"""
+parts AS (SELECT l_linestatus, COUNT(*) AS n, COUNT(*) * 20 // 100 AS base, COUNT(*) * 20 % 100 AS rest
+          FROM base GROUP BY l_linestatus),
+quota AS (SELECT l_linestatus, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, n DESC, l_linestatus)
+                 <= (SELECT (SUM(n) * 20 + 99) // 100 - SUM(base) FROM parts) THEN 1 ELSE 0 END AS q FROM parts),
+sp AS (SELECT rk.*, CASE WHEN r <= q THEN 'test' ELSE 'train' END AS split
+       FROM rk JOIN quota ON rk.l_linestatus = quota.l_linestatus)"""
 
 
 @register("q_split", SPLIT_SQL + "\nSELECT line_id, l_linestatus, split FROM sp")
@@ -153,11 +158,22 @@ def q_oversample(spark, sf_dir):
     return fe.oversample(lab, "quality", "doc_id", seed=42).select("doc_id", "quality", "copy")
 
 
-@register("q_balanced")
+def _unit_sql(what: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5(CAST(j AS VARCHAR) || '-42-{what}'), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0"
+
+
+@register("q_balanced", f"""
+WITH c AS (SELECT quality, COUNT(*) AS n, row_number() OVER (ORDER BY quality NULLS FIRST) - 1 AS i FROM labels GROUP BY quality),
+rk AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS r FROM labels),
+j AS (SELECT unnest(range((SELECT COUNT(*) FROM labels))) AS j),
+d AS (SELECT CAST(floor({_unit_sql('class')} * (SELECT COUNT(*) FROM c)) AS BIGINT) AS i, {_unit_sql('row')} AS u FROM j),
+t AS (SELECT c.quality, CAST(floor(u * n) AS BIGINT) AS r, COUNT(*) AS times FROM d JOIN c ON d.i = c.i GROUP BY 1, 2)
+SELECT rk.doc_id, rk.quality, CAST(copy AS BIGINT) AS copy
+FROM t JOIN rk ON t.quality = rk.quality AND t.r = rk.r, unnest(range(times)) x(copy)""")
 def q_balanced(spark, sf_dir):
-    """F8: weighted sampling with replacement (Poisson draws; rows-only check)."""
+    """F8: weighted sampling with replacement, hashed draws."""
     lab = v.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return fe.balanced_sample(lab, "quality", seed=42)
+    return fe.balanced_sample(lab, "quality", "doc_id", seed=42)
 
 
 @register("q_shuffle", """

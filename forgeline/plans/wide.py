@@ -157,7 +157,7 @@ def q_constant_columns(spark, sf_dir):
 def q_iqr_fences(spark, sf_dir):
     """Exact quartiles and 3*IQR fences of the valid sensors."""
     c = cascade(spark, sf_dir)
-    f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), fx.IQR_K, max_rows=c.n_original())
+    f = ou.iqr_fences(c.nonconstant(), c.valid_cols(), fx.IQR_K)
     c.release()  # the fence table is a local frame of collected quantiles
     return f.select("column", *[r6(x).alias(x) for x in ("q1", "q3", "iqr", "lower", "upper")])
 

@@ -37,14 +37,17 @@ def get_session(master: str | None = None, partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a private folder is created only when
-    the session has none (local tests)."""
+    The cluster's setting always wins.  A private folder is made only when none
+    is set and the master is local (tests); off-local that is an error, because
+    every executor would write to its own disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="forgeline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -68,6 +68,12 @@ def metrics_row(spark: SparkSession, **metrics) -> DataFrame:
 
 
 def with_seq(df: DataFrame, name: str = "seq") -> DataFrame:
-    """File order as an explicit column: (file, row-in-file) order is what
-    the reader yields, captured once right after the scan."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """File order as an explicit column, for a frame read straight from files.
+
+    Spark numbers partitions by size, not by name, so a running row id alone
+    would put a large later file before a small earlier one.  The order value is
+    a struct of file path, block start and the row's id, which ascends within a
+    block; it compares in that order."""
+    meta = F.col("_metadata")
+    return df.withColumn(name, F.struct(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
+                                        F.monotonically_increasing_id().alias("row")))

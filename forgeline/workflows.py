@@ -121,7 +121,7 @@ def ai4i_prepare(df: DataFrame, improved: bool = False) -> tuple[DataFrame, Data
     numeric = AI4I_NUMERIC + (["power", "temp_diff"] if improved else [])
     sp = fe.stratified_split(work, target, "UDI", test_percent=fx.TEST_PERCENT, seed=fx.SEED)
     params = fe.fit_standard(sp.where(F.col("split") == "train"), numeric)
-    scaled = fe.apply_scale(sp, params).drop("UDI")
+    scaled = fe.apply_scale(sp, params)  # UDI stays: the key of reproducible sampling, not a feature
     return (scaled.where(F.col("split") == "train").drop("split"),
             scaled.where(F.col("split") == "test").drop("split"), {"scaler": params, "categories": cats})
 
@@ -130,37 +130,66 @@ def ai4i_prepare(df: DataFrame, improved: bool = False) -> tuple[DataFrame, Data
 WELD_COLS = ["DV_R", "DA_R", "AV_R", "AA_R", "PM_R"]
 
 
-def welding_windows(normal: DataFrame, outlier: DataFrame) -> DataFrame:
-    """Two welding files (normal, outlier), each with an explicit ``seq``:
-    constant 0/1 label per file, then 20-in / 20-gap / 20-out windows with
-    the label 60 rows ahead, per file."""
-    a = cl.with_constant(normal.select("seq", *WELD_COLS), "FIN_JGMT", 0).withColumn("series", F.lit("normal"))
+WELD_TRAIN_ROWS = 60_000  # fixed: the first normal rows train the model
+
+
+def welding_prepare(normal: DataFrame, outlier: DataFrame, train_rows: int = WELD_TRAIN_ROWS) -> DataFrame:
+    """Two welding files (normal, outlier), each with an explicit ``seq``: the
+    first ``train_rows`` normal rows are the part 'train', the rest 'normal', the
+    outlier file 'outlier'; label 0/1 per file; all columns min-max scaled with
+    the constants of the train part."""
+    split = fe.split_by_ordinal(normal.select("seq", *WELD_COLS), ["seq"], train_rows, "series", "train", "normal").drop("_ord")
+    a = cl.with_constant(split, "FIN_JGMT", 0)
     b = cl.with_constant(outlier.select("seq", *WELD_COLS), "FIN_JGMT", 1).withColumn("series", F.lit("outlier"))
-    both = a.unionByName(b)
+    params = fe.fit_minmax(a.where(F.col("series") == "train"), WELD_COLS)
+    return fe.apply_scale(a.unionByName(b), params)
+
+
+def welding_windows(normal: DataFrame, outlier: DataFrame, train_rows: int | None = None) -> DataFrame:
+    """20-in / 20-gap / 20-out windows with the label 60 rows ahead, within each
+    part of ``welding_prepare`` (``train_rows`` None: each file is one unscaled
+    part)."""
+    if train_rows is None:
+        a = cl.with_constant(normal.select("seq", *WELD_COLS), "FIN_JGMT", 0).withColumn("series", F.lit("normal"))
+        b = cl.with_constant(outlier.select("seq", *WELD_COLS), "FIN_JGMT", 1).withColumn("series", F.lit("outlier"))
+        both = a.unionByName(b)
+    else:
+        both = welding_prepare(normal, outlier, train_rows)
     return sq.sequence_windows(both, "series", ["seq"], WELD_COLS, label="FIN_JGMT",
                                length=fx.WINDOW_LENGTH, gap=fx.WINDOW_GAP, horizon=fx.WINDOW_HORIZON)
 
 
-def ai4i_train_evaluate(train: DataFrame, test: DataFrame, kind: str = "mlp", balance: str = "weights",
+def balance_rows(train: DataFrame, target: str, feats, how: str, key: str = "UDI") -> tuple[DataFrame, str | None]:
+    """Training rows under a balancing scheme, and the weight column if it has one."""
+    if how == "weights":
+        return fe.with_row_weight(train, target, "_w"), "_w"
+    if how == "sampler":
+        return fe.balanced_sample(train, target, key, seed=fx.SEED).drop("copy"), None
+    if how == "smote":
+        from .operators.smote import smote
+        return smote(train.select(key, *feats, target), key, feats, target, seed=fx.SEED).select(*feats, target), None
+    if how == "oversample":
+        return fe.oversample(train, target, key, seed=fx.SEED).drop("copy"), None
+    if how == "none":
+        return train, None
+    raise ValueError(f"balance: {how}")
+
+
+def ai4i_train_evaluate(train: DataFrame, test: DataFrame, kind: str = "mlp", balance: str = "sampler",
                         hidden=(32, 16), max_iter: int = 100) -> tuple[object, DataFrame, float]:
     """Train the failure classifier and evaluate it on the test rows.
 
-    ``balance``: 'weights' (inverse class frequency as row weights, the
-    weighted-sampler role; honoured by logistic/gbt), 'oversample' (exact
-    random oversampling of the minority) or 'none'.  Returns (model, one-row
-    metrics at 0.5 and at the best-F1 threshold, best threshold)."""
+    ``balance``: 'sampler' (draws with replacement, weight 1 / class size),
+    'smote' (synthetic minority rows), 'oversample' (exact replication of the
+    minority), 'weights' (inverse class frequency as row weights; logistic and gbt
+    only, an error for the perceptron) or 'none'.  Returns (model, one-row metrics
+    at 0.5 and at the best-F1 threshold, best threshold)."""
     from .operators import evaluation as ev
     from .operators import models as mo
     target = "Machine failure"
-    feats = [c for c in train.columns if c != target]
-    fit_on = train
-    weight = None
-    if balance == "weights":
-        fit_on, weight = fe.with_row_weight(train, target, "_w"), "_w"
-    elif balance == "oversample":
-        keyed = train.withColumn("_rid", F.monotonically_increasing_id())
-        fit_on = fe.oversample(keyed, target, "_rid", seed=fx.SEED).drop("_rid", "copy")
-    model = mo.fit_classifier(fit_on, feats, target, kind=kind, weight_col=weight if kind != "mlp" else None,
+    feats = [c for c in train.columns if c not in (target, "UDI")]
+    fit_on, weight = balance_rows(train, target, feats, balance)
+    model = mo.fit_classifier(fit_on, feats, target, kind=kind, weight_col=weight,
                               hidden=hidden, max_iter=max_iter, seed=fx.SEED)
     scored = mo.score(model, test, "probability")
     thr = ev.best_f1_threshold(scored, target, "probability", eps=fx.F1_EPSILON).first()["threshold"]
@@ -199,17 +228,17 @@ def ai4i_score(model, params: dict, records: DataFrame, threshold: float = fx.DE
 
 def welding_evaluate(windows: DataFrame, firsts: dict, lo: float = 0.0, hi: float = 20.0, n: int = 100,
                      purge: int = 0) -> tuple[float, DataFrame, DataFrame]:
-    """Window anomaly evaluation: per class the first ``firsts[class]``
-    windows are the validation split (optionally purging overlaps); a
-    forecaster per feature is fitted on the normal validation windows; the
+    """Window anomaly evaluation: the windows of the part 'train' fit a
+    forecaster per feature; of the others, per class the first ``firsts[class]``
+    windows are the validation split (optionally purging overlaps); the
     last-step error is swept over linspace(lo, hi, n) with strict '>' on the
     validation split and the first minimum of |P - R| is chosen; returns
     (threshold, sweep table, test metrics)."""
     from .operators import evaluation as ev
     from .operators import models as mo
-    sp = sq.split_windows(windows, "label", firsts, "series", ["series", "start_ordinal"], purge=purge)
-    valid = sp.where(F.col("split") == "valid")
-    models = mo.fit_forecaster(valid.where(F.col("label") == 0), WELD_COLS, max_iter=50)
+    train = windows.where(F.col("series") == "train")
+    sp = sq.split_windows(windows.where(F.col("series") != "train"), "label", firsts, "series", ["series", "start_ordinal"], purge=purge)
+    models = mo.fit_forecaster(train, WELD_COLS, max_iter=50)
     err = sq.forecast_error(mo.forecast(sp, models, WELD_COLS), WELD_COLS,
                             {c: F.col(f"pred_{c}") for c in WELD_COLS})
     sweep = ev.sweep_thresholds(err.where(F.col("split") == "valid"), "label", "error", lo, hi, n)

@@ -95,3 +95,12 @@ def test_auc_agrees_with_spark_ml_exact_evaluator(spark):
     ml = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", metricName="areaUnderROC",
                                        numBins=0).evaluate(df.withColumn("y", df["y"].cast("double")))
     assert abs(ours - ml) < 1e-12
+
+
+def test_auc_of_counts_beyond_a_long_product(spark):
+    from forgeline.operators.evaluation import auc_of_table
+    big = 4_000_000_000
+    cum = spark.createDataFrame([(0.1, 0, big, big), (0.9, big, 0, big)], "score double, pos long, neg long, cum_neg long")
+    assert auc_of_table(cum).first()["auc"] == 1.0
+    tie = spark.createDataFrame([(0.5, big, big, big)], "score double, pos long, neg long, cum_neg long")
+    assert auc_of_table(tie).first()["auc"] == 0.5

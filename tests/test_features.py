@@ -57,7 +57,7 @@ def test_class_weights_and_balanced_sample(spark):
     df = labelled(spark, n=2000, pos=100)
     w = {r["y"]: r["weight"] for r in fe.class_weights(df, "y").collect()}
     assert w == {0: 1 / 1900, 1: 1 / 100}
-    bs = fe.balanced_sample(df, "y", seed=3)
+    bs = fe.balanced_sample(df, "y", "id", seed=3)
     c = {r["y"]: r["count"] for r in bs.groupBy("y").count().collect()}
     assert abs(c[0] - 1000) < 150 and abs(c[1] - 1000) < 150
 
@@ -85,3 +85,27 @@ def test_explode_copies_slices_large_replication(spark):
     out = fe.explode_copies(df, F.col("n"), "copy", slice_size=4)
     got = sorted((r["id"], r["copy"]) for r in out.collect())
     assert got == [(1, i) for i in range(7)] + [(3, i) for i in range(25)]
+
+
+def test_split_quota_is_the_largest_remainder(spark):
+    """10,000 rows with 339 of one class: exactly 2,000 test rows, 68 of them."""
+    df = spark.range(10_000).select(F.col("id"), (F.col("id") < 339).cast("int").alias("y"))
+    out = {(r["y"], r["split"]): r["n"] for r in fe.stratified_split(df, "y", "id", 20, 42).groupBy("y", "split").agg(F.count("*").alias("n")).collect()}
+    assert out == {(1, "test"): 68, (1, "train"): 271, (0, "test"): 1932, (0, "train"): 7729}
+
+
+def test_split_moves_no_rows(spark):
+    """Only the per-class tables are exchanged, never the rows' other columns."""
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("y"), F.lit("x").alias("payload"))
+    plan = fe.stratified_split(df, "y", "id")._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert shuffles and not any("payload" in line for line in shuffles)
+
+
+def test_balanced_sample_keeps_a_null_class(spark):
+    df = spark.createDataFrame([(i, None if i < 10 else i % 2) for i in range(3000)], "id long, y int")
+    out = fe.balanced_sample(df, "y", "id")
+    n = {r["y"]: r["n"] for r in out.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert sum(n.values()) == 3000 and set(n) == {None, 0, 1}
+    assert all(900 < v < 1100 for v in n.values())
+    assert out.exceptAll(fe.balanced_sample(df.repartition(7), "y", "id")).count() == 0

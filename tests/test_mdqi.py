@@ -30,7 +30,7 @@ def fixture():
     return pd.concat([pdf, dup], ignore_index=True)
 
 
-def pandas_mdqi(df):
+def pandas_mdqi(df, S=S):
     qi = lambda n, e: (n - e) / n * 100 if n else 0.0
     n0, nc = len(df), len(S)
     sensors = list(S)
@@ -76,3 +76,36 @@ def test_mdqi_matches_pandas(spark):
         assert abs(got[k] - v) < 1e-9, (k, got[k], v)
     assert c.dropped_columns() == ["s4"] and c.constant() == ["s2"]
     assert got["grade"] in {"S", "A", "B", "C"}
+
+
+def test_mdqi_at_the_source_width(spark, tmp_path):
+    """1,567 rows x 590 sensors from a CSV, as the source workload has them."""
+    import time
+
+    from forgeline.workflows import read_secom, secom_mdqi
+    rng = np.random.default_rng(8)
+    rows, width = 1567, 590
+    x = np.round(rng.normal(10, 3, (rows, width)), 3)
+    x[:, :116] = np.arange(116)                                   # constant sensors
+    x[rng.random(x.shape) < 0.045] = np.nan
+    x[: int(rows * 0.6), 560:] = np.nan                           # sparse sensors
+    x[3, 130], x[4, 131], x[5, 132] = np.inf, -np.inf, 1e6
+    x[9, 100:560] = np.nan                                        # sparse row
+    x[20] = x[21]                                                 # repeated sensor vector
+    names = [str(i) for i in range(width)]
+    pdf = pd.DataFrame(x, columns=names)
+    label = np.where(rng.random(rows) < 0.07, 1.0, -1.0)
+    label[[30, 31]] = [0, np.nan]
+    out = pdf.copy()
+    out.insert(0, "Time", [f"t{i}" for i in range(rows)])
+    out["Pass/Fail"] = pd.array(np.where(np.isnan(label), None, label), dtype="Int64")
+    out.replace({np.inf: "Infinity", -np.inf: "-Infinity"}).to_csv(tmp_path / "secom.csv", index=False)
+    start = time.time()
+    score, clean = secom_mdqi(read_secom(spark, str(tmp_path / "secom.csv"), width))
+    got = score.first().asDict()
+    assert time.time() - start < 120
+    pdf["label"] = label
+    want = pandas_mdqi(pdf, names)
+    for k, v in want.items():
+        assert abs(got[k] - v) < 1e-9, (k, got[k], v)
+    assert clean.count() == want["rows_final"]

@@ -78,7 +78,7 @@ def test_ai4i_prepare(spark):
     train, test, params = wf.ai4i_prepare(spark.createDataFrame(pdf), improved=True)
     assert params["categories"] == ["H", "L", "M"]
     assert {"Type_L", "Type_M", "power", "temp_diff"} <= set(train.columns)
-    assert not {"TWF", "UDI", "Product ID", "Type_H"} & set(train.columns)
+    assert not {"TWF", "Product ID", "Type_H"} & set(train.columns)
     assert test.count() == 40 and test.where("`Machine failure` = 1").count() == 4
     m = train.agg(F.avg("Torque [Nm]"), F.stddev_pop("Torque [Nm]")).first()
     assert abs(m[0]) < 1e-9 and abs(m[1] - 1) < 1e-9
@@ -126,12 +126,16 @@ def test_ai4i_train_evaluate_and_score_records(spark):
 
 
 def test_welding_evaluate_separates_anomalies(spark):
-    t = np.arange(400)
+    t = np.arange(700)
     normal = pd.DataFrame({"seq": t, **{c: np.sin(t / 10 + k) for k, c in enumerate(wf.WELD_COLS)}})
     rng = np.random.default_rng(3)
-    noisy = pd.DataFrame({"seq": t, **{c: np.sin(t / 10 + k) + rng.normal(0, 3, 400) for k, c in enumerate(wf.WELD_COLS)}})
-    w = wf.welding_windows(spark.createDataFrame(normal), spark.createDataFrame(noisy))
-    thr, sweep, m = wf.welding_evaluate(w, {0: 170, 1: 170}, 0.0, 20.0, 100, purge=60)
+    noisy = pd.DataFrame({"seq": t, **{c: np.sin(t / 10 + k) + rng.normal(0, 12, 700) for k, c in enumerate(wf.WELD_COLS)}})
+    w = wf.welding_windows(spark.createDataFrame(normal), spark.createDataFrame(noisy), train_rows=300)
+    parts = {r["series"]: (r["n"], r["lo"]) for r in w.groupBy("series").agg(F.count("*").alias("n"), F.min("start_ordinal").alias("lo")).collect()}
+    assert parts == {"train": (240, 0), "normal": (340, 0), "outlier": (640, 0)}  # no window spans two parts
+    scaled = wf.welding_prepare(spark.createDataFrame(normal), spark.createDataFrame(noisy), 300).where("series = 'train'")
+    assert scaled.agg(F.min("DV_R"), F.max("DV_R")).first()[0:2] == (0.0, 1.0)
+    thr, sweep, m = wf.welding_evaluate(w, {0: 150, 1: 170}, 0.0, 20.0, 100, purge=60)
     assert sweep.count() == 100 and sweep.where("chosen").count() == 1
     r = m.first()
     assert r["accuracy"] >= 0.9 and r["f1"] >= 0.9 and 0.0 <= thr <= 20.0
@@ -152,3 +156,33 @@ def test_readers_for_source_files(spark, tmp_dir):
         f.write("t0,E1,RH,5,60,230,Y,None,x\n")
     m = wf.read_moulding(spark, q).first()
     assert m["Injection_Time"] == 5.0 and m["Reason"] is None and m["Other"] == "x"
+
+
+def test_balancing_schemes_and_the_unsupported_pair(spark):
+    import pytest
+    train, test, _ = wf.ai4i_prepare(_ai4i_frame(spark))
+    feats = [c for c in train.columns if c not in ("Machine failure", "UDI")]
+    n = {r[0]: r[1] for r in train.groupBy("Machine failure").count().collect()}
+    for how in ("sampler", "smote", "oversample"):
+        rows, weight = wf.balance_rows(train, "Machine failure", feats, how)
+        got = {r[0]: r[1] for r in rows.groupBy("Machine failure").count().collect()}
+        assert weight is None
+        if how == "sampler":
+            assert sum(got.values()) == sum(n.values()) and abs(got[1] - got[0]) < 0.2 * sum(n.values())
+        else:
+            assert got[0] == got[1] == max(n.values())
+    with pytest.raises(ValueError):
+        wf.ai4i_train_evaluate(train, test, kind="mlp", balance="weights")
+
+
+def test_files_keep_their_order(spark, tmp_dir):
+    """A small file before a large one: rows are numbered in file order."""
+    from forgeline.sources import io
+    d = os.path.join(tmp_dir, "many")
+    os.makedirs(d)
+    for name, rows in (("a.csv", 3), ("b.csv", 30000)):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("x\n" + "\n".join(f"{name[0]}{i}" for i in range(rows)) + "\n")
+    df = io.with_seq(io.read_table(spark, d, "x string"))
+    got = [r["x"] for r in df.orderBy("seq").limit(5).collect()]
+    assert got == ["a0", "a1", "a2", "b0", "b1"]
