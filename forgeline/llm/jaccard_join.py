@@ -48,8 +48,9 @@ from forgeline.llm.tokens import U, blocks, mix, ngrams, tokens
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100  # linked when DENOMINATOR * |both| >= NUMERATOR * |either|
-SKETCH = 1 << 22
+SKETCH = 1 << 24  # cells, one byte each in the broadcast
 SKETCH_CHUNKS = 64
+LEVELS = 8  # a cell holds 8 log2(1 + count)
 HOT_GROUP = 4_096  # sets of one shingle dealt together
 DOCS_PER_SHARD = 4_000
 LEAST_SHARDS = 64
@@ -97,8 +98,8 @@ def needed(n: int, m) -> np.ndarray:
 
 
 def _in_order(grams: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in global order within each row, and their sketch counts."""
-    count = sketch[(grams & U(SKETCH - 1)).astype(np.int64)]
+    """Shingles in global order within each row, and their sketch levels."""
+    count = sketch[(grams & U(SKETCH - 1)).astype(np.int64)].astype(np.int64)
     order = np.lexsort((grams, -count, of))
     return grams[order], count[order]
 
@@ -134,14 +135,14 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         total = np.zeros(size, np.uint64)
         for x in table.column("counts").to_pylist():
             total += np.frombuffer(pa.decompress(x, size * 4, "zstd"), np.uint32)
-        total = np.minimum(total, 2**31 - 1).astype(np.int32)
+        total = np.minimum(LEVELS * np.log2(total + 1.0), 255).astype(np.uint8)
         return pa.Table.from_pydict({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     both = cut(docs.select("doc_id", "content", "text").mapInArrow(run, "doc_id long, content long, n long, name long, chunk int, counts binary"))
-    sketch = np.zeros(SKETCH, np.int32)
+    sketch = np.zeros(SKETCH, np.uint8)
     parts = both.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
     for r in parts.collect():  # SKETCH_CHUNKS rows of fixed size
-        sketch[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(r["counts"], np.int32)
+        sketch[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(r["counts"], np.uint8)
     return both.where("chunk is null").select("doc_id", "content", "n", "name"), sketch
 
 
@@ -174,16 +175,17 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
                 grams, of = grams[some], of[some]
                 if not len(grams):
                     continue
-                grams, count = _in_order(grams, of, counts)
+                grams, level = _in_order(grams, of, counts)
+                count = np.exp2((level + 1) / LEVELS)  # at least the true one
                 end = np.cumsum(np.where(new, n, 0))
                 place = end[of] - np.arange(len(grams))  # 1 for the last shingle
                 prefix = n - -(-NUMERATOR * n // DENOMINATOR) + 1
-                score = np.bincount(of, np.log2(count + 1.0), len(n)) / np.maximum(n, 1)
+                score = np.bincount(of, level, len(n)) / np.maximum(n, 1)
                 rare = place <= prefix[of]
                 # the place in the prefix as a byte, rounded towards the rare end
                 key, of, count, place = grams[rare], of[rare], count[rare], place[rare]
                 place = (255 * (place - 1) // np.maximum(prefix[of] - 1, 1)).astype(np.uint8)
-                salts = np.maximum(1, -(-count // HOT_GROUP)).astype(np.uint64)
+                salts = np.maximum(1, np.ceil(count / HOT_GROUP)).astype(np.uint64)
                 salt = np.where(salts > 1, mix(names[of].view(np.uint64)) % salts + U(1), U(0))  # 0: not split
                 shard = ((mix(key + salt * U(0x9E3779B97F4A7C15)) >> U(32)) * U(shards) >> U(32)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")

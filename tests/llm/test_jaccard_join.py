@@ -118,7 +118,10 @@ def test_trie_finds_all_partners(seed):
         assert sorted(trie.partners(s)) == want
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("part", [500_000, 7])
+def test_connected_components(spark, monkeypatch, part):
+    import sys
+    monkeypatch.setattr(sys.modules["forgeline.llm.components"], "PART", part)
     links = [(i, i + 1) for i in range(30)] + [(100, x) for x in range(200, 260)] + [(5, 5), (7, 400), (None, 3)]
     got_ = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()}
     want = {i: 0 for i in [*range(1, 31), 400]} | {i: 100 for i in range(200, 260)}
