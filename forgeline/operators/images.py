@@ -146,3 +146,26 @@ def vector_anomaly(df: DataFrame, key: str, vec: str, label: str, normal_label=0
     scored = df.withColumn("error", F.aggregate(sq, F.lit(0.0), lambda a, x: a + x) / F.lit(float(dims)))
     thr = scored.where(F.col(label) == normal_label).agg(F.max("error")).first()[0]
     return scored.withColumn("verdict", (F.col("error") >= F.lit(thr)).cast("int"))
+
+
+def map_anomaly(df: DataFrame, key: str, vec: str, label: str, size: int, kernel: int = 15,
+                normal_label=0) -> DataFrame:
+    """G8-G13 on one-channel maps stored as flat arrays of size * size values: the
+    mean of the normal maps is the reconstruction (G8), the squared difference the
+    error map (G9), Gaussian-smoothed (G10); the score is its maximum (G11), the
+    verdict score >= the largest normal score (G12), and ``heatmap`` the map
+    rescaled to 0..255 (G13)."""
+    maps = df.select(key, label, F.transform(vec, lambda x: x.cast("double")).alias("pixels"))
+    normal = fit_normal_image(maps.where(F.col(label) == normal_label))  # size * size numbers
+    mean = F.array(*[F.lit(float(x)) for x in normal])
+    errors = maps.withColumn("error", F.zip_with("pixels", mean, lambda x, m: (x - m) * (x - m)))
+    k = gaussian_kernel(kernel)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def smooth(px: pd.Series) -> pd.Series:
+        return pd.Series([_blur(np.asarray(p, float).reshape(size, size), k).ravel().tolist() for p in px])
+
+    scored = image_score(errors.withColumn("error_map", smooth("error")))
+    largest = scored.where(F.col(label) == normal_label).agg(F.max("score")).first()[0]
+    verdict = F.when(F.col("score") >= F.lit(largest), F.lit("NG")).otherwise(F.lit("OK"))
+    return normalise_map(scored.withColumn("verdict", verdict)).drop("pixels", "error")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import cleansing as cl
 from ..operators import history as hi
 from ..operators import images as im
 from . import fixed as fx
@@ -103,3 +104,74 @@ def q_vector_anomaly(spark, sf_dir):
     emb = v.table(spark, sf_dir, "embeddings")
     return im.vector_anomaly(emb, "vec_id", "embedding", "label", normal_label=0).select(
         "vec_id", "label", F.round("error", 9).alias("error"), "verdict")
+
+
+@register("q_map_anomaly", """
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+c AS (SELECT pos, AVG(CAST(x AS DOUBLE)) AS mu FROM e WHERE label = 0 GROUP BY pos),
+m AS (SELECT vec_id, label, e.pos // 8 AS y, e.pos % 8 AS x, pow(CAST(e.x AS DOUBLE) - mu, 2) AS v FROM e JOIN c ON e.pos = c.pos),
+taps AS (SELECT d, exp(-(d * d) / (2 * 2.6 * 2.6)) AS g FROM range(-7, 8) t(d)),
+g AS (SELECT d, g / (SELECT SUM(g) FROM taps) AS g FROM taps),
+places AS (SELECT i, d, g, CASE WHEN i + d < 0 THEN -(i + d) WHEN i + d > 7 THEN 14 - (i + d) ELSE i + d END AS j FROM range(8) t(i), g),
+down AS (SELECT vec_id, any_value(label) AS label, p.i AS y, m.x, SUM(v * g) AS v FROM m JOIN places p ON m.y = p.j GROUP BY vec_id, p.i, m.x),
+across AS (SELECT vec_id, any_value(label) AS label, y, p.i AS x, SUM(v * g) AS v FROM down JOIN places p ON down.x = p.j GROUP BY vec_id, y, p.i),
+s AS (SELECT vec_id, any_value(label) AS label, MAX(v) AS score, MIN(v) AS low, AVG(v) AS mean FROM across GROUP BY vec_id),
+t AS (SELECT MAX(score) AS t FROM s WHERE label = 0)
+SELECT vec_id, label, ROUND(score, 9) AS score, CASE WHEN score >= t - 1e-12 THEN 'NG' ELSE 'OK' END AS verdict,
+       ROUND((mean - low) / CASE WHEN score > low THEN score - low ELSE 1.0 END * 255.0, 6) AS heat_mean FROM s, t""")
+def q_map_anomaly(spark, sf_dir):
+    """G8-G13 on the embeddings as 8 x 8 maps: mean, error map, smoothing,
+    maximum, verdict and rescaled map (its mean is returned)."""
+    emb = v.table(spark, sf_dir, "embeddings")
+    out = im.map_anomaly(emb, "vec_id", "embedding", "label", size=8)
+    return out.select("vec_id", "label", F.round("score", 9).alias("score"), "verdict",
+                      F.round(F.aggregate("heatmap", F.lit(0.0), lambda a, x: a + x) / 64.0, 6).alias("heat_mean"))
+
+
+@register("q_constant_column", "SELECT event_id, event_type, 'line-1' AS site FROM events")
+def q_constant_column(spark, sf_dir):
+    """A constant column on every row."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", "event_type")
+    return cl.with_constant(ev, "site", "line-1")
+
+
+def _scratch(spark, name: str) -> str:
+    """A folder of this run below the shared checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("q_csv_round_trip", """
+SELECT event_id, event_type, CASE WHEN event_id % 11 = 3 THEN NULL ELSE value END AS value FROM events""")
+def q_csv_round_trip(spark, sf_dir):
+    """A1 + A2 + A3: write a CSV with missing tokens and NaN, read it back with a
+    declared schema; missing marks become NULL."""
+    from ..sources import io
+    ev = v.table(spark, sf_dir, "events").select("event_id", "event_type", F.when(F.col("event_id") % 11 == 3, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    path = _scratch(spark, "csv")
+    io.write_table(ev, path, "csv")
+    return io.read_table(spark, path, "event_id long, event_type string, value double")
+
+
+@register("q_write_splits", """
+SELECT event_id, value, CASE WHEN event_id % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM events""")
+def q_write_splits(spark, sf_dir):
+    """Rows persisted by split, read back with the split as partition column."""
+    from ..sources import io
+    ev = v.table(spark, sf_dir, "events").select("event_id", "value", F.when(F.col("event_id") % 5 == 0, "test").otherwise("train").alias("split"))
+    path = _scratch(spark, "splits")
+    io.write_splits(ev, path)
+    return spark.read.parquet(path).select("event_id", "value", F.col("split").cast("string").alias("split"))
+
+
+@register("q_metrics_sink", """
+SELECT CAST(COUNT(*) AS DOUBLE) AS n, ROUND(AVG(value), 6) AS mean, MIN(value) AS low, MAX(value) AS high FROM events""")
+def q_metrics_sink(spark, sf_dir):
+    """A one-row metric record written as JSON and read back."""
+    from ..sources import io
+    r = v.table(spark, sf_dir, "events").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.min("value").alias("low"), F.max("value").alias("high")).first()
+    path = _scratch(spark, "metrics")
+    io.write_metrics(io.metrics_row(spark, **r.asDict()), path)
+    return spark.read.schema("n double, mean double, low double, high double").json(path)
