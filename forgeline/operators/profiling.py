@@ -92,8 +92,8 @@ def flag_totals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: dtype, rows, non-NULL count, min, max (as text
-    for non-numeric columns), from a single aggregation."""
+    """One row per column: dtype, rows, non-NULL count, min and max (numeric
+    columns), min_text and max_text (all others), from a single aggregation."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
     structs = []
@@ -103,7 +103,9 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         mx = F.max(c).cast("double") if numeric else F.lit(None).cast("double")
         structs.append(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
                                 F.count("*").alias("n_rows"), F.count(c).alias("non_null"),
-                                mn.alias("min"), mx.alias("max")).alias(c))
+                                mn.alias("min"), mx.alias("max"),
+                                (F.lit(None) if numeric else F.min(c)).cast("string").alias("min_text"),
+                                (F.lit(None) if numeric else F.max(c)).cast("string").alias("max_text")).alias(c))
     wide = df.agg(*structs)
     return wide.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
 

@@ -34,13 +34,20 @@ def q_flag_totals(spark, sf_dir):
     return pr.flag_totals(v.table(spark, sf_dir, "labels"), ["quality", "toxic"])
 
 
-@register("q_profile", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", lower(typeof(any_value({c}))) AS dtype, COUNT(*) AS n_rows, "
-    f"COUNT({c}) AS non_null, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM events"
-    for c in ("event_id", "user_id", "value")))
+PROFILE_COLS = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+
+
+def _profile_sql(c: str, dtype: str) -> str:
+    numeric = dtype in ("bigint", "double")
+    ends = [(f"CAST({f}({c}) AS DOUBLE) AS {f.lower()}" if numeric else f"CAST(NULL AS DOUBLE) AS {f.lower()}") for f in ("MIN", "MAX")]
+    texts = [(f"CAST(NULL AS VARCHAR) AS {f.lower()}_text" if numeric else f"CAST({f}({c}) AS VARCHAR) AS {f.lower()}_text") for f in ("MIN", "MAX")]
+    return f"SELECT '{c}' AS \"column\", '{dtype}' AS dtype, COUNT(*) AS n_rows, COUNT({c}) AS non_null, {', '.join(ends + texts)} FROM events"
+
+
+@register("q_profile", "\nUNION ALL\n".join(_profile_sql(c, t) for c, t in PROFILE_COLS.items()))
 def q_profile(spark, sf_dir):
-    """Dtype, row count, non-NULL count, min and max per numeric column."""
-    return pr.profile(v.table(spark, sf_dir, "events"), ["event_id", "user_id", "value"])
+    """Dtype, row count, non-NULL count, min and max of every column."""
+    return pr.profile(v.table(spark, sf_dir, "events"), list(PROFILE_COLS))
 
 
 @register("q_sample_rows", """
