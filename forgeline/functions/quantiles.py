@@ -172,6 +172,11 @@ def quantile_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
-    """Wide -> long (ids..., sensor, value) with doubles."""
-    casted = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
-    return casted.unpivot(list(ids), list(cols), "sensor", "value")
+    """Wide -> long (ids..., sensor, value) with doubles.
+
+    The row's values are exploded from one array: the plan stays linear in the
+    columns, where an Expand would hold a projection per column."""
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    names = F.array(*[F.lit(c) for c in cols])
+    return (df.select(*ids, F.posexplode(values).alias("_at", "value"))
+            .select(*ids, F.get(names, F.col("_at")).alias("sensor"), "value"))
