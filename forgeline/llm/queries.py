@@ -98,6 +98,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
-@query("op7_ngram_jaccard_join")
+OP7_SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, [x FOR x IN string_split_regex(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS g FROM t),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.c = l.x)
+SELECT s.doc_id, CAST(len(any_value(s.g)) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id
+"""
+
+
+@query("op7_ngram_jaccard_join", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
