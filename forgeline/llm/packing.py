@@ -7,12 +7,14 @@ one of the vocabulary's special strings are encoded whole.  Only documents above
 
 Plan: what matters to packing is how many pieces there are of each length, at
 most ``capacity`` numbers whatever the input.  On that histogram the solver fills
-sequences around the largest remaining piece: it enumerates fillings of the gap
-that no other dominates (fewer and larger pieces first), best fit first, bounds
-them by their waste, and repeats a filling as often as its rarest length lasts.
-The incumbent is best-fit decreasing; branches whose bins so far plus the lower
-bound of the rest reach it are cut, and the search ends at the lower bound or
-after ``nodes`` nodes.  So the plan has a few thousand patterns however many rows.
+sequences around the largest remaining piece: it enumerates, depth-first over the
+sums that can be reached, the fillings of the gap that no other dominates, bounds
+them by the waste that a better plan may have, and repeats a filling as often as
+its rarest length lasts, or half as often, down to once.  The incumbent is best-fit
+decreasing; branches whose bins so far plus the lower bound of the rest reach it
+are cut, those with fewest deviations from the first choices come first, and the
+search ends when it is exhausted, at the lower bound or after ``nodes`` nodes.  So
+the plan has a few thousand patterns however many rows.
 
 Placement: pieces of one length are interchangeable.  They are numbered within
 (length, salt), the salts' sizes give offsets, and a number falls into one range
@@ -24,10 +26,13 @@ ignored; a very long text becomes full pieces and a rest."""
 from __future__ import annotations
 
 import functools
+import heapq
+import itertools
 import re
 import unicodedata
 import zlib
 from array import array
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +47,7 @@ CAPACITY = 2048
 END_ID = 0
 CACHE_WORDS = 800_000
 SALT_ROWS = 200_000
+STEPS = 1_000  # of a search for fillings, that count as one node
 # fixed: the vocabulary's own pre-token pattern and special strings
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ODD = re.compile(r"<\|(?:startoftext|endoftext)\|>|[\x1c-\x1f]")
@@ -133,10 +139,10 @@ def lower_bound(left: np.ndarray, capacity: int) -> int:
     return best
 
 
-def fillings(left: np.ndarray, gap: int, width: int, effort: int) -> list[list[int]]:
-    """Up to ``width`` undominated fillings of a gap, least waste first; of equal
-    waste, fewer and larger pieces.  The first is the best-fit one unless a
-    filling with less waste is found within ``effort`` steps."""
+def quick_fillings(left: np.ndarray, gap: int, width: int, effort: int) -> list[list[int]]:
+    """Up to ``width`` fillings of a gap by scans over one, two and three pieces
+    beside the best-fit one, least waste first; of equal waste, fewer and larger
+    pieces.  They only come first; ``fillings`` has the rest."""
     have = np.flatnonzero(left[:gap + 1])
     have = have[have > 0]
     if not len(have):
@@ -197,6 +203,70 @@ def fillings(left: np.ndarray, gap: int, width: int, effort: int) -> list[list[i
     return [list(f[2]) for f in ranked[:width]]
 
 
+def fillings(left: np.ndarray, gap: int, slack: int) -> Iterator[list[int] | None]:
+    """The fillings of a gap, of any number of pieces, that waste at most
+    ``slack`` and that no other dominates, least waste first; of equal waste, those
+    of one or two pieces first, then larger pieces first.  None after every STEPS
+    steps of the search.
+
+    A filling is dominated if a piece left over fits into its waste, or can take
+    the place of some of its pieces that are together no larger."""
+    have = [int(x) for x in np.flatnonzero(left[:gap + 1])[::-1] if x]
+    count = [int(left[x]) for x in have]
+    full = (1 << gap + 1) - 1
+    reach = [1]  # bit s of reach[k]: pieces of the lengths have[k:] add up to s
+    for x, n in zip(have[::-1], count[::-1], strict=True):
+        sums, n, k = reach[-1], min(n, gap // x), 1
+        while n and sums != full:
+            sums |= sums << x * min(k, n) & full
+            n, k = n - min(k, n), 2 * k
+        reach.append(sums)
+    reach.reverse()
+    spare = sum(1 << x for x in have)
+    steps = 0
+
+    def smear(bits: int, low: int, high: int) -> int:
+        """The sums s with a set bit among s + low .. s + high."""
+        bits, width = bits >> low, 1
+        while width < high - low + 1:
+            more = min(width, high - low + 1 - width)
+            bits, width = bits | bits >> more, width + more
+        return bits if high >= low else 0
+
+    def walk(k: int, rest: int, waste: int, most: int, chosen: list, some: int, many: int, spare: int):
+        """``some`` and ``many``: sums of any and of two or more chosen pieces."""
+        nonlocal steps
+        if not rest:
+            if not spare & ((1 << waste + 1) - 1):
+                yield chosen
+            return
+        while k < len(have) and reach[k] >> rest & 1:
+            x = have[k]
+            steps += 1
+            if not steps % STEPS:
+                yield None
+            if x <= rest and (most > 1 or x == rest):
+                turns = []
+                s, m = some, many
+                settled = spare & (-1 << x + 1)  # left-over lengths above x
+                larger, alone = smear(settled, 0, waste), smear(settled, 1, waste) >> x & 1
+                for c in range(1, min(count[k], rest // x, most) + 1):
+                    m |= (s ^ 1) << x
+                    s |= s << x
+                    if m & larger or alone:
+                        break
+                    if reach[k + 1] >> rest - c * x & 1:
+                        turns.append((c, s, m))
+                for c, s, m in reversed(turns):
+                    yield from walk(k + 1, rest - c * x, waste, most - c, chosen + [x] * c, s, m, spare ^ (1 << x) if c == count[k] else spare)
+            k += 1
+
+    for waste in range(min(slack, gap) + 1):
+        if reach[0] >> gap - waste & 1:
+            yield from walk(0, gap - waste, waste, 2, [], 1, 0, spare)
+            yield from (f for f in walk(0, gap - waste, waste, gap, [], 1, 0, spare) if f is None or len(f) > 2)
+
+
 def _repeats(left: np.ndarray, pattern: list[int]) -> int:
     need: dict[int, int] = {}
     for x in pattern:
@@ -237,40 +307,78 @@ def best_fit(left: np.ndarray, gap: int) -> list[int]:
     return out
 
 
+def options(left: np.ndarray, big: int, capacity: int, slack: int, width: int, effort: int) -> Iterator[tuple[list[int], int] | None]:
+    """Patterns around a piece ``big`` with numbers of sequences: each filling as
+    often as its rarest length and the slack allow, the quick ones first; every third
+    is an earlier pattern half as often, down to once."""
+    gap, inner = capacity - big, left.copy()
+    inner[big] -= 1
+    quick = [f for f in quick_fillings(inner, gap, width, effort) if gap - sum(f) <= slack]
+    found = itertools.chain(quick, (f for f in fillings(inner, gap, slack) if f not in quick))
+    shorter: deque[tuple[list[int], int]] = deque()
+    for turn in itertools.count(1):
+        rest = next(found, ()) if turn % 3 or not shorter else ()
+        if rest is None:
+            yield None
+            continue
+        if rest != ():
+            pattern = [big, *rest]
+            times, waste = _repeats(left, pattern), gap - sum(rest)
+            times = min(times, slack // waste) if waste else times
+        elif shorter:
+            pattern, times = shorter.popleft()
+        else:
+            return
+        yield pattern, times
+        if times > 1:
+            shorter.append((pattern, times // 2))
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = 4_000, width: int = 3, effort: int = 60_000) -> list[tuple[list[int], int]]:
     """Patterns (lengths of one sequence) with their numbers of sequences."""
-    left = np.zeros(capacity + 1, dtype=np.int64)
+    whole = np.zeros(capacity + 1, dtype=np.int64)
     for size, n in histogram.items():
-        left[size] = n
-    least = lower_bound(left, capacity)
+        whole[size] = n
+    least = lower_bound(whole, capacity)
+    sizes = np.arange(capacity + 1)
     count = lambda plan: sum(n for _, n in plan)
-    best = _complete(left.copy(), best_fit)
+
+    best = _complete(whole.copy(), best_fit)
     if count(best) > least:
-        tried = _complete(left.copy(), lambda rest, gap: fillings(rest, gap, 1, effort)[0])
+        tried = _complete(whole.copy(), lambda rest, gap: quick_fillings(rest, gap, 1, effort)[0])
         best = min(best, tried, key=count)
-    # branch and bound: other fillings of the first, largest pieces
-    budget = nodes
-    stack = [(left, [], 0, 0)] if count(best) > least else []
-    while stack and budget > 0 and count(best) > least:
-        now, plan, bins, turns = stack.pop()
-        if not now.any():
-            if bins < count(best):
-                best = plan
-            continue
-        if bins + lower_bound(now, capacity) >= count(best):
-            continue
-        big = int(np.flatnonzero(now)[-1])
-        now = now.copy()
-        now[big] -= 1
-        options = fillings(now, capacity - big, width if turns < 2 else 1, effort)
-        now[big] += 1
-        budget -= len(options)
-        for k, rest in reversed(list(enumerate(options))):
-            pattern = [big, *rest]
-            times = _repeats(now, pattern)
-            after = now.copy()
-            _take(after, pattern, times)
-            stack.append((after, [*plan, (pattern, times)], bins + times, turns + (k > 0)))
+    # branch and bound: fewest deviations from the first options first, then those of the larger pieces
+    heap, budget, pushed = [(0, 0, 0, 0, None, ())], nodes, 0
+    while heap and budget > 0 and count(best) > least:
+        turns, _, _, taken, slack, node = heapq.heappop(heap)
+        plan, at = [], node
+        while at:
+            at, *step = at
+            plan.append(tuple(step))
+        plan.reverse()
+        now, bins = whole.copy(), count(plan)
+        for pattern, times in plan:
+            _take(now, pattern, times)
+        while budget > 0:
+            if not now.any():
+                best = min(best, plan, key=count)
+                break
+            if bins + lower_bound(now, capacity) >= count(best):
+                break
+            if slack is None:  # what a better plan may waste from here on
+                slack = (count(best) - 1 - bins) * capacity - int((now * sizes).sum())
+            big = int(np.flatnonzero(now)[-1])
+            option = next(itertools.islice(options(now, big, capacity, slack, width, effort), taken, None), ())
+            budget -= 1
+            if option == ():
+                break
+            pushed += 1
+            heapq.heappush(heap, (turns + (taken == 0) + (taken + 1) // 4, len(plan), pushed, taken + 1, slack, node))
+            if option is None:
+                break
+            _take(now, *option)
+            plan, bins, node = [*plan, option], bins + option[1], (node, *option)
+            taken, slack = 0, None
     return best
 
 

@@ -87,5 +87,28 @@ def test_solver_cost_does_not_follow_the_counts():
     assert sum(n for _, n in big) <= 1.01 * packing.lower_bound(left * 10**6, 2048)
 
 
+def test_large_groups_of_few_lengths_fill_every_sequence():
+    plan = packing.solve(dict.fromkeys((600, 500, 400, 300, 248), 3000))
+    assert sum(n for _, n in plan) == 3000 and all(sum(p) == 2048 for p, _ in plan)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_fillings_are_all_that_none_dominates(seed):
+    rng = random.Random(seed)
+    left = np.array([0, *(rng.choice([0, 0, 1, 2, 3]) for _ in range(14))])
+    gap, slack = rng.randint(8, 14), rng.randint(0, 3)
+    every = [()]
+    for x in range(14, 0, -1):
+        every = [f + (x,) * c for f in every for c in range(left[x] + 1) if sum(f) + c * x <= gap]
+
+    def dominated(f):
+        parts = [tuple(x for i, x in enumerate(f) if bits >> i & 1) for bits in range(1 << len(f))]
+        return any(sum(p) <= x <= sum(p) + gap - sum(f) and p != (x,) for p in parts for x in range(1, gap + 1) if f.count(x) < left[x])
+
+    got = [tuple(f) for f in packing.fillings(left, gap, slack) if f is not None]
+    assert sorted(got) == sorted(f for f in every if gap - sum(f) <= slack and not dominated(f))
+    assert [gap - sum(f) for f in got] == sorted(gap - sum(f) for f in got)
+
+
 def test_empty_table(documents):
     assert packing.pack(documents([])).count() == 0
