@@ -2,8 +2,11 @@
 
 Canonical form: a text becomes words (runs of letters) and numbers (runs of
 digits with inner points or commas), case and punctuation aside.  A number becomes
-the placeholder NUM, a unit word after a number UNIT, and a capitalised word that
-doesn't begin a sentence NAME; what a placeholder stands for is its slot value.
+the placeholder NUM, a unit word after a number UNIT, and a capitalised word NAME;
+what a placeholder stands for is its slot value.  A capitalised word at the beginning
+of a sentence may be a name or not, so every text has three readings: with such
+words as they are, with them as NAME, and the exact one without placeholders, in
+which a verbatim copy matches whatever stands before it and however it is spelled.
 
 Windows of WINDOW canonical words with at least LITERALS plain words are hashed
 (an item with fewer words is one window).  Windows of documents pass a bit set of
@@ -16,8 +19,8 @@ item must stand for equal values in the document.  Windows with a slot that
 breaks this are not counted.  So a question with other numbers, names or units is
 found, and text that merely has the same shape isn't.
 
-A document is contaminated by an item when the windows found cover at least
-COVERAGE of the item's windows.
+A document is contaminated by an item when the windows found, in any reading, cover
+at least COVERAGE of the item's windows that are eligible in one of its readings.
 
 Defined cases: NULL and empty texts have no windows and are clean; items without
 an eligible window can't be found; repeated rows are judged each; repeated items
@@ -25,6 +28,7 @@ are reported each under their ids; NULL ids are kept; an empty benchmark leaves
 all documents clean; extra columns are ignored (stage: kept)."""
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,8 +79,9 @@ def _unit_hashes() -> np.ndarray:
     return _UNIT_HASHES
 
 
-def canonical(offsets: np.ndarray, data: np.ndarray):
-    """Hash, type, start, end and row of the canonical words of a block."""
+def readings(offsets: np.ndarray, data: np.ndarray):
+    """Start, end and row of the canonical words of a block, and their hash and
+    type in each reading."""
     kind = _KIND[data]
     inner = np.zeros(len(data), bool)
     inner[1:-1] = _JOINS[data[1:-1]] & (kind[:-2] == 2) & (kind[2:] == 2)
@@ -103,8 +108,16 @@ def canonical(offsets: np.ndarray, data: np.ndarray):
     size = np.where(data[start] >= 0xC0, 2, 1)  # bytes of the first letter
     rest = np.concatenate(([0], np.cumsum(changed)))
     title = upper & (end - start > size) & (rest[end] == rest[np.minimum(start + size, end)])
-    form[(form == LITERAL) & title & ~begins] = NAME
-    h = np.where(form == LITERAL, h, mix(form.astype(np.uint64) + U(0xABCDEF)))
+    told = []
+    for name in (title & ~begins, title):
+        typed = np.where((form == LITERAL) & name, NAME, form).astype(np.uint8)
+        told.append((np.where(typed == LITERAL, h, mix(typed.astype(np.uint64) + U(0xABCDEF))), typed))
+    return start, end, row, [*told, (h, np.zeros(n, np.uint8))]
+
+
+def canonical(offsets: np.ndarray, data: np.ndarray):
+    """Hash, type, start, end and row of the canonical words of a block, first reading."""
+    start, end, row, ((h, form), *_) = readings(offsets, data)
     return h, form, start, end, row
 
 
@@ -129,26 +142,32 @@ def _slots(data, form, start, end, at: int, n: int) -> list[str]:
     return [f"{form[i]}:{data[start[i]:end[i]].tobytes().decode('utf-8', 'replace').lower()}" for i in range(at, at + n) if form[i]]
 
 
+ITEM = pa.schema([("item_id", pa.int64()), ("pos", pa.int32()), ("size", pa.int32()), ("h", pa.int64()), ("slots", SLOTS), ("reading", pa.int32()), ("within", pa.list_(pa.int32())), ("n_windows", pa.list_(pa.int32()))])
+
+
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, pos, size, h, slots, n_windows of the benchmark's windows."""
+    """item_id, pos, size, h, slots, reading of the benchmark's windows; within: by
+    reading, whether it is eligible there; n_windows: by reading, the eligible ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for base, offsets, data in blocks(batch.column(1)):
-                h, form, start, end, row = canonical(offsets, data)
+                start, end, row, told = readings(offsets, data)
                 edge = np.searchsorted(row, np.arange(len(offsets)))
                 for r in range(len(offsets) - 1):
                     a, b = edge[r], edge[r + 1]
                     n = min(WINDOW, b - a)
                     if n < LITERALS:
                         continue
-                    wh, at = windows(h[a:b], form[a:b], row[a:b], n)
-                    for x, p in zip(wh.view(np.int64).tolist(), at.tolist()):
-                        out.append((ids[base + r], p, int(n), x, _slots(data, form, start, end, a + p, n), len(at)))
+                    found = [windows(h[a:b], form[a:b], row[a:b], n) for h, form in told]
+                    counts, places = [len(at) for _, at in found], [set(at.tolist()) for _, at in found]
+                    for k, (wh, at) in enumerate(found):
+                        for x, p in zip(wh.view(np.int64).tolist(), at.tolist()):
+                            out.append((ids[base + r], p, int(n), x, _slots(data, told[k][1], start, end, a + p, n), k, [int(p in q) for q in places], counts))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), SLOTS, pa.int32()))], names=["item_id", "pos", "size", "h", "slots", "n_windows"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), ITEM.types)], schema=ITEM)
 
-    return benchmark.select(benchmark[id_col].cast("long").alias("item_id"), text_of(benchmark, text).alias("text")).mapInArrow(run, "item_id long, pos int, size int, h long, slots array<string>, n_windows int")
+    return benchmark.select(benchmark[id_col].cast("long").alias("item_id"), text_of(benchmark, text).alias("text")).mapInArrow(run, "item_id long, pos int, size int, h long, slots array<string>, reading int, within array<int>, n_windows array<int>")
 
 
 def bit_set(items: DataFrame) -> np.ndarray:
@@ -175,9 +194,9 @@ def document_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         for batch in batches:
             out = []
             for base, offsets, data in blocks(batch.column("text")):
-                h, form, start, end, row = canonical(offsets, data)
+                start, end, row, told = readings(offsets, data)
                 first = np.searchsorted(row, np.arange(len(offsets)))
-                for n in sizes:
+                for n, (h, form) in itertools.product(sizes, told):
                     wh, at = windows(h, form, row, n)
                     low = wh & U(FILTER_BITS - 1)
                     hit = np.flatnonzero(bits[(low >> U(3)).astype(np.int64)] >> (low & U(7)).astype(np.uint8) & 1)
@@ -192,20 +211,22 @@ def document_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, content, item_id, n_windows, matched, coverage of every document
-    and item that share a window with consistent slots."""
+    """doc_id, content, item_id, coverage of every document and item that share a
+    window with consistent slots."""
     items = cut(item_windows(benchmark))
     found = document_windows(docs, items, id_col, text).withColumnsRenamed({"pos": "at", "slots": "values"}).dropDuplicates(["doc_id", "content", "at", "h"])
     pairs = found.join(items, "h").where(F.size("values") == F.size("slots")).withColumn("shift", F.col("at") - F.col("pos"))
-    line = ["doc_id", "content", "item_id", "shift"]
+    line = ["doc_id", "content", "item_id", "shift", "reading"]
     slotted = pairs.where(F.size("slots") > 0).select(*line, "pos", F.explode(F.arrays_zip("slots", "values")).alias("s"))
     values = slotted.groupBy(*line, F.col("s.slots").alias("slot")).agg(F.min("s.values").alias("a"), F.max("s.values").alias("b"), F.collect_set("pos").alias("where"))
     broken = values.where(F.col("a") != F.col("b")).select(*line, F.explode("where").alias("pos")).distinct()
     same = lambda c: F.col(f"p.{c}").eqNullSafe(F.col(f"b.{c}"))
-    on = same("doc_id") & (F.col("p.content") == F.col("b.content")) & same("item_id") & (F.col("p.shift") == F.col("b.shift")) & (F.col("p.pos") == F.col("b.pos"))
+    on = same("doc_id") & (F.col("p.content") == F.col("b.content")) & same("item_id") & (F.col("p.shift") == F.col("b.shift")) & (F.col("p.reading") == F.col("b.reading")) & (F.col("p.pos") == F.col("b.pos"))
     sound = pairs.alias("p").join(broken.alias("b"), on, "left_anti")
-    return (sound.groupBy("doc_id", "content", "item_id", "n_windows").agg(F.countDistinct("pos").alias("matched"))
-            .withColumn("coverage", F.col("matched") / F.col("n_windows")))
+    pair = ["doc_id", "content", "item_id", "n_windows"]
+    share = lambda k: F.when(F.col("n_windows")[k] > 0, F.sum(F.col("within")[k]) / F.col("n_windows")[k])
+    return (sound.select(*pair, "pos", "within").distinct().groupBy(*pair)
+            .agg(F.greatest(*map(share, range(3))).alias("coverage")).drop("n_windows"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -43,6 +43,14 @@ def test_inconsistent_slots_are_not_counted(documents, spark):
     assert not rows[2]["contaminated"]
 
 
+def test_names_and_copies_at_sentence_beginnings(documents, spark):
+    tom = "Tom has 5 apples. Tom buys 3 more apples. How many apples has Tom?"
+    tides = "What causes the red tides in warm seas"
+    docs = {1: f"{FILL}. " + tom.replace("Tom", "Ann"), 2: "Ann has 5 apples. Bob buys 3 more apples. How many apples has Jim?", 3: f"{FILL} question {tides} and why", 4: tom.lower(), 5: tides.title(), 6: f"{FILL}. {FILL}"}
+    found = decontaminate.report(documents(docs.items()), spark.createDataFrame([(1, tom), (2, tides)], "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in found} == {1: [1], 2: [], 3: [2], 4: [1], 5: [2], 6: []}
+
+
 def test_empty_tables(documents, items, spark):
     assert decontaminate.report(documents([]), items).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
