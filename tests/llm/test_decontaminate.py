@@ -51,6 +51,17 @@ def test_names_and_copies_at_sentence_beginnings(documents, spark):
     assert {r["doc_id"]: r["item_ids"] for r in found} == {1: [1], 2: [], 3: [2], 4: [1], 5: [2], 6: []}
 
 
+def test_verbatim_runs_short_and_unspaced_items(documents, spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    chinese = "小明有五个苹果，他给了妹妹两个，请问现在还剩几个苹果？"
+    items = [(1, " ".join(words)), (2, "What is 17 * 23 + 5?"), (3, chinese), (4, "Name Paris"), (5, "12 * 7 = 84")]
+    docs = {1: f"{FILL} {' '.join(words[50:63])} {FILL}", 2: f"{FILL} {' '.join(words[50:62])} {FILL}", 3: f"{FILL} what is 17 * 23 + 5 {FILL}", 4: f"{FILL} what is 17 * 24 + 5 {FILL}",
+            5: f"我们知道{chinese}答案是三个", 6: "小红有五本书。", 7: f"{FILL}\nName Paris.\n{FILL}", 8: f"{FILL} name Paris {FILL}", 9: f"{FILL}. 12 * 7 = 84", 10: f"{FILL}. 12 * 7 = 85"}
+    found = decontaminate.report(documents(docs.items()), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in found} == {1: [1], 2: [], 3: [2], 4: [], 5: [3], 6: [], 7: [4], 8: [], 9: [5], 10: []}
+    assert {r["doc_id"] for r in found if r["contaminated"]} == {1, 3, 5, 7, 9}
+
+
 def test_empty_tables(documents, items, spark):
     assert decontaminate.report(documents([]), items).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
