@@ -12,6 +12,10 @@
    pages agree most: the mean vote of the pages that have it, with DOUBT pages
    without a vote added, so that a rare path needs more than one page's word.  A
    path no other page has counts with the page's own vote.
+4. From that path's containers the page climbs to the nearest article or main around
+   them, else past wrappers whose other shown text is only headings and paragraphs
+   outside links, less than the text inside: what a heading, standfirst or
+   closing line outside the body's wrapper is.
 
 Text inside menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments is left out, by element, role or class name.  A header
@@ -44,6 +48,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style title textarea noembed noframes xmp".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("html body div section article main td center details".split())
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote figcaption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = frozenset("head script style noscript template iframe svg canvas audio video object embed map nav menu footer aside form button select textarea dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist".split())
@@ -186,11 +191,47 @@ class Page:
         best = max(scores.values(), default=1.0)
         return {path: s / best for path, s in scores.items()}
 
+    def whole(self, path: str) -> set[int]:
+        """The containers of a path, each climbed to the one that holds its whole article."""
+        size, prose = [0] * len(self.tag), [0] * len(self.tag)  # shown characters; those of headings and paragraphs outside links
+        plain = [False] * len(self.tag)
+        for node in range(1, len(self.tag)):
+            plain[node] = self.tag[node] in PROSE or plain[self.parent[node]] and self.container[node] != node
+        for node, text in self.pieces:
+            if self.shown(node) and (n := len("".join(text.split()))):
+                size[node] += n
+                prose[node] += n if plain[node] and not self.link[node] else 0
+        for node in range(len(self.tag) - 1, 0, -1):
+            size[self.parent[node]] += size[node]
+            prose[self.parent[node]] += prose[node]
+        out: set[int] = set()
+        seen: dict[int, int] = {}
+        for first in range(1, len(self.tag)):
+            if self.container[first] == first and self.path[first] == path:
+                trail, at, top = [], first, None
+                while at and at not in seen:  # the nearest article or main
+                    trail.append(at)
+                    if self.tag[at] in ("article", "main"):
+                        top = at
+                        break
+                    at = self.container[self.parent[at]]
+                top = seen[at] if at and top is None else top or 0
+                seen.update(dict.fromkeys(trail, top))
+                if not top:
+                    top, up = first, self.container[self.parent[first]]
+                    while up and self.tag[up] not in ("html", "body"):
+                        more = size[up] - size[top]
+                        if more != prose[up] - prose[top] or more >= size[top]:
+                            break
+                        top, up = up, self.container[self.parent[up]]
+                out.add(top)
+        return out
+
     def text(self, path: str | None) -> str:
-        """Text below the containers of a path (None: of the whole page)."""
-        inside = [path is None] * len(self.tag)
+        """Text of the article around the containers of a path (None: of the whole page)."""
+        inside, tops = [path is None] * len(self.tag), set() if path is None else self.whole(path)
         for node in range(1, len(self.tag)):
-            inside[node] = inside[self.parent[node]] or self.container[node] == node and self.path[node] == path
+            inside[node] = inside[self.parent[node]] or node in tops
         return " ".join("".join(t for node, t in self.pieces if t == " " or inside[node] and self.shown(node)).split())
 
 

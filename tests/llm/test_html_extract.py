@@ -42,6 +42,18 @@ def test_hosts_agree_on_a_path(spark, clashing):
     assert alone.startswith("noise")  # without the host's votes the page's own best container wins
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<body><article><h1>T</h1><div class=wrap><div class=content><p>{}</p></div></div><p>End</article><div>other</div>", "T {} End"),
+    ("<body><main><h1>T</h1><p>Lead<div class=content><p>{}</p></div></main><div>other</div>", "T Lead {}"),
+    ("<body><div class=page><div class=post><h1>T</h1><p>Lead</p><div class=content><p>{}</p></div></div><div class=list><a href=x>link</a></div></div>", "T Lead {}"),
+    ("<body><article><h1>T</h1><div class=content><p>{}</p></div><div class=related>no</div></article><article class=teaser><p>teaser</p></article>", "T {}"),
+])
+def test_text_outside_inner_wrappers_is_kept(spark, source, text):
+    body = "word " * 200 + "end"
+    rows = [(i, f"http://h.example/{i}", source.format(body)) for i in range(4)]
+    assert {r["text"] for r in extract(pages(spark, rows)).collect()} == {text.format(body)}
+
+
 def test_nulls_repeats_long_pages_and_empty_table(spark):
     long = "<article>" + "<p>long text here</p>" * 20000 + "</article>"
     rows = [(1, None, None), (2, "no url", ""), (3, "http://[bad/", "<p>x</p>"), (4, "http://u:p@H.example:80/a", ARTICLE), (4, "http://u:p@H.example:80/a", ARTICLE), (None, "http://h.example/", long), (6, "http://h.example/", "<div>" * 3000 + "deep")]
