@@ -44,6 +44,30 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+HOT_ROWS, HOT_KEYS = 100_000, 1_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` left-joined with the one row that ``groups`` has of each key; the
+    column ``size`` of ``groups`` is how many rows join that key.
+
+    A key is hot when it joins more than HOT_ROWS rows and more than the HOT_KEYS-th
+    part of all.  So at most HOT_KEYS keys are hot, which are broadcast; their rows,
+    and those with a NULL key, are dealt by row, the others go through one shuffle
+    by key.  Give rows that can have no match a NULL key."""
+    names = [c for c in groups.columns if c not in (key, size)]
+    groups = cut(groups)
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    k, v, s, w, by = fresh(rows, "_hot_key", "_hot_value", "_key", "_value", "_by")
+    value = F.struct(F.lit(True).alias("known"), *names)
+    hot = groups.where(F.col(size) > least).select(F.col(key).alias(k), value.alias(v))
+    cold = groups.where(F.col(size) <= least).select(F.col(key).alias(s), F.lit(0).cast("long").alias(w + "salt"), value.alias(w))
+    found = rows.join(F.broadcast(hot), rows[key] == F.col(k), "left").withColumn(by, F.when(F.col(k).isNotNull() | rows[key].isNull(), F.monotonically_increasing_id() + 1).otherwise(0))
+    found = found.join(cold, (found[key] == cold[s]) & (found[by] == cold[w + "salt"]), "left")
+    return found.select(*rows.columns, *[F.coalesce(F.col(f"{v}.{c}"), F.col(f"{w}.{c}")).alias(c) for c in names])
+
+
 def remove_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows whose (id, content) isn't in ``gone`` (doc_id, content), all
     columns as they were; the content is the xxhash64 of the text."""
