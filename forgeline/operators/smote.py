@@ -1,89 +1,18 @@
-"""Exact k-nearest neighbours and SMOTE (F10) without emitting all pairs.
+"""SMOTE (F10): synthetic minority rows between nearest neighbours.
 
-Neighbours are searched on a seeded random projection ``p = u . x`` with a
-unit vector u, so ``|p_i - p_j| <= ||x_i - x_j||``:
-
-1. rows get a distributed ordinal in projection order; each row's 2k
-   projection-order neighbours give an upper bound ``r_i`` on its k-th
-   neighbour distance;
-2. every true neighbour therefore lies in the band ``|p_j - p_i| <= r_i``;
-   the band join runs as an equi-join on projection buckets (row i asks for
-   the buckets its band covers), then the exact squared distances are ranked
-   (salted two-stage top-k, ties broken by the neighbour key).
-
-Nothing is capped: every row inside the band is a candidate, and the answer
-equals brute force.  SMOTE then places ``n_major - n_minor`` synthetic rows
-on segments from a minority row to one of its k neighbours, with the copy
-quota, the neighbour choice and the gap drawn from hashes (reproducible).
-"""
+``n_major - n_minor`` synthetic rows are placed on segments from a minority row to
+one of its k nearest neighbours (``neighbours.knn_exact``); the copy quota, the
+neighbour choice and the gap are drawn from hashes, so a run can be repeated."""
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metadata import class_counts
-from ..functions.ordinals import with_ordinal
 from .features import explode_copies, hash_quota
-from .history import top_k_per_key
-
-
-def _sq_dist(features: Sequence[str], other_prefix: str) -> Column:
-    out = None
-    for f in features:
-        d = F.col(f) - F.col(other_prefix + f)
-        t = d * d
-        out = t if out is None else out + t
-    return out
-
-
-def knn_exact(df: DataFrame, key: str, features: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:
-    """(key, nn_key, nn_rank 1..k, dist2) for every row: its k nearest other
-    rows by Euclidean distance, ties by nn_key.  ``key`` must be unique."""
-    features = list(features)
-    rng = np.random.default_rng(seed)
-    u = rng.normal(size=len(features))
-    u = u / np.linalg.norm(u)
-    proj = None
-    for w, f in zip(u, features):
-        t = F.col(f).cast("double") * F.lit(float(w))
-        proj = t if proj is None else proj + t
-    base = df.select(F.col(key), *[F.col(f).cast("double").alias(f) for f in features], proj.alias("_p"))
-    od = with_ordinal(base.withColumn("_all", F.lit(0)), ["_all"], ["_p", key], "_o").drop("_all")
-    other = od.select(*[F.col(c).alias("n_" + c) for c in od.columns])
-    # 1. seeds: k neighbours on each side in projection order -> upper bound r
-    offsets = F.array(*[F.lit(d) for d in range(-k, k + 1) if d != 0])
-    seeds = (od.select(key, *features, "_p", "_o", F.explode(offsets).alias("_d"))
-             .withColumn("_no", F.col("_o") + F.col("_d"))
-             .join(other, F.col("_no") == F.col("n__o"))
-             .select(key, "_p", _sq_dist(features, "n_").alias("_d2"), F.col("n_" + key).alias("_nk")))
-    kth = (top_k_per_key(seeds, [key], [F.col("_d2"), F.col("_nk")], k, name="_r")
-           .groupBy(key, "_p").agg(F.max("_d2").alias("_r2"), F.count("*").alias("_seeds")))
-    bound = kth.select(key, "_p", F.sqrt("_r2").alias("_r"), "_seeds")
-    st = bound.agg(F.percentile_approx("_r", 0.5).alias("w"), F.min("_p").alias("lo"), F.max("_p").alias("hi"),
-                   F.min("_seeds").alias("s")).first()
-    if st["s"] is None:
-        return df.sparkSession.createDataFrame([], f"{key} {dict(df.dtypes)[key]}, nn_key {dict(df.dtypes)[key]}, "
-                                                    "nn_rank int, dist2 double")
-    width = st["w"] if st["w"] and st["w"] > 0 else max(st["hi"] - st["lo"], 1.0)
-    if st["s"] < k:  # fewer rows than k + 1: the band must cover everything
-        bound = bound.withColumn("_r", F.lit(float(st["hi"] - st["lo"]) + 1.0))
-    # 2. band join on projection buckets (slack keeps rounding on the safe side)
-    slack = F.lit(1e-9) * (F.abs(F.col("_p")) + F.col("_r") + F.lit(1.0))
-    lo_b = F.floor((F.col("_p") - F.col("_r") - slack) / F.lit(width))
-    hi_b = F.floor((F.col("_p") + F.col("_r") + slack) / F.lit(width))
-    ask = bound.select(key, "_p", "_r", F.explode(F.sequence(lo_b, hi_b)).alias("_b"))
-    have = od.select(F.col(key).alias("n_" + key), *[F.col(f).alias("n_" + f) for f in features],
-                     F.col("_p").alias("n__p"), F.floor(F.col("_p") / F.lit(width)).alias("_b"))
-    mine = od.select(key, *features)
-    cand = (ask.join(have, "_b")
-            .where((F.col("n_" + key) != F.col(key))
-                   & (F.abs(F.col("n__p") - F.col("_p")) <= F.col("_r") + slack))
-            .join(mine, key)
-            .select(key, F.col("n_" + key).alias("nn_key"), _sq_dist(features, "n_").alias("dist2")))
-    return top_k_per_key(cand, [key], [F.col("dist2"), F.col("nn_key")], k, name="nn_rank")
+from .neighbours import knn_exact
 
 
 def _unit_hash(*cols: Column) -> Column:
@@ -108,7 +37,7 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
             continue
         kk = min(k, n - 1)
         minority = df.where(F.col(label) == cls).select(key, *features, label)
-        nn = knn_exact(minority, key, features, kk, seed)
+        nn = knn_exact(minority, key, features, kk)
         quota = df.sparkSession.createDataFrame([(cls, need % n)], f"`{label}` {dict(df.dtypes)[label]}, q long")
         flagged = hash_quota(minority, label, key, seed, quota, "_extra")
         copies = F.lit(need // n) + F.col("_extra").cast("long")

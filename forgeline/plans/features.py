@@ -275,11 +275,11 @@ SELECT line_id, nn_key, CAST(row_number() OVER (PARTITION BY line_id ORDER BY di
        ROUND(dist2, 6) AS dist2
 FROM p QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY dist2, nn_key) <= 5""")
 def q_knn(spark, sf_dir):
-    """F10 neighbour search: exact 5 nearest minority neighbours (projection
-    band join, no all-pairs); the oracle is DuckDB brute force."""
-    from ..operators.smote import knn_exact
+    """F10 neighbour search: exact 5 nearest minority neighbours (k-d cells and
+    visits, no all-pairs); the oracle is DuckDB brute force."""
+    from ..operators.neighbours import knn_exact
     m = _minority_lines(spark, sf_dir).where(F.col("y") == 1).drop("y")
-    nn = knn_exact(m, "line_id", ["qty", "price_k", "tax_pct"], k=fx.SMOTE_K, seed=fx.SEED)
+    nn = knn_exact(m, "line_id", ["qty", "price_k", "tax_pct"], k=fx.SMOTE_K)
     return nn.select("line_id", "nn_key", F.col("nn_rank").cast("int").alias("nn_rank"), r6("dist2").alias("dist2"))
 
 

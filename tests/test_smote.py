@@ -1,9 +1,11 @@
-"""Exact k-NN (projection band join) against brute force, and SMOTE."""
+"""Exact k-NN (k-d cells) against brute force, and SMOTE."""
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from forgeline.operators.smote import knn_exact, smote
+from forgeline.operators import neighbours as nb
+from forgeline.operators.neighbours import knn_exact
+from forgeline.operators.smote import smote
 
 
 def brute(pdf, k):
@@ -36,6 +38,39 @@ def test_knn_tiny_input(spark):
     assert got == brute(pdf, 2)
 
 
+def test_knn_over_cells_hot_points_and_missing(spark):
+    """Many cells, a point that a third of the rows share, far outliers, rows that
+    take no part."""
+    rng = np.random.default_rng(8)
+    n = 600
+    pdf = pd.DataFrame({"id": rng.permutation(n) * 3 - 500, "a": rng.integers(0, 40, n) / 4, "b": rng.normal(0, 1, n), "c": rng.integers(0, 3, n) * 1.0})
+    pdf.loc[:199, ["a", "b", "c"]] = [1.25, -0.0, 2.0]
+    pdf.loc[200:203, ["a", "b"]] = [[1e6, 0], [1e6, 1], [-1e6, 5], [0, 1e5]]
+    bad = pd.DataFrame({"id": [90001, 90002], "a": [float("inf"), 1.0], "b": [0.0, float("nan")], "c": [0.0, 0.0]})
+    df = spark.createDataFrame(pd.concat([pdf, bad]))
+    got = sorted((r["id"], r["nn_key"], r["nn_rank"]) for r in knn_exact(df, "id", ["a", "b", "c"], k=4, cells=16).collect())
+    assert got == brute(pdf, 4)
+    assert knn_exact(df.where("id < -10000"), "id", ["a", "b", "c"]).collect() == []
+
+
+def test_hot_point_goes_by_broadcast(spark, monkeypatch):
+    from forgeline.functions import joins
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    monkeypatch.setattr(joins, "HOT_KEYS", 4)
+    pdf = pd.DataFrame({"id": range(120), "a": [0.0] * 70 + [1.0] * 15 + list(np.arange(35.0)), "b": 0.0, "c": 0.0})
+    got = sorted((r["id"], r["nn_key"], r["nn_rank"]) for r in knn_exact(spark.createDataFrame(pdf), "id", ["a", "b", "c"], k=3).collect())
+    assert got == brute(pdf, 3)
+
+
+def test_candidates_grow_with_the_rows(spark):
+    """Points compared per point stay about the same at four times the rows."""
+    def compared(n):
+        pts = spark.range(n).select(F.col("id").alias("key"), F.lit(1).alias("rank"), *[F.rand(i).alias(f"f{i}") for i in range(3)]).checkpoint()
+        return nb.point_lists(pts, ["f0", "f1", "f2"], 6, -(-n // 500)).agg(F.sum("looked")).first()[0] / n
+    small, large = compared(4_000), compared(16_000)
+    assert large < 1.5 * small and large < 0.1 * 16_000
+
+
 def test_smote_balances_and_stays_on_segments(spark):
     rng = np.random.default_rng(9)
     n = 200
