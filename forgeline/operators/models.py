@@ -1,10 +1,9 @@
-"""Model training and scoring on Spark ML.
+"""Classifier training and scoring on Spark ML.
 
-The reference trains small torch networks; here the same roles are filled by
-distributed Spark ML estimators: a multilayer perceptron or a weighted
-logistic regression for failure classification, and one linear regression
-per feature as the window forecaster.  Parity is by metric floor, not by
-weights."""
+The reference trains small torch networks; here distributed Spark ML estimators
+fill the role: a multilayer perceptron, a weighted logistic regression or boosted
+trees.  Parity is by metric floor, not by weights.  The window forecaster is in
+``forecast``."""
 from __future__ import annotations
 
 import json
@@ -13,8 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,28 +64,3 @@ def load_bundle(spark, path: str) -> tuple[PipelineModel, dict]:
     model = PipelineModel.load(f"{path}/model")
     params = json.loads(spark.read.json(f"{path}/params").first()["params"])
     return model, params
-
-
-def flatten_steps(df: DataFrame, arr: str, cols: Sequence[str], name: str = "flat") -> DataFrame:
-    """Window array of step structs -> one vector (steps x features)."""
-    flat = F.flatten(F.transform(F.col(arr), lambda s: F.array(*[s[c] for c in cols])))
-    return df.withColumn(name, array_to_vector(flat))
-
-
-def fit_forecaster(windows: DataFrame, cols: Sequence[str], max_iter: int = 50) -> dict:
-    """One linear regression per feature from the flattened input window
-    to the last target step, fitted on the given (normal) windows."""
-    flat = flatten_steps(windows, "input", cols, "flat")
-    models = {}
-    for c in cols:
-        tr = flat.withColumn("_y", F.element_at(F.col("target"), -1)[c])
-        models[c] = LinearRegression(featuresCol="flat", labelCol="_y", maxIter=max_iter,
-                                     predictionCol=f"pred_{c}").fit(tr)
-    return models
-
-
-def forecast(windows: DataFrame, models: Mapping, cols: Sequence[str]) -> DataFrame:
-    out = flatten_steps(windows, "input", cols, "flat")
-    for c in cols:
-        out = models[c].transform(out)
-    return out.drop("flat")

@@ -228,19 +228,18 @@ def ai4i_score(model, params: dict, records: DataFrame, threshold: float = fx.DE
 
 def welding_evaluate(windows: DataFrame, firsts: dict, lo: float = 0.0, hi: float = 20.0, n: int = 100,
                      purge: int = 0) -> tuple[float, DataFrame, DataFrame]:
-    """Window anomaly evaluation: the windows of the part 'train' fit a
-    forecaster per feature; of the others, per class the first ``firsts[class]``
+    """Window anomaly evaluation: the windows of the part 'train' fit the
+    forecaster; of the others, per class the first ``firsts[class]``
     windows are the validation split (optionally purging overlaps); the
     last-step error is swept over linspace(lo, hi, n) with strict '>' on the
     validation split and the first minimum of |P - R| is chosen; returns
     (threshold, sweep table, test metrics)."""
     from .operators import evaluation as ev
-    from .operators import models as mo
+    from .operators import forecast as fo
     train = windows.where(F.col("series") == "train")
     sp = sq.split_windows(windows.where(F.col("series") != "train"), "label", firsts, "series", ["series", "start_ordinal"], purge=purge)
-    models = mo.fit_forecaster(train, WELD_COLS, max_iter=50)
-    err = sq.forecast_error(mo.forecast(sp, models, WELD_COLS), WELD_COLS,
-                            {c: F.col(f"pred_{c}") for c in WELD_COLS})
+    model = fo.fit_forecaster(train, WELD_COLS, fx.WINDOW_LENGTH, fx.WINDOW_HORIZON)
+    err = fo.step_errors(fo.forecast(sp, model), model)
     sweep = ev.sweep_thresholds(err.where(F.col("split") == "valid"), "label", "error", lo, hi, n)
     thr = sweep.where(F.col("chosen")).first()["threshold"]
     test = sq.decide(err.where(F.col("split") == "test"), "error", thr, strict=True)
