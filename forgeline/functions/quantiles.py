@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import join_on_keys
+
 MAX_TARGETS = 200_000  # targets are broadcast: groups x probs x 2 must stay metadata-sized
 RANK_LIMIT = 10_000  # a band this small is ranked exactly inside one window partition
 
@@ -34,7 +36,8 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     rank_limit: int = RANK_LIMIT) -> DataFrame:
     """Return ``group_cols + [prob, quantile, n]`` for each group and prob.
 
-    ``df`` is long-form (one value per row); NULL values are ignored.
+    ``df`` is long-form (one value per row); NULL values are ignored, a NULL group
+    is a group.
     """
     spark = df.sparkSession
     group_cols = list(group_cols)
@@ -66,7 +69,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         schema = T.StructType([df.schema[c] for c in group_cols] + [T.StructField("_gid", T.LongType())])
         gid_df = spark.createDataFrame(gid_rows, schema)
         # the gid table is bounded by n_groups, checked above
-        keyed = data.join(F.broadcast(gid_df), group_cols).select("_gid", "_v")
+        keyed = join_on_keys(data, gid_df, group_cols, broadcast_right=True).select("_gid", "_v")
         resolved = {}
         band_rows = {t: groups[t[0]]["_n"] for t in targets}  # rows inside each target's band
         while True:  # the ends of an open band lie in different cells, so every pass narrows it

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleansing as cl
 from ..operators import history as hi
+from ..operators.history_table import HistoryTable
 from ..operators import images as im
 from . import fixed as fx
 from . import views as v
@@ -128,6 +129,37 @@ def q_map_anomaly(spark, sf_dir):
                       F.round(F.aggregate("heatmap", F.lit(0.0), lambda a, x: a + x) / 64.0, 6).alias("heat_mean"))
 
 
+@register("q_map_resize", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS m FROM embeddings),
+raw AS (SELECT size, o, i, greatest(1 - abs((i + 0.5 - (o + 0.5) * 8 / size) / greatest(8 / size, 1.0)), 0) AS w
+        FROM (SELECT unnest([12.0, 5.0]) AS size) s, range(12) a(o), range(8) b(i) WHERE o < size),
+t AS (SELECT size, o, i, w / SUM(w) OVER (PARTITION BY size, o) AS w FROM raw),
+cells AS (SELECT vec_id, unnest(m) AS v, generate_subscripts(m, 1) - 1 AS pos FROM e),
+down AS (SELECT vec_id, t.o AS y, pos % 8 AS x, SUM(v * w) AS v FROM cells JOIN t ON t.size = 12 AND t.i = pos // 8 AND w > 0 GROUP BY vec_id, t.o, pos % 8),
+across AS (SELECT vec_id, y, t.o AS x, SUM(v * w) AS v FROM down JOIN t ON t.size = 5 AND t.i = x AND w > 0 GROUP BY vec_id, y, t.o)
+SELECT vec_id, CAST(y * 5 + x AS INTEGER) AS cell, ROUND(v, 9) AS v FROM across""")
+def q_map_resize(spark, sf_dir):
+    """the embeddings as 8 x 8 maps, resampled to 12 rows of 5."""
+    emb = v.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("m"))
+    out = im.resize_maps(emb, "m", 8, 8, 12, 5)
+    return out.select("vec_id", F.posexplode("resized").alias("cell", "v")).select("vec_id", "cell", F.round("v", 9).alias("v"))
+
+
+@register("q_history_table", """
+WITH t AS (SELECT event_id, user_id AS machine_id, ts, value,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk,
+                  MAX(ts) OVER (PARTITION BY user_id) AS newest FROM events)
+SELECT event_id, machine_id, ts, value FROM t WHERE rk <= 10 AND ts >= newest - INTERVAL 3 DAY""")
+def q_history_table(spark, sf_dir):
+    """I4 as a table: two landings, each followed by an incremental compaction; the
+    table read back equals the retention of all rows."""
+    ev = v.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("machine_id"), "ts", "value")
+    table = HistoryTable(spark, _scratch(spark, "history"), "machine_id", "ts", 10, "3 days", "event_id")
+    table.add(ev.where(F.col("event_id") % 3 != 0))
+    table.add(ev.where(F.col("event_id") % 3 == 0))
+    return table.read().select("event_id", "machine_id", "ts", "value")
+
+
 @register("q_constant_column", "SELECT event_id, event_type, 'line-1' AS site FROM events")
 def q_constant_column(spark, sf_dir):
     """A constant column on every row."""

@@ -140,10 +140,10 @@ def _change_fn(order: list[str], value: str):
         if not parts:
             return
         pdf = pd.concat(parts, ignore_index=True).sort_values(order, kind="mergesort")
-        vals = pdf[value].tolist()
+        vals = [None if pd.isna(x) else x for x in pdf[value].tolist()]  # pandas reads NULL numbers as NaN
         prev = [state.get[0] if state.exists else None] + vals[:-1]
         first_ever = [not state.exists] + [False] * (len(vals) - 1)
-        changed = [f or not ((a is None and b is None) or (a == b)) for f, a, b in zip(first_ever, vals, prev)]
+        changed = [f or a != b for f, a, b in zip(first_ever, vals, prev)]
         state.update((vals[-1],))
         out = pdf.assign(prev_value=prev)[changed]
         if not out.empty:
@@ -153,7 +153,8 @@ def _change_fn(order: list[str], value: str):
 
 def change_stream(stream: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
     """I1 (stream): deliver a reading only when its value differs from the
-    previous reading of the same key (first reading included)."""
+    previous reading of the same key (first reading included); missing readings
+    (NULL, NaN) are one value, delivered as NULL."""
     schema = T.StructType(stream.schema.fields + [T.StructField("prev_value", stream.schema[value].dataType)])
     state = T.StructType([T.StructField("last", stream.schema[value].dataType)])
     return stream.groupBy(key).applyInPandasWithState(
