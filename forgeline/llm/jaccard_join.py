@@ -26,8 +26,10 @@ Steps, each linear in the shingles but for the last, exact one:
 4. The rest.  A group whose sets are in several components may hide a link between
    two of them.  Components that meet in such a group form a cluster; each cluster
    is cut into chunks, a chunk's sets form a trie, and every set outside the
-   cluster's largest component walks every chunk's trie.  Thus every pair that
-   could join two components is decided exactly; nothing is capped.
+   cluster's largest component walks every chunk's trie.  The asking sets are cut
+   into parts too, and a (part, chunk) is worked on by itself, so that no group is
+   larger than two chunks.  Thus every pair that could join two components is
+   decided exactly; nothing is capped.
 
 Defined cases: NULL and empty texts have an empty set and are linked with nothing;
 repeated rows are copies; NULL ids count as larger than every id (alone, such a
@@ -56,7 +58,7 @@ DOCS_PER_SHARD = 4_000
 LEAST_SHARDS = 64
 SMALL_GROUP = 128  # sets of one shingle compared by place and size before they are kept for the rest
 LEADER_GROUP = 2_000  # members of one leader verified together
-CHUNK = 4_096  # sets of one trie of the exact rest
+CHUNK = 1_024  # sets of one trie of the exact rest, and sets that walk it together
 FILTER_BITS = 1 << 27  # 16 MB
 
 
@@ -120,14 +122,16 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             names, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, offsets, data in blocks(batch.column("text")):
                 grams, _, n = shingle_sets(offsets, data)
-                total += np.bincount((grams & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+                cells, times = np.unique(grams & U(SKETCH - 1), return_counts=True)
+                total[cells.astype(np.int64)] += times.astype(np.uint32)
                 names.append(class_names(grams, n))
                 sizes.append(n)
                 some = True
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(names)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=MEASURED)
         if some:
-            packed = [pa.compress(total[i * size:(i + 1) * size].tobytes(), "zstd", asbytes=True) for i in range(SKETCH_CHUNKS)]
+            packed = [pa.compress(memoryview(total[i * size:(i + 1) * size]), "zstd", asbytes=True) for i in range(SKETCH_CHUNKS)]
+            del total
             k = SKETCH_CHUNKS
             yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=MEASURED)
 
@@ -450,10 +454,13 @@ def decide_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between different components of a cluster, of (name, root,
     cluster) members: at least one for every pair of components with a link."""
     parts = members.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("k"))
-    whole = parts.groupBy("cluster").agg(F.max_by("root", F.struct("k", "root")).alias("largest"), F.sum("k").alias("size"))
-    told = members.join(whole, "cluster").join(sets, "name").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
-    stored = told.select("cluster", F.pmod(F.xxhash64("name"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("asks"), "name", "root", "grams")
-    asking = told.where("root != largest").select("cluster", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("asks"), "name", "root", "grams")
+    whole = parts.groupBy("cluster").agg(F.max_by("root", F.struct("k", "root")).alias("largest"), F.sum("k").alias("size"), F.max("k").alias("most"))
+    told = (members.join(whole, "cluster").join(sets, "name")
+            .withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("parts", F.ceil((F.col("size") - F.col("most")) / CHUNK).cast("int")))
+    own = lambda n: F.pmod(F.xxhash64("name"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    stored = told.select("cluster", own("chunks").alias("chunk"), every("parts").alias("part"), F.lit(False).alias("asks"), "name", "root", "grams")
+    asking = told.where("root != largest").select("cluster", every("chunks").alias("chunk"), own("parts").alias("part"), F.lit(True).alias("asks"), "name", "root", "grams")
 
     def run(table: pa.Table) -> pa.Table:
         asks = np.array(table.column("asks").to_pylist(), bool)
@@ -471,7 +478,7 @@ def decide_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
                     right.append(int(name[s]))
         return pa.Table.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return stored.union(asking).groupBy("cluster", "chunk").applyInArrow(run, "a long, b long")
+    return stored.union(asking).groupBy("cluster", "chunk", "part").applyInArrow(run, "a long, b long")
 
 
 # -- the operator -------------------------------------------------------------------

@@ -19,7 +19,7 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = {"n": 0}
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
