@@ -4,9 +4,12 @@ Two generative models over hashed n-gram features, one of target text (the label
 good documents) and one of raw text (all documents), give every document a log
 importance weight: the mean log ratio of its features, shrunk for short texts.
 Documents are then drawn without replacement by Gumbel top-k: the k largest of
-``SCALE * weight + Gumbel noise`` with noise from a hash of the id, so a run can be
-repeated.  k is the number of documents whose weight reaches a cut fitted on the
-labelled sample, so the noise decides only near the cut.
+``scale * weight + Gumbel noise`` with noise from a hash of the id, so a run can be
+repeated.  ``scale`` and ``k`` are parameters.  By default k is the number of documents
+whose weight reaches a cut fitted on the labelled sample, and the scale is so large
+(SCALE) that the noise decides only near the cut: a filter that keeps good documents.
+A scale of 1 and a k below the number of documents draw a sample in proportion to the
+exponential of the weights.
 
 Features, hashed into BUCKETS: tokens (runs of letters and digits, or of other
 signs) with case, their shape, pairs of tokens, and a mark for pairs already seen
@@ -94,10 +97,13 @@ def feature_counts(texts: DataFrame) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """doc_id, text and quality of at most ``limit`` labelled documents."""
-    some = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_l"), "quality").dropDuplicates(["_l"]).orderBy(F.xxhash64("_l"), "_l").limit(limit)
+    """doc_id, text and quality of at most ``limit`` labelled documents; of rows that
+    repeat an id, the one with the smallest hash of its text."""
+    some = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_l")).agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("_l"), "_l").limit(limit)
     rows = docs.select("doc_id", text_of(docs).alias("text"))
-    return rows.join(F.broadcast(some), rows["doc_id"] == some["_l"]).select("doc_id", "text", "quality")
+    found = rows.join(F.broadcast(some), rows["doc_id"] == some["_l"])
+    one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "quality")).alias("row"))
+    return one.select("doc_id", "row.text", "row.quality")
 
 
 def block_weights(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
@@ -172,25 +178,26 @@ def noise(doc_id) -> Column:
     return -F.log(-F.log(u))
 
 
-def _draw(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.ndarray, DataFrame, float]:
+def _draw(docs: DataFrame, labels: DataFrame, limit: int, scale: float, k: int | None) -> tuple[np.ndarray, DataFrame, float]:
     """Log ratios, the weighed rows and the smallest key that stays."""
     ratio, edge = fit(docs, labels, limit)
     weighed = weights(docs.select("doc_id", text_of(docs).alias("text")), ratio, "doc_id")
-    told = cut(weighed.withColumn("gumbel_key", SCALE * F.col("weight") + noise(F.col("doc_id"))))
-    k = told.where(F.col("weight") >= edge).count()
+    told = cut(weighed.withColumn("gumbel_key", scale * F.col("weight") + noise(F.col("doc_id"))))
+    if k is None:
+        k = told.where(F.col("weight") >= edge).count()
     return ratio, told, kth_largest(told, "gumbel_key", k)
 
 
-def select(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, scale: float = SCALE, k: int | None = None) -> DataFrame:
     """One row per document: doc_id, weight, gumbel_key, kept."""
-    _, told, least = _draw(docs, labels, limit)
+    _, told, least = _draw(docs, labels, limit, scale, k)
     return told.withColumn("kept", F.col("gumbel_key") >= least)
 
 
-def keep_selected(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+def keep_selected(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, scale: float = SCALE, k: int | None = None) -> DataFrame:
     """The documents that the resampling draws, all columns as they were.  A row's
     key follows from the row, so it is worked out again and no text is shuffled."""
-    ratio, _, least = _draw(docs, labels, limit)
+    ratio, _, least = _draw(docs, labels, limit, scale, k)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     (own,) = fresh(docs, "_noise")
     text = docs.columns.index("text")
@@ -198,7 +205,7 @@ def keep_selected(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                key = SCALE * block_weights(batch.column(text), shared.value) + batch.column(batch.num_columns - 1).to_numpy()
+                key = scale * block_weights(batch.column(text), shared.value) + batch.column(batch.num_columns - 1).to_numpy()
                 yield batch.filter(pa.array(key >= least)).drop_columns([own])
 
     return docs.withColumn(own, noise(docs["doc_id"])).mapInArrow(run, docs.schema)

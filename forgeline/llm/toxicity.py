@@ -2,8 +2,8 @@
 
 Lexicon: words and word beginnings whose share of toxic training documents is far
 above their share of the others, learnt in Spark from at most LABELLED labelled
-documents (those with the smallest hashes of their ids, a parameter); at most
-TERMS terms, those with the largest z statistic, each with its log ratio.
+documents (those with the smallest hashes of their ids, a parameter); all terms
+whose z statistic and log ratio reach the limits, each with its log ratio.
 
 Matching: the terms stand in a trie.  A word runs through the intersection of that
 trie with a Levenshtein automaton: a state is the set of (trie node, edits so far)
@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 from forgeline.llm.common import cut, text_of
 
 LABELLED = 8_000
-TERMS = 400
 LEAST_Z = 5.0
 LEAST_RATIO = math.log(4)
 BEGINNINGS = range(3, 9)
@@ -191,15 +190,19 @@ def text_features(text: str, matcher: Matcher) -> list[float]:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, held_out, limit: int = LABELLED) -> DataFrame:
-    """text and toxic of at most ``limit`` labelled documents not held out."""
+    """text and toxic of at most ``limit`` labelled documents not held out; of rows
+    that repeat an id, the one with the smallest hash of its text."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
     some = known.groupBy(F.col("doc_id").alias("_l")).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_l"), "_l").limit(limit)
     rows = docs.select("doc_id", text_of(docs).alias("text"))
-    return rows.join(F.broadcast(some), rows["doc_id"] == some["_l"]).select("text", "toxic")
+    found = rows.join(F.broadcast(some), rows["doc_id"] == some["_l"])
+    one = found.groupBy("_l").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic")).alias("row"))
+    return one.select("row.text", "row.toxic")
 
 
-def learn_terms(sample: DataFrame, limit: int = TERMS) -> list[tuple[str, bool, float]]:
-    """The lexicon: (term, whole word, log ratio)."""
+def learn_terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
+    """The lexicon: (term, whole word, log ratio) of all terms that reach the limits.
+    The sample bounds it: a term needs LEAST_Z, hence several of its documents."""
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") == 1).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = sizes.get(True, 0), sizes.get(False, 0)
     if not bad or not good:
@@ -223,7 +226,7 @@ def learn_terms(sample: DataFrame, limit: int = TERMS) -> list[tuple[str, bool,
     pool = (F.col("bad") + F.col("good")) / (bad + good)
     z = (p - q) / F.sqrt(pool * (1 - pool) * (1 / bad + 1 / good) + F.lit(1e-9))
     ratio = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
-    best = counts.withColumns({"z": z, "ratio": ratio}).where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO)).orderBy(F.desc("z"), "term").limit(limit).collect()
+    best = counts.withColumns({"z": z, "ratio": ratio}).where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO)).orderBy(F.desc("z"), "term").collect()
     return [(r["term"].removesuffix("*"), not r["term"].endswith("*"), r["ratio"]) for r in best]
 
 

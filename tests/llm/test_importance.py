@@ -82,3 +82,23 @@ def test_sample_has_its_bound(documents, spark):
     sample = importance.labelled_sample(documents([(i, "t") for i in range(60)]), labels, limit=10)
     assert sample.count() == 10
     assert sample.select(F.max("doc_id")).first()[0] < 50
+
+
+def test_repeated_documents_count_once_in_the_sample(documents, spark):
+    pairs = [(1, f"copy {i}") for i in range(300)] + [(2, "x"), (3, "y")]
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert importance.labelled_sample(documents(pairs), labels, 3).count() == 3
+    from forgeline.llm import toxicity
+    assert toxicity.training_sample(documents(pairs), labels, F.lit(False), 3).count() == 3
+
+
+def test_draw_in_proportion_to_the_weights(documents, spark):
+    """scale 1 and k of the caller: the k largest of weight + Gumbel noise."""
+    pairs = [(i, "good clean words here " * (i % 5) + "junk $$ !! " * (i % 7)) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 7 == 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    rows = importance.select(documents(pairs), labels, scale=1.0, k=50).collect()
+    noise = {r["id"]: r["g"] for r in spark.range(200).select("id", importance.noise(F.col("id")).alias("g")).collect()}
+    order = sorted(rows, key=lambda r: -(r["weight"] + noise[r["doc_id"]]))
+    assert {r["doc_id"] for r in order[:50]} == {r["doc_id"] for r in rows if r["kept"]}
+    cut = importance.keep_selected(documents(pairs), labels, scale=1.0, k=50)
+    assert sorted(r["doc_id"] for r in cut.collect()) == sorted(r["doc_id"] for r in order[:50])
