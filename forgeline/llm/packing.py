@@ -3,7 +3,8 @@
 Tokens: every text is encoded by a public word-piece vocabulary and ended by
 id 0.  Encoding acts on pre-tokens, which hold no white space, independently, so a
 worker encodes each distinct word once and joins the stored id bytes; texts with
-one of the vocabulary's special strings are encoded whole.  Only documents above the capacity are cut.
+one of the vocabulary's special strings, or with a character that Python's Unicode
+tables don't know (so that tables may differ about it), are encoded whole.  Only documents above the capacity are cut.
 
 Plan: what matters to packing is how many pieces there are of each length, at
 most ``capacity`` numbers whatever the input.  On that histogram the solver fills
@@ -57,6 +58,18 @@ _OTHERS = [b for b in range(256) if b not in _PRINTED]
 BYTE_LETTERS = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 
 
+@functools.cache
+def unknown_characters() -> re.Pattern:
+    """A class of all code points without a meaning in Python's Unicode tables."""
+    edges, before = [], False
+    for c in range(0x80, 0x110000):
+        if (now := unicodedata.category(chr(c)) == "Cn") != before:
+            edges.append(c)
+            before = now
+    edges += [0x110000] * before
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in zip(edges[::2], edges[1::2], strict=True)) + "]")
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -82,19 +95,23 @@ class WordEncoder:
             known = self.ids[token] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         return known
 
-    def _words(self, words: list[str]) -> bytes:
+    def _words(self, words: list[str]) -> bytes | None:
+        """Ids of words; None if one has a character that tables may differ about."""
         if len(self.ids) > CACHE_WORDS:
             self.ids = {}
-        for w in {w for w in words if w not in self.ids}:
+        new = {w for w in words if w not in self.ids}
+        if any(unknown_characters().search(w) for w in new if not w.isascii()):
+            return None
+        for w in new:
             self.ids[w] = b"".join(map(self._pre_token, self.split(w)))
         return b"".join(map(self.ids.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
-        if ODD.search(text):  # special strings; separators that only str.split takes as white space
-            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        return self._words(text.replace("\u03a3", "\u03c3").lower().split())  # the vocabulary knows no final sigma
+        ids = None
+        if not ODD.search(text):  # special strings; separators that only str.split takes as white space
+            plain = text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
+            ids = self._words(plain.replace("\u03a3", "\u03c3").lower().split())  # the vocabulary knows no final sigma
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes() if ids is None else ids
 
 
 @functools.cache

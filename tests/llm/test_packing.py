@@ -1,6 +1,7 @@
 """Packing: exact tokens, gapless sequences, the solver's optimality on small cases."""
 import random
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -112,3 +113,12 @@ def test_fillings_are_all_that_none_dominates(seed):
 
 def test_empty_table(documents):
     assert packing.pack(documents([])).count() == 0
+
+
+def test_every_code_point_is_encoded_like_the_tokenizer():
+    encoder = packing.WordEncoder(packing.default_vocabulary())
+    whole = lambda t: array("I", encoder.whole.encode(t, add_special_tokens=False).ids).tobytes()
+    for c in [*range(0xD800), *range(0xE000, 0x110000)]:
+        if c < 0x3000 or c % 7 == 3 or 0xA000 <= c < 0xB000 or 0x18C00 <= c < 0x19000 or 0x323A0 <= c < 0x323D0:
+            t = f"a{chr(c)}b {chr(c)}"
+            assert encoder.encode(t) == whole(t), hex(c)
