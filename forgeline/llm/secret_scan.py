@@ -12,7 +12,9 @@ same document:
 
 - ``key40``    a bare 40-character base64 token, next to an ``access`` part,
 - ``login``    a user/login/pass assignment of any value, next to an ``endpoint``,
-- ``endpoint`` a service URL, next to a ``login`` or ``assign`` part.
+- ``endpoint`` a service URL, next to a ``login``, ``assign`` or ``short`` part,
+- ``short``    a keyword assignment whose value has fewer than 8 characters, next to an
+  ``endpoint`` or ``access`` part.
 
 A weak part that overlaps a strong one is the same credential and isn't
 reported twice.
@@ -37,18 +39,20 @@ from forgeline.llm.common import cut, text_of
 SCOPE = 256
 VALUE = r"[A-Za-z0-9+/_.=-]+"
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
-KINDS = ("assign", "access", "hex", "key40", "login", "endpoint")  # also the order of ties
+KINDS = ("assign", "access", "hex", "key40", "login", "endpoint", "short")  # also the order of ties
 PATTERNS = {
     "assign": f"{ASSIGN}({VALUE})",
     "access": r"(AKIA[A-Z0-9]+)",
     "hex": r"([0-9a-f]{32,})",
     "key40": r"((?<![A-Za-z0-9/+])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=]))",
     "login": r"""(?i:user(?:name)?|login|pwd|pass)["']?\x20*[:=]\x20*["']?([^\s"',;]+)""",
+    "short": f"{ASSIGN}({VALUE})",
     "endpoint": r"""((?i:https?|ftp|ssh|jdbc|postgres|mysql|mongodb|redis|amqp)://[^\s"'<>]+)""",
 }
 LEAST = {"assign": 8, "access": 16, "hex": 32}  # characters of the value
+MOST = {"short": 7}
 STRONG = ("assign", "access", "hex")
-COMPLEMENTS = {"key40": ("access",), "login": ("endpoint",), "endpoint": ("login", "assign")}
+COMPLEMENTS = {"key40": ("access",), "login": ("endpoint",), "endpoint": ("login", "assign", "short"), "short": ("endpoint", "access")}
 SPAN = "array<struct<start:bigint,rank:int,end:bigint>>"
 
 
@@ -64,7 +68,9 @@ def find_spans(text: Column, kind: str) -> Column:
         begin = acc["at"] + m["gap"]
         end = begin + m["whole"]
         span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"))
-        more = F.when(m["value"] >= LEAST.get(kind, 1), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+        fits = m["value"] >= LEAST.get(kind, 1)
+        fits = fits & (m["value"] <= MOST[kind]) if kind in MOST else fits
+        more = F.when(fits, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct(end.alias("at"), more.alias("spans"))
 
     spans = F.aggregate(found, start, step, lambda acc: acc["spans"])
