@@ -18,7 +18,8 @@
    closing line outside the body's wrapper is.
 
 Text inside menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments is left out, by element, role or class name.  A header
+styles and reader comments is left out, by element, role or class name (an element
+whose classes name content as well stays if it holds most of the page's text).  A header
 inside an article keeps its headings.  Character references are decoded; white
 space becomes one space; blocks are joined by one space.
 
@@ -56,6 +57,7 @@ FURNITURE = frozenset("""nav navbar navigation menu submenu breadcrumb breadcrum
     advertisement advertising adsense sponsor sponsored promo promotion banner notice notices cookie cookies consent gdpr popup modal overlay
     newsletter subscribe signup login share sharing social comment comments disqus respond replies related recommended widget pagination
     pager skip toolbar alert paywall copyright""".split())
+COMMENTS = frozenset("comment comments disqus respond replies".split())
 QUALIFIERS = frozenset("with has no without".split())
 CONTENT = frozenset("article articlebody post content entry story main text".split())
 # what a start tag closes, if open, and the elements that shield it
@@ -63,20 +65,26 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 CLOSE_P = BLOCKS - {"br", "option", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "body", "html"}
 SHIELD_P = frozenset("div section article main td th li body html table blockquote aside nav header footer form button".split())
-SALTS = 32
+SALT_PAGES, SALTED_HOSTS = 1_000, 10_000
 DOUBT = 2.0
 BONUS = {"article": 1.3, "main": 1.15, "body": 0.8, "html": 0.6}
 
 
 def is_furniture(tag: str, attributes: dict[str, str]) -> bool:
+    """By element, role or visibility; whatever it holds is left out."""
     if tag in DROPPED:
         return True
     if tag in ("html", "body", "main"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "") in ROLES:
         return True
-    if "style" in attributes and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes["style"]):
-        return True
+    return "style" in attributes and bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes["style"]))
+
+
+def sounds_like_furniture(tag: str, attributes: dict[str, str]) -> bool:
+    """By a word of its class or id.  A first heading is never meant by that."""
+    if tag in ("html", "body", "main", "h1"):
+        return False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
         parts = NAME_PARTS.findall(name)
         if parts and parts[0] not in QUALIFIERS and not FURNITURE.isdisjoint(parts):
@@ -84,16 +92,48 @@ def is_furniture(tag: str, attributes: dict[str, str]) -> bool:
     return False
 
 
+def may_be_content(attributes: dict[str, str]) -> bool:
+    """Whether the class or id also names content, in a word of its own, and no
+    reader comments."""
+    names = [NAME_PARTS.findall(n) for n in (attributes.get("class", "") + " " + attributes.get("id", "")).split()]
+    return any(n and CONTENT.issuperset(n) for n in names) and COMMENTS.isdisjoint(w for n in names for w in n)
+
+
 class Page:
-    """Elements in document order and the text pieces between them."""
+    """Elements in document order and the text pieces between them.
+
+    An element that sounds like furniture and like content is left out unless it
+    holds most of the page's text outside links."""
 
     def __init__(self, source: str):
+        self._read(source, set())
+        if self.doubtful:
+            held, rest = self._held()
+            saved = {node for node, n in held.items() if n > rest - n}
+            if saved:  # numbers of elements don't depend on what is left out
+                self._read(source, saved)
+
+    def _read(self, source: str, saved: set[int]) -> None:
+        self.saved, self.doubtful = saved, []
         self.tag, self.parent, self.path = [""], [0], [""]
         self.out, self.link, self.head = [False], [False], [0]  # left out; in a link; 1 in an inner header, 2 in its headings
         self.container, self.bonus = [0], [1.0]
         self.pieces: list[tuple[int, str]] = []
         self._parse(source)
 
+    def _held(self) -> tuple[dict[int, int], int]:
+        """Characters outside links of the doubtful elements, and of the page with
+        them."""
+        size = [0] * len(self.tag)
+        for node, text in self.pieces:
+            if not self.link[node]:
+                size[node] += len("".join(text.split()))
+        doubt = set(self.doubtful)
+        for node in range(len(self.tag) - 1, 0, -1):
+            if node in doubt or not self.out[node] or self.out[self.parent[node]]:  # not what else is left out
+                size[self.parent[node]] += size[node]
+        return {node: size[node] for node in self.doubtful}, size[0]
+
     def _open(self, tag: str, attributes: dict[str, str], up: int) -> int:
         out, head = self.out[up], self.head[up]
         if not out:
@@ -101,6 +141,10 @@ class Page:
                 out, head = not self._inside(up), 1
             elif is_furniture(tag, attributes):
                 out = True
+            elif sounds_like_furniture(tag, attributes):
+                out = len(self.tag) not in self.saved
+                if out and may_be_content(attributes):
+                    self.doubtful.append(len(self.tag))
             elif head == 1 and tag in HEADINGS:
                 head = 2
         me = len(self.tag)
@@ -275,7 +319,12 @@ def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
                 texts.append(page.text(best))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "path", "text"])
 
-    # a host may have a third of all pages: both sides are dealt by (host, salt)
-    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
-    won = won.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    # a host may have a third of all pages: both sides are dealt by (host, salt), with a
+    # salt for every SALT_PAGES pages of a host; at most SALTED_HOSTS hosts need any
+    sizes = keyed.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    large = sizes.where(F.col("n") > max(SALT_PAGES, total // SALTED_HOSTS)).select("host", F.ceil(F.col("n") / SALT_PAGES).cast("long").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1).cast("long"))
+    keyed = keyed.join(F.broadcast(large), "host", "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), salts))
+    won = won.join(F.broadcast(large), "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
     return keyed.join(won, ["host", "salt"], "left").select("page_id", "url", "html", "won").mapInArrow(run, "page_id long, url string, path string, text string")

@@ -28,6 +28,25 @@ def test_pages(source, text):
     assert best(source) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<div class='text share-text'>the whole long article</div><p>tail</p>", "the whole long article tail"),
+    ("<div class='text share-text'>buttons</div><p>the whole long article</p>", "the whole long article"),
+    ("<article><h1 class=banner-title>Head</h1><p>body</p></article>", "Head body"),
+    ("<p>short</p><div class='content comments'>a very long exchange of comments</div>", "short"),
+    ("<div class='post promo'><nav>menu menu menu menu</nav>article text <div class=share>x</div></div><div class='post ad'>advert</div>", "article text"),
+])
+def test_class_words_and_what_an_element_holds(source, text):
+    assert Page(source).text(None) == text
+
+
+def test_a_large_host_is_dealt_by_its_size(spark, monkeypatch):
+    from forgeline.llm import html_extract
+    monkeypatch.setattr(html_extract, "SALT_PAGES", 3)
+    monkeypatch.setattr(html_extract, "SALTED_HOSTS", 4)
+    rows = [(i, f"http://{'big' if i % 3 else i}.example/", ARTICLE) for i in range(40)]
+    assert {(r["page_id"], r["text"]) for r in extract(pages(spark, rows)).collect()} == {(i, TEXT) for i in range(40)}
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
 
