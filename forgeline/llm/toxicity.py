@@ -226,8 +226,21 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
     pool = (F.col("bad") + F.col("good")) / (bad + good)
     z = (p - q) / F.sqrt(pool * (1 - pool) * (1 / bad + 1 / good) + F.lit(1e-9))
     ratio = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
-    best = counts.withColumns({"z": z, "ratio": ratio}).where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO)).orderBy(F.desc("z"), "term").collect()
-    return [(r["term"].removesuffix("*"), not r["term"].endswith("*"), r["ratio"]) for r in best]
+    best = counts.withColumns({"z": z, "ratio": ratio}).where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO)).collect()
+    return sorted(shortest_beginnings({r["term"]: (r["good"], r["ratio"]) for r in best}))
+
+
+def shortest_beginnings(found: dict[str, tuple[int, float]]) -> list[tuple[str, bool, float]]:
+    """(term, whole word, log ratio) of terms (a beginning ends in ``*``) with their
+    false hits: all whole words, and of the beginnings those without a shorter one
+    among them that has no more false hits, since that one matches all they match."""
+    out = []
+    for term, (false, ratio) in found.items():
+        bare = term.removesuffix("*")
+        if bare != term and any(false >= found[p][0] for k in BEGINNINGS if k < len(bare) and (p := bare[:k] + "*") in found):
+            continue
+        out.append((bare, bare == term, ratio))
+    return out
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -98,3 +98,9 @@ def test_defined_cases(documents, spark):
     assert toxicity.fit(toxicity.training_sample(documents(docs), none, F.lit(False))) is None
     assert [r["score"] for r in toxicity.score(documents([(1, "a")]).select("doc_id", "text"), None, "doc_id").collect()] == [0.0]
     assert toxicity.score(documents([]).select("doc_id", "text"), model, "doc_id").count() == 0
+
+
+def test_of_beginnings_the_shortest_without_more_false_hits_stay():
+    from forgeline.llm.toxicity import shortest_beginnings
+    found = {"tra*": (5, 1.0), "tras*": (2, 1.5), "trash*": (2, 1.5), "trash": (1, 2.0), "trashy": (0, 2.0), "idi*": (0, 3.0), "idiot*": (0, 3.0)}
+    assert sorted(shortest_beginnings(found)) == [("idi", False, 3.0), ("tra", False, 1.0), ("tras", False, 1.5), ("trash", True, 2.0), ("trashy", True, 2.0)]
