@@ -2,26 +2,34 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in a single
 aggregation buffer, so one hot sensor with billions of readings would land in
-one task.  Here the order statistics are found by *distributed selection*:
-each pass scans the data once, histograms the values of every still-open
-target into ``buckets`` equal-width cells (a partial/final hash aggregation,
-so a hot group is pre-aggregated map-side), and narrows every target to the
-one cell that contains its rank.  A target is resolved when its cell holds a
-single distinct value, or -- once its cell holds at most ``rank_limit``
-rows -- by ranking just that cell.  Only per-target metadata (bounded by
-groups x probs) ever reaches the driver.
+one task.  Here the data are scanned twice:
+
+* the first scan builds a mergeable quantile sketch (KLL) per group; for each
+  target it proposes a bracket of values, a few times the sketch's error wide;
+* the second scan counts the rows below, between and inside the brackets of each
+  group, and keeps the inside values added up by value.  The counts prove where each
+  target lies, whatever the sketch said; a target outside its bracket (rare) gets the
+  gap that holds it as its bracket, and one more scan.
+
+What stays, about two hundredths of a big group per target, is *selected*
+from: equal-width histograms narrow a target to the one cell that contains its rank,
+until its cell is one value or holds at most ``rank_limit`` values, which are ranked.
+Only per-target metadata (bounded by groups x probs) reaches the driver.
 
 The interpolation matches pandas ``quantile`` / DuckDB ``quantile_cont``:
 position ``p * (n - 1)`` between the two neighbouring order statistics.
-Values may be infinite: an infinite end has a cell of its own.
+Values may be infinite: an infinite end has a cell of its own.  NaN is the largest
+value, as in Spark's order.
 """
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +37,29 @@ from .joins import join_on_keys
 
 MAX_TARGETS = 200_000  # targets are broadcast: groups x probs x 2 must stay metadata-sized
 RANK_LIMIT = 10_000  # a band this small is ranked exactly inside one window partition
+SKETCH_K = 1_024  # a sketch holds about 3 k doubles
+HASHED_GROUPS = 2_048  # sketches that a task holds at once before it sorts by group
+
+
+@dataclass
+class Group:
+    """One group's counts and ends (NaN apart), and its brackets in ascending order."""
+    key: tuple
+    n: int
+    finite: int
+    low: float | None
+    high: float | None
+    brackets: list
+
+
+def sketch_error(k: int) -> float:
+    """Rank error of a KLL sketch that 99 % of the answers keep."""
+    return 2.296 / k ** 0.9723
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], buckets: int = 4096,
-                    rank_limit: int = RANK_LIMIT) -> DataFrame:
+                    rank_limit: int = RANK_LIMIT, sketch_k: int = SKETCH_K) -> DataFrame:
     """Return ``group_cols + [prob, quantile, n]`` for each group and prob.
 
     ``df`` is long-form (one value per row); NULL values are ignored, a NULL group
@@ -42,85 +68,167 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     spark = df.sparkSession
     group_cols = list(group_cols)
     data = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    stats = (data.groupBy(*group_cols)
-             .agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-    groups = stats.limit(MAX_TARGETS // (2 * len(probs)) + 1).collect()
-    if len(groups) * len(probs) * 2 > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} quantile targets: groups must be metadata-sized")
-    # small groups are ranked in one pass straight from the source; big ones
-    # are scanned several times, so the values are cached for the passes
-    many_passes = any(g["_n"] > rank_limit for g in groups)
-    if many_passes:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    groups = _sketched(data, group_cols, probs, rank_limit, sketch_k)
+    wanted, resolved = [], {}
+    for gid, g in enumerate(groups):
+        for p in probs:
+            pos = p * (g.n - 1)
+            k_lo = math.floor(pos)
+            wanted.append((gid, float(p), k_lo, min(k_lo + 1, g.n - 1), pos - k_lo))
+    open_t = {(gid, k) for gid, _p, k_lo, k_hi, _f in wanted for k in (k_lo, k_hi)}
+    for gid, k in list(open_t):
+        g = groups[gid]
+        if k >= g.finite or g.low == g.high:
+            resolved[(gid, k)] = math.nan if k >= g.finite else g.low
+            open_t.discard((gid, k))
+    while open_t:
+        at_once = sorted({gid for gid, _k in open_t})
+        banded = _banded(data, group_cols, df.schema, groups, at_once).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            targets, band_rows, gaps = _located(banded, groups, open_t)
+            _select(spark, banded.where("_v IS NOT NULL"), targets, band_rows, resolved, buckets, rank_limit)
+        finally:
+            banded.unpersist()
+        open_t = set(gaps)
+        for gid in {gid for gid, _k in gaps}:
+            groups[gid].brackets = sorted({gaps[t] for t in gaps if t[0] == gid})
+    out_rows = []
+    for gid, p, k_lo, k_hi, frac in wanted:
+        a, b = resolved[(gid, k_lo)], resolved[(gid, k_hi)]
+        q = a + frac * (b - a) if frac else a
+        out_rows.append((*groups[gid].key, p, float(q), groups[gid].n))
+    out_schema = T.StructType([df.schema[c] for c in group_cols] + [
+        T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType()),
+        T.StructField("n", T.LongType())])
+    return spark.createDataFrame(out_rows, out_schema)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
-        gid_rows = []
-        targets = {}  # (gid, rank) -> [lo, hi, below]
-        wanted = []  # (gid, prob, n, rank_lo, rank_hi, frac)
-        for gid, row in enumerate(groups):
-            n = row["_n"]
-            gid_rows.append(tuple(row[c] for c in group_cols) + (gid,))
-            for p in probs:
-                pos = p * (n - 1)
-                k_lo = int(math.floor(pos))
-                k_hi = min(k_lo + 1, n - 1)
-                wanted.append((gid, float(p), n, k_lo, k_hi, pos - k_lo))
-                for k in (k_lo, k_hi):
-                    targets.setdefault((gid, k), [row["_lo"], row["_hi"], 0])
-        schema = T.StructType([df.schema[c] for c in group_cols] + [T.StructField("_gid", T.LongType())])
-        gid_df = spark.createDataFrame(gid_rows, schema)
-        # the gid table is bounded by n_groups, checked above
-        keyed = join_on_keys(data, gid_df, group_cols, broadcast_right=True).select("_gid", "_v")
-        resolved = {}
-        band_rows = {t: groups[t[0]]["_n"] for t in targets}  # rows inside each target's band
-        while True:  # the ends of an open band lie in different cells, so every pass narrows it
-            open_t = []
-            for (g, k), (lo, hi, below) in targets.items():
-                if (g, k) in resolved:
-                    continue
-                if lo == hi:
-                    resolved[(g, k)] = lo
-                else:
-                    open_t.append((g, k, lo, hi, below))
-            if not open_t:
-                break
-            if all(band_rows[(g, k)] <= rank_limit for g, k, *_ in open_t):
-                _finish_by_rank(spark, keyed, targets, [(g, k) for g, k, *_ in open_t], resolved)
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _sketched(data: DataFrame, group_cols: list, probs: Sequence[float], rank_limit: int, k: int) -> list[Group]:
+    """First scan: every group's counts, ends and sketched brackets.
+
+    A small group's bracket is its whole range: its values are ranked at once."""
+    number = F.when(~F.isnan("_v"), F.col("_v"))
+    reach = 2 * sketch_error(k)
+    ranks = [r for p in probs for r in (max(p - reach, 0.0), min(p + reach, 1.0))]
+    found = (data.groupBy(*group_cols)
+             .agg(F.count("*").alias("_n"), F.count(number).alias("_finite"), F.min(number).alias("_lo"),
+                  F.max(number).alias("_hi"), F.kll_sketch_agg_double(number, F.lit(k)).alias("_sketch"))
+             .withColumn("_ends", F.when(F.col("_finite") > rank_limit, F.kll_sketch_get_quantile_double(
+                 "_sketch", F.array(*[F.lit(float(r)) for r in ranks]))))
+             .drop("_sketch").where("_n > 0").limit(MAX_TARGETS // (2 * len(probs)) + 1))
+    with _setting(data.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(HASHED_GROUPS)):
+        rows = found.collect()
+    if len(rows) * len(probs) * 2 > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} quantile targets: groups must be metadata-sized")
+    groups = []
+    for r in rows:
+        brackets = [(r["_lo"], r["_hi"])]
+        if r["_ends"]:
+            ends = iter(r["_ends"])
+            brackets = [(r["_lo"] if p - reach <= 0 else lo, r["_hi"] if p + reach >= 1 else hi)
+                        for p, lo, hi in zip(probs, ends, ends)]
+        groups.append(Group(tuple(r[c] for c in group_cols), r["_n"], r["_finite"], r["_lo"], r["_hi"], _apart(brackets)))
+    return groups
+
+
+def _apart(brackets: list) -> list:
+    """The brackets in ascending order, those that meet as one."""
+    out: list = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _banded(data: DataFrame, group_cols: list, schema: T.StructType, groups: list[Group], at_once: list) -> DataFrame:
+    """Second scan: (_gid, _slot, _v, _c).  Slot 2i + 1 is the group's bracket i, whose
+    values are kept; slot 2i is what lies before it, of which only the count is."""
+    width = max(len(groups[gid].brackets) for gid in at_once)
+    rows = []
+    for gid in at_once:
+        ends = [float(e) for b in groups[gid].brackets for e in b]
+        rows.append((*groups[gid].key, gid, *ends, *[math.nan] * (2 * width - len(ends))))  # nothing reaches NaN
+    names = [f"_end{i}" for i in range(2 * width)]
+    table = data.sparkSession.createDataFrame(rows, T.StructType(
+        [schema[c] for c in group_cols] + [T.StructField("_gid", T.LongType())]
+        + [T.StructField(c, T.DoubleType()) for c in names]))
+    # the table of brackets is bounded by MAX_TARGETS, checked in the first scan
+    keyed = join_on_keys(data.where(~F.isnan("_v")), table, group_cols, broadcast_right=True)
+    slot = F.lit(0)
+    for i, c in enumerate(names):
+        slot = slot + (F.col("_v") > F.col(c) if i % 2 else F.col("_v") >= F.col(c)).cast("int")
+    return (keyed.select("_gid", slot.alias("_slot"), "_v")
+            .select("_gid", "_slot", F.when(F.col("_slot") % 2 == 1, F.col("_v")).alias("_v"))
+            .groupBy("_gid", "_slot", "_v").agg(F.count("*").alias("_c")))
+
+
+def _located(banded: DataFrame, groups: list[Group], open_t: set) -> tuple[dict, dict, dict]:
+    """Which slot holds each target, by exact counts: for targets in a bracket
+    [low, high, rows below] and the bracket's values; for the others the gap."""
+    slots: dict = {}
+    for r in banded.groupBy("_gid", "_slot").agg(F.sum("_c").alias("_c"), F.count("_v").alias("_values"),
+                                                 F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).collect():
+        slots.setdefault(r["_gid"], {})[r["_slot"]] = r
+    targets, band_rows, gaps = {}, {}, {}
+    for gid, k in open_t:
+        below = 0
+        for slot, r in sorted(slots[gid].items()):
+            if k < below + r["_c"]:
                 break
-            tdf = spark.createDataFrame(
-                [(i, g, k, float(lo), float(hi), int(below)) for i, (g, k, lo, hi, below) in enumerate(open_t)],
-                "_tid long, _gid long, _k long, _lo double, _hi double, _below long")
-            cell = _cell(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets)
-            hist = (keyed.join(F.broadcast(tdf), "_gid")
-                    .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-                    .select("_tid", "_k", "_below", cell.alias("_cell"), "_v")
-                    .groupBy("_tid", "_k", "_below", "_cell")
-                    .agg(F.count("*").alias("_c"), F.min("_v").alias("_cmin"), F.max("_v").alias("_cmax")))
-            w = Window.partitionBy("_tid").orderBy("_cell")
-            picked = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                      .withColumn("_before", F.col("_cum") - F.col("_c"))
-                      .where((F.col("_below") + F.col("_before") <= F.col("_k"))
-                             & (F.col("_k") < F.col("_below") + F.col("_cum")))
-                      .select("_tid", "_cmin", "_cmax", "_c", (F.col("_below") + F.col("_before")).alias("_nb"))
-                      .collect())
-            for r in picked:
-                g, k = open_t[r["_tid"]][0], open_t[r["_tid"]][1]
-                targets[(g, k)] = [r["_cmin"], r["_cmax"], r["_nb"]]
-                band_rows[(g, k)] = r["_c"]
-        for (g, k), (lo, hi, _b) in targets.items():
-            if (g, k) not in resolved and lo == hi:
+            below += r["_c"]
+        if slot % 2:
+            targets[(gid, k)], band_rows[(gid, k)] = [r["_lo"], r["_hi"], below], r["_values"]
+        else:
+            g, i = groups[gid], slot // 2
+            gaps[(gid, k)] = (g.brackets[i - 1][1] if i else g.low, g.brackets[i][0] if i < len(g.brackets) else g.high)
+    return targets, band_rows, gaps
+
+
+def _select(spark: SparkSession, values: DataFrame, targets: dict, band_rows: dict, resolved: dict, buckets: int, rank_limit: int) -> None:
+    """Distributed selection of every target among ``values`` (_gid, _v, _c: how often)."""
+    while True:  # the ends of an open band lie in different cells, so every pass narrows it
+        open_t = []
+        for (g, k), (lo, hi, below) in targets.items():
+            if lo == hi:
                 resolved[(g, k)] = lo
-        out_rows = []
-        for gid, p, n, k_lo, k_hi, frac in wanted:
-            a, b = resolved[(gid, k_lo)], resolved[(gid, k_hi)]
-            q = a + frac * (b - a) if frac else a
-            out_rows.append(gid_rows[gid][:-1] + (p, float(q), int(n)))
-        out_schema = T.StructType([df.schema[c] for c in group_cols] + [
-            T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType()),
-            T.StructField("n", T.LongType())])
-        return spark.createDataFrame(out_rows, out_schema)
-    finally:
-        if many_passes:
-            data.unpersist()
+            else:
+                open_t.append((g, k, lo, hi, below))
+        if not open_t:
+            return
+        if all(band_rows[(g, k)] <= rank_limit for g, k, *_ in open_t):
+            return _finish_by_rank(spark, values, targets, [(g, k) for g, k, *_ in open_t], resolved)
+        tdf = spark.createDataFrame(
+            [(i, g, k, float(lo), float(hi), int(below)) for i, (g, k, lo, hi, below) in enumerate(open_t)],
+            "_tid long, _gid long, _k long, _lo double, _hi double, _below long")
+        cell = _cell(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets)
+        hist = (values.join(F.broadcast(tdf), "_gid")
+                .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+                .select("_tid", "_k", "_below", cell.alias("_cell"), "_v", "_c")
+                .groupBy("_tid", "_k", "_below", "_cell")
+                .agg(F.sum("_c").alias("_c"), F.count("*").alias("_values"), F.min("_v").alias("_cmin"), F.max("_v").alias("_cmax")))
+        w = Window.partitionBy("_tid").orderBy("_cell")
+        picked = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                  .withColumn("_before", F.col("_cum") - F.col("_c"))
+                  .where((F.col("_below") + F.col("_before") <= F.col("_k"))
+                         & (F.col("_k") < F.col("_below") + F.col("_cum")))
+                  .select("_tid", "_cmin", "_cmax", "_values", (F.col("_below") + F.col("_before")).alias("_nb"))
+                  .collect())
+        for r in picked:
+            target = open_t[r["_tid"]][:2]
+            targets[target] = [r["_cmin"], r["_cmax"], r["_nb"]]
+            band_rows[target] = r["_values"]
 
 
 def _cell(v, lo, hi, buckets: int):
@@ -140,8 +248,8 @@ def _cell(v, lo, hi, buckets: int):
     return F.least(F.greatest(raw, F.lit(0.0)), F.lit(b - 1.0)).cast("int")
 
 
-def _finish_by_rank(spark, keyed, targets, open_t, resolved):
-    """Rank the values inside each open band (at most ``rank_limit`` rows
+def _finish_by_rank(spark, values, targets, open_t, resolved):
+    """Rank the values inside each open band (at most ``rank_limit`` values
     per band, so one window partition stays bounded); targets that share a
     band are ranked once."""
     bands: dict = {}
@@ -152,11 +260,12 @@ def _finish_by_rank(spark, keyed, targets, open_t, resolved):
     want = [(i, k) for i, key in enumerate(bands) for k in bands[key]]
     bdf = spark.createDataFrame(band_rows, "_bid long, _gid long, _lo double, _hi double, _below long")
     kdf = spark.createDataFrame(want, "_bid long, _k long")
-    w = Window.partitionBy("_bid").orderBy("_v")
-    ranked = (keyed.join(F.broadcast(bdf), "_gid")
+    w = Window.partitionBy("_bid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (values.join(F.broadcast(bdf), "_gid")
               .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-              .withColumn("_k", F.row_number().over(w) - 1 + F.col("_below"))
-              .join(F.broadcast(kdf), ["_bid", "_k"])
+              .withColumn("_past", F.sum("_c").over(w) + F.col("_below"))
+              .join(F.broadcast(kdf), "_bid")
+              .where((F.col("_past") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_past")))
               .select("_gid", "_k", "_v").collect())
     for r in ranked:
         resolved[(r["_gid"], r["_k"])] = r["_v"]

@@ -39,6 +39,50 @@ def test_exact_quantiles_with_infinities(spark):
     assert got == {0.25: exp[0.25], 0.5: exp[0.5], 0.75: exp[0.75]}
 
 
+def test_exact_quantiles_when_the_sketch_misses(spark):
+    """A sketch of 8 is often wrong by more than its bracket: the counts send those
+    targets to their gap.  NaN is the largest value, a group of NaN alone has no other."""
+    rng = np.random.default_rng(3)
+    vals = {0: rng.normal(0, 1, 4000), 1: np.exp(rng.normal(0, 9, 2500)), 2: np.round(rng.normal(0, 1, 2000), 1),
+            3: np.r_[rng.random(500), [np.nan] * 500], 4: [np.nan] * 3, 5: [7.0] * 400, 6: [-np.inf] * 300 + [1.0, 2.0, np.inf]}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in vals.items() for v in vs], "k int, v double")
+    probs = [0.0, 0.01, 0.25, 0.3, 0.5, 0.9, 1.0]
+    for kw in ({"sketch_k": 8, "rank_limit": 5}, {"sketch_k": 8, "rank_limit": 5, "buckets": 3}, {"rank_limit": 50}):
+        got = {(r["k"], r["prob"]): (r["quantile"], r["n"]) for r in exact_quantiles(df, ["k"], "v", probs, **kw).collect()}
+        assert len(got) == len(vals) * len(probs)
+        for k, vs in vals.items():
+            ordered = sorted(vs, key=lambda v: (v != v, v))
+            for p in probs:
+                pos = p * (len(ordered) - 1)
+                at, frac = int(pos), pos - int(pos)
+                a, b = ordered[at], ordered[min(at + 1, len(ordered) - 1)]
+                exp = a + frac * (b - a) if frac else a
+                assert got[(k, p)][1] == len(ordered)
+                np.testing.assert_allclose(got[(k, p)][0], exp, rtol=1e-12, err_msg=str((kw, k, p)))
+
+
+def test_exact_quantiles_scan_the_source_twice(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    n = 60_000
+    df = spark.range(n).selectExpr("id % 2 AS k", "CAST(pmod(hash(id), 1000003) AS double) AS v").mapInPandas(watch, "k long, v double")
+    got = {(r["k"], r["prob"]): r["quantile"] for r in exact_quantiles(df, ["k"], "v", [0.25, 0.5, 0.75], rank_limit=500).collect()}
+    assert seen.value == 2 * n
+    pdf = df.toPandas()
+    for (k, p), q in got.items():
+        assert abs(q - pdf[pdf.k == k].v.quantile(p)) < 1e-6
+
+
+def test_exact_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(1, None)], "k int, v double")
+    assert exact_quantiles(df, ["k"], "v", [0.5]).collect() == []
+
+
 def test_with_ordinal_under_skew(spark):
     pdf, df = skewed(spark)
     got = {r["id"]: r["ordinal"] for r in with_ordinal(df, ["k"], ["v", "id"], partitions=7).collect()}
