@@ -71,25 +71,16 @@ def q_correlation(spark, sf_dir):
     return c.select("col_a", "col_b", r6("corr").alias("corr"))
 
 
-WIDE_COLUMNS = 512  # of the derived wide view: eight columns from each of 64 dimensions
-
-
-def _wide_column(j: int, at: str) -> str:
-    """Column j of the wide view as an expression over ``at`` (dimension -> SQL)."""
-    a, b = at.format(j % 64), at.format((j * 5 + 3) % 64)
-    return (a, f"{a} * {a}", f"{a} * {b}", f"{a} + {b}", f"{a} - 3 * {b}", f"1000 + {a}", f"abs({a})", f"{a} * {a} * {a}")[j // 64]
-
-
 @register("q_correlation_wide", f"""
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
-r AS (SELECT vec_id, unnest([{", ".join(_wide_column(j, "x[{}+1]") for j in range(WIDE_COLUMNS))}]) AS v, unnest(range({WIDE_COLUMNS})) AS j FROM e),
+r AS (SELECT vec_id, unnest([{", ".join(v.wide_column(j, "x[{}+1]") for j in range(v.WIDE_COLUMNS))}]) AS v, unnest(range({v.WIDE_COLUMNS})) AS j FROM e),
 l AS (SELECT vec_id, j, v FROM r WHERE (vec_id + j) % 29 <> 0)
 SELECT 'c' || a.j AS col_a, 'c' || b.j AS col_b, ROUND(corr(a.v, b.v), 6) AS corr FROM l a JOIN l b ON a.vec_id = b.vec_id AND a.j < b.j GROUP BY a.j, b.j""")
 def q_correlation_wide(spark, sf_dir):
     """D13 at sensor-table width: 512 columns with missing cells, every pair once."""
     emb = v.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
-    cells = [F.expr(f"CASE WHEN (vec_id + {j}) % 29 <> 0 THEN {_wide_column(j, 'x[{}]')} END").alias(f"c{j}") for j in range(WIDE_COLUMNS)]
-    c = pr.correlation_matrix(emb.select(*cells), [f"c{j}" for j in range(WIDE_COLUMNS)])
+    cells = [F.expr(f"CASE WHEN (vec_id + {j}) % 29 <> 0 THEN {v.wide_column(j, 'x[{}]')} END").alias(f"c{j}") for j in range(v.WIDE_COLUMNS)]
+    c = pr.correlation_matrix(emb.select(*cells), [f"c{j}" for j in range(v.WIDE_COLUMNS)])
     place = lambda name: F.substring(name, 2, 9).cast("int")
     return c.where(place("col_a") < place("col_b")).select("col_a", "col_b", r6("corr").alias("corr"))
 

@@ -206,6 +206,44 @@ wide_raw AS (
   FROM wide_base WHERE row_id % 101 = 7)"""
 
 
+WIDE_COLUMNS = 512  # of the derived wide view: eight columns from each of 64 dimensions
+
+
+def wide_column(j: int, at: str) -> str:
+    """Column j of the wide view as an expression over ``at`` (dimension -> SQL)."""
+    a, b = at.format(j % 64), at.format((j * 5 + 3) % 64)
+    return (a, f"{a} * {a}", f"{a} * {b}", f"{a} + {b}", f"{a} - 3 * {b}", f"1000 + {a}", f"abs({a})", f"{a} * {a} * {a}")[j // 64]
+
+
+def sensor_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sensor table of WIDE_COLUMNS columns c0.. from ``embeddings``, with sparse and
+    constant columns, sparse rows, missing cells, infinities, outliers, exact copies
+    under the negative id and invalid labels."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
+    rows = emb.select(F.explode(F.expr("IF(vec_id % 101 = 7, array(vec_id, -vec_id), array(vec_id))")).alias("row_id"), "vec_id", "x",
+                      F.expr(SENSOR_LABEL).alias("label"))
+    return rows.select("row_id", *[F.expr(_sensor_cell(j, wide_column(j, "x[{}]"))).alias(f"c{j}") for j in range(WIDE_COLUMNS)], "label")
+
+
+SENSOR_LABEL = "CASE WHEN vec_id % 79 = 2 THEN 0 WHEN vec_id % 83 = 5 THEN NULL WHEN label % 2 = 0 THEN 1 ELSE -1 END"
+
+
+def _sensor_cell(j: object, value: str) -> str:
+    """The cell of column ``j`` (a number, or the name of SQL's column of it)."""
+    inf = "CAST('Infinity' AS DOUBLE)"
+    return (f"CASE WHEN {j} % 41 = 7 THEN CAST(7.5 AS DOUBLE) WHEN {j} % 37 = 5 AND vec_id % 5 < 3 OR vec_id % 67 = 3 AND {j} % 10 <> 0 OR (vec_id + {j}) % 29 = 0 THEN NULL "
+            f"WHEN (vec_id * 3 + {j}) % 997 = 1 THEN {inf} WHEN (vec_id * 3 + {j}) % 997 = 2 THEN -{inf} "
+            f"WHEN (vec_id + {j} * 7) % 211 = 3 THEN 10000 + {value} ELSE {value} END")
+
+
+_SENSOR_VALUES = "[" + ", ".join(wide_column(j, "x[{}+1]") for j in range(WIDE_COLUMNS)) + "]"
+SENSOR_ARRAY_SQL = f"""
+sa_x AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x, {SENSOR_LABEL} AS label FROM embeddings),
+sa_r AS (SELECT vec_id, vec_id AS row_id, x, label FROM sa_x UNION ALL SELECT vec_id, -vec_id, x, label FROM sa_x WHERE vec_id % 101 = 7),
+sa_v AS (SELECT vec_id, row_id, label, unnest({_SENSOR_VALUES}) AS value, unnest(range({WIDE_COLUMNS})) AS j FROM sa_r),
+sensor_array AS (SELECT row_id, label, j, {_sensor_cell("j", "value")} AS v FROM sa_v)"""
+
+
 # ------------------------------------------------------------- scored labels
 def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation input: ``labels`` joined to ``documents``; y = quality,

@@ -189,6 +189,27 @@ def q_label_domain(spark, sf_dir):
     return cascade(spark, sf_dir).final().select("row_id", "label")
 
 
+SCORE_SQL = """q AS (
+  SELECT *,
+    CAST(n_original - e_uni AS DOUBLE) / n_original * 100 AS q_uni,
+    CAST(n_original * n_sensors - (e_com_cols * n_original + e_com_rows * n_live + e_com_cells) AS DOUBLE)
+      / (n_original * n_sensors) * 100 AS q_com,
+    CAST(n_original * n_sensors - (e_val_inf + e_val_const * n_original) AS DOUBLE) / (n_original * n_sensors) * 100 AS q_val,
+    CAST(n_con - e_con AS DOUBLE) / n_con * 100 AS q_con,
+    CAST(n_original - e_acc AS DOUBLE) / n_original * 100 AS q_acc
+  FROM parts)
+SELECT n_original, CAST(n_sensors AS BIGINT) AS n_sensors, e_uni, ROUND(q_uni, 6) AS q_uni,
+       CAST(e_com_cols AS BIGINT) AS e_com_cols, e_com_rows, e_com_cells, ROUND(q_com, 6) AS q_com,
+       e_val_inf, CAST(e_val_const AS BIGINT) AS e_val_const, ROUND(q_val, 6) AS q_val,
+       e_con, CAST(n_con AS BIGINT) AS n_con, ROUND(q_con, 6) AS q_con, e_acc, ROUND(q_acc, 6) AS q_acc,
+       ROUND((q_uni + q_com + q_val + q_con + q_acc) / 5, 6) AS mdqi,
+       CASE WHEN (q_uni + q_com + q_val + q_con + q_acc) / 5 >= 99 THEN 'S'
+            WHEN (q_uni + q_com + q_val + q_con + q_acc) / 5 >= 95 THEN 'A'
+            WHEN (q_uni + q_com + q_val + q_con + q_acc) / 5 >= 80 THEN 'B' ELSE 'C' END AS grade,
+       rows_final, CAST(sensors_final AS BIGINT) AS sensors_final
+FROM q"""
+
+
 @register("q_mdqi", STAGES_SQL + """
 , u AS (SELECT COUNT(*) AS c FROM wide_raw GROUP BY """ + ", ".join(S) + """),
 n0 AS (SELECT COUNT(*) AS n FROM wide_raw),
@@ -208,29 +229,51 @@ parts AS (
     (SELECT COUNT(*) FROM w_c WHERE label IN (-1, 1)) AS rows_final,
     (SELECT n_valid FROM w_keep) AS sensors_final
   FROM n0),
-q AS (
-  SELECT *,
-    CAST(n_original - e_uni AS DOUBLE) / n_original * 100 AS q_uni,
-    CAST(n_original * n_sensors - (e_com_cols * n_original + e_com_rows * n_live + e_com_cells) AS DOUBLE)
-      / (n_original * n_sensors) * 100 AS q_com,
-    CAST(n_original * n_sensors - (e_val_inf + e_val_const * n_original) AS DOUBLE) / (n_original * n_sensors) * 100 AS q_val,
-    CAST(n_con - e_con AS DOUBLE) / n_con * 100 AS q_con,
-    CAST(n_original - e_acc AS DOUBLE) / n_original * 100 AS q_acc
-  FROM parts)
-SELECT n_original, CAST(n_sensors AS BIGINT) AS n_sensors, e_uni, ROUND(q_uni, 6) AS q_uni,
-       CAST(e_com_cols AS BIGINT) AS e_com_cols, e_com_rows, e_com_cells, ROUND(q_com, 6) AS q_com,
-       e_val_inf, CAST(e_val_const AS BIGINT) AS e_val_const, ROUND(q_val, 6) AS q_val,
-       e_con, CAST(n_con AS BIGINT) AS n_con, ROUND(q_con, 6) AS q_con, e_acc, ROUND(q_acc, 6) AS q_acc,
-       ROUND((q_uni + q_com + q_val + q_con + q_acc) / 5, 6) AS mdqi,
-       CASE WHEN (q_uni + q_com + q_val + q_con + q_acc) / 5 >= 99 THEN 'S'
-            WHEN (q_uni + q_com + q_val + q_con + q_acc) / 5 >= 95 THEN 'A'
-            WHEN (q_uni + q_com + q_val + q_con + q_acc) / 5 >= 80 THEN 'B' ELSE 'C' END AS grade,
-       rows_final, CAST(sensors_final AS BIGINT) AS sensors_final
-FROM q""")
+""" + SCORE_SQL)
 def q_mdqi(spark, sf_dir):
     """The five indicators, MDQI and grade of the wide table."""
-    c = cascade(spark, sf_dir)
+    return _scored(cascade(spark, sf_dir))
+
+
+def _scored(c: WideCascade):
     s = c.score()  # built from collected metadata only
     c.release()
     dbl = ["q_uni", "q_com", "q_val", "q_con", "q_acc", "mdqi"]
     return s.select(*[r6(c).alias(c) if c in dbl else F.col(c) for c in s.columns])
+
+
+@register("q_mdqi_wide", f"""
+WITH {v.SENSOR_ARRAY_SQL},
+vec AS (SELECT row_id, any_value(label) AS label, string_agg(coalesce(CAST(v AS VARCHAR), '-'), ',' ORDER BY j) AS vec FROM sensor_array GROUP BY row_id),
+firsts AS (SELECT row_id, label, COUNT(*) OVER (PARTITION BY vec) AS copies FROM vec QUALIFY row_number() OVER (PARTITION BY vec ORDER BY abs(row_id), -row_id) = 1),
+d AS (SELECT a.* FROM sensor_array a SEMI JOIN firsts USING (row_id)),
+live AS (SELECT j FROM d GROUP BY j HAVING NOT (CAST(COUNT(*) - COUNT(v) AS DOUBLE) / COUNT(*) > {fx.SPARSE_SHARE})),
+dl AS (SELECT d.* FROM d SEMI JOIN live USING (j)),
+rows_ok AS (SELECT row_id FROM dl GROUP BY row_id HAVING NOT (CAST(COUNT(*) - COUNT(v) AS DOUBLE) / COUNT(*) > {fx.SPARSE_SHARE})),
+r AS (SELECT dl.* FROM dl SEMI JOIN rows_ok USING (row_id)),
+med AS (SELECT j, quantile_cont(v, 0.5) AS m FROM r GROUP BY j),
+f AS (SELECT row_id, label, j, coalesce(v, m) AS v FROM r JOIN med USING (j)),
+fn AS (SELECT row_id, label, j, CASE WHEN NOT isinf(v) THEN v END AS v FROM f),
+med2 AS (SELECT j, quantile_cont(v, 0.5) AS m FROM fn GROUP BY j),
+w AS (SELECT row_id, label, j, coalesce(v, m) AS v FROM fn JOIN med2 USING (j)),
+valid AS (SELECT j, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM w GROUP BY j HAVING NOT (COUNT(v) >= 2 AND MIN(v) = MAX(v))),
+parts AS (
+  SELECT (SELECT COUNT(*) FROM vec) AS n_original, {v.WIDE_COLUMNS} AS n_sensors,
+    (SELECT CAST(coalesce(SUM(copies) FILTER (WHERE copies > 1), 0) AS BIGINT) FROM firsts) AS e_uni,
+    (SELECT {v.WIDE_COLUMNS} - COUNT(*) FROM live) AS e_com_cols,
+    (SELECT COUNT(*) FROM firsts) - (SELECT COUNT(*) FROM rows_ok) AS e_com_rows,
+    (SELECT COUNT(*) - COUNT(v) FROM r) AS e_com_cells,
+    (SELECT COUNT(*) FROM live) AS n_live,
+    (SELECT COUNT(*) FROM f WHERE isinf(v)) AS e_val_inf,
+    (SELECT COUNT(*) FROM live) - (SELECT COUNT(*) FROM valid) AS e_val_const,
+    (SELECT COUNT(*) FROM w JOIN valid USING (j) WHERE v < q1 - {fx.IQR_K} * (q3 - q1) OR v > q3 + {fx.IQR_K} * (q3 - q1)) AS e_con,
+    (SELECT COUNT(*) FROM rows_ok) * (SELECT COUNT(*) FROM valid) AS n_con,
+    (SELECT COUNT(*) FROM firsts SEMI JOIN rows_ok USING (row_id) WHERE NOT coalesce(label IN (-1, 1), FALSE)) AS e_acc,
+    (SELECT COUNT(*) FROM firsts SEMI JOIN rows_ok USING (row_id) WHERE label IN (-1, 1)) AS rows_final,
+    (SELECT COUNT(*) FROM valid) AS sensors_final),
+""" + SCORE_SQL)
+def q_mdqi_wide(spark, sf_dir):
+    """E1-E7 at sensor-table width: 512 columns."""
+    return _scored(WideCascade(v.sensor_array(spark, sf_dir), [f"c{j}" for j in range(v.WIDE_COLUMNS)], "label",
+                               [F.abs(F.col("row_id")), -F.col("row_id")], label_domain=fx.LABEL_DOMAIN,
+                               col_threshold=fx.SPARSE_SHARE, row_threshold=fx.SPARSE_SHARE, k=fx.IQR_K))
