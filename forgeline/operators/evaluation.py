@@ -11,7 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.joins import join_on_keys
+from ..functions.metadata import CLASS_LIMIT, collect_bounded
 from ..functions.ordinals import running_totals
 
 
@@ -160,10 +163,24 @@ def sweep_thresholds(df: DataFrame, y: str, score: str, lo: float, hi: float, n:
             .drop("_best"))
 
 
-def errors_by_class(df: DataFrame, y: str, error: str, bins: int = 50) -> DataFrame:
-    """H8: error distribution per class as a shared-edge histogram."""
+def errors_by_class(df: DataFrame, y: str, error: str, bins: int = 50, own_edges: bool = False) -> DataFrame:
+    """H8: error distribution per class as a histogram (y, bin, count, lo, hi).
+
+    All classes share the edges, or each has its own, from its least to its largest
+    error.  A class without errors has no bins; NULL is a class."""
     from .profiling import histogram
-    return histogram(df, error, bins=bins, by=y)
+    if not own_edges:
+        return histogram(df, error, bins=bins, by=y)
+    there = df.where(F.col(error).isNotNull())
+    ends = collect_bounded(there.groupBy(y).agg(F.min(error).alias("_lo"), F.max(error).alias("_hi")), CLASS_LIMIT, f"classes of {y}")
+    schema = T.StructType([df.schema[y], T.StructField("_lo", T.DoubleType()), T.StructField("_width", T.DoubleType())])
+    edges = df.sparkSession.createDataFrame(
+        [(r[y], float(r["_lo"]), (r["_hi"] - r["_lo"]) / bins if r["_hi"] > r["_lo"] else 1.0) for r in ends], schema)
+    placed = join_on_keys(there.select(y, error), edges, [y], broadcast_right=True)  # one row per class
+    at = F.least(F.floor((F.col(error) - F.col("_lo")) / F.col("_width")), F.lit(bins - 1)).cast("int")
+    return (placed.groupBy(y, at.alias("bin"), "_lo", "_width").agg(F.count("*").alias("count"))
+            .select(y, "bin", "count", (F.col("_lo") + F.col("bin") * F.col("_width")).alias("lo"),
+                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_width")).alias("hi")))
 
 
 def compare_runs(a: DataFrame, b: DataFrame, names: Sequence[str] = ("baseline", "improved"),

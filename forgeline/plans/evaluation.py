@@ -144,6 +144,18 @@ def q_errors_by_class(spark, sf_dir):
     return h.select("y", "bin", "count")
 
 
+@register("q_errors_by_class_own", SQL + """
+, w AS (SELECT y, MIN(score) AS lo, CASE WHEN MAX(score) > MIN(score) THEN (MAX(score) - MIN(score)) / 50 ELSE 1.0 END AS width
+        FROM scored WHERE score IS NOT NULL GROUP BY y),
+h AS (SELECT w.y, CAST(least(floor((score - lo) / width), 49) AS INTEGER) AS bin, COUNT(*) AS count, lo, width
+      FROM scored s JOIN w ON s.y IS NOT DISTINCT FROM w.y WHERE score IS NOT NULL GROUP BY ALL)
+SELECT y, bin, count, ROUND(lo + bin * width, 6) AS lo, ROUND(lo + (bin + 1) * width, 6) AS hi FROM h""")
+def q_errors_by_class_own(spark, sf_dir):
+    """H8: score distribution by class, 50 bins from each class's least to largest score."""
+    h = ev.errors_by_class(scored(spark, sf_dir), "y", "score", bins=50, own_edges=True)
+    return h.select("y", "bin", "count", r6("lo").alias("lo"), r6("hi").alias("hi"))
+
+
 @register("q_compare", SQL + _CUM_DESC + """
 , pr AS (SELECT score, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS p,
                 CASE WHEN P = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / P END AS r FROM cum, tot),

@@ -1,4 +1,6 @@
 """Evaluation operators against hand-derived numbers."""
+import numpy as np
+
 from forgeline.operators import evaluation as ev
 from forgeline.operators.sequences import decide
 
@@ -104,3 +106,19 @@ def test_auc_of_counts_beyond_a_long_product(spark):
     assert auc_of_table(cum).first()["auc"] == 1.0
     tie = spark.createDataFrame([(0.5, big, big, big)], "score double, pos long, neg long, cum_neg long")
     assert auc_of_table(tie).first()["auc"] == 0.5
+
+
+def test_errors_by_class_with_own_edges(spark):
+    """Each class from its own least to largest error; one value, NULL classes, no errors."""
+    rng = np.random.default_rng(5)
+    errors = {0: rng.gamma(2.0, 1.0, 300), 1: 50 + 20 * rng.random(80), 2: np.full(7, 3.0), None: rng.random(30)}
+    rows = [(k, float(e)) for k, es in errors.items() for e in es] + [(0, None), (3, None)]
+    got = ev.errors_by_class(spark.createDataFrame(rows, "y int, e double"), "y", "e", bins=10, own_edges=True).collect()
+    counts = {(r["y"], r["bin"]): r["count"] for r in got}
+    for k, es in errors.items():
+        exp, edges = np.histogram(es, bins=10, range=(es.min(), es.max() if es.max() > es.min() else es.min() + 10))
+        assert [counts.get((k, i), 0) for i in range(10)] == exp.tolist(), k
+        for r in got:
+            if r["y"] == k:
+                np.testing.assert_allclose((r["lo"], r["hi"]), (edges[r["bin"]], edges[r["bin"] + 1]))
+    assert 3 not in {r["y"] for r in got}
