@@ -7,11 +7,14 @@
 2. Containers vote under a generalised path: tags with their class names, digits
    replaced by ``#``, positions left out.  A page's vote for a path is the path's
    score relative to the page's best.  Tasks add votes and pages up by (host,
-   path), so a host with a third of all pages sends one row per path and task.
+   path), named by a 64-bit hash, so a host with a third of all pages sends one row
+   per path and task.
 3. Every page is parsed again and extracted from the path on which the host's
    pages agree most: the mean vote of the pages that have it, with DOUBT pages
    without a vote added, so that a rare path needs more than one page's word.  A
-   path no other page has counts with the page's own vote.
+   path no other page has counts with the page's own vote; equal means go by the
+   page's own vote.  The rows (page, path) of all pages join the votes by path, and
+   each page, named by the digest of its host and html, takes its largest.
 4. From that path's containers the page climbs to the nearest article or main around
    them, else past wrappers whose other shown text is only headings and paragraphs
    outside links, less than the text inside: what a heading, standfirst or
@@ -30,6 +33,7 @@ as late as their parent; an empty table gives no rows; extra columns are
 ignored."""
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -39,6 +43,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgeline.llm.common import join_groups
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PARTS = re.compile(r"[a-z]+")
@@ -65,7 +71,7 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 CLOSE_P = BLOCKS - {"br", "option", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "body", "html"}
 SHIELD_P = frozenset("div section article main td th li body html table blockquote aside nav header footer form button".split())
-SALT_PAGES, SALTED_HOSTS = 1_000, 10_000
+HELD_SPOTS = 100_000  # paths whose votes a task holds
 DOUBT = 2.0
 BONUS = {"article": 1.3, "main": 1.15, "body": 0.8, "html": 0.6}
 
@@ -285,46 +291,69 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(bare, F.lit("")))
 
 
+def spot_of(host: str, path: str) -> int:
+    """64-bit name of a path of a host."""
+    return int.from_bytes(hashlib.blake2b(f"{host}\n{path}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes, n) of all pages (url, html); n pages have the path."""
+    """(spot, votes, n) of all pages (host, html): n pages of the host have the path."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = Counter(), Counter()
         for batch in batches:
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                for path, share in Page(source or "").shares().items():
-                    total[host, path] += share
-                    n[host, path] += 1
+                for path, share in Page(source).shares().items():
+                    spot = spot_of(host, path)
+                    total[spot] += share
+                    n[spot] += 1
+            if len(total) > HELD_SPOTS:
+                yield told(total, n)
+                total.clear()
+                n.clear()
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total]), pa.array([k[1] for k in total]), pa.array(list(total.values()), pa.float64()), pa.array([n[k] for k in total])], names=["host", "path", "votes", "n"])
+            yield told(total, n)
+
+    def told(total: Counter, n: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.float64()), pa.array([n[k] for k in total], pa.int64())], names=["spot", "votes", "n"])
+
+    return pages.select("host", "html").mapInArrow(run, "spot long, votes double, n long").groupBy("spot").agg(F.sum("votes").alias("votes"), F.sum("n").alias("n"))
+
+
+def ballots(pages: DataFrame) -> DataFrame:
+    """(page, spot, share) of every container path of every page (page, host, html)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, spots, shares = [], [], []
+            for i, (host, source) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
+                for path, share in Page(source).shares().items():
+                    at.append(i)
+                    spots.append(spot_of(host, path))
+                    shares.append(share)
+            yield pa.RecordBatch.from_arrays([batch.column("page").take(pa.array(at, pa.int64())), pa.array(spots, pa.int64()), pa.array(shares, pa.float64())], names=["page", "spot", "share"])
 
-    told = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, votes double, n long")
-    return told.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("n").alias("n"))
+    return pages.select("page", "host", "html").mapInArrow(run, "page binary, spot long, share double")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """One row per page: page_id, url, path, text."""
-    pages = pages.select(pages[id_col].alias("page_id"), "url", "html")
-    agreed = F.struct("path", (F.col("votes") / (F.col("n") + DOUBT)).alias("worth"))
-    won = votes(pages).where("n > 1").groupBy("host").agg(F.map_from_entries(F.collect_list(agreed)).alias("won"))
-    keyed = pages.withColumn("host", host_of(F.col("url")))
+    html = F.coalesce("html", F.lit(""))
+    keyed = pages.select(pages[id_col].alias("page_id"), "url", html.alias("html"), host_of(F.col("url")).alias("host"))
+    keyed = keyed.withColumn("page", F.unhex(F.md5(F.concat_ws("\n", "host", "html"))))
+    # each path's row meets its votes, each page the path that won: hosts and repeated
+    # pages of any size are dealt by row, and no host's paths come together
+    agreed = votes(keyed).where("n > 1").withColumn("pages", F.col("n"))
+    known = join_groups(ballots(keyed), agreed, "spot", "pages")
+    worth = F.coalesce(F.col("votes"), F.col("share")) / (F.coalesce(F.col("n"), F.lit(1)) + F.lit(DOUBT))
+    won = known.groupBy("page").agg(F.max_by("spot", F.struct(worth, "share", "spot")).alias("won"), F.count("*").alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths, texts = [], []
-            for source, host_votes in zip(batch.column("html").to_pylist(), batch.column("won").to_pylist(), strict=True):
-                page, known = Page(source or ""), dict(host_votes or ())
-                shares = page.shares()
-                best = max(shares, key=lambda p: (known.get(p, shares[p] / (1 + DOUBT)), shares[p], p), default=None)
-                paths.append(best)
-                texts.append(page.text(best))
+            for host, source, spot in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "won")), strict=True):
+                page = Page(source)
+                paths.append(next((p for p in dict.fromkeys(page.path) if p and spot_of(host, p) == spot), None))
+                texts.append(page.text(paths[-1]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "path", "text"])
 
-    # a host may have a third of all pages: both sides are dealt by (host, salt), with a
-    # salt for every SALT_PAGES pages of a host; at most SALTED_HOSTS hosts need any
-    sizes = keyed.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    large = sizes.where(F.col("n") > max(SALT_PAGES, total // SALTED_HOSTS)).select("host", F.ceil(F.col("n") / SALT_PAGES).cast("long").alias("salts"))
-    salts = F.coalesce("salts", F.lit(1).cast("long"))
-    keyed = keyed.join(F.broadcast(large), "host", "left").withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), salts))
-    won = won.join(F.broadcast(large), "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
-    return keyed.join(won, ["host", "salt"], "left").select("page_id", "url", "html", "won").mapInArrow(run, "page_id long, url string, path string, text string")
+    found = join_groups(keyed, won, "page", "rows")
+    return found.select("page_id", "url", "host", "html", "won").mapInArrow(run, "page_id long, url string, path string, text string")

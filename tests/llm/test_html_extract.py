@@ -1,7 +1,11 @@
 """Main-text extraction on hand-made pages."""
+import random
+from collections import Counter
+
 import pytest
 
-from forgeline.llm.html_extract import Page, extract
+from forgeline.llm import common
+from forgeline.llm.html_extract import DOUBT, Page, extract
 
 ARTICLE = "<article><h1>T &amp; U</h1><p>One <b>two</b>th ree&nbsp;four.<p>Five &lt; six <a href=x>seven</a>, eight nine ten.<ul><li>a b<li>c d</ul></article>"
 TEXT = "T & U One twoth ree four. Five < six seven, eight nine ten. a b c d"
@@ -39,14 +43,38 @@ def test_class_words_and_what_an_element_holds(source, text):
     assert Page(source).text(None) == text
 
 
-def test_a_large_host_is_dealt_by_its_size(spark, monkeypatch):
-    from forgeline.llm import html_extract
-    monkeypatch.setattr(html_extract, "SALT_PAGES", 3)
-    monkeypatch.setattr(html_extract, "SALTED_HOSTS", 4)
+def test_a_large_host_and_copies_are_dealt_by_row(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
     rows = [(i, f"http://{'big' if i % 3 else i}.example/", ARTICLE) for i in range(40)]
     assert {(r["page_id"], r["text"]) for r in extract(pages(spark, rows)).collect()} == {(i, TEXT) for i in range(40)}
 
 
+@pytest.mark.parametrize("hot", [2, 100_000])
+def test_votes_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
+    draw = random.Random(9)
+    words = lambda n: " ".join(draw.choice(["red", "tide", "warm", "sea"]) for _ in range(n))
+    rows = []
+    for i in range(90):
+        blocks = [f"<div class='{draw.choice(['a', 'b', 'c', f'x{i}', f'{chr(97 + i % 26)}q'])}'><p>{words(draw.randrange(1, 40))}</p></div>" for _ in range(draw.randrange(5))]
+        rows.append((i, f"http://{draw.choice(['h', 'h', 'k', f'n{i}'])}.example/{i}", f"<body>{''.join(blocks)}</body>"))
+    rows += [(100 + i, rows[4][1], rows[4][2]) for i in range(20)]
+    total, n = Counter(), Counter()
+    for _i, url, source in rows:
+        for path, share in Page(source).shares().items():
+            total[url.split("/")[2], path] += share
+            n[url.split("/")[2], path] += 1
+    got = {r["page_id"]: (r["path"], r["text"]) for r in extract(pages(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for i, url, source in rows:
+        host, page = url.split("/")[2], Page(source)
+        means = {p: total[host, p] / (n[host, p] + DOUBT) for p in page.shares()}
+        path, text = got[i]
+        assert text == page.text(path)
+        assert (path is None) == (not means)
+        assert not means or means[path] == pytest.approx(max(means.values()), rel=1e-9)
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
 
