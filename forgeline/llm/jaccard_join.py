@@ -99,6 +99,16 @@ def needed(n: int, m) -> np.ndarray:
     return -(-NUMERATOR * (n + m) // (NUMERATOR + DENOMINATOR))
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Whole numbers in the fewest of 1, 2 and 4 bytes each."""
+    top = x.max(initial=0)
+    return x.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+
+
+def _widen(raw: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // max(count, 1) or 1}").astype(np.int64)
+
+
 def _in_order(grams: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in global order within each row, and their sketch levels."""
     count = sketch[(grams & U(SKETCH - 1)).astype(np.int64)].astype(np.int64)
@@ -152,6 +162,7 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 # -- pass 2: candidates ------------------------------------------------------
 
+SENT = ["shard", "key", "split", "whole", "place", "runs", "name", "n", "score"]
 FOUND_DDL = "kind int, key long, a long, b long, score float"
 
 
@@ -191,33 +202,40 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
                 place = (255 * (place - 1) // np.maximum(prefix[of] - 1, 1)).astype(np.uint8)
                 salts = np.maximum(1, np.ceil(count / HOT_GROUP)).astype(np.uint64)
                 salt = np.where(salts > 1, mix(names[of].view(np.uint64)) % salts + U(1), U(0))  # 0: not split
-                shard = ((mix(key + salt * U(0x9E3779B97F4A7C15)) >> U(32)) * U(shards) >> U(32)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
+                # the high half of the hash gives the shard, the low half is the key in it: shingles
+                # that share both form one larger group, which proposes and keeps no less
+                mixed = mix(key + salt * U(0x9E3779B97F4A7C15))
+                shard = ((mixed >> U(32)) * U(shards) >> U(32)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")  # sets stay in order within a shard
                 shard = shard[order]
                 edge = np.flatnonzero(np.diff(shard, prepend=-1))
-                key, salt, of, place = key[order], salt[order], of[order], place[order]
+                key, split, of, place, mixed = key[order], salt[order] > 0, of[order], place[order], mixed[order].astype("<u4")
                 rows = []
                 for a, b in zip(edge, [*edge[1:], len(shard)]):
-                    who, where = np.unique(of[a:b], return_inverse=True)
-                    rows.append((int(shard[a]), key[a:b].tobytes(), salt[a:b].tobytes() if salt[a:b].any() else b"", place[a:b].tobytes(),
-                                 where.astype("<u2" if len(who) < 65536 else "<u4").tobytes(),
-                                 names[who].tobytes(), n[who].astype("<u4").tobytes(), score[who].astype("<f4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=["shard", "key", "salt", "place", "set", "name", "n", "score"])
+                    first = np.flatnonzero(np.diff(of[a:b], prepend=-1))
+                    who, hot = of[a:b][first], np.flatnonzero(split[a:b])
+                    rows.append((int(shard[a]), mixed[a:b].tobytes(), hot.astype("<u4").tobytes(), key[a:b][hot].tobytes(), place[a:b].tobytes(),
+                                 _narrow(np.diff(first, append=b - a)), names[who].tobytes(), _narrow(n[who]), (256 * score[who]).astype("<u2").tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=SENT)
 
     def group(table: pa.Table) -> pa.Table:
         parts = []
-        for key, salt, place, at, name, n, score in zip(*(table.column(c).to_pylist() for c in ("key", "salt", "place", "set", "name", "n", "score")), strict=True):
-            key, n = np.frombuffer(key, "<u8"), np.frombuffer(n, "<u4").astype(np.int64)
-            at = np.frombuffer(at, "<u2" if len(at) == 2 * len(key) else "<u4")
-            salt = np.frombuffer(salt, "<u8") if salt else np.zeros(len(key), np.uint64)
-            n = n[at]
+        high = table.column("shard")[0].as_py() << 32
+        for mixed, hot, whole, place, runs, name, n, score in zip(*(table.column(c).to_pylist() for c in SENT[1:]), strict=True):
+            name = np.frombuffer(name, "<i8")
+            at = np.repeat(np.arange(len(name)), _widen(runs, len(name)))
+            mixed = np.frombuffer(mixed, "<u4").astype(np.uint64)
+            key, salt = mixed + U(high), np.zeros(len(mixed), np.uint64)  # of a split group: the shingle, and its part
+            hot = np.frombuffer(hot, "<u4")
+            key[hot], salt[hot] = np.frombuffer(whole, "<u8"), mixed[hot] + U(1)
+            n = _widen(n, len(name))[at]
             prefix = n - -(-NUMERATOR * n // DENOMINATOR) + 1
             place = 1 + np.frombuffer(place, np.uint8).astype(np.int64) * (prefix - 1) // 255  # at most the true place
-            parts.append((key, salt, np.frombuffer(name, "<i8")[at], n, np.frombuffer(score, "<f4")[at], place))
+            parts.append((key, salt, name[at], n, (np.frombuffer(score, "<u2") / 256).astype(np.float32)[at], place))
         key, salt, name, n, score, place = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((name, salt, key))
+        order = np.lexsort((place, name, salt, key))
         key, salt, name, n, score, place = (x[order] for x in (key, salt, name, n, score, place))
-        new = np.ones(len(key), bool)  # a set sent by several tasks counts once
+        new = np.ones(len(key), bool)  # a set sent by several tasks, or with two shingles of one key, counts once, at its rarest place
         new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (name[1:] != name[:-1])
         key, salt, name, n, score, place = (x[new] for x in (key, salt, name, n, score, place))
         start = np.ones(len(key), bool)
@@ -273,7 +291,7 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
             pa.array(np.concatenate((a, name[many], name[told]))), pa.array(np.concatenate((b, zero(int(many.sum())), band[told]))),
             pa.array(np.concatenate((zero(len(a) + int(many.sum())), score[told])).astype(np.float32))], names=["kind", "key", "a", "b", "score"])
 
-    blobs = docs.select("text").mapInArrow(emit, "shard int, key binary, salt binary, place binary, set binary, name binary, n binary, score binary")
+    blobs = docs.select("text").mapInArrow(emit, "shard int, " + ", ".join(f"{c} binary" for c in SENT[1:]))
     return blobs.repartition(shards, "shard").groupBy("shard").applyInArrow(group, FOUND_DDL)
 
 
