@@ -18,7 +18,9 @@ Steps, each linear in the shingles but for the last, exact one:
    the other salts'.  No other pairs are formed.
    Groups of two and three propose all their pairs.  A pair is proposed only where
    the shingle's places in both sets allow it to be the rarest one they share.
-2. Verification.  A leader walks a trie of its proposed members: the sets stand in
+2. Verification.  Every set has a bitmap of its shingles' parities, about a 64th of
+   its size; bits that differ bound what two sets share, exactly, and most proposals
+   that don't hold fall out by it before any set is moved.  A leader walks a trie of its proposed members: the sets stand in
    global order, equal beginnings are one path, the overlap along a path is counted
    once, and subtrees are cut when the lengths that remain can't reach the needed
    overlap.
@@ -94,6 +96,41 @@ def class_names(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[end - sizes]) * U(0x9E3779B97F4A7C15) + sizes.astype(np.uint64)).view(np.int64)
 
 
+def parities(grams: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Of every set a bitmap of at least as many bits as it has shingles, a power of
+    two and at least 64 (none if empty): how often a shingle falls on a bit, odd or even."""
+    bits = np.where(sizes > 0, 1 << np.ceil(np.log2(np.maximum(sizes, 64))).astype(np.int64), 0)
+    end = np.cumsum(bits)
+    at = (end - bits)[of] + (grams & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    places = np.concatenate(([0], end // 8)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(np.packbits(odd, bitorder="little"))])
+
+
+def fold(maps: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) as they would be with ``size`` words."""
+    while maps.shape[1] > size:
+        half = maps.shape[1] // 2
+        maps = maps[:, :half] ^ maps[:, half:]
+    return maps
+
+
+def may_link(own: tuple[int, bytes], others: list[tuple[int, bytes]]) -> np.ndarray:
+    """Which others (size, bitmap) may be linked with one's own set.  Shingles of both
+    sets cancel out, so bits that differ are at most the shingles of only one set."""
+    n, mine = own[0], np.frombuffer(own[1], "<u8")[None]
+    out = np.zeros(len(others), bool)
+    lengths = np.array([len(x) for _, x in others])
+    for length in np.unique(lengths):
+        some = np.flatnonzero(lengths == length)
+        m = np.array([others[i][0] for i in some], np.int64)
+        maps = np.frombuffer(b"".join(others[i][1] for i in some), "<u8").reshape(len(some), -1)
+        size = min(maps.shape[1], mine.shape[1])
+        apart = np.bitwise_count(fold(maps, size) ^ fold(mine, size)).sum(1, dtype=np.int64)
+        out[some] = np.minimum((n + m - apart) // 2, np.minimum(n, m)) >= needed(n, m)
+    return out
+
+
 def needed(n: int, m) -> np.ndarray:
     """Least overlap with which sets of n and m shingles are linked."""
     return -(-NUMERATOR * (n + m) // (NUMERATOR + DENOMINATOR))
@@ -118,32 +155,33 @@ def _in_order(grams: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np
 
 # -- pass 1: sets and sketch -------------------------------------------------
 
-MEASURED = ["doc_id", "content", "n", "name", "chunk", "counts"]
+MEASURED = ["doc_id", "content", "n", "name", "bits", "chunk", "counts"]
 
 
 def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, content, n, name) of every (doc_id, content, text) row, and the
-    count sketch."""
+    """(doc_id, content, n, name, bits) of every (doc_id, content, text) row, and
+    the count sketch."""
     size = SKETCH // SKETCH_CHUNKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, some = np.zeros(SKETCH, np.uint32), False
         for batch in batches:
-            names, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            names, sizes, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [pa.array([], pa.binary())]
             for _, offsets, data in blocks(batch.column("text")):
-                grams, _, n = shingle_sets(offsets, data)
+                grams, of, n = shingle_sets(offsets, data)
+                bits.append(parities(grams, of, n))
                 cells, times = np.unique(grams & U(SKETCH - 1), return_counts=True)
                 total[cells.astype(np.int64)] += times.astype(np.uint32)
                 names.append(class_names(grams, n))
                 sizes.append(n)
                 some = True
             k = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(names)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=MEASURED)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(names)), pa.concat_arrays(bits), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=MEASURED)
         if some:
             packed = [pa.compress(memoryview(total[i * size:(i + 1) * size]), "zstd", asbytes=True) for i in range(SKETCH_CHUNKS)]
             del total
             k = SKETCH_CHUNKS
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=MEASURED)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=MEASURED)
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(size, np.uint64)
@@ -152,12 +190,12 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         total = np.minimum(LEVELS * np.log2(total + 1.0), 255).astype(np.uint8)
         return pa.Table.from_pydict({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    both = cut(docs.select("doc_id", "content", "text").mapInArrow(run, "doc_id long, content long, n long, name long, chunk int, counts binary"))
+    both = cut(docs.select("doc_id", "content", "text").mapInArrow(run, "doc_id long, content long, n long, name long, bits binary, chunk int, counts binary"))
     sketch = np.zeros(SKETCH, np.uint8)
     parts = both.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
     for r in parts.collect():  # SKETCH_CHUNKS rows of fixed size
         sketch[r["chunk"] * size:(r["chunk"] + 1) * size] = np.frombuffer(r["counts"], np.uint8)
-    return both.where("chunk is null").select("doc_id", "content", "n", "name"), sketch
+    return both.where("chunk is null").select("doc_id", "content", "n", "name", "bits"), sketch
 
 
 # -- pass 2: candidates ------------------------------------------------------
@@ -418,35 +456,34 @@ class SetTrie:
         return out
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The proposed links (a, b) that hold.
+def by_leader(pairs: DataFrame, sets: DataFrame, value: str, decide) -> DataFrame:
+    """The proposed links (a, b) that ``decide`` keeps, of ``sets`` (name, n, value).
 
     A leader b and its members are dealt together, in parts of about LEADER_GROUP
-    members, each with the leader's own set; the members of a part form a trie,
-    which the leader walks."""
+    members, each with the leader's own value; ``decide`` takes the leader's (n,
+    value) and its members' and gives the places of those it keeps."""
     sizes = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("k"))
     salted = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("k") / LEADER_GROUP)).alias("salt"))
     wanted = salted.union(salted.select(F.col("b").alias("a"), "b", "salt").distinct())
-    told = wanted.join(sets.select(F.col("name").alias("a"), "grams"), "a").select("b", "salt", "a", "grams")
+    told = wanted.join(sets.select(F.col("name").alias("a"), "n", F.col(value).alias("value")), "a").select("b", "salt", "a", "n", "value")
 
-    def part(b: int, rows: list[tuple[int, bytes]]) -> list[int]:
-        own = next(g for a, g in rows if a == b)
+    def part(b: int, rows: list[tuple[int, int, bytes]]) -> list[int]:
+        own = next(r[1:] for r in rows if r[0] == b)
         rows = [r for r in rows if r[0] != b]
-        hits = SetTrie([g for _, g in rows]).partners(np.sort(np.frombuffer(own, "<u8")))
-        return [rows[i][0] for i in hits]
+        return [rows[i][0] for i in decide(own, [r[1:] for r in rows])] if rows else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
             left, right = [], []
-            for *k, a, g in zip(*(batch.column(c).to_pylist() for c in ("b", "salt", "a", "grams")), strict=True):
+            for *k, a, n, v in zip(*(batch.column(c).to_pylist() for c in ("b", "salt", "a", "n", "value")), strict=True):
                 if k != key:
                     if held:
                         found = part(key[0], held)
                         left += found
                         right += [key[0]] * len(found)
                     key, held = k, []
-                held.append((a, g))
+                held.append((a, n, v))
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
         if held:
             found = part(key[0], held)
@@ -455,6 +492,17 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return told.repartition("b", "salt").sortWithinPartitions("b", "salt").mapInArrow(run, "a long, b long")
 
 
+def near_enough(pairs: DataFrame, measured: DataFrame) -> DataFrame:
+    """The proposed links that the bitmaps don't rule out."""
+    sets = measured.where("n > 0").select("name", "n", "bits").dropDuplicates(["name"])
+    return by_leader(pairs, sets, "bits", lambda own, others: np.flatnonzero(may_link(own, others)))
+
+
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The proposed links that hold: the members form a trie, which the leader walks."""
+    return by_leader(pairs, sets, "grams", lambda own, others: SetTrie([g for _, g in others]).partners(np.sort(np.frombuffer(own[1], "<u8"))))
+
+
 # -- the exact rest ---------------------------------------------------------------
 
 def open_clusters(found: DataFrame, roots: DataFrame) -> DataFrame:
@@ -511,7 +559,8 @@ def label(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     sketch = context.broadcast(counts)
     shards = max(LEAST_SHARDS, measured.count() // DOCS_PER_SHARD)
     found = cut(propose(rows, sketch, shards))
-    pairs = cut(found.where("kind = 0").select("a", "b").union(leader_links(found)).distinct())
+    pairs = found.where("kind = 0").select("a", "b").union(leader_links(found)).distinct()
+    pairs = cut(near_enough(cut(pairs), measured))
     asked = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
     links = cut(verify(pairs, fetch_sets(rows, asked, sketch)))
     roots = components(links)

@@ -126,3 +126,31 @@ def test_connected_components(spark, monkeypatch, part):
     got_ = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()}
     want = {i: 0 for i in [*range(1, 31), 400]} | {i: 100 for i in range(200, 260)}
     assert got_ == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bitmaps_rule_out_no_link(seed):
+    rng = np.random.default_rng(seed)
+    sets = []
+    for n in (1, 2, 5, 63, 64, 65, 127, 130, 400, 520, 3_000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for share in (1.0, 0.95, 0.87, 0.8, 0.5, 0.0):
+            kept = base[:int(n * share)]
+            for more in (0, n - len(kept), n // 7):
+                sets.append(np.unique(np.concatenate((kept, rng.integers(0, 2**63, more, dtype=np.uint64)))))
+    sets.append(np.array([], np.uint64))
+    sizes = np.array([len(x) for x in sets])
+    maps = jaccard_join.parities(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes).to_pylist()
+    assert maps[-1] == b"" and all(len(m) * 8 >= n for m, n in zip(maps, sizes))
+    full = [i for i in range(len(sets)) if sizes[i]]
+    linked = dropped = 0
+    for i in full:
+        kept = jaccard_join.may_link((int(sizes[i]), maps[i]), [(int(sizes[j]), maps[j]) for j in full])
+        for j, may in zip(full, kept):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 75 * (sizes[i] + sizes[j] - both):
+                linked += 1
+                assert may
+            else:
+                dropped += not may
+    assert linked > 200 and dropped > 0.9 * (len(full) ** 2 - linked)
