@@ -52,6 +52,7 @@ from forgeline.session import ensure_checkpoint_dir
 START, STOP = U(0x5354415254000001), U(0x53544F5000000001)
 DOCS_PER_SHARD = 4_000
 LEAST_SHARDS = 64
+MAPS = 16_384
 COUNT_BYTES = 48 << 20  # pairs held by a counting task before they are merged
 
 
@@ -252,21 +253,21 @@ def discounts(n: list[int]) -> list[float]:
 
 
 class Model:
-    """The mapped arrays of one model, and its probabilities."""
+    """The mapped arrays of one model, and its probabilities.  A file is mapped when
+    it is first asked for; at most MAPS stay mapped, fewer than a process may have."""
 
     def __init__(self, about: dict):
         self.about = about
-        self.pairs = [map_arrays(about["folder"], f"pairs-{i}", PAIRS) for i in range(about["shards"])]
-        self.words = [map_arrays(about["folder"], f"words-{i}", WORDS) for i in range(about["shards"])]
+        self.file = functools.lru_cache(MAPS)(lambda name, shard: map_arrays(about["folder"], f"{name}-{shard}", PAIRS if name == "pairs" else WORDS))
 
-    def _find(self, files, key_name: str, shard: np.ndarray, key: np.ndarray, names: list[str]) -> list[np.ndarray]:
+    def _find(self, name: str, key_name: str, shard: np.ndarray, key: np.ndarray, names: list[str]) -> list[np.ndarray]:
         """Values at the keys, 0 where absent; queries sorted by shard and key."""
         out = [np.zeros(len(key), np.int64) for _ in names]
         order = np.lexsort((key, shard))
         s, k = shard[order], key[order]
         edge = np.flatnonzero(np.diff(s, prepend=-1))
         for a, b in zip(edge, [*edge[1:], len(s)]):
-            f = files[s[a]]
+            f = self.file(name, int(s[a]))
             if f is None or not len(f[key_name]):
                 continue
             at = np.minimum(np.searchsorted(f[key_name], k[a:b]), len(f[key_name]) - 1)
@@ -277,19 +278,19 @@ class Model:
 
     def counts(self, word: np.ndarray) -> np.ndarray:
         """Training counts of words (the end token's is the number of texts)."""
-        (c,) = self._find(self.pairs, "context", shard_of(word, self.about["shards"]), word, ["total"])
+        (c,) = self._find("pairs", "context", shard_of(word, self.about["shards"]), word, ["total"])
         return np.where(word == STOP, self.about["stops"], c)
 
     def probabilities(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         a = self.about
-        (before,) = self._find(self.words, "word", shard_of(word, a["shards"]), word, ["before"])
+        (before,) = self._find("words", "word", shard_of(word, a["shards"]), word, ["before"])
         d = np.array([0.0, *a["word_discounts"]])
         n = max(a["bigrams"], 1)
         rest = sum(x * k for x, k in zip(a["word_discounts"], a["word_kinds"], strict=True)) / n if a["bigrams"] else 1.0
         p1 = (before - d[np.minimum(before, 3)]) / n + rest / (a["vocabulary"] + 1)
         shard = shard_of(context, a["shards"])
-        (c,) = self._find(self.pairs, "pair", shard, pair_key(context, word), ["pair_n"])
-        total, one, two, more = self._find(self.pairs, "context", shard, context, ["total", "one", "two", "more"])
+        (c,) = self._find("pairs", "pair", shard, pair_key(context, word), ["pair_n"])
+        total, one, two, more = self._find("pairs", "context", shard, context, ["total", "one", "two", "more"])
         d = np.array([0.0, *a["discounts"]])
         back = np.where(total > 0, (d[1] * one + d[2] * two + d[3] * more) / np.maximum(total, 1), 1.0)
         return np.where(total > 0, (c - d[np.minimum(c, 3)]) / np.maximum(total, 1), 0.0) + back * p1

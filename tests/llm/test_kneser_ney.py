@@ -103,3 +103,17 @@ def test_model_files_round_trip(tmp_path):
     assert kneser_ney.map_arrays(folder, "words-1", kneser_ney.WORDS) is None
     kneser_ney.drop_model(folder)
     assert kneser_ney.map_arrays(folder, "words-0", kneser_ney.WORDS) is None
+
+
+def test_few_mapped_files_answer_alike(spark, tmp_path, monkeypatch):
+    texts = [(" ".join(f"w{i * j % 37}" for j in range(20)),) for i in range(50)]
+    about = kneser_ney.build(spark.createDataFrame(texts, "text string"), f"file://{tmp_path}", 16)
+    data = " ".join(t for t, in texts).encode()
+    context, word, _ = kneser_ney.sequences(np.array([0, len(data)]), np.frombuffer(data, np.uint8))
+    whole = kneser_ney.Model(about)
+    assert whole.file.cache_info().currsize == 0  # nothing is mapped before it is asked for
+    expected = whole.probabilities(context, word)
+    monkeypatch.setattr(kneser_ney, "MAPS", 2)
+    few = kneser_ney.Model(about)
+    assert np.array_equal(few.probabilities(context, word), expected) and np.array_equal(few.counts(word), whole.counts(word))
+    assert few.file.cache_info().currsize <= 2 < whole.file.cache_info().currsize
