@@ -218,10 +218,10 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text: str = "tex
 def bit_set(items: DataFrame) -> np.ndarray:
     """FILTER_BITS bits, set at the low bits of the windows' hashes."""
     bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    cells = items.groupBy((F.shiftright(bit, 3)).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1, cast(h & 7 as int))")).alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)  # at most as many rows as cells
-    out[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64).astype(np.uint8)
-    return out
+    cells = items.groupBy((F.shiftright(bit, 6)).alias("cell")).agg(F.bit_or(F.expr("shiftleft(cast(1 as bigint), cast(h & 63 as int))")).alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, "<i8")  # at most as many rows as cells
+    out[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
+    return out.view(np.uint8)
 
 
 def document_key(docs: DataFrame, id_col: str, text: str) -> list[Column]:
