@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from .joins import join_on_keys
 
-BROADCAST_ROWS = 2_000_000  # offsets tables at most this long are broadcast
+BROADCAST_ROWS = 2_000_000  # offsets and boundary tables at most this long are broadcast
 
 
 def _n_partitions(df: DataFrame) -> int:
@@ -38,10 +38,10 @@ def _materialise(df: DataFrame) -> DataFrame:
     return out
 
 
-def _join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """Attach the offsets (NULL-safe on the keys); broadcast only below a checked size."""
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Attach a small table (NULL-safe on the keys); broadcast only below a checked size."""
     n = small.count()
-    return join_on_keys(big, small, on, broadcast_right=n <= BROADCAST_ROWS)
+    return join_on_keys(big, small, on, how, broadcast_right=n <= BROADCAST_ROWS)
 
 
 def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -61,7 +61,7 @@ def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
                 .agg(F.count("*").alias("_cnt"), F.min("_pos").alias("_first")))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    out = _join_small(ranged, offsets, ["_pid", *keys])
+    out = join_small(ranged, offsets, ["_pid", *keys])
     return (out.withColumn(name, F.col("_off") + F.col("_pos") - F.col("_first"))
             .drop("_pid", "_pos", "_first", "_off"))
 

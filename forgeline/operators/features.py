@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import join_on_keys
 from ..functions.metadata import class_counts
-from ..functions.ordinals import with_ordinal
+from ..functions.ordinals import join_small, with_ordinal
+from ..session import ensure_checkpoint_dir
 
 MAX_CATEGORIES = 10_000  # one-hot categories are collected: metadata only
 
@@ -71,9 +72,12 @@ def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
 
     Two small jobs find one boundary hash per class: rows are counted per (class,
     16-bit bucket), which gives the bucket with the boundary, and only that
-    bucket is ranked.  The rows themselves are then flagged where they are, by a
-    comparison with their class's boundary: no window, sort or union of rows."""
-    h = df.withColumn("_h", hash_key(key, seed)).withColumn("_b", F.substring("_h", 1, 4))
+    bucket's hashes are counted and ranked.  Both results have one row per class and
+    are checkpointed, so that reading the rows again doesn't repeat the jobs.  The rows
+    themselves are flagged where they are, by a comparison with their class's boundary,
+    which is broadcast: no shuffle, window, sort or union of rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    h = df.select(cls, hash_key(key, seed).alias("_h")).withColumn("_b", F.substring("_h", 1, 4))
     per_bucket = h.groupBy(cls, "_b").agg(F.count("*").alias("_bn"))  # <= classes x 65536 rows
     wb = Window.partitionBy(cls).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cum = per_bucket.withColumn("_before", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
@@ -85,14 +89,19 @@ def hash_quota(df: DataFrame, cls: str, key: str, seed: int, quota,
     else:
         quotas = quota
     counts = ["_ncls", "_nmax"] if keep_counts and callable(quota) else []
-    edge = (join_on_keys(cum, quotas.select(cls, "q"), [cls])
-            .where((F.col("_before") < F.col("q")) & (F.col("q") <= F.col("_before") + F.col("_bn")))
-            .select(cls, "_b", (F.col("q") - F.col("_before")).alias("_need")))
-    inside = join_on_keys(h.select(cls, "_b", "_h"), edge, [cls, "_b"])
-    ranked = inside.withColumn("_r", F.row_number().over(Window.partitionBy(cls, "_b").orderBy("_h")))
-    limits = ranked.where(F.col("_r") == F.col("_need")).select(cls, F.col("_h").alias("_limit"))
-    table = join_on_keys(quotas.select(cls, *counts), limits, [cls], how="left")
-    tagged = join_on_keys(df.withColumn("_h", hash_key(key, seed)), table, [cls], how="left")
+    found = (join_on_keys(cum, quotas.select(cls, "q"), [cls])
+             .where((F.col("_before") < F.col("q")) & (F.col("q") <= F.col("_before") + F.col("_bn")))
+             .select(cls, "_b", (F.col("q") - F.col("_before")).alias("_need")))
+    edge = join_on_keys(quotas.select(cls, *counts), found, [cls], how="left").checkpoint()  # one row per class
+    inside = join_small(h, edge.where("_need IS NOT NULL").select(cls, "_b", "_need"), [cls, "_b"])
+    hashes = inside.groupBy(cls, "_b", "_h", "_need").agg(F.count("*").alias("_hn"))  # keys that repeat are one row
+    upto = F.sum("_hn").over(Window.partitionBy(cls, "_b").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0))
+    limits = (hashes.withColumn("_upto", upto)
+              .where((F.col("_upto") - F.col("_hn") < F.col("_need")) & (F.col("_need") <= F.col("_upto")))
+              .select(cls, F.col("_h").alias("_limit"))).checkpoint()
+    table = (edge.select(cls, *counts).unionByName(limits, allowMissingColumns=True)
+             .groupBy(cls).agg(*[F.max(c).alias(c) for c in [*counts, "_limit"]]))
+    tagged = join_small(df.withColumn("_h", hash_key(key, seed)), table, [cls], how="left")
     return tagged.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_limit"), F.lit(False))).drop("_h", "_limit")
 
 

@@ -109,3 +109,37 @@ def test_balanced_sample_keeps_a_null_class(spark):
     assert sum(n.values()) == 3000 and set(n) == {None, 0, 1}
     assert all(900 < v < 1100 for v in n.values())
     assert out.exceptAll(fe.balanced_sample(df.repartition(7), "y", "id")).count() == 0
+
+
+def test_split_joins_its_boundaries_where_the_rows_are(spark):
+    """Two classes, so most partitions of a shuffle by class would be empty and one
+    task would read a class: the boundaries are broadcast, found once and not again
+    for each use of the split."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    n = 2000
+    df = spark.range(n).select("id", (F.col("id") % 7 == 0).cast("int").alias("y")).mapInPandas(watch, "id long, y int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sp = fe.stratified_split(df, "y", "id", 20, 42)
+        plan = sp._jdf.queryExecution().executedPlan().toString()
+        fitted = seen.value
+        assert sp.where("split = 'test'").count() == 400
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert seen.value - fitted == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_quota_of_repeated_keys(spark):
+    """Rows that repeat a key are on the same side of the boundary, however many."""
+    df = spark.range(900).select((F.col("id") % 3).cast("string").alias("id"), F.lit(1).alias("y"))
+    sizes = {(r["id"], r["split"]): r["n"] for r in fe.stratified_split(df, "y", "id", 50, 42).groupBy("id", "split").agg(F.count("*").alias("n")).collect()}
+    assert len(sizes) == 3 and set(sizes.values()) == {300}
+    assert sorted(split for _, split in sizes) == ["test", "test", "train"]
