@@ -38,6 +38,7 @@ from .joins import join_on_keys
 MAX_TARGETS = 200_000  # targets are broadcast: groups x probs x 2 must stay metadata-sized
 RANK_LIMIT = 10_000  # a band this small is ranked exactly inside one window partition
 SKETCH_K = 1_024  # a sketch holds about 3 k doubles
+GRID = 512  # sketched quantiles that a summary keeps
 HASHED_GROUPS = 2_048  # sketches that a task holds at once before it sorts by group
 
 
@@ -81,9 +82,25 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         if k >= g.finite or g.low == g.high:
             resolved[(gid, k)] = math.nan if k >= g.finite else g.low
             open_t.discard((gid, k))
+    _resolve(data, group_cols, df.schema, groups, open_t, resolved, buckets, rank_limit)
+    out_rows = []
+    for gid, p, k_lo, k_hi, frac in wanted:
+        a, b = resolved[(gid, k_lo)], resolved[(gid, k_hi)]
+        q = a + frac * (b - a) if frac else a
+        out_rows.append((*groups[gid].key, p, float(q), groups[gid].n))
+    out_schema = T.StructType([df.schema[c] for c in group_cols] + [
+        T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType()),
+        T.StructField("n", T.LongType())])
+    return spark.createDataFrame(out_rows, out_schema)
+
+
+def _resolve(data: DataFrame, group_cols: list, schema: T.StructType, groups: list[Group], open_t: set,
+             resolved: dict, buckets: int, rank_limit: int) -> None:
+    """Second scan, and one more while a target lies outside its bracket."""
+    spark = data.sparkSession
     while open_t:
         at_once = sorted({gid for gid, _k in open_t})
-        banded = _banded(data, group_cols, df.schema, groups, at_once).persist(StorageLevel.MEMORY_AND_DISK)
+        banded = _banded(data, group_cols, schema, groups, at_once).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             targets, band_rows, gaps = _located(banded, groups, open_t)
             _select(spark, banded.where("_v IS NOT NULL"), targets, band_rows, resolved, buckets, rank_limit)
@@ -92,15 +109,6 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         open_t = set(gaps)
         for gid in {gid for gid, _k in gaps}:
             groups[gid].brackets = sorted({gaps[t] for t in gaps if t[0] == gid})
-    out_rows = []
-    for gid, p, k_lo, k_hi, frac in wanted:
-        a, b = resolved[(gid, k_lo)], resolved[(gid, k_hi)]
-        q = a + frac * (b - a) if frac else a
-        out_rows.append((*groups[gid].key, p, float(q), groups[gid].n))
-    out_schema = T.StructType([df.schema[c] for c in group_cols] + [
-        T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType()),
-        T.StructField("n", T.LongType())])
-    return spark.createDataFrame(out_rows, out_schema)
 
 
 @contextmanager
@@ -283,12 +291,86 @@ def quantile_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **
     return out
 
 
+@dataclass
+class Summary:
+    """One column's cells: least and largest value apart from infinities (NaN is the
+    largest), the finite values' count and ends, and how many cells are anything else."""
+    least: float | None = None
+    largest: float | None = None
+    finite: int = 0
+    low: float | None = None
+    high: float | None = None
+    nulls: int = 0
+    minus: int = 0
+    plus: int = 0
+    nans: int = 0
+    grid: list | None = None  # sketched quantiles of the finite values
+
+    @property
+    def infinite(self) -> int:
+        return self.minus + self.plus
+
+    @property
+    def cells(self) -> int:
+        return self.finite + self.nulls + self.infinite + self.nans
+
+
+def summarise(df: DataFrame, cols: Sequence[str], rank_limit: int = RANK_LIMIT, sketch_k: int = SKETCH_K) -> dict[str, Summary]:
+    """Counts, ends and sketches of the columns of a wide table, in one scan."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    v = F.col("_v")
+    usual = F.abs(v) != float("inf")  # NaN is
+    finite = F.when(usual & ~F.isnan(v), v)
+    told = (_cells(df, cols).groupBy("_at")
+            .agg(F.min(F.when(usual, v)).alias("least"), F.max(F.when(usual, v)).alias("largest"), F.count(finite).alias("finite"),
+                 F.min(finite).alias("low"), F.max(finite).alias("high"), F.count_if(v.isNull()).alias("nulls"),
+                 F.count_if(v == -float("inf")).alias("minus"), F.count_if(v == float("inf")).alias("plus"),
+                 F.count_if(F.isnan(v)).alias("nans"), F.kll_sketch_agg_double(finite, F.lit(sketch_k)).alias("_sketch"))
+            .withColumn("grid", F.when(F.col("finite") > rank_limit, F.kll_sketch_get_quantile_double(
+                "_sketch", F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))))
+            .drop("_sketch"))
+    with _setting(df.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(HASHED_GROUPS)):
+        rows = [r.asDict() for r in told.collect()]  # one per column
+    return {c: Summary() for c in cols} | {cols[r.pop("_at")]: Summary(**r) for r in rows}
+
+
+def order_statistics(df: DataFrame, summaries: dict[str, Summary], wanted: set, buckets: int = 4096,
+                     rank_limit: int = RANK_LIMIT, sketch_k: int = SKETCH_K) -> dict:
+    """``{(column, rank): value}`` of the finite values of the summarised columns of
+    ``df``, all by one scan, whatever number of ranks a column has."""
+    if len(wanted) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} order statistics")
+    reach = 2 * sketch_error(sketch_k)
+    cols = list(summaries)
+    at = {c: i for i, c in enumerate(cols)}
+    ends = {c: {0: s.low, s.finite - 1: s.high} for c, s in summaries.items()}
+    resolved = {(at[c], k): ends[c][k] if k in ends[c] else s.low for c, k in wanted if k in ends[c] or (s := summaries[c]).low == s.high}
+    open_t = {(at[c], k) for c, k in wanted} - set(resolved)
+    groups = []
+    for c, s in summaries.items():
+        brackets = [(s.low, s.high)]
+        if s.grid:
+            shares = [k / (s.finite - 1) for gid, k in open_t if gid == at[c]]
+            near = [(math.floor((p - reach) * GRID), math.ceil((p + reach) * GRID)) for p in shares]
+            brackets = [(s.low if i <= 0 else s.grid[i], s.high if j >= GRID else s.grid[j]) for i, j in near]
+        groups.append(Group((at[c],), s.finite, s.finite, s.low, s.high, _apart(brackets)))
+    data = _cells(df, cols).where(F.abs("_v") < float("inf"))
+    _resolve(data, ["_at"], data.schema, groups, open_t, resolved, buckets, rank_limit)
+    return {(cols[gid], k): v for (gid, k), v in resolved.items()}
+
+
+def _cells(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
+    """(ids..., _at, _v): every cell of the columns as a double, with its column's place."""
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    return df.select(*ids, F.posexplode(values).alias("_at", "_v"))
+
+
 def unpivot(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """Wide -> long (ids..., sensor, value) with doubles.
 
     The row's values are exploded from one array: the plan stays linear in the
     columns, where an Expand would hold a projection per column."""
-    values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
     names = F.array(*[F.lit(c) for c in cols])
-    return (df.select(*ids, F.posexplode(values).alias("_at", "value"))
-            .select(*ids, F.get(names, F.col("_at")).alias("sensor"), "value"))
+    return _cells(df, cols, ids).select(*ids, F.get(names, F.col("_at")).alias("sensor"), F.col("_v").alias("value"))

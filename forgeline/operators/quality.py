@@ -8,15 +8,17 @@ on the previous stage's output; only per-column metadata reaches the driver.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import grade, null_count_expr, qi, truthy
-from ..functions.quantiles import quantile_wide, unpivot
+from ..functions.exprs import grade, qi, truthy
+from ..functions.quantiles import order_statistics, summarise
 from .cleansing import clip_columns, drop_sparse_rows, fill_values, keep_label_domain, replace_infinite
 from .profiling import sparse_columns
 
@@ -84,6 +86,77 @@ def _qi(n: int, e: int) -> float:
     return (n - e) / n * 100.0 if n > 0 else 0.0
 
 
+UNKNOWN = object()  # a finite value that hasn't been read yet
+
+
+@dataclass
+class Run:
+    """Consecutive places of a column's order: ``n`` finite values of the table from
+    rank ``first`` on, or ``n`` times ``value``."""
+    n: int
+    first: int | None = None
+    value: object = None
+
+
+class ColumnOrder:
+    """The order of a column's values through the repairs.
+
+    A repair only adds cells of one value or drops the infinite ones, so a quantile of
+    a repaired column is one of the original finite values, or between two, whose ranks
+    follow from counts.  A rank whose value isn't in ``known`` is put into ``asked``
+    and its value counts as UNKNOWN; the ranks that follow don't depend on it."""
+
+    def __init__(self, runs: Sequence[Run], known: Mapping, asked: set):
+        self.runs, self.known, self.asked = [r for r in runs if r.n], known, asked
+
+    def size(self) -> int:
+        return sum(r.n for r in self.runs)
+
+    def _value(self, k: int) -> object:
+        for r in self.runs:
+            if k < r.n:
+                break
+            k -= r.n
+        if r.first is None:
+            return r.value
+        if r.first + k not in self.known:
+            self.asked.add(r.first + k)
+        return self.known.get(r.first + k, UNKNOWN)
+
+    def quantile(self, p: float) -> object:
+        """Linear interpolation as in ``functions.quantiles``; None without values."""
+        if not self.runs:
+            return None
+        pos = p * (self.size() - 1)
+        k = math.floor(pos)
+        a, b = self._value(k), self._value(min(k + 1, self.size() - 1))
+        if pos == k:
+            return a
+        x, y = (0.0 if v is UNKNOWN else v for v in (a, b))
+        q = x + (pos - k) * (y - x)
+        return UNKNOWN if math.isfinite(q) and UNKNOWN in (a, b) else q
+
+    def median_filled(self, n: int) -> tuple[object, ColumnOrder]:
+        """The median, and the order with ``n`` more cells of it."""
+        m = self.quantile(0.5)
+        if m is None:
+            return None, self
+        if m is UNKNOWN or math.isfinite(m):
+            at = math.floor(0.5 * (self.size() - 1)) + 1  # after the lower of the median's neighbours
+        else:
+            at = 0 if m < 0 else self.size() - (0 if math.isnan(m) else sum(r.n for r in self.runs if r.value is not UNKNOWN and r.value is not None and math.isnan(r.value)))
+        before, after = [], []
+        for r in self.runs:
+            left = min(max(at, 0), r.n)
+            before.append(Run(left, r.first, r.value))
+            after.append(Run(r.n - left, None if r.first is None else r.first + left, r.value))
+            at -= r.n
+        return m, ColumnOrder([*before, Run(n, value=m), *after], self.known, self.asked)
+
+    def without_infinities(self) -> ColumnOrder:
+        return ColumnOrder([r for r in self.runs if r.value in (None, UNKNOWN) or not math.isinf(r.value)], self.known, self.asked)
+
+
 class WideCascade:
     """E1-E7 as a lazily evaluated cascade over a wide sensor table.
 
@@ -154,45 +227,60 @@ class WideCascade:
                                                         self.live(), self.row_thr))
 
     def row_stats(self) -> tuple[int, int]:
-        """(sparse rows dropped, NULL cells left).
-
-        One long-form pass over the kept rows gives every live column its finite
-        range and its numbers of finite, NULL and infinite cells (filling NULLs
-        doesn't touch infinities); the plan is linear in the columns and the
-        result has one row per column."""
+        """(sparse rows dropped, NULL cells left), from the kept rows' summaries."""
+        st = self._summaries()
+        kept = max((s.cells for s in st.values()), default=0)  # the same for every column
+        return self._uniqueness()[2] - kept if st else 0, sum(s.nulls for s in st.values())
+
+    def _summaries(self) -> dict:
+        """One pass over the kept rows gives every live column its counts of finite,
+        NULL and infinite cells, its range and a sketch (filling NULLs doesn't touch
+        infinities); the plan is linear in the columns, the result has one row per
+        column."""
+        return self._m("summaries", lambda: summarise(self.rows_kept(), self.live()))
+
+    def _quantiles(self) -> dict:
+        """Per live column (median of the kept rows, median once infinities are NULL,
+        first and third quartile after the repairs).
+
+        The ranks of all of them among the finite values of the kept rows follow from
+        the summaries' counts, so one more pass reads them all."""
         def calc():
-            v, inf = F.col("value"), F.abs("value") == float("inf")
-            finite = F.when(~inf, v)
-            st = (unpivot(self.rows_kept(), self.live()).groupBy("sensor")
-                  .agg(F.min(finite).alias("mn"), F.max(finite).alias("mx"), F.count(finite).alias("n"),
-                       F.sum(v.isNull().cast("long")).alias("z"), F.sum(truthy(inf).cast("long")).alias("i")).collect())
-            cols = {c: (None, None, 0, 0, 0) for c in self.live()}
-            cols |= {r["sensor"]: (r["mn"], r["mx"], r["n"], r["z"], r["i"]) for r in st}
-            kept = max((n + z + i for _, _, n, z, i in cols.values()), default=0)  # the same for every column
-            dropped = self._uniqueness()[2] - kept if cols else 0
-            return dropped, sum(x[3] for x in cols.values()), sum(x[4] for x in cols.values()), cols
-        r = self._m("rowstats", calc)
-        return r[0], r[1]
+            known: dict = {c: {} for c in self.live()}
+            while True:  # ranks depend on values only where an interpolation overflows
+                asked: dict = {c: set() for c in known}
+                told = {c: self._column_quantiles(c, known[c], asked[c]) for c in known}
+                wanted = {(c, k) for c, ks in asked.items() for k in ks}
+                if not wanted:
+                    return told
+                for (c, k), v in order_statistics(self.rows_kept(), self._summaries(), wanted).items():
+                    known[c][k] = v
+        return self._m("quantiles", calc)
+
+    def _column_quantiles(self, c: str, known: Mapping, asked: set) -> tuple:
+        s = self._summaries()[c]
+        order = ColumnOrder([Run(s.minus, value=-math.inf), Run(s.finite, first=0), Run(s.plus, value=math.inf), Run(s.nans, value=math.nan)],
+                            known, asked)
+        median, filled = order.median_filled(s.nulls)
+        repair = None
+        if self.e_inf():
+            finite = filled.without_infinities()
+            repair, filled = finite.median_filled(s.cells - finite.size())
+        return median, repair, filled.quantile(0.25), filled.quantile(0.75)
 
     def medians(self) -> dict:
-        return self._m("med", lambda: {c: v.get(0.5) for c, v in quantile_wide(
-            self.rows_kept(), self.live(), [0.5]).items()})
+        return {c: q[0] for c, q in self._quantiles().items()}
 
     def filled(self) -> DataFrame:
         return self._m("filled", lambda: fill_values(self.rows_kept(), self.medians()))
 
     # -- validity
     def e_inf(self) -> int:
-        self.row_stats()
-        return self._memo["rowstats"][2]
+        return sum(s.infinite for s in self._summaries().values())
 
     def repair_medians(self) -> dict:
         """Column medians after +-Inf became NULL (the repair values)."""
-        def calc():
-            nulls = replace_infinite(self.filled(), self.live())
-            med = quantile_wide(nulls, self.live(), [0.5])
-            return {c: med[c].get(0.5) for c in self.live()}
-        return self._m("med2", calc)
+        return {c: q[1] for c, q in self._quantiles().items()}
 
     def repair(self, df: DataFrame) -> DataFrame:
         """The Inf repair applied to ``df`` (which carries the live columns)."""
@@ -205,17 +293,15 @@ class WideCascade:
 
     def constant(self) -> list[str]:
         """Columns with min = max over >= 2 values after the repairs, read off
-        the row-stats aggregation: the repaired values are the finite values
+        the summaries: the repaired values are the finite values
         plus the NULL-fill median (if NULLs were filled) plus the Inf-repair
         median (if infinities were repaired) -- no extra pass over the rows."""
         def calc():
-            self.row_stats()
-            stats = self._memo["rowstats"][3]
             med1 = self.medians()
             med2 = self.repair_medians() if self.e_inf() > 0 else {}
             out = []
-            for c in self.live():
-                mn, mx, n, nulls, infs = stats[c]
+            for c, s in self._summaries().items():
+                mn, mx, n, nulls, infs = s.least, s.largest, s.finite + s.nans, s.nulls, s.infinite
                 vals = [v for v in (mn, mx) if v is not None]
                 count = n
                 if nulls and med1.get(c) is not None:
@@ -233,16 +319,14 @@ class WideCascade:
         return [c for c in self.live() if c not in self.constant()]
 
     def nonconstant(self) -> DataFrame:
-        return self._m("noncon", lambda: self.repaired().drop(*self.constant())
-                       .persist(StorageLevel.MEMORY_AND_DISK))
+        return self._m("noncon", lambda: self.repaired().drop(*self.constant()))
 
     # -- consistency
     def bounds(self) -> dict:
         def calc():
-            q = quantile_wide(self.nonconstant(), self.valid_cols(), [0.25, 0.75])
             out = {}
             for c in self.valid_cols():
-                q1, q3 = q[c].get(0.25), q[c].get(0.75)
+                _, _, q1, q3 = self._quantiles()[c]
                 if q1 is not None:
                     out[c] = (q1 - self.k * (q3 - q1), q3 + self.k * (q3 - q1))
             return out
@@ -282,11 +366,10 @@ class WideCascade:
         return keep_label_domain(self.clipped(), self.label, self.domain)
 
     def release(self) -> None:
-        """Unpersist the cached stages (call once the results that read them
-        have been computed; later reads recompute from the source)."""
-        for key in ("grouped", "noncon"):
-            if key in self._memo:
-                self._memo[key].unpersist()
+        """Unpersist the cached stage (call once the results that read it have been
+        computed; later reads recompute from the source)."""
+        if "grouped" in self._memo:
+            self._memo["grouped"].unpersist()
 
     def score(self) -> DataFrame:
         n0, nc = self.n_original(), len(self.sensors)

@@ -1,9 +1,14 @@
 """MDQI cascade against a direct pandas computation of the same steps."""
+import math
+import random
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from forgeline.operators.quality import WideCascade
+from forgeline.functions.quantiles import order_statistics, summarise
+from forgeline.operators import quality
+from forgeline.operators.quality import ColumnOrder, Run, WideCascade
 
 S = ["s0", "s1", "s2", "s3", "s4"]
 
@@ -105,3 +110,78 @@ def test_mdqi_at_the_source_width(spark, tmp_path):
     for k, v in want.items():
         assert abs(got[k] - v) < 1e-9, (k, got[k], v)
     assert clean.count() == want["rows_final"]
+
+
+def interpolated(values, p):
+    """The quantile as functions.quantiles has it: NaN is the largest value."""
+    ordered = sorted(values, key=lambda v: (v != v, v))
+    if not ordered:
+        return None
+    pos = p * (len(ordered) - 1)
+    a, b = ordered[int(pos)], ordered[min(int(pos) + 1, len(ordered) - 1)]
+    return a + (pos - int(pos)) * (b - a) if pos > int(pos) else a
+
+
+def same(a, b):
+    return a is b or a is not None and b is not None and (a == b or a != a and b != b)
+
+
+def test_column_order_matches_the_repairs_one_after_another():
+    """Median fill, infinities to NULL, median fill, quartiles: from ranks alone."""
+    rng = random.Random(5)
+    for _ in range(3000):
+        finite = sorted(rng.choice([rng.randint(-3, 3) * 1.0, rng.gauss(0, 9), 1.5e308]) for _ in range(rng.choice([0, 1, 2, 5, 9])))
+        minus, plus, nans, nulls = (rng.choice([0, 0, 1, 2, 6]) for _ in range(4))
+        cells = [*finite, *[-math.inf] * minus, *[math.inf] * plus, *[math.nan] * nans]
+        median = interpolated(cells, 0.5)
+        cells += [median] * nulls if median is not None else []
+        finite_cells = [v for v in cells if not math.isinf(v)]
+        repair = interpolated(finite_cells, 0.5)
+        lost = len(finite) + minus + plus + nans + nulls - len(finite_cells)
+        repaired = finite_cells + ([repair] * lost if repair is not None else [])
+        want = (median, repair, interpolated(repaired, 0.25), interpolated(repaired, 0.75))
+        known = {}
+        for turn in range(4):
+            asked = set()
+            order = ColumnOrder([Run(minus, value=-math.inf), Run(len(finite), first=0), Run(plus, value=math.inf), Run(nans, value=math.nan)], known, asked)
+            m1, filled = order.median_filled(nulls)
+            left = filled.without_infinities()
+            m2, full = left.median_filled(len(finite) + minus + plus + nans + nulls - left.size())
+            got = (m1, m2, full.quantile(0.25), full.quantile(0.75))
+            if not asked:
+                break
+            known |= {k: finite[k] for k in asked}
+        assert all(same(a, b) for a, b in zip(got, want)), (cells, got, want)
+
+
+def test_cascade_finds_all_quantiles_in_two_passes(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(quality, "summarise", lambda *a: calls.append("counts") or summarise(*a))
+    monkeypatch.setattr(quality, "order_statistics", lambda *a: calls.append("ranks") or order_statistics(*a))
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(0, 5, (300, 3)), columns=["s0", "s1", "s2"])
+    pdf.loc[3, "s0"], pdf.loc[4, "s1"], pdf.loc[5, "s2"] = np.inf, -np.inf, 900.0
+    rows = [(i, *[None if rng.random() < 0.05 else float(v) for v in r], 1 if i % 2 else -1) for i, r in enumerate(pdf.itertuples(index=False))]
+    c = WideCascade(spark.createDataFrame(rows, "seq int, s0 double, s1 double, s2 double, label int"), ["s0", "s1", "s2"], "label", ["seq"])
+    bounds = c.bounds()
+    c.release()
+    assert calls == ["counts", "ranks"]
+    want = pd.DataFrame([r[1:4] for r in rows if r[1:4].count(None) < 2], columns=["s0", "s1", "s2"], dtype=float)  # no sparse rows
+    want = want.fillna(want.median()).replace([np.inf, -np.inf], np.nan)
+    want = want.fillna(want.median())
+    q1, q3 = want.quantile(0.25), want.quantile(0.75)
+    for s, (lo, hi) in bounds.items():
+        np.testing.assert_allclose((lo, hi), (q1[s] - 3 * (q3[s] - q1[s]), q3[s] + 3 * (q3[s] - q1[s])), rtol=1e-12)
+
+
+def test_order_statistics_of_sketched_columns(spark):
+    n = 4000
+    df = spark.range(n).select(F.pmod(F.hash("id"), F.lit(9973)).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"),
+                               F.when(F.col("id") % 4 == 0, float("inf")).otherwise(F.col("id").cast("double")).alias("c"))
+    pdf = df.toPandas().replace(np.inf, np.nan)
+    for kw in ({"rank_limit": 50}, {"rank_limit": 20, "sketch_k": 8}):
+        found = summarise(df, ["a", "b", "c"], **kw)
+        wanted = {(c, k) for c in "abc" for k in (0, 700, 1500, 1501, 2250, 2999)}
+        got = order_statistics(df, found, wanted, buckets=8, **kw)
+        assert got == {(c, k): float(np.sort(pdf[c].dropna())[k]) for c, k in wanted}
+        assert (found["c"].plus, found["c"].finite, found["a"].nulls) == (n // 4, n - n // 4, 0)
