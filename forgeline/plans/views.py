@@ -218,8 +218,12 @@ def wide_column(j: int, at: str) -> str:
 def sensor_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sensor table of WIDE_COLUMNS columns c0.. from ``embeddings``, with sparse and
     constant columns, sparse rows, missing cells, infinities, outliers, exact copies
-    under the negative id and invalid labels."""
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
+    under the negative id and invalid labels.
+
+    A row becomes some sixteen times as wide here, so the vectors, of which a file split
+    holds very many, are dealt over all tasks first."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    emb = emb.select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
     rows = emb.select(F.explode(F.expr("IF(vec_id % 101 = 7, array(vec_id, -vec_id), array(vec_id))")).alias("row_id"), "vec_id", "x",
                       F.expr(SENSOR_LABEL).alias("label"))
     return rows.select("row_id", *[F.expr(_sensor_cell(j, wide_column(j, "x[{}]"))).alias(f"c{j}") for j in range(WIDE_COLUMNS)], "label")

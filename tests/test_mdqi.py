@@ -185,3 +185,12 @@ def test_order_statistics_of_sketched_columns(spark):
         got = order_statistics(df, found, wanted, buckets=8, **kw)
         assert got == {(c, k): float(np.sort(pdf[c].dropna())[k]) for c, k in wanted}
         assert (found["c"].plus, found["c"].finite, found["a"].nulls) == (n // 4, n - n // 4, 0)
+
+
+def test_sensor_array_is_dealt_before_it_is_widened(spark, tmp_path):
+    from forgeline.plans import views
+    rows = [(i, [float(i + j) for j in range(64)], i % 10) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    wide = views.sensor_array(spark, str(tmp_path)).select("row_id", "c0")
+    assert wide.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert wide.count() == 41  # id 7 has a copy
