@@ -27,11 +27,13 @@ Steps, each linear in the shingles but for the last, exact one:
 3. The verified links give components.
 4. The rest.  A group whose sets are in several components may hide a link between
    two of them.  Components that meet in such a group form a cluster; each cluster
-   is cut into chunks, a chunk's sets form a trie, and every set outside the
-   cluster's largest component walks every chunk's trie.  The asking sets are cut
-   into parts too, and a (part, chunk) is worked on by itself, so that no group is
-   larger than two chunks.  Thus every pair that could join two components is
-   decided exactly; nothing is capped.
+   is cut into chunks, and every set outside the cluster's largest component asks
+   every chunk.  The asking sets are cut into parts too, and a (part, chunk) is
+   worked on by itself, so that no group is larger than two chunks.  This is done
+   twice: first with the bitmaps, which leave the sets that may be linked with one
+   of another component, and smaller clusters of these; then with the sets, a
+   chunk's as a trie that the asking sets walk.  Thus every pair that could join two
+   components is decided exactly; nothing is capped.
 
 Defined cases: NULL and empty texts have an empty set and are linked with nothing;
 repeated rows are copies; NULL ids count as larger than every id (alone, such a
@@ -61,6 +63,8 @@ LEAST_SHARDS = 64
 SMALL_GROUP = 128  # sets of one shingle compared by place and size before they are kept for the rest
 LEADER_GROUP = 2_000  # members of one leader verified together
 CHUNK = 1_024  # sets of one trie of the exact rest, and sets that walk it together
+MAP_CHUNK = 8_192  # the same for bitmaps, of about a 32nd of a set's bytes
+SENT_TOGETHER = 1 << 20  # shingles that a task deals to the shards at once
 FILTER_BITS = 1 << 27  # 16 MB
 
 
@@ -115,19 +119,33 @@ def fold(maps: np.ndarray, size: int) -> np.ndarray:
     return maps
 
 
+class Bitmaps:
+    """Sets (size, bitmap), by length of the bitmap and by size."""
+
+    def __init__(self, sizes: np.ndarray, maps: list[bytes]):
+        lengths, self.kinds = np.array([len(x) for x in maps], np.int64), []
+        for length in np.unique(lengths):
+            some = np.flatnonzero(lengths == length)
+            some = some[np.argsort(sizes[some], kind="stable")]
+            self.kinds.append((some, sizes[some], np.frombuffer(b"".join(maps[i] for i in some), "<u8").reshape(len(some), -1)))
+
+    def partners(self, n: int, bits: bytes) -> np.ndarray:
+        """Indices of the sets that may be linked with one of n shingles.  Shingles of
+        both sets cancel out, so bits that differ are at most the shingles of only one."""
+        mine, out = np.frombuffer(bits, "<u8")[None], [np.zeros(0, np.int64)]
+        for some, sizes, maps in self.kinds:
+            low, high = np.searchsorted(sizes, -(-NUMERATOR * n // DENOMINATOR)), np.searchsorted(sizes, DENOMINATOR * n // NUMERATOR, "right")
+            if low < high:
+                m, size = sizes[low:high], min(maps.shape[1], mine.shape[1])
+                apart = np.bitwise_count(fold(maps[low:high], size) ^ fold(mine, size)).sum(1, dtype=np.int64)
+                out.append(some[low:high][np.minimum((n + m - apart) // 2, np.minimum(n, m)) >= needed(n, m)])
+        return np.concatenate(out)
+
+
 def may_link(own: tuple[int, bytes], others: list[tuple[int, bytes]]) -> np.ndarray:
-    """Which others (size, bitmap) may be linked with one's own set.  Shingles of both
-    sets cancel out, so bits that differ are at most the shingles of only one set."""
-    n, mine = own[0], np.frombuffer(own[1], "<u8")[None]
+    """Which others (size, bitmap) may be linked with one's own set."""
     out = np.zeros(len(others), bool)
-    lengths = np.array([len(x) for _, x in others])
-    for length in np.unique(lengths):
-        some = np.flatnonzero(lengths == length)
-        m = np.array([others[i][0] for i in some], np.int64)
-        maps = np.frombuffer(b"".join(others[i][1] for i in some), "<u8").reshape(len(some), -1)
-        size = min(maps.shape[1], mine.shape[1])
-        apart = np.bitwise_count(fold(maps, size) ^ fold(mine, size)).sum(1, dtype=np.int64)
-        out[some] = np.minimum((n + m - apart) // 2, np.minimum(n, m)) >= needed(n, m)
+    out[Bitmaps(np.array([m for m, _ in others], np.int64), [x for _, x in others]).partners(*own)] = True
     return out
 
 
@@ -155,6 +173,23 @@ def _in_order(grams: np.ndarray, of: np.ndarray, sketch: np.ndarray) -> tuple[np
 
 # -- pass 1: sets and sketch -------------------------------------------------
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts, most of them none or small: which there are, a byte of each, the large ones."""
+    some = counts[counts > 0]
+    raw = np.packbits(counts > 0).tobytes() + np.minimum(some, 255).astype(np.uint8).tobytes() + some[some >= 255].astype("<u4").tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpack_counts(packed: bytes, size: int) -> np.ndarray:
+    raw = pa.decompress(packed[4:], int.from_bytes(packed[:4], "little"), "zstd", asbytes=True)
+    where = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, -(-size // 8)), count=size))
+    some = np.frombuffer(raw, np.uint8, len(where), -(-size // 8)).astype(np.uint32)
+    some[some == 255] = np.frombuffer(raw, "<u4", offset=-(-size // 8) + len(where))
+    out = np.zeros(size, np.uint32)
+    out[where] = some
+    return out
+
+
 MEASURED = ["doc_id", "content", "n", "name", "bits", "chunk", "counts"]
 
 
@@ -178,7 +213,7 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(names)), pa.concat_arrays(bits), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=MEASURED)
         if some:
-            packed = [pa.compress(memoryview(total[i * size:(i + 1) * size]), "zstd", asbytes=True) for i in range(SKETCH_CHUNKS)]
+            packed = [pack_counts(total[i * size:(i + 1) * size]) for i in range(SKETCH_CHUNKS)]
             del total
             k = SKETCH_CHUNKS
             yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=MEASURED)
@@ -186,7 +221,7 @@ def measure(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(size, np.uint64)
         for x in table.column("counts").to_pylist():
-            total += np.frombuffer(pa.decompress(x, size * 4, "zstd"), np.uint32)
+            total += unpack_counts(x, size)
         total = np.minimum(LEVELS * np.log2(total + 1.0), 255).astype(np.uint8)
         return pa.Table.from_pydict({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
@@ -209,11 +244,27 @@ def _band(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / np.log(DENOMINATOR / NUMERATOR) + 1e-9).astype(np.int64)
 
 
-def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
-    """kind 0: proposed links (a, b); 1: (key, a) of groups of four and more;
-    2: leaders (key, a, score) of split groups, b their band."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def send(docs: DataFrame, sketch, shards: int) -> DataFrame:
+    """The last shingles of every set, dealt to shards as packed arrays; a task sends
+    those of many sets together, so that its rows are few whatever the shards."""
+    def dealt(held: list[tuple]) -> pa.RecordBatch:
+        base = np.cumsum([0, *(len(x[-1]) for x in held[:-1])])
+        of = np.concatenate([x[0] + b for x, b in zip(held, base)])
+        shard, mixed, key, split, place, names, n, score = (np.concatenate(x) for x in list(zip(*held))[1:])
+        order = np.argsort(shard, kind="stable")  # sets stay in order within a shard
+        shard, mixed, key, split, place, of = (x[order] for x in (shard, mixed, key, split, place, of))
+        edge = np.flatnonzero(np.diff(shard, prepend=-1))
+        rows = []
+        for a, b in zip(edge, [*edge[1:], len(shard)]):
+            first = np.flatnonzero(np.diff(of[a:b], prepend=-1))
+            who, hot = of[a:b][first], np.flatnonzero(split[a:b])
+            rows.append((int(shard[a]), mixed[a:b].tobytes(), hot.astype("<u4").tobytes(), key[a:b][hot].tobytes(), place[a:b].tobytes(),
+                         _narrow(np.diff(first, append=b - a)), names[who].tobytes(), _narrow(n[who]), (256 * score[who]).astype("<u2").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=SENT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held, many = [], 0
         counts = sketch.value
         for batch in batches:
             for _, offsets, data in blocks(batch.column(0)):
@@ -244,18 +295,20 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
                 # that share both form one larger group, which proposes and keeps no less
                 mixed = mix(key + salt * U(0x9E3779B97F4A7C15))
                 shard = ((mixed >> U(32)) * U(shards) >> U(32)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")  # sets stay in order within a shard
-                shard = shard[order]
-                edge = np.flatnonzero(np.diff(shard, prepend=-1))
-                key, split, of, place, mixed = key[order], salt[order] > 0, of[order], place[order], mixed[order].astype("<u4")
-                rows = []
-                for a, b in zip(edge, [*edge[1:], len(shard)]):
-                    first = np.flatnonzero(np.diff(of[a:b], prepend=-1))
-                    who, hot = of[a:b][first], np.flatnonzero(split[a:b])
-                    rows.append((int(shard[a]), mixed[a:b].tobytes(), hot.astype("<u4").tobytes(), key[a:b][hot].tobytes(), place[a:b].tobytes(),
-                                 _narrow(np.diff(first, append=b - a)), names[who].tobytes(), _narrow(n[who]), (256 * score[who]).astype("<u2").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=SENT)
+                held.append((of, shard, mixed.astype("<u4"), key, salt > 0, place, names, n, score))
+                many += len(key)
+                if many >= SENT_TOGETHER:
+                    yield dealt(held)
+                    held, many = [], 0
+        if held:
+            yield dealt(held)
 
+    return docs.select("text").mapInArrow(run, "shard int, " + ", ".join(f"{c} binary" for c in SENT[1:]))
+
+
+def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
+    """kind 0: proposed links (a, b); 1: (key, a) of groups of four and more;
+    2: leaders (key, a, score) of split groups, b their band."""
     def group(table: pa.Table) -> pa.Table:
         parts = []
         high = table.column("shard")[0].as_py() << 32
@@ -329,8 +382,7 @@ def propose(docs: DataFrame, sketch, shards: int) -> DataFrame:
             pa.array(np.concatenate((a, name[many], name[told]))), pa.array(np.concatenate((b, zero(int(many.sum())), band[told]))),
             pa.array(np.concatenate((zero(len(a) + int(many.sum())), score[told])).astype(np.float32))], names=["kind", "key", "a", "b", "score"])
 
-    blobs = docs.select("text").mapInArrow(emit, "shard int, " + ", ".join(f"{c} binary" for c in SENT[1:]))
-    return blobs.repartition(shards, "shard").groupBy("shard").applyInArrow(group, FOUND_DDL)
+    return send(docs, sketch, shards).repartition(shards, "shard").groupBy("shard").applyInArrow(group, FOUND_DDL)
 
 
 def leader_links(found: DataFrame) -> DataFrame:
@@ -492,10 +544,14 @@ def by_leader(pairs: DataFrame, sets: DataFrame, value: str, decide) -> DataFram
     return told.repartition("b", "salt").sortWithinPartitions("b", "salt").mapInArrow(run, "a long, b long")
 
 
+def bitmaps(measured: DataFrame) -> DataFrame:
+    """(name, n, bits), one row per class."""
+    return measured.where("n > 0").select("name", "n", "bits").dropDuplicates(["name"])
+
+
 def near_enough(pairs: DataFrame, measured: DataFrame) -> DataFrame:
     """The proposed links that the bitmaps don't rule out."""
-    sets = measured.where("n > 0").select("name", "n", "bits").dropDuplicates(["name"])
-    return by_leader(pairs, sets, "bits", lambda own, others: np.flatnonzero(may_link(own, others)))
+    return by_leader(pairs, bitmaps(measured), "bits", lambda own, others: np.flatnonzero(may_link(own, others)))
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -510,28 +566,72 @@ def open_clusters(found: DataFrame, roots: DataFrame) -> DataFrame:
     groups = found.where("kind = 1").select("key", F.col("a").alias("name"))
     rooted = groups.join(roots.withColumnRenamed("node", "name"), "name", "left").select("key", "name", F.coalesce("root", "name").alias("root"))
     spans = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    meets = cut(rooted.join(spans.select("key", "low"), "key").select("root", "low", "name").distinct())
+    return clustered(cut(rooted.join(spans.select("key", "low"), "key").select("root", "low", "name").distinct()))
+
+
+def clustered(meets: DataFrame) -> DataFrame:
+    """(name, root, cluster) of (root, low, name): the components root and low meet."""
     clusters = components(meets.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
     named = meets.select("name", "root").distinct()
     return named.join(clusters.select(F.col("node").alias("root"), F.col("root").alias("cluster")), "root", "left").select("name", "root", F.coalesce("cluster", "root").alias("cluster"))
 
 
-def decide_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between different components of a cluster, of (name, root,
-    cluster) members: at least one for every pair of components with a link."""
+def across(members: DataFrame, sets: DataFrame, value: str, chunk: int) -> DataFrame:
+    """The (name, root, cluster) members dealt to (cluster, chunk, part) with their
+    ``sets`` (name, n, value): all members but for ``asks``, where ``asks`` those
+    outside the cluster's largest component, so that any two members of different
+    components, one of which asks, come together once or twice."""
     parts = members.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("k"))
     whole = parts.groupBy("cluster").agg(F.max_by("root", F.struct("k", "root")).alias("largest"), F.sum("k").alias("size"), F.max("k").alias("most"))
-    told = (members.join(whole, "cluster").join(sets, "name")
-            .withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("parts", F.ceil((F.col("size") - F.col("most")) / CHUNK).cast("int")))
+    told = (members.join(whole, "cluster").join(sets.select("name", "n", F.col(value).alias("value")), "name")
+            .withColumn("chunks", F.ceil(F.col("size") / chunk).cast("int")).withColumn("parts", F.ceil((F.col("size") - F.col("most")) / chunk).cast("int")))
     own = lambda n: F.pmod(F.xxhash64("name"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    stored = told.select("cluster", own("chunks").alias("chunk"), every("parts").alias("part"), F.lit(False).alias("asks"), "name", "root", "grams")
-    asking = told.where("root != largest").select("cluster", every("chunks").alias("chunk"), own("parts").alias("part"), F.lit(True).alias("asks"), "name", "root", "grams")
+    stored = told.select("cluster", own("chunks").alias("chunk"), every("parts").alias("part"), F.lit(False).alias("asks"), "name", "root", "n", "value")
+    asking = told.where("root != largest").select("cluster", every("chunks").alias("chunk"), own("parts").alias("part"), F.lit(True).alias("asks"), "name", "root", "n", "value")
+    return stored.union(asking)
+
 
+def may_join(members: DataFrame, maps: DataFrame) -> DataFrame:
+    """(name, root, cluster) of those members that may, by their bitmaps, be linked with
+    one of another component of their cluster; clusters of the components so joined."""
+    def run(table: pa.Table) -> pa.Table:
+        asks = np.array(table.column("asks").to_pylist(), bool)
+        name, root, n = (table.column(c).to_numpy() for c in ("name", "root", "n"))
+        bits = table.column("value").to_pylist()
+        stored = np.flatnonzero(~asks)
+        held = Bitmaps(n[stored], [bits[i] for i in stored])
+        roots, of = np.unique(root, return_inverse=True)
+        up, some = list(range(len(roots))), np.zeros(len(name), bool)
+
+        def find(x: int) -> int:
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for q in np.flatnonzero(asks):
+            near = stored[held.partners(int(n[q]), bits[q])]
+            near = near[of[near] != of[q]]
+            if len(near):
+                some[q] = some[near] = True
+                for r in np.unique(of[near]):
+                    a, b = find(int(of[q])), find(int(r))
+                    up[max(a, b)] = min(a, b)  # the roots are sorted
+        at = np.flatnonzero(some)
+        low = [int(roots[find(int(x))]) for x in of[at]]
+        return pa.Table.from_arrays([pa.array(root[at], pa.int64()), pa.array(low, pa.int64()), pa.array(name[at], pa.int64())], names=["root", "low", "name"])
+
+    dealt = across(members, maps, "bits", MAP_CHUNK)
+    return clustered(cut(dealt.groupBy("cluster", "chunk", "part").applyInArrow(run, "root long, low long, name long").distinct()))
+
+
+def decide_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different components of a cluster, of (name, root,
+    cluster) members: at least one for every pair of components with a link."""
     def run(table: pa.Table) -> pa.Table:
         asks = np.array(table.column("asks").to_pylist(), bool)
         name, root = table.column("name").to_numpy(), table.column("root").to_numpy()
-        grams = table.column("grams").to_pylist()
+        grams = table.column("value").to_pylist()
         stored = np.flatnonzero(~asks)
         trie = SetTrie([grams[i] for i in stored])
         left, right, seen = [], [], set()
@@ -544,7 +644,7 @@ def decide_clusters(members: DataFrame, sets: DataFrame) -> DataFrame:
                     right.append(int(name[s]))
         return pa.Table.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return stored.union(asking).groupBy("cluster", "chunk", "part").applyInArrow(run, "a long, b long")
+    return across(members, sets, "grams", CHUNK).groupBy("cluster", "chunk", "part").applyInArrow(run, "a long, b long")
 
 
 # -- the operator -------------------------------------------------------------------
@@ -565,6 +665,8 @@ def label(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     links = cut(verify(pairs, fetch_sets(rows, asked, sketch)))
     roots = components(links)
     members = cut(open_clusters(found, roots))
+    if not members.isEmpty():
+        members = cut(may_join(members, bitmaps(measured)))
     if not members.isEmpty():
         more = cut(decide_clusters(members, fetch_sets(rows, members.select("name"), sketch)))
         if not more.isEmpty():

@@ -154,3 +154,49 @@ def test_bitmaps_rule_out_no_link(seed):
             else:
                 dropped += not may
     assert linked > 200 and dropped > 0.9 * (len(full) ** 2 - linked)
+
+
+@pytest.mark.parametrize("seed, hot", [(4, 3), (5, 1)])
+def test_components_with_small_parts(documents, monkeypatch, seed, hot):
+    for name, value in (("HOT_GROUP", hot), ("CHUNK", 4), ("MAP_CHUNK", 3), ("LEADER_GROUP", 5), ("SMALL_GROUP", 4), ("SENT_TOGETHER", 50)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    pairs = corpus(seed)
+    assert order(got(jaccard_join.near_duplicates(documents(pairs)))) == order(brute(pairs))
+
+
+def test_rest_fetches_only_what_may_be_linked(documents, monkeypatch):
+    """Sets that share a passage, three fifths of their shingles: one group, no link."""
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 4)
+    met, decided = [], []
+    for name, seen in (("open_clusters", met), ("decide_clusters", decided)):
+        def spy(*a, f=getattr(jaccard_join, name), name=name, seen=seen):
+            out = f(*a)
+            seen.append((out if name == "open_clusters" else a[0]).count())
+            return out
+        monkeypatch.setattr(jaccard_join, name, spy)
+    rng = random.Random(1)
+    text = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage = text(560)
+    pairs = [(i, f"{passage} {text(180)}") for i in range(40)]
+    assert order(got(jaccard_join.near_duplicates(documents(pairs)))) == order(brute(pairs))
+    assert met == [40] and sum(decided) < 4
+
+
+def test_tasks_send_few_rows(spark, documents):
+    rng = random.Random(2)
+    pairs = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(2_000))) for i in range(300)]  # four blocks
+    sketch = spark.sparkContext.broadcast(np.zeros(jaccard_join.SKETCH, np.uint8))
+    rows = jaccard_join.send(documents(pairs).coalesce(1), sketch, 16).collect()
+    assert sorted(r["shard"] for r in rows) == list(range(16))
+    assert sum(len(r["place"]) for r in rows) == sum(len(s) // 4 + 1 for s in (shingles(t) for _, t in pairs))
+
+
+def test_sketch_parts_are_small_and_come_back():
+    rng = np.random.default_rng(3)
+    counts = rng.poisson(0.25, 100_003).astype(np.uint32)
+    counts[rng.integers(0, len(counts), 90)] = rng.integers(250, 2**32, 90)
+    packed = jaccard_join.pack_counts(counts)
+    assert (jaccard_join.unpack_counts(packed, len(counts)) == counts).all()
+    assert len(packed) < len(counts) / 6
+    none = np.zeros(64, np.uint32)
+    assert (jaccard_join.unpack_counts(jaccard_join.pack_counts(none), 64) == none).all()
